@@ -6,14 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.llm.langid import op4_langid
 from spanloom.llm.packing import op9_packing
+from spanloom.llm.quality import op10_quality
 from spanloom.llm.sharding import op6_sharding
 from spanloom.llm.simhash import op2_simhash
+from spanloom.llm.warc import ORACLE_OP1, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op4_langid": op4_langid,
     "op6_sharding": op6_sharding,
     "op9_packing": op9_packing,
+    "op10_quality": op10_quality,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc": ORACLE_OP1}
