@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.llm.decontam import op8_decontam
 from spanloom.llm.langid import op4_langid
 from spanloom.llm.packing import op9_packing
 from spanloom.llm.quality import op10_quality
+from spanloom.llm.secrets import op3_secrets
 from spanloom.llm.sharding import op6_sharding
 from spanloom.llm.simhash import op2_simhash
 from spanloom.llm.warc import ORACLE_OP1, op1_warc
@@ -16,8 +18,10 @@ from spanloom.llm.warc import ORACLE_OP1, op1_warc
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_simhash": op2_simhash,
+    "op3_secrets": op3_secrets,
     "op4_langid": op4_langid,
     "op6_sharding": op6_sharding,
+    "op8_decontam": op8_decontam,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
 }
