@@ -13,6 +13,7 @@ from spanloom.llm.quality import op10_quality
 from spanloom.llm.secrets import op3_secrets
 from spanloom.llm.sharding import op6_sharding
 from spanloom.llm.simhash import op2_simhash
+from spanloom.llm.substrings import op5_substrings
 from spanloom.llm.warc import ORACLE_OP1, op1_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_secrets": op3_secrets,
     "op4_langid": op4_langid,
+    "op5_substrings": op5_substrings,
     "op6_sharding": op6_sharding,
     "op8_decontam": op8_decontam,
     "op9_packing": op9_packing,
