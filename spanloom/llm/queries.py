@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from spanloom.llm.chroma import op7_chroma
 from spanloom.llm.decontam import op8_decontam
 from spanloom.llm.langid import op4_langid
 from spanloom.llm.packing import op9_packing
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_langid": op4_langid,
     "op5_substrings": op5_substrings,
     "op6_sharding": op6_sharding,
+    "op7_chroma": op7_chroma,
     "op8_decontam": op8_decontam,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
