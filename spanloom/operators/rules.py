@@ -10,25 +10,33 @@ no shuffle, and a row's work is bounded by its own text.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import functools
+import operator
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import best_per_doc, match_groups
 
+DIGIT = "0-9"
 ANNOTATION = "struct<start:int,end:int,type:string,subtype:string,rule:string,text:string>"
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``emits``: (group, type, subtype) of each annotation; ``context``: a field kind that the text has to be in."""
+    """``emits``: (group, type, subtype) of each annotation; ``context``: a field kind that the text has to be in.
+
+    ``needs``: a text that holds none of these can't match, so its pattern isn't
+    tried there; DIGIT stands for any digit.
+    """
 
     name: str
     pattern: str
     emits: tuple[tuple[int, str, str], ...] = ()
     priority: int = -1
     context: str | None = None
+    needs: tuple[str, ...] = ()
     groups: int = field(default=0)
 
     def __post_init__(self) -> None:
@@ -40,6 +48,13 @@ class Rule:
             raise ValueError(f"{self.name} emits a group it doesn't have")
 
 
+def needing(rules: list[Rule], default: tuple[str, ...] = (), **named: tuple[str, ...]) -> list[Rule]:
+    """The rules with what each needs: by name, or the default."""
+    if unknown := named.keys() - {r.name for r in rules}:
+        raise ValueError(f"no such rules: {sorted(unknown)}")
+    return [replace(r, needs=named.get(r.name, default)) for r in rules]
+
+
 SPAN = f"struct<start:int,end:int,priority:int,rule_no:int,emits:array<{ANNOTATION}>>"
 
 
@@ -71,11 +86,12 @@ def with_phase(rows: DataFrame, rules: list[Rule], out: str, text_col: str = "te
     text, none = F.coalesce(F.col(text_col), F.lit("")), F.array().cast(f"array<{SPAN}>")
 
     def found(rule: Rule) -> Column:
-        matched = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
-        if rule.context is None:
-            return matched
-        allowed = F.array_contains(contexts_col, rule.context) if contexts_col else F.lit(False)
-        return F.when(F.coalesce(allowed, F.lit(False)), matched).otherwise(F.array().cast("array<string>"))
+        matched, tried = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.lit(True)
+        if rule.needs:
+            tried = functools.reduce(operator.or_, [text.rlike("[0-9]") if x == DIGIT else text.contains(x) for x in rule.needs])
+        if rule.context is not None:
+            tried = tried & (F.coalesce(F.array_contains(contexts_col, rule.context), F.lit(False)) if contexts_col else F.lit(False))
+        return matched if not rule.needs and rule.context is None else F.when(tried, matched).otherwise(F.array().cast("array<string>"))
 
     seen = rows.withColumns({f"_m{k}": found(r) for k, r in enumerate(rules)})
     spans = seen.withColumn("_spans", F.concat(*[F.when(F.size(f"_m{k}") > 0, _spans(text, r, k, F.col(f"_m{k}"))).otherwise(none) for k, r in enumerate(rules)]))

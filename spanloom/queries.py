@@ -206,15 +206,17 @@ CONTACT_RULES = [others.INTERNET[0], *[r for r in others.CONTACTS + others.IDS i
 SCRUB = {"Contacts": CONTACT_RULES}
 SQL_EMAIL = r"[A-Za-z0-9]+(?:[._][A-Za-z0-9]+)*@(?:[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*\.)+(?:info|com|net|org|ch|de|fr|li|eu)\b"
 SQL_PHONE, SQL_IP, SQL_CARD = r"\([0-9]{3}\) [0-9]{3}-[0-9]{4}", r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}", "[0-9]{16}"
-SQL_COUNTS = f"""len(regexp_extract_all(text, '{SQL_EMAIL}')) + len(regexp_extract_all(text, '{SQL_PHONE}')) + len(regexp_extract_all(text, '(?:^|[^0-9]){SQL_IP}(?:$|[^0-9])')) + len(regexp_extract_all(text, '(?:^|[^0-9]){SQL_CARD}(?:$|[^0-9])'))"""
-SQL_SCRUBBED = f"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '{SQL_EMAIL}', 'EMAIL', 'g'), '{SQL_PHONE}', 'PHONE', 'g'), '(^|[^0-9]){SQL_IP}($|[^0-9])', '\\1WEBSITE\\2', 'g'), '(^|[^0-9]){SQL_CARD}($|[^0-9])', '\\1ID\\2', 'g')"""
+# A label is marked by chr(1); bounded patterns run twice, as neighbours share what bounds them.
+SQL_MARKED = f"regexp_replace(regexp_replace(text, '{SQL_EMAIL}', chr(1) || 'EMAIL', 'g'), '{SQL_PHONE}', chr(1) || 'PHONE', 'g')"
+for _pattern, _label in ((SQL_IP, "WEBSITE"), (SQL_CARD, "ID")) * 2:
+    SQL_MARKED = f"regexp_replace({SQL_MARKED}, '(^|[^0-9]){_pattern}($|[^0-9])', '\\1' || chr(1) || '{_label}\\2', 'g')"
 
 
 def contact_spans(spark, sf):
     return annotate(read(spark, sf, "documents").select("doc_id", "text"), SCRUB)
 
 
-@register("q_scrub_documents", f"select doc_id, cast({SQL_COUNTS} as bigint) as n_spans, md5({SQL_SCRUBBED}) as text_md5 from documents")
+@register("q_scrub_documents", f"with m as (select doc_id, {SQL_MARKED} as t from documents) select doc_id, cast(length(t) - length(replace(t, chr(1), '')) as bigint) as n_spans, md5(replace(t, chr(1), '')) as text_md5 from m")
 def scrub_documents(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     spans = contact_spans(spark, sf)
@@ -223,8 +225,8 @@ def scrub_documents(spark, sf):
     return out.join(counts, "doc_id", "left").select("doc_id", F.coalesce("n_spans", F.lit(0)).alias("n_spans"), F.md5("text").alias("text_md5"))
 
 
-@register("q_scrub_by_type", f"""with c as (select unnest([{{'k': 'Contact', 's': 'email', 'n': len(regexp_extract_all(text, '{SQL_EMAIL}'))}}, {{'k': 'Contact', 's': 'phone number', 'n': len(regexp_extract_all(text, '{SQL_PHONE}'))}}, {{'k': 'ID', 's': 'other', 'n': len(regexp_extract_all(text, '(?:^|[^0-9]){SQL_CARD}(?:$|[^0-9])'))}}, {{'k': 'Contact', 's': 'website', 'n': len(regexp_extract_all(text, '(?:^|[^0-9]){SQL_IP}(?:$|[^0-9])'))}}]) as x from documents)
-select x.k as type, x.s as subtype, cast(sum(x.n) as bigint) as n from c group by all having sum(x.n) > 0""")
+@register("q_scrub_by_type", f"""with m as (select unnest(regexp_extract_all({SQL_MARKED}, chr(1) || '(EMAIL|PHONE|WEBSITE|ID)', 1)) as label from documents)
+select case label when 'ID' then 'ID' else 'Contact' end as type, case label when 'EMAIL' then 'email' when 'PHONE' then 'phone number' when 'WEBSITE' then 'website' else 'other' end as subtype, count(*) as n from m group by all""")
 def _(spark, sf):
     return contact_spans(spark, sf).groupBy("type", "subtype").agg(F.count(F.lit(1)).alias("n"))
 

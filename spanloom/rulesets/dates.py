@@ -1,7 +1,7 @@
 """Dates: dotted, slashed, named, partial and ranged, with numbers that only look like one."""
 
-from spanloom.operators.rules import Rule
-from spanloom.rulesets.patterns import DAY, MONTH, MONTH_NAME, NB, NE, RANGE, TRIGGER, UNIT, YEAR, YEAR2, YEAR4, B, E, S
+from spanloom.operators.rules import DIGIT, Rule, needing
+from spanloom.rulesets.patterns import DAY, MONTH, MONTH_NAME, MONTHS_SHORT, NB, NE, RANGE, TRIGGER, UNIT, YEAR, YEAR2, YEAR4, B, E, S
 
 D, DOB = "Date", "DOB"
 ONE = ((2, D, "other"),)
@@ -49,3 +49,6 @@ RULES = [
     Rule("YearRangeNegative", rf"()({B}{YEAR4})({S}{RANGE}{S}|{S}/{S})({YEAR4}|{YEAR2})({S}{UNIT})", (), 100),
     Rule("ConsumeCitations", rf"({B}et{S}al{S}\.?{S},?{S})({YEAR4}{NE})", (), 1000),
 ]
+
+_named = tuple(dict.fromkeys(x for m in MONTHS_SHORT for x in (m[:3], m[:3].lower(), m[:3].upper()))) + ("Mar", "mar", "MAR", "May", "may", "MAY", "Oct", "oct", "OCT", "Dec", "dec", "DEC")
+RULES = needing(RULES, (DIGIT,), MonthYearUnspecificDate=("Anfang", "Mitte", "Ende"), MonthNameOnly=_named, BirthYear=("Jahrgang",), ConsumeCitations=("et",), EnglishDates=_named, MonthYear=_named, MonthNameDate=_named, ApproximateMonthYear=_named, IsoDates=("-",), RegularDotDatesNegativeSlash=("/",))

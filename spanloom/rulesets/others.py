@@ -1,6 +1,6 @@
 """Ages, contacts, identifiers, places, occupations and names that need no lexicon."""
 
-from spanloom.operators.rules import Rule
+from spanloom.operators.rules import DIGIT, Rule, needing
 from spanloom.rulesets.patterns import CAP, CAPS, CIVIL, NB, NE, ROLE, TITLE, B, E, S
 
 AGE_N = rf"{NB}(?:1[0-2][0-9]|[0-9]{{1,2}})(?:\.[0-9]+)?"
@@ -122,3 +122,51 @@ DIAGNOSIS = [
     Rule("SuspectedDiagnosis", rf"({B}(?:Verdacht{S}auf|Vd{S}\.?{S}a{S}\.?)(?:{S}eine?n?)?{S})(\p{{L}}+)", ((2, "Diagnosis", "suspected"),)),
     Rule("RemoveFalsePositiveDiagnosis", rf"({B}\p{{L}}+\"?{S}-?{S}(?:Abklärung|Sprechstunde|SS){E})", (), 100),
 ]
+
+AGE = needing(AGE, (DIGIT,), KidsAge=("Kinder",), AgeYearOfLife=("Lebensjahr",), AgeLeftContextTrigger=("Alter",))
+INTERNET = needing(INTERNET, emailaddress=("@",), url=(".info", ".com", ".net", ".org", ".ch", ".de", ".fr", ".li", ".eu"))
+CONTACTS = needing(CONTACTS, (DIGIT,), PhoneNumberLeftTrigger=("Tel", "Fax", "Sekretariat"))
+IDS = needing(IDS, (DIGIT,), PatnrTrigger=("PatNr",), PatientIDVerlauf=("#",), CaseIDVerlauf=("Fall",), AHVNumber=("756",))
+LOCATIONS = needing(
+    LOCATIONS,
+    LocationLeftTrigger=("Haltestelle",),
+    GenericStreetNames=("allee", "gasse", "platz", "strasse", "weg", "str"),
+    GenericStreetNamesLeftTrigger=("Rue", "Via"),
+    StreetsNamedAfterPeople=("Str",),
+    PostalBox=("Postfach",),
+    ZipCodeAndCityWithCountry=(DIGIT,),
+    HospitalLocation=("pital", "Reha", "Krankenhaus", "KS", "RS"),
+    HospitalPostfix=("spital",),
+    HospitalUnit=("Klinik", "Institut", "Zentrum", "Abteilung"),
+    HospitalUnitRightTriggered=("ologische",),
+    HospitalUnitPostfix=("klinik", "institut", "zentrum", "departement"),
+    HealthcareOrSocialInstitutions=("raxis", "heim", "Spitex", "Klinik", "Zentrum"),
+    HealthcareOrSocialInstitutionsRightTriggered=("raxis", "Klinik", "Wohnheim"),
+    CompanyLeftTriggered=("Firma",),
+    Foundations=("Stiftung",),
+    FoundationsRightTriggered=("tiftung",),
+    DetectLanguages=("Schweizerdeutsch", "sprachig"),
+    ConsumeKlinik=("klinik",),
+)
+BUILDINGS = needing(BUILDINGS, FindBuilding=("NORD",), Stations=("Station",), Rooms=("Zimmer",), Floor=("Stockwerk",), AnnotateZH=("ZH",))
+OCCUPATIONS = needing(
+    OCCUPATIONS,
+    OccupationsLeftTriggered=("Beruf", "gelernte", "Lehre", "Ausbildung"),
+    OccupationsRetiredLeftTriggered=("pensionierte",),
+    OccupationsWorkTriggered=("arbeitet", "vormalige"),
+    OccupationsLeftTriggeredAnamnesis=("ehemals",),
+    OccupationsRightTriggered=("tätig", "gearbeitet"),
+    OccupationPostfixTriggered=("ftler", "professor", "lehrer", "studium", "tudent", "angestellte"),
+)
+NAMES = needing(
+    NAMES,
+    DoctorsLeftContext=("Prof", "PD", "Dr", "pract", "OA", "AA", "UA", "OÄ", "AÄ", "JA"),
+    DoctorsRightContext=("arzt", "ärztin", "OA"),
+    NursingStaffLeftContext=("PFF",),
+    NursingStaffRightContext=("Pflegefach", "dipl", "PFF", "MPA"),
+    StaffSurnameEnumerationTriggered=("Anwesend",),
+    SimpleDetectPatient=("Herr", "Hr", "Frau", "Fr", "Ehepaar", "Familie"),
+    ConsumeMethodAuthorsLeftTrigger=("nach",),
+    ConsumeMethodAuthorsRightTrigger=(DIGIT,),
+    ConsumeCitations=("et",),
+)
