@@ -43,7 +43,38 @@ def json_leaves(report: Column | str) -> Column:
     return leaves(report)
 
 
-def flatten(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _walk_xml(node, path: tuple, steps: tuple):
+    children = list(node)
+    for k, child in enumerate(children):
+        yield from _walk_xml(child, (*path, child.tag), (*steps, str(k)))
+    if not children:
+        yield {"path": list(path), "steps": list(steps), "value": node.text or "", "is_null": False}
+
+
+def xml_leaves(report: Column | str) -> Column:
+    """All leaves of an XML report in order, under the names of their elements; null if it isn't well-formed.
+
+    Text beside elements and attributes is left out. Document type declarations,
+    and so entities of one's own, make a report unreadable.
+    """
+    from xml.etree import ElementTree
+
+    def one(text: str | None):
+        if text is None or "<!DOCTYPE" in text:
+            return None
+        try:
+            return list(_walk_xml(ElementTree.fromstring(text), (), ()))
+        except ElementTree.ParseError:
+            return None
+
+    @F.pandas_udf(LEAVES)
+    def leaves(reports: pd.Series) -> pd.Series:
+        return reports.map(one)
+
+    return leaves(report)
+
+
+def flatten(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",), xml: bool = False) -> DataFrame:
     """``(keys, field_id, path, name, value, is_null, start, end)``: the leaves of each report.
 
     The report's text is its values, each on a line of its own; ``start`` and ``end``
@@ -51,7 +82,7 @@ def flatten(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...]
     booleans keep their text. Reports that aren't JSON have no row here: see
     ``quarantine``.
     """
-    leaves = reports.select(*keys, json_leaves(json_col).alias("leaves"))
+    leaves = reports.select(*keys, (xml_leaves if xml else json_leaves)(json_col).alias("leaves"))
     lengths = F.transform("leaves", lambda f: F.length(F.coalesce(f["value"], F.lit(""))) + 1)
     starts = F.aggregate(lengths, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
     rows = leaves.withColumn("starts", starts).select(*keys, "starts", F.posexplode("leaves").alias("field_id", "f"))
