@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import functools
+import json
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
@@ -16,12 +17,11 @@ from pyspark.sql import types as T
 
 from spanloom.llm.common import table, written
 
-CAPACITY, END_ID, SALTS, CACHE = 1024, 2, 256, 1 << 18
+CAPACITY, END_ID, SALTS = 1024, 2, 256
 
-#: How a byte-level BPE splits a text, in characters whose classes the standard library knows.
-SIMPLE_TEXT = re.compile(r"[\x00-\x1b\x20-\x7e\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
-SIMPLE_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
+#: How the byte-level BPE of the tokenizer files splits a text, and texts that show whether an engine follows it.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PROBES = ("", "It's  odd\t\n x_y 12\u00b3 \u00bd ", "na\u00efve \u201cquotes\u201d \U0001f642 \u00e9", "don't<|endoftext|>stop", "THE QUICK brown_fox, 3.14159!!", "\x00\x7f\u0085\u00a0\u3000\u4f60\u597d", " \n \n\n  a")
 
 
 def default_tokenizer() -> str:
@@ -30,38 +30,57 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-class CachedIds(dict):
-    """Pre-token → its ids as little-endian bytes, encoded once by the tokenizer.
+def _byte_of() -> dict[str, int]:
+    """The character that a byte-level vocabulary writes for each byte: itself if printable, else the next one from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
-    A byte-level BPE never merges across pre-tokens, so a text's ids are those of
-    its pre-tokens in a row. The cache is emptied when it is full.
+
+class Encoder:
+    """A text's ids as little-endian bytes, the same as those of the ``tokenizers`` file at ``path``.
+
+    Strings of special tokens in a text are ordinary text. A vocabulary whose ids
+    are its merge ranks runs in the engine that keeps ranks, several times faster;
+    ids that differ on the probes, or another kind of file, leave it to the library
+    itself.
     """
 
     def __init__(self, path: str) -> None:
-        import regex
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # strings of special tokens in a text are ordinary text
-        self.split = regex.compile(SPLIT)
-
-    def __missing__(self, part: str) -> bytes:
-        if len(self) >= CACHE:
-            self.clear()
-        ids = self[part] = np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        return ids
+        self.library = Tokenizer.from_file(path)
+        self.library.encode_special_tokens = True
+        self.engine = None
+        try:
+            import tiktoken
+
+            model = json.loads(Path(path).read_text(encoding="utf-8"))
+            special = {t["content"] for t in model.get("added_tokens", ())}
+            byte = _byte_of()
+            ranks = {bytes(byte[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in special}
+            self.engine = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
+        except (ImportError, KeyError, ValueError, TypeError):
+            pass
+        if self.engine and any(self.ids(t) != self.library_ids(t) for t in PROBES):
+            self.engine = None
+
+    def library_ids(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        split = SIMPLE_SPLIT if SIMPLE_TEXT.fullmatch(text) else self.split
-        return b"".join(map(self.__getitem__, split.findall(text)))
-
-
-_caches: dict[str, CachedIds] = {}
+        if self.engine is not None:
+            try:
+                return self.engine.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
+            except ValueError:  # its splitter gives up on very long runs of white space
+                pass
+        return self.library_ids(text)
 
 
-def _cache(path: str) -> CachedIds:
-    return _caches.setdefault(path, None) or _caches.update({path: CachedIds(path)}) or _caches[path]
+@functools.cache
+def encoder(path: str) -> Encoder:
+    """One encoder a worker process."""
+    return Encoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = True) -> DataFrame:
@@ -80,11 +99,11 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
         schema = schema.add("ids", T.ArrayType(T.LongType()))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, end = _cache(path), np.array([end_id], dtype="<u4").tobytes()
+        encode, end = encoder(path).ids, np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
             rows, columns = [], ([], [], [], [], [])
             for row, text in enumerate(batch.column(1).to_pylist()):
-                data = cache.ids(text or "") + end
+                data = encode(text or "") + end
                 n = len(data) // 4
                 start, stop = 0, (n - 1) % capacity + 1
                 piece = 0

@@ -74,3 +74,12 @@ def test_odd_tables(spark):
     assert_packed(rows)
     hot = spark.range(3000).selectExpr("id", "0 as piece", "if(id % 3 = 0, 341L, id % 97 + 1) as length")
     assert_packed(pack(hot).collect())
+
+
+def test_encoder_gives_the_librarys_ids(spark):
+    from spanloom.llm.packing import default_tokenizer, encoder
+
+    e = encoder(default_tokenizer())
+    assert e.engine is not None
+    texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()] + ["x" * 30000, "a" + " " * 1000000 + "b", " " * 30000, "\n \t" * 5000, "1" * 999]
+    assert [e.ids(t) for t in texts] == [e.library_ids(t) for t in texts]
