@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -72,15 +73,21 @@ def fingerprint(pcm: bytes | None, rate: int = RATE) -> np.ndarray:
     return out
 
 
-def fingerprints(recordings: DataFrame, id_col: str = "id", pcm_col: str = "pcm", rate: int = RATE) -> DataFrame:
-    """``(id, prints)``: the packed integers of each recording's samples; null audio has an empty list."""
+def fingerprints(recordings: DataFrame, id_col: str = "id", media_col: str = "pcm", rate: int = RATE, decode: Callable[[Any], bytes | None] | None = None) -> DataFrame:
+    """``(id, prints)``: the packed integers of each recording; null audio has an empty list.
+
+    ``media_col`` holds 16-bit mono samples, or what ``decode`` turns into them. A
+    recording is decoded, fingerprinted and let go of before the next, so a task
+    never holds the samples of a batch.
+    """
     schema = T.StructType([T.StructField("id", recordings.schema[id_col].dataType), T.StructField("prints", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(x, rate) for x in batch.column(1).to_pylist()], pa.list_(pa.int64()))], names=schema.names)
+            media = (x.as_py() for x in batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([fingerprint(decode(x) if decode else x, rate) for x in media], pa.list_(pa.int64()))], names=schema.names)
 
-    return recordings.select(id_col, pcm_col).mapInArrow(run, schema)
+    return recordings.select(id_col, media_col).mapInArrow(run, schema)
 
 
 def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR) -> DataFrame:
@@ -101,9 +108,9 @@ def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTE
     classes = written(sized.groupBy("code").agg(F.min("id").alias("class_id"), F.max("asks").alias("asks"), F.first("prints").alias("prints")), "classes")
     at = F.sequence(F.lit(1), F.size("prints") - SEED_GAP)
     long_ones = classes.where(F.size("prints") > SEED_GAP)
-    seeds = long_ones.select("class_id", "asks", F.explode(F.transform(at, lambda i: F.struct(F.element_at("prints", i).alias("a"), F.element_at("prints", i + SEED_GAP).alias("b"), i.alias("at")))).alias("s")).select("class_id", "asks", "s.*")
-    asking = seeds.where("asks").select(F.col("class_id").alias("query"), "a", "b", F.col("at").alias("query_at"))
-    votes = asking.join(seeds.drop("asks"), ["a", "b"]).where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count().where(F.col("count") >= least_votes)
+    seeds = long_ones.select("class_id", "asks", F.explode(F.transform(at, lambda i: F.struct(F.element_at("prints", i).bitwiseOR(F.shiftleft(F.element_at("prints", i + SEED_GAP), 32)).alias("key"), i.alias("at")))).alias("s")).select("class_id", "asks", "s.*")
+    asking = seeds.where("asks").select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at"))
+    votes = asking.join(seeds.drop("asks"), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count().where(F.col("count") >= least_votes)
     best = votes.withColumn("rank", F.row_number().over(Window.partitionBy("query", "class_id").orderBy(F.desc("count"), F.abs("offset"), "offset"))).where("rank = 1")
     left, right = classes.select(F.col("class_id").alias("query"), F.col("prints").alias("mine")), classes.select("class_id", F.col("prints").alias("other"))
 
@@ -122,31 +129,20 @@ def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTE
     return members.join(found.withColumn("asks", F.lit(True)), ["class_id", "asks"], "left").select("id", "class_id", "match_id", "offset", "frames", "bit_error")
 
 
-def rendered(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", per_note: int = 256) -> DataFrame:
-    """``(id, pcm)``: every vector played as a tune, a note for each of its numbers.
+def tune(vector: list[float | None] | None, per_note: int = 256) -> bytes | None:
+    """A vector played as a tune, a note for each of its numbers.
 
-    It stands in for a column of recordings where a table has none: equal vectors
-    sound equal, close ones alike. Null vectors are null; null numbers are rests.
+    It stands in for recordings where a table has none: equal vectors sound equal,
+    close ones alike. A null vector is null; null numbers are rests.
     """
-    schema = T.StructType([T.StructField("id", vectors.schema[id_col].dataType), T.StructField("pcm", T.BinaryType())])
-
-    def play(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        time = np.arange(per_note) / RATE
-        for batch in batches:
-            out = []
-            for vector in batch.column(1).to_pylist():
-                if vector is None:
-                    out.append(None)
-                    continue
-                values = np.array([np.nan if v is None else v for v in vector], dtype=np.float64)
-                pitch = 220.0 * 2.0 ** (np.round(np.nan_to_num(values) * 32) % 36 / 12)
-                wave = np.sin(2 * np.pi * pitch[:, None] * time) * np.where(np.isnan(values), 0, 12000)[:, None]
-                out.append(wave.astype("<i2").tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=schema.names)
-
-    return vectors.select(id_col, vector_col).mapInArrow(play, schema)
+    if vector is None:
+        return None
+    values = np.array([np.nan if v is None else v for v in vector], dtype=np.float64)
+    pitch = 220.0 * 2.0 ** (np.round(np.nan_to_num(values) * 32) % 36 / 12)
+    wave = np.sin(2 * np.pi * pitch[:, None] * (np.arange(per_note) / RATE)) * np.where(np.isnan(values), 0, 12000)[:, None]
+    return wave.astype("<i2").tobytes()
 
 
 def op7_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prints = fingerprints(rendered(table(spark, sf_dir, "embeddings")))
+    prints = fingerprints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", decode=tune)
     return align(prints, F.col("id") % 20 == 0).withColumnRenamed("id", "vec_id")

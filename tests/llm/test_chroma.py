@@ -1,7 +1,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from spanloom.llm.chroma import RATE, align, fingerprint, fingerprints, rendered
+from spanloom.llm.chroma import RATE, align, fingerprint, fingerprints
+from spanloom.llm.chroma import tune as play
 
 SCHEMA = "id long, pcm binary, prints string, asks int"
 
@@ -56,5 +57,7 @@ def test_odd_tables(spark):
     assert (False, 1, -1) in found and (False, 5, 5) in found and len(found) == 6
     assert align(fingerprints(spark.createDataFrame([], SCHEMA)), F.col("id") > 0).count() == 0
     assert len(fingerprint(bytes(60000))) > 0 and len(fingerprint(None)) == 0
+    assert [len(x) if x is not None else None for x in map(play, (None, [0.1, None, 0.5] * 20, []))] == [None, 60 * 512, 0]
     vectors = spark.createDataFrame([(1, None), (2, [0.1, None, 0.5] * 20), (3, [])], "vec_id long, embedding array<float>")
-    assert [len(r["pcm"]) if r["pcm"] is not None else None for r in rendered(vectors).orderBy("id").collect()] == [None, 60 * 512, 0]
+    found = {r["id"]: len(r["prints"]) for r in fingerprints(vectors, "vec_id", "embedding", decode=play).collect()}
+    assert found[1] == found[3] == 0 and found[2] > 50
