@@ -440,8 +440,9 @@ TRIGGERS = [("and", "NameContext", 5, 5), ("that", "ExclusionContext", 0, 3), ("
 
 @register("q_context_windows", SQL_WORDS + """, g as (select doc_id, i, last, string as g, 1 as n from w union all select doc_id, i, last, string || ' ' || lead(string) over (partition by doc_id order by i), 2 from w),
 tr(g, c, l, r, n) as (values ('and', 'NameContext', 5, 5, 1), ('that', 'ExclusionContext', 0, 3, 1), ('of the', 'SuspectionContext', 2, 0, 2)),
-h as materialized (select doc_id, c, greatest(i - 1 - l, 0) as a, least(i + g.n + r, last) as b from g join tr using (g, n))
-select h.doc_id, c as context, count(*) as n, cast(sum(x.s) as bigint) as sum_start, cast(sum(y.e) as bigint) as sum_end from h join w x on x.doc_id = h.doc_id and x.i = a join w y on y.doc_id = h.doc_id and y.i = b group by all""")
+h as materialized (select doc_id, c, greatest(i - 1 - l, 0) as a, least(i + g.n + r, last) as b from g join tr using (g, n)),
+arr as (select doc_id, list(s order by i) as ss, list(e order by i) as ee from w group by doc_id)
+select h.doc_id, c as context, count(*) as n, cast(sum(ss[a + 1]) as bigint) as sum_start, cast(sum(ee[b + 1]) as bigint) as sum_end from h join arr on arr.doc_id = h.doc_id group by h.doc_id, c""")
 def _(spark, sf):
     triggers = spark.createDataFrame(TRIGGERS, "token string, context string, left int, right int")
     found = contexts.trigger_contexts(tokens.work_tokens(doc_tokens(spark, sf)), triggers)
