@@ -32,10 +32,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the row with the smallest id stays.
 
-    Groups come from five-word shingles, as near-duplicate stages take them. Rows
-    without an id are no copies of anything and stay; of a repeated id one row does.
+    Near copies share 0.8 of their five-word shingles or more, or have fingerprints
+    within two bits. Rows without an id are no copies of anything and stay; of a
+    repeated id one row does.
     """
-    groups = simhash.near_duplicates(docs.where("doc_id is not null"), shingle=5).where("id = component").select(F.col("id").alias("doc_id")).distinct()
+    groups = simhash.near_copies(docs.where("doc_id is not null")).where("id = component").select(F.col("id").alias("doc_id")).distinct()
     kept = docs.where("doc_id is not null").join(groups, "doc_id", "left_semi")
     one = kept.dropDuplicates(["doc_id"])
     return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
