@@ -17,8 +17,17 @@ from spanloom.llm.common import table, written
 RATE, FRAME, HOP, LOW_HZ, HIGH_HZ = 4000, 512, 128, 200.0, 1800.0
 BANDS, SPAN, FILTERS = 12, 16, 16
 SEED_GAP, LEAST_VOTES, MOST_ERROR = 5, 3, 0.25
+#: An overlap of fewer integers (two seconds of audio) that isn't all of the shorter recording can be alike by chance.
+LEAST_FRAMES = 64
 EDGES = (-0.25, 0.0, 0.25)
 GRAY = np.array([0, 1, 3, 2], dtype=np.int64)
+#: Seeds as ``(gap, mask, mask of the integer a gap on, tag)``: a key holds the masked bits of both and the tag.
+#: Equal ones only agree where all 64 bits do.
+EQUAL_SEEDS = ((SEED_GAP, (1 << 32) - 1, (1 << 32) - 1, 0),)
+#: The upper bit of a filter's two says which area is louder and flips least. Each of eight seeds leaves out two
+#: filters of either integer, others each time; the tag is in lower bits, which no mask has.
+UPPER = 0xAAAAAAAA
+TOLERANT_SEEDS = tuple((SEED_GAP + 3 * k, UPPER & ~(0xF << 4 * k), UPPER & ~(0xF << 4 * ((k + 3) % 8)), sum((k >> b & 1) << 2 * b for b in range(3))) for k in range(8))
 
 
 def filters() -> list[tuple[int, int, int, int]]:
@@ -90,15 +99,33 @@ def fingerprints(recordings: DataFrame, id_col: str = "id", media_col: str = "pc
     return recordings.select(id_col, media_col).mapInArrow(run, schema)
 
 
-def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR) -> DataFrame:
+def seeds_of(prints: str, kinds: tuple[tuple[int, int, int, int], ...]) -> Column:
+    """An array of ``(key, at)``: every seed of every kind in a list of packed integers."""
+
+    def of(gap: int, first: int, second: int, tag: int) -> Column:
+        def key(i: Column) -> Column:
+            later = F.shiftleft(F.element_at(prints, i + gap).bitwiseAND(F.lit(second)), 32)
+            return F.element_at(prints, i).bitwiseAND(F.lit(first)).bitwiseOR(later).bitwiseOR(F.lit(tag))
+
+        at = F.when(F.size(prints) > gap, F.sequence(F.lit(1), F.size(prints) - gap)).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.struct(key(i).alias("key"), i.alias("at")))
+
+    return F.concat(*[of(*k) for k in kinds])
+
+
+def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR, kinds: tuple[tuple[int, int, int, int], ...] = EQUAL_SEEDS) -> DataFrame:
     """``recordings(id, prints)`` → ``(id, class_id, match_id, offset, frames, bit_error)``.
 
     Recordings of equal prints are one class, named by its smallest id, so copies
     aren't paired with each other: every recording has a row with its class. One
     that ``is_query`` has a row for each other class that it aligns with (none: one
-    row of nulls there). Two integers SEED_GAP apart, equal in both recordings,
-    vote for the offset between them; the offset of most votes, ``least_votes`` at
-    least, is verified by the share of differing bits where the two overlap.
+    row of nulls there). Two integers a gap apart whose bits under a seed's masks
+    are equal in both recordings vote for the offset between them: all bits with
+    EQUAL_SEEDS; with TOLERANT_SEEDS, which noisy or shifted copies need, the upper
+    bits of 14 of 16 filters. The offset of most votes, ``least_votes`` at least, is
+    verified by the share of differing bits where the two overlap. An overlap of
+    under LEAST_FRAMES that isn't a whole recording needs ``least_votes`` of wholly
+    equal seeds.
 
     Empty prints and null ids have no class and no match; repeated ids count once;
     an empty table gives an empty result.
@@ -106,24 +133,25 @@ def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTE
     rows = written(recordings.withColumns({"code": F.when(F.size("prints") > 0, F.xxhash64(F.col("prints"))), "asks": F.coalesce(is_query, F.lit(False))}), "prints")
     sized = rows.where("code is not null and id is not null")
     classes = written(sized.groupBy("code").agg(F.min("id").alias("class_id"), F.max("asks").alias("asks"), F.first("prints").alias("prints")), "classes")
-    at = F.sequence(F.lit(1), F.size("prints") - SEED_GAP)
-    long_ones = classes.where(F.size("prints") > SEED_GAP)
-    seeds = long_ones.select("class_id", "asks", F.explode(F.transform(at, lambda i: F.struct(F.element_at("prints", i).bitwiseOR(F.shiftleft(F.element_at("prints", i + SEED_GAP), 32)).alias("key"), i.alias("at")))).alias("s")).select("class_id", "asks", "s.*")
+    seeds = classes.select("class_id", "asks", F.explode(seeds_of("prints", kinds)).alias("s")).select("class_id", "asks", "s.*")
     asking = seeds.where("asks").select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at"))
     votes = asking.join(seeds.drop("asks"), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count().where(F.col("count") >= least_votes)
     best = votes.withColumn("rank", F.row_number().over(Window.partitionBy("query", "class_id").orderBy(F.desc("count"), F.abs("offset"), "offset"))).where("rank = 1")
     left, right = classes.select(F.col("class_id").alias("query"), F.col("prints").alias("mine")), classes.select("class_id", F.col("prints").alias("other"))
 
-    @F.pandas_udf("struct<frames:int,bit_error:double>")
+    @F.pandas_udf("struct<frames:int,bit_error:double,enough:boolean>")
     def error(mine: pd.Series, other: pd.Series, offset: pd.Series) -> pd.DataFrame:
         out = []
         for a, b, k in zip(mine, other, offset, strict=True):
+            shorter = min(len(a), len(b))
             a, b = np.asarray(a)[max(0, -k) :], np.asarray(b)[max(0, k) :]
             n = min(len(a), len(b))
-            out.append((n, float(np.bitwise_count(a[:n] ^ b[:n]).sum()) / (32 * max(n, 1))))
-        return pd.DataFrame(out, columns=["frames", "bit_error"])
+            wrong = np.bitwise_count(a[:n] ^ b[:n])
+            equal = np.count_nonzero((wrong[SEED_GAP:] == 0) & (wrong[:-SEED_GAP] == 0))
+            out.append((n, float(wrong.sum()) / (32 * max(n, 1)), n >= min(shorter, LEAST_FRAMES) or equal >= least_votes))
+        return pd.DataFrame(out, columns=["frames", "bit_error", "enough"])
 
-    checked = best.join(left, "query").join(right, "class_id").select("query", "class_id", "offset", error("mine", "other", "offset").alias("e")).where(F.col("e.bit_error") <= most_error)
+    checked = best.join(left, "query").join(right, "class_id").select("query", "class_id", "offset", error("mine", "other", "offset").alias("e")).where(F.col("e.enough") & (F.col("e.bit_error") <= most_error))
     found = written(checked.select(F.col("query").alias("class_id"), F.col("class_id").alias("match_id"), "offset", F.col("e.frames").alias("frames"), F.col("e.bit_error").alias("bit_error")), "aligned")
     members = written(rows.select("id", "code", "asks").distinct().join(classes.select("code", "class_id"), "code", "left").select("id", "asks", "class_id"), "members")
     return members.join(found.withColumn("asks", F.lit(True)), ["class_id", "asks"], "left").select("id", "class_id", "match_id", "offset", "frames", "bit_error")
@@ -145,4 +173,4 @@ def tune(vector: list[float | None] | None, per_note: int = 256) -> bytes | None
 
 def op7_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = fingerprints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", decode=tune)
-    return align(prints, F.col("id") % 20 == 0).withColumnRenamed("id", "vec_id")
+    return align(prints, F.col("id") % 20 == 0, kinds=TOLERANT_SEEDS).withColumnRenamed("id", "vec_id")
