@@ -8,7 +8,7 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,6 +19,8 @@ BANDS, SPAN, FILTERS = 12, 16, 16
 SEED_GAP, LEAST_VOTES, MOST_ERROR = 5, 3, 0.25
 #: An overlap of fewer integers (two seconds of audio) that isn't all of the shorter recording can be alike by chance.
 LEAST_FRAMES = 64
+#: Neither does a shorter passage (four seconds) of an overlap count that is unlike as a whole: strangers have those by chance.
+LEAST_PASSAGE = 128
 EDGES = (-0.25, 0.0, 0.25)
 GRAY = np.array([0, 1, 3, 2], dtype=np.int64)
 #: Seeds as ``(gap, mask, mask of the integer a gap on, tag)``: a key holds the masked bits of both and the tag.
@@ -113,6 +115,28 @@ def seeds_of(prints: str, kinds: tuple[tuple[int, int, int, int], ...]) -> Colum
     return F.concat(*[of(*k) for k in kinds])
 
 
+def alike(a: np.ndarray, b: np.ndarray, offset: int, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR) -> tuple[int, float] | None:
+    """``(frames, bit_error)`` of the longest passage at this offset whose bit error is at most ``most_error``; None if there is none that counts."""
+    shorter = min(len(a), len(b))
+    a, b = a[max(0, -offset) :], b[max(0, offset) :]
+    n = min(len(a), len(b))
+    if n < 1:
+        return None
+    wrong = np.bitwise_count(a[:n] ^ b[:n]).astype(np.int64)
+    if n < min(shorter, LEAST_FRAMES) and np.count_nonzero((wrong[SEED_GAP:] == 0) & (wrong[:-SEED_GAP] == 0)) < least_votes:
+        return None
+    if (whole := float(wrong.sum()) / (32 * n)) <= most_error:
+        return n, whole
+    if n <= LEAST_PASSAGE:
+        return None
+    # A passage from i to j is good enough if the excess over the bound is no more at j than at i: the first such i of each j.
+    excess = np.concatenate([[0.0], np.cumsum(wrong - 32 * most_error)])
+    starts = np.searchsorted(np.maximum.accumulate(excess), excess)
+    end = int(np.argmax(np.arange(n + 1) - starts))
+    start = int(starts[end])
+    return (end - start, float(wrong[start:end].sum()) / (32 * (end - start))) if end - start >= LEAST_PASSAGE else None
+
+
 def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR, kinds: tuple[tuple[int, int, int, int], ...] = EQUAL_SEEDS) -> DataFrame:
     """``recordings(id, prints)`` → ``(id, class_id, match_id, offset, frames, bit_error)``.
 
@@ -136,23 +160,22 @@ def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTE
     seeds = classes.select("class_id", "asks", F.explode(seeds_of("prints", kinds)).alias("s")).select("class_id", "asks", "s.*")
     asking = seeds.where("asks").select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at"))
     votes = asking.join(seeds.drop("asks"), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count().where(F.col("count") >= least_votes)
-    best = votes.withColumn("rank", F.row_number().over(Window.partitionBy("query", "class_id").orderBy(F.desc("count"), F.abs("offset"), "offset"))).where("rank = 1")
+    order = F.struct((-F.col("count")).alias("votes"), F.abs("offset").alias("far"), "offset")
+    best = votes.groupBy("query", "class_id").agg(F.transform(F.array_sort(F.collect_list(order)), lambda o: o["offset"]).alias("offsets"))
     left, right = classes.select(F.col("class_id").alias("query"), F.col("prints").alias("mine")), classes.select("class_id", F.col("prints").alias("other"))
 
-    @F.pandas_udf("struct<frames:int,bit_error:double,enough:boolean>")
-    def error(mine: pd.Series, other: pd.Series, offset: pd.Series) -> pd.DataFrame:
-        out = []
-        for a, b, k in zip(mine, other, offset, strict=True):
-            shorter = min(len(a), len(b))
-            a, b = np.asarray(a)[max(0, -k) :], np.asarray(b)[max(0, k) :]
-            n = min(len(a), len(b))
-            wrong = np.bitwise_count(a[:n] ^ b[:n])
-            equal = np.count_nonzero((wrong[SEED_GAP:] == 0) & (wrong[:-SEED_GAP] == 0))
-            out.append((n, float(wrong.sum()) / (32 * max(n, 1)), n >= min(shorter, LEAST_FRAMES) or equal >= least_votes))
-        return pd.DataFrame(out, columns=["frames", "bit_error", "enough"])
-
-    checked = best.join(left, "query").join(right, "class_id").select("query", "class_id", "offset", error("mine", "other", "offset").alias("e")).where(F.col("e.enough") & (F.col("e.bit_error") <= most_error))
-    found = written(checked.select(F.col("query").alias("class_id"), F.col("class_id").alias("match_id"), "offset", F.col("e.frames").alias("frames"), F.col("e.bit_error").alias("bit_error")), "aligned")
+    @F.pandas_udf("struct<offset:int,frames:int,bit_error:double>")
+    def passage(mine: pd.Series, other: pd.Series, offsets: pd.Series) -> pd.DataFrame:
+        def first(a: np.ndarray, b: np.ndarray, tried: np.ndarray) -> tuple[int | None, int | None, float | None]:
+            for k in map(int, tried):
+                if found := alike(a, b, k, least_votes, most_error):
+                    return k, *found
+            return None, None, None
+
+        return pd.DataFrame([first(np.asarray(a), np.asarray(b), k) for a, b, k in zip(mine, other, offsets, strict=True)], columns=["offset", "frames", "bit_error"]).astype({"offset": "Int32", "frames": "Int32", "bit_error": "float64"})
+
+    checked = best.join(left, "query").join(right, "class_id").select("query", "class_id", passage("mine", "other", "offsets").alias("e")).where("e.offset is not null")
+    found = written(checked.select(F.col("query").alias("class_id"), F.col("class_id").alias("match_id"), F.col("e.offset").alias("offset"), F.col("e.frames").alias("frames"), F.col("e.bit_error").alias("bit_error")), "aligned")
     members = written(rows.select("id", "code", "asks").distinct().join(classes.select("code", "class_id"), "code", "left").select("id", "asks", "class_id"), "members")
     return members.join(found.withColumn("asks", F.lit(True)), ["class_id", "asks"], "left").select("id", "class_id", "match_id", "offset", "frames", "bit_error")
 
