@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.operators.contexts import trigger_contexts
+from spanloom.operators.contexts import metadata_annotations, propagate, trigger_contexts
 from spanloom.operators.diagnosis import certainty, consolidate, keyword_annotations
+from spanloom.operators.fields import Mapping, map_fields, structured_annotations, without_forbidden
 from spanloom.operators.lexicon import direct_annotations, lookups, without_false_positives
 from spanloom.operators.names import name_annotations
 from spanloom.operators.resolve import enforce_schema, remove_redundant, remove_weaker, split_overlaps
@@ -25,24 +26,61 @@ FIELD_PHASES: dict[str, list[Rule]] = {**TEXT_PHASES, "Fields": others.FIELDS}
 KEYS = ("doc_id",)
 
 
-def find(docs: DataFrame, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES) -> DataFrame:
+def _in_fields(leaves: DataFrame, mappings: list[Mapping], phases: dict[str, list[Rule]]) -> DataFrame:
+    """What the rules find in each field by itself, where the kinds that the mappings give it are its contexts."""
+    kinds = map_fields(leaves.where("not is_null and end > start"), mappings)
+    rows = kinds.where(F.size("types") > 0).select("doc_id", F.col("start").alias("_from"), F.col("value").alias("text"), F.transform("types", lambda t: t["type"]).alias("kinds"))
+    found = annotate(rows, phases, contexts_col="kinds", keys=("doc_id", "_from"))
+    return found.select("doc_id", (F.col("_from") + F.col("start")).alias("start"), (F.col("_from") + F.col("end")).alias("end"), "type", "subtype", "rule")
+
+
+def find(
+    docs: DataFrame, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES, leaves: DataFrame | None = None, mappings: list[Mapping] | None = None,
+    structured: list[Mapping] | None = None, blacklist: dict[str, list[str]] | None = None, metadata: DataFrame | None = None, field_phases: dict[str, list[Rule]] = FIELD_PHASES,
+) -> DataFrame:
     """``(doc_id, ann_id, start, end, type, subtype, rule, confidence)``: the spans that are left after all conflicts.
 
     Rules run where the text is; with a lexicon, tokens meet it in one more pass.
+    ``leaves`` are the fields of the reports that ``docs`` are the texts of, as
+    ``flatten`` gives them. ``mappings`` say which kind a field is of, and rules with
+    that context run in it; ``structured`` says which fields are a span as a whole,
+    and what they hold is found everywhere in its document; ``blacklist`` says which
+    types no span may have in a field. ``metadata(doc_id, type, value)`` is looked
+    up among the tokens.
     """
-    found = annotate(docs, phases).select("doc_id", "start", "end", "type", "subtype", "rule")
-    if lexicon is not None:
+    if leaves is None and (mappings or structured or blacklist):
+        raise ValueError("mappings, structured fields and a blacklist need the leaves")
+    columns = ["doc_id", "start", "end", "type", "subtype", "rule"]
+    found = annotate(docs, phases).select(*columns)
+    if mappings:
+        found = found.unionByName(_in_fields(leaves, mappings, field_phases))
+    whole = structured_annotations(leaves, structured).select("doc_id", "start", "end", "type", F.col("features")["type"].alias("subtype"), "rule") if structured else None
+    if whole is not None:
+        found = found.unionByName(whole)
+    hits = None
+    if lexicon is not None or metadata is not None:
         words = work_tokens(token_table(docs))
+    if lexicon is not None:
         hits = lookups(words, lexicon)
         direct = direct_annotations(hits).select("doc_id", "start", "end", "type", "subtype", F.lit("Lexicon").alias("rule"))
         found = without_false_positives(found.unionByName(direct).unionByName(name_annotations(words, hits)), hits)
+    if metadata is not None:
+        meta = metadata_annotations(words, metadata, hits)
+        found = found.unionByName(meta.select("doc_id", "start", "end", "type", F.lit(None).cast("string").alias("subtype"), F.lit("Metadata").alias("rule")))
+    if whole is not None:
+        sure = whole.join(docs.select("doc_id", F.col("text").alias("_whole")), "doc_id").withColumns({"text": F.col("_whole").substr(F.col("start") + 1, F.col("end") - F.col("start")), "confidence": F.lit(None).cast("string")})
+        again = propagate(docs, sure).join(sure.groupBy("doc_id", "text").agg(F.min_by("subtype", F.col("start")).alias("subtype")), ["doc_id", "text"])
+        found = found.unionByName(again.select(*columns))
+    if blacklist:
+        found = without_forbidden(found, leaves, blacklist)
+    found = found.distinct()
     spans = enforce_schema(found).withColumns({"ann_id": F.xxhash64("start", "end", "type", "subtype", "rule"), "confidence": F.lit(None).cast("string")})
     return split_overlaps(remove_redundant(remove_weaker(spans)))
 
 
-def deidentify(docs: DataFrame, policy: Policy, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES) -> DataFrame:
-    """``docs`` with what identifies people replaced by the policy."""
-    spans = find(docs, lexicon, phases)
+def deidentify(docs: DataFrame, policy: Policy, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES, **stages) -> DataFrame:
+    """``docs`` with what identifies people replaced by the policy; ``stages`` as in ``find``."""
+    spans = find(docs, lexicon, phases, **stages)
     if policy.method.value in ("DateShift", "ReplacementTags", "Identity") or policy.keep_dates or policy.keep_patient_ids or policy.keep_case_ids:
         spans = docs.select("doc_id", "text").join(spans, "doc_id").withColumn("text", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")))
     else:
