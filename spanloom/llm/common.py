@@ -15,10 +15,14 @@ HELD_OUT = 1
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: ``spark.checkpoint.dir``.
 
-    It is set here only where the session names none, as in local tests.
+    It is set here only where the session names none and runs on one machine, as
+    in tests; on a cluster without one this raises, as a temporary folder would be
+    another on every machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors see")
         folder = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
@@ -40,6 +44,27 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that an operator writes on its way, deleted once what was made of them is written."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame, tag: str) -> DataFrame:
+        """As :func:`written`, remembered by its tag; the table that had the tag before is deleted."""
+        path = new_path(self.spark, tag)
+        df.write.parquet(path)
+        self.drop(tag)
+        self.paths[tag] = path
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *tags: str) -> None:
+        jvm = self.spark.sparkContext._jvm
+        for path in [self.paths.pop(tag) for tag in tags if tag in self.paths]:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

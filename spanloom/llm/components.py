@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import written
+from spanloom.llm.common import Scratch, written
 
 
 def _state(links: DataFrame) -> tuple:
@@ -14,16 +14,16 @@ def _state(links: DataFrame) -> tuple:
     return row["n"], row["s"]
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _large_star(links: DataFrame, keep: Scratch) -> DataFrame:
     """Every node hands its smallest neighbour (or itself) to its larger neighbours."""
     both = links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star")
+    least = keep.put(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star")
     return links.join(least, links["b"] == least["u"]).select("a", F.col("m").alias("b")).distinct()
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, keep: Scratch) -> DataFrame:
     """Every node and its smaller neighbours link to the smallest of them."""
-    least = written(links.groupBy("a").agg(F.min("b").alias("m")), "star")
+    least = keep.put(links.groupBy("a").agg(F.min("b").alias("m")), "star")
     moved = links.join(least, "a").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -35,15 +35,19 @@ def connected_components(links: DataFrame) -> DataFrame:
     are ignored; repeated links count once; an empty table gives an empty one.
     The rounds grow with the logarithm of the longest chain. Each round is a
     group-by with partial aggregation and one join of two written tables, whose
-    hot keys AQE splits; only a count and a sum reach the driver.
+    hot keys AQE splits; only a count and a sum reach the driver. A round's tables
+    are deleted when the next one's are written.
     """
-    links = written(links.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    keep = Scratch(links.sparkSession)
+    links = keep.put(links.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = _state(links)
     while before[0]:
-        links = written(_large_star(links), "links")
-        links = written(_small_star(links), "links")
+        links = keep.put(_large_star(links, keep), "large")
+        links = keep.put(_small_star(links, keep), "links")
         after = _state(links)
         if after == before:
             break
         before = after
-    return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    found = written(links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "components")
+    keep.drop("links", "large", "star")
+    return found

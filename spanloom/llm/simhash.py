@@ -10,14 +10,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import table, written
+from spanloom.llm.common import Scratch, table, written
 from spanloom.llm.components import connected_components
 
 SEED = 42
 BITS = 64
 BLOCK = 1 << 14
-#: Bands and least hashes a band: two texts at similarity 0.8 share a band in 998 of 1,000 cases, at 0.9 always.
-BANDS, ROWS = 16, 5
+#: Bands and least hashes a band: two texts of one size at a cosine of 0.8 (a Jaccard similarity of 2/3) share a band in 995 of 1,000 cases.
+BANDS, ROWS = 24, 4
 _DRAW = np.random.default_rng(SEED)
 FACTORS = _DRAW.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 SHIFTS = _DRAW.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -103,16 +103,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp").select("id", "fp", "component")
 
 
-def sketch(text: bytes | None, shingle: int = 5) -> tuple[int, int, list[int], list[int]]:
-    """The set of a text's shingles as one hash, its fingerprint, the keys of its bands and
-    the set of its shingles as 32-bit hashes.
+def sketch(text: bytes | None, shingle: int = 5) -> tuple[bytes, int, list[int], list[int]]:
+    """The set of a text's shingles as a 128-bit hash, its fingerprint, the keys of its bands
+    and the set of its shingles as 32-bit hashes.
 
     A band key hashes the least values of ``ROWS`` hash functions over all
     shingles of the whole text. A text without a word has no bands.
     """
     parts = list(shingle_hashes(text, shingle))
     if not parts:
-        return 0, 0, [], []
+        return b"", 0, [], []
     hashes = np.concatenate(parts)
     ones = sum(count_ones(p) for p in parts)
     distinct, least = np.unique(hashes), np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
@@ -120,94 +120,129 @@ def sketch(text: bytes | None, shingle: int = 5) -> tuple[int, int, list[int], l
         block = distinct[None, at : at + BLOCK // 8] * FACTORS[:, None] + SHIFTS[:, None]
         np.minimum(least, block.min(axis=1), out=least)
     bands = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, ROWS))]
-    node, *keys = np.array([xxhash.xxh64_intdigest(distinct.tobytes(), SEED), *bands], dtype="<u8").view("<i8").tolist()
-    return node, ones_to_bits(ones, len(hashes)), keys, np.unique(hashes.astype("<u4")).view("<i4").tolist()
+    keys = np.array(bands, dtype="<u8").view("<i8").tolist()
+    return xxhash.xxh3_128_digest(distinct.tobytes(), SEED), ones_to_bits(ones, len(hashes)), keys, np.unique(hashes.astype("<u4")).view("<i4").tolist()
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
     """``(id, node, fp, bands, grams)`` for every row of ``docs``: one scan, no shuffle."""
 
-    @F.pandas_udf("node long, fp long, bands array<long>, grams array<int>")
+    @F.pandas_udf("node binary, fp long, bands array<long>, grams array<int>")
     def of(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([sketch(t, shingle) for t in texts], columns=["node", "fp", "bands", "grams"])
 
     return docs.select(F.col(id_col).alias("id"), of(F.col(text_col).cast("binary")).alias("s")).select("id", "s.*")
 
 
-def _comparable(pairs: DataFrame, similarity: float) -> DataFrame:
-    """``(a, b)`` once for each pair of texts whose sizes ``m`` and ``n`` allow the similarity."""
-    alike = F.least("m", "n") >= similarity * F.greatest("m", "n")
-    return pairs.where(alike).select("a", F.col("node").alias("b")).distinct()
-
-
 def _verified(pairs: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
-    """Those ``pairs(a, b)`` whose shingle sets have a Jaccard similarity of at least ``similarity``."""
+    """Those ``pairs(a, b)`` whose shingle sets have a cosine similarity of at least ``similarity``."""
     one = pairs.join(grams.select(F.col("node").alias("b"), F.col("grams").alias("gb")), "b")
     two = one.join(grams.select(F.col("node").alias("a"), F.col("grams").alias("ga")), "a")
-    shared = F.size(F.array_intersect("ga", "gb"))
-    return two.where(shared >= similarity * (F.size("ga") + F.size("gb") - shared)).select("a", "b")
+    return two.where(F.size(F.array_intersect("ga", "gb")) >= similarity * F.sqrt(F.size("ga") * F.size("gb").cast("double")) - 1e-9).select("a", "b")
+
+
+def _led(members: DataFrame, leaders: DataFrame, similarity: float) -> DataFrame:
+    """Each member of a bucket with its leader ``(key, a, m, r)``, where sizes allow the similarity and groups differ."""
+    alike = F.least("m", "n") >= similarity**2 * F.greatest("m", "n") - 1e-9
+    return members.join(leaders, "key").where(F.col("root") != F.col("r")).where(alike).select("a", F.col("node").alias("b")).distinct()
+
+
+def _leaders(members: DataFrame) -> DataFrame:
+    """Of each bucket, the member that shares most buckets with others: among copies of one text mostly that text."""
+    first = members.groupBy("key").agg(F.max_by(F.struct("node", "n", "root"), F.struct("weight", "node")).alias("l"))
+    return first.select("key", F.col("l.node").alias("a"), F.col("l.n").alias("m"), F.col("l.root").alias("r"))
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with the group each is in by now: its own node where nothing links it."""
+    return members.drop("root").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def _parted(members: DataFrame) -> DataFrame:
+    """The members of buckets that hold more than one group."""
+    keys = members.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("key")
+    return members.join(keys, "key", "left_semi")
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """``roots(node, root)`` after more ``links``: only links between groups are searched for components."""
+    left, right = roots.toDF("a", "ra"), roots.toDF("b", "rb")
+    between = links.join(left, "a", "left").join(right, "b", "left").select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+    moved = connected_components(between).toDF("root", "to")
+    known = roots.join(moved, "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return known.unionByName(moved.join(roots.select(F.col("node").alias("root")), "root", "left_anti").select(F.col("root").alias("node"), F.col("to").alias("root")))
+
+
+def _prefix_pairs(members: DataFrame, grams: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of different groups in a bucket that can reach the similarity, by prefixes of their rarest shingles.
+
+    With the shingles of all texts in one order, rarest first, two texts whose
+    cosine is at least t share one of the first (1 - t)·n + 1 of the smaller and
+    the first (1 - t²)·n + 1 of the larger, and no more than the rest of either can
+    follow the first that they share. So a passage that many unlike texts hold
+    makes no pairs: their own shingles come before it.
+    """
+    nodes = members.select("node").distinct()
+    tokens = grams.join(nodes, "node", "left_semi").select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
+    common = tokens.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    listed = tokens.join(common, "gram").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("ordered"))
+    reach = F.col("n") - F.ceil(similarity**2 * F.col("n") - 1e-9) + 1 - F.col("n") + F.size("ordered")
+    kept = listed.where(reach >= 1).select("node", "n", F.size("ordered").alias("shared"), F.posexplode(F.slice("ordered", F.lit(1), F.least(reach, F.size("ordered")).cast("int"))).alias("k", "token"))
+    placed = kept.select("node", F.col("token.gram").alias("gram"), (F.col("n") - F.col("shared") + F.col("k") + 1).alias("at"))
+    rows = members.select("key", "node", "n", "root").join(placed, "node")
+    first = rows.where(F.col("at") <= F.col("n") - F.ceil(similarity * F.col("n") - 1e-9) + 1)
+    first = first.select("key", "gram", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("at").alias("i"))
+    ordered = (F.col("r") != F.col("root")) & (F.struct("m", "a") < F.struct("n", "node")) & (F.col("m") >= similarity**2 * F.col("n") - 1e-9)
+    enough = 1 + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("at")) >= similarity * F.sqrt(F.col("m") * F.col("n").cast("double")) - 1e-9
+    return rows.join(first, ["key", "gram"]).where(ordered & enough).select("a", F.col("node").alias("b")).distinct()
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, radius: int = 2) -> DataFrame:
-    """``(id, fp, component)``: groups of rows whose shingle sets are ``similarity`` alike or more.
-
-    Balls of ``radius`` bits link what changed very little, as in
-    :func:`near_duplicates`. Copies with more edits differ in 4 to 15 bits, which
-    no ball of workable size spans, so texts that share a band of least hashes are
-    compared too, by their exact shingle sets. First each member of a bucket is
-    compared with the text that shares most buckets with others (among copies of
-    one text mostly that text). Buckets that are one group then are done. In the
-    others more and more members lead, four times as many each round; leaders are
-    compared with members that no link leads to yet and whose size allows the
-    similarity. So a bucket of copies costs a few pairs a member, and no link is
-    lost: in a bucket of texts that stay unlike, in the end all have been compared.
+    """``(id, fp, component)``: groups of rows that are near copies of each other.
+
+    The similarity is the one that fingerprints estimate: the cosine of the sets of
+    shingles, their common part over the root of the product of their sizes. Balls
+    of ``radius`` bits link what changed very little, as in :func:`near_duplicates`.
+    Copies with more edits differ in 4 to 15 bits, which no ball of workable size
+    spans, so texts that share a band of least hashes are compared too, by their
+    shingle sets. Twice each member of a bucket is compared with a leader of it,
+    which joins the copies of one text at a pair or two a member. Buckets that are
+    one group then are done; in the others, pairs of different groups are found by
+    prefixes of their rarest shingles, exactly, and all are compared.
 
     Every row appears once; null ids are passed over when the smallest is taken;
     rows without a word share the fingerprint 0 and are one group; repeated ids
     stay repeated; an empty table gives an empty one; other columns play no part.
     """
+    keep = Scratch(docs.sparkSession)
     drawn = written(sketches(docs, id_col, text_col, shingle), "sketches")
-    nodes = written(drawn.groupBy("node", "fp").agg(F.min("id").alias("least")), "nodes")
-    heads = written(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
+    nodes = keep.put(drawn.groupBy("node", "fp").agg(F.min("id").alias("least")), "nodes")
+    heads = keep.put(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     balls = ball_links(heads.select("fp"), radius).join(heads.toDF("a", "na"), "a").join(heads.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    links = written(nodes.join(heads, "fp").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).unionByName(balls), "balls")
+    links = nodes.join(heads, "fp").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).unionByName(balls)
+    roots = keep.put(connected_components(links), "roots")
+    keep.drop("heads")
 
-    rows = written(drawn.select("node", F.size("grams").alias("n"), F.explode("bands").alias("key")).distinct(), "bands")
+    rows = keep.put(drawn.select("node", F.size("grams").alias("n"), F.explode("bands").alias("key")).distinct(), "bands")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    rows = written(rows.join(shared, "key"), "shared")
-    weights = written(rows.groupBy("node").agg(F.sum("size").alias("weight")), "weights")
-    members = written(rows.join(weights, "node"), "members")
-
-    chosen = weights.join(nodes.groupBy("node").agg(F.min("least").alias("id")), "node").select("node", "id")
+    rows = keep.put(rows.join(shared, "key"), "bands")
+    members = keep.put(_parted(_rooted(rows.join(rows.groupBy("node").agg(F.sum("size").alias("weight")), "node"), roots)), "members")
+    keep.drop("bands")
+    chosen = members.select("node").distinct().join(nodes.groupBy("node").agg(F.min("least").alias("id")), "node")
     sets = drawn.select("node", "id", "grams").join(chosen, (drawn["node"] == chosen["node"]) & drawn["id"].eqNullSafe(chosen["id"]), "left_semi")
-    grams = written(sets.dropDuplicates(["node"]).select("node", "grams"), "grams")
-
-    first = members.groupBy("key").agg(F.max_by(F.struct("node", "n"), F.struct("weight", "node")).alias("l"))
-    pairs = members.join(first.select("key", "l.node", "l.n").toDF("key", "a", "m"), "key").where("node != a")
-    links = written(links.unionByName(_verified(_comparable(pairs, similarity), grams, similarity)), "links")
-    roots = written(connected_components(links), "roots")
-
-    members = members.select("key", "node", "n", "size", F.expr("pmod(xxhash64(node, key), size)").alias("place"))
-    begin, end = 0, 4
-    while True:
-        rooted = members.join(roots, "node", "left").select(*members.columns, F.coalesce("root", "node").alias("root"))
-        rooted = written(rooted, "rooted")
-        parted = rooted.groupBy("key").agg(F.min("root").alias("r"), F.max("root").alias("s")).where("r != s").select("key")
-        members = written(rooted.join(parted, "key", "left_semi"), "members")
-        most = members.agg(F.max("size")).first()[0]
-        if most is None or begin >= most:
-            break
-        lead = members.where(F.col("place").between(begin, end - 1)).select("key", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("place").alias("p"))
-        pairs = members.join(lead, "key").where("root != r and (place, node) > (p, a)")
-        close = written(_verified(_comparable(pairs, similarity), grams, similarity), "close")
-        if not close.isEmpty():
-            links = written(links.unionByName(close), "links")
-            roots = written(connected_components(links), "roots")
-        members, begin, end = members.drop("root"), end, 4 * end
-
-    rooted = written(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
-    least = written(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
+    grams = keep.put(sets.dropDuplicates(["node"]).select("node", "grams"), "grams")
+
+    for others in (False, True):
+        led = members.join(_leaders(members).select("key", "r"), "key").where("root != r").drop("r") if others else members
+        roots = keep.put(_merged(roots, _verified(_led(members, _leaders(led), similarity), grams, similarity)), "roots")
+        members = keep.put(_parted(_rooted(members, roots)), "members")
+    pairs = keep.put(_prefix_pairs(members, grams, similarity), "pairs")
+    roots = keep.put(_merged(roots, _verified(pairs, grams, similarity)), "roots")
+
+    rooted = keep.put(nodes.join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root")), "rooted")
+    least = keep.put(rooted.groupBy("root").agg(F.min("least").alias("component")), "least")
     named = written(rooted.select("node", "root").distinct().join(least, "root").select("node", "component"), "named")
+    keep.drop(*list(keep.paths))
     return drawn.select("id", "node", "fp").join(named, "node").select("id", "fp", "component")
 
 
