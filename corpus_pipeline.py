@@ -6,7 +6,7 @@ next one starts. All stages but the last return the columns of their input.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.llm import decontam, langid, packing, secrets, simhash
@@ -29,23 +29,33 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.select("id.*")
 
 
+def row_key(docs: DataFrame) -> Column:
+    """What tells rows apart and puts them in order: their id (null last) and a hash of all they hold."""
+    return F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("row"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the row with the smallest id stays.
+    """Of each group of near copies, one row stays: that of the smallest id.
 
-    Near copies share 0.8 of their five-word shingles or more, or have fingerprints
-    within two bits. Rows without an id are no copies of anything and stay; of a
-    repeated id one row does.
+    Near copies are alike by 0.8 or more in their five-word shingles (the cosine
+    that fingerprints estimate), or have fingerprints within two bits. Rows are
+    judged by what they hold: different texts under one id each have their own
+    group. Rows without an id come after all others in their group; of rows that
+    are equal in full one stays.
     """
-    groups = simhash.near_copies(docs.where("doc_id is not null")).where("id = component").select(F.col("id").alias("doc_id")).distinct()
-    kept = docs.where("doc_id is not null").join(groups, "doc_id", "left_semi")
-    one = kept.dropDuplicates(["doc_id"])
-    return one.unionByName(docs.where("doc_id is null")).select(*docs.columns)
+    keyed = docs.withColumn("_key", row_key(docs))
+    groups = simhash.near_copies(keyed, id_col="_key").where("id = component").groupBy(F.col("id").alias("_key")).agg(F.count(F.lit(1)).alias("_times"))
+    kept = keyed.join(groups, "_key")
+    once = kept.where("_times = 1").unionByName(kept.where("_times > 1").dropDuplicates(["_key"]))
+    return once.select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of a benchmark item, edited or not, go."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a passage of a benchmark item, edited or not, go; a row without an id is judged like any other."""
+    keyed = docs.withColumn("_key", row_key(docs))
+    rows = keyed.select(F.col("_key").alias("doc_id"), "text")
+    found = decontam.contaminated(rows, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
