@@ -43,6 +43,18 @@ def test_odd_tables(spark):
         assert {r["doc_id"] for r in p.STAGES[-1][1](spark, kept, SF).collect()} == {r["doc_id"] for r in kept.collect()}
 
 
+def test_rows_are_judged_by_what_they_hold(spark):
+    """Different texts under one id, rows without an id and rows that repeat in full."""
+    item = next(r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() if len(words_of(r["text"])) > 12)
+    one, two = (" ".join(f"{c}{k}" for k in range(80)) for c in "ab")
+    rows = [(5, one), (5, two), (5, two), (None, two + " more"), (None, f"start {item} end"), (6, f"start {item} end of it"), (None, " ".join(f"c{k}" for k in range(50)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted((r["doc_id"] or 0, r["text"][:2]) for r in p.near_duplicates(spark, docs, SF).collect())
+    assert kept in ([(0, "c0"), (5, "a0"), (5, "b0"), (6, "st")], [(0, "c0"), (0, "st"), (5, "a0"), (5, "b0"), (6, "st")])
+    clean = sorted((r["doc_id"] or 0, r["text"][:2]) for r in p.decontaminate(spark, docs, SF).collect())
+    assert clean == [(0, "b0"), (0, "c0"), (5, "a0"), (5, "b0"), (5, "b0")]
+
+
 def test_run_covers_the_table(spark):
     rows = p.run(spark, SF).collect()
     assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
