@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from spanloom.llm.common import is_held_out, table
 
-ORDER, TRAIN_DOCS, SLICE, UNKNOWN = 4, 500, 1 << 21, "und"
+ORDER, TRAIN_DOCS, MOST_LANGS, SLICE, UNKNOWN = 4, 500, 1000, 1 << 21, "und"
 
 
 @dataclass
@@ -73,13 +73,13 @@ class Contexts:
         return out
 
 
-def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
+def grams_of(texts: list[bytes], order: int, before: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """The grams that end at each byte of the texts, and where each text's grams start.
 
-    A text starts after ``order`` zero bytes.
+    A text starts after ``order`` zero bytes, or after the ``order`` bytes of ``before``.
     """
-    pad = b"\0" * order
-    data = np.frombuffer(b"".join(pad + t for t in texts), dtype=np.uint8).astype(np.uint64)
+    pads = before or [b"\0" * order] * len(texts)
+    data = np.frombuffer(b"".join(p + t for p, t in zip(pads, texts, strict=True)), dtype=np.uint8).astype(np.uint64)
     lengths = np.array([len(t) for t in texts], dtype=np.int64)
     ends = np.cumsum(lengths + order)
     keep = np.ones(len(data), dtype=bool)
@@ -92,24 +92,26 @@ def grams_of(texts: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def score_texts(model: Contexts, texts: list[bytes]) -> np.ndarray:
-    """Code lengths in bits, by text and language; whole texts, in slices of bounded size."""
+    """Code lengths in bits, by text and language; whole texts, in slices of bounded size.
+
+    A slice starts after the last bytes of the one before, so slices change nothing.
+    """
     out, held, size = np.zeros((len(texts), len(model.langs))), [], 0
 
     def flush() -> None:
-        parts = [p for _, p in held]
-        grams, starts = grams_of(parts, model.order)
+        grams, starts = grams_of([p for _, p, _ in held], model.order, [b for _, _, b in held])
         if len(grams):
             unique, at = np.unique(grams, return_inverse=True)
             cost = model.bits(unique)
             for k in range(len(model.langs)):
                 sums = np.concatenate([[0.0], np.cumsum(cost[:, k][at])])
                 stops = np.append(starts[1:], len(grams))
-                np.add.at(out[:, k], [r for r, _ in held], sums[stops] - sums[starts])
+                np.add.at(out[:, k], [r for r, _, _ in held], sums[stops] - sums[starts])
         held.clear()
 
     for row, text in enumerate(texts):
         for start in range(0, len(text), SLICE):
-            held.append((row, text[start : start + SLICE]))
+            held.append((row, text[start : start + SLICE], text[max(0, start - model.order) : start].rjust(model.order, b"\0")))
             size += len(held[-1][1])
             if size >= SLICE:
                 flush()
@@ -124,11 +126,14 @@ def fit(labelled: DataFrame, order: int = ORDER, train_docs: int = TRAIN_DOCS) -
     Which ones is decided by a hash of the id, so the sample is bounded and the
     same in every run; their texts are used whole. Spark counts the grams. Rows
     with a null text or lang are left out; without any row no language is known.
+    More than ``MOST_LANGS`` languages raise, as a tree is held for each.
     """
     if not 1 <= order <= 7:
         raise ValueError("a gram has to fit into 64 bits: orders 1 to 7")
     known = labelled.where("text is not null and lang is not null")
-    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MOST_LANGS + 1).collect()}
+    if len(sizes) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     langs = sorted(sizes)
     if not langs:
         return Contexts([], order, [], [], [], [])
