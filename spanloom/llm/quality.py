@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from spanloom.llm.common import is_held_out, table
 
 WIDTH, FILTERS, CHUNK = 6, 16, 512
-TRAIN_DOCS, CHUNKS_PER_DOC, EPOCHS, BATCH, RATE = 3000, 3, 12, 128, 0.01
+TRAIN_DOCS, TRAIN_BYTES, EPOCHS, BATCH, RATE = 3000, 1 << 25, 12, 128, 0.01
 
 
 @dataclass
@@ -54,22 +54,23 @@ class Network:
         data = np.frombuffer(text.ljust(WIDTH, b"\0"), dtype=np.uint8)
         logits = []
         for start in range(0, n, CHUNK * 32):
-            seen = data[start : min(start + CHUNK * 32, n) + WIDTH - 1]
-            total = self.convolve(seen)
-            firsts = np.arange(0, len(total), CHUNK)
-            pooled = np.maximum.reduceat(total, firsts, axis=0)
-            if len(firsts) > 1 and len(total) % CHUNK:
-                pooled[-1] = total[-CHUNK:].max(axis=0)
+            stop = min(start + CHUNK * 32, n)
+            total = self.convolve(data[start : stop + WIDTH - 1])
+            pooled = np.maximum.reduceat(total, np.arange(0, len(total), CHUNK), axis=0)
+            if n > CHUNK and len(total) % CHUNK:
+                last = total[-CHUNK:] if len(total) > CHUNK else self.convolve(data[n - CHUNK : n + WIDTH - 1])
+                pooled[-1] = last.max(axis=0)
             logits.append(self.logits(pooled))
         return float(1 / (1 + np.exp(-np.clip(np.concatenate(logits).mean(dtype="f8"), -500, 500))))
 
 
-def train(chunks: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: int = 0) -> Network:
-    """``chunks``: rows of CHUNK + WIDTH - 1 bytes; ``labels``: 0 or 1 for each. Adam on the log loss."""
+def train(chunks: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, epochs: int = EPOCHS, seed: int = 0) -> Network:
+    """``chunks``: rows of CHUNK + WIDTH - 1 bytes; ``labels``: 0 or 1 for each; ``weights`` of a mean of 1. Adam on the log loss."""
     net, rnd = Network.new(seed), np.random.default_rng(seed)
     if not len(labels):
         return net
-    share = np.clip(labels.mean(), 0.01, 0.99)
+    weights = np.ones(len(labels), "f4") if weights is None else weights.astype("f4")
+    share = np.clip((labels * weights).sum() / weights.sum(), 0.01, 0.99)
     net.out_bias = float(np.log(share / (1 - share)))
     params = [net.filters, net.bias, net.out, np.array([net.out_bias], "f4")]
     first, second, step = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params], 0
@@ -84,7 +85,7 @@ def train(chunks: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: in
             best = total.argmax(axis=1)
             pooled = np.take_along_axis(total, best[:, None, :], axis=1)[:, 0] + net.bias
             active = np.maximum(pooled, 0)
-            error = ((1 / (1 + np.exp(-(active @ net.out + params[3][0]))) - labels[rows]) / len(rows)).astype("f4")
+            error = ((1 / (1 + np.exp(-(active @ net.out + params[3][0]))) - labels[rows]) * weights[rows] / len(rows)).astype("f4")
             back = error[:, None] * net.out * (pooled > 0)
             into = np.zeros_like(net.filters)
             for k in range(WIDTH):
@@ -99,40 +100,39 @@ def train(chunks: np.ndarray, labels: np.ndarray, epochs: int = EPOCHS, seed: in
     return net
 
 
-def training_chunks(text: bytes, per_doc: int = CHUNKS_PER_DOC) -> list[bytes]:
-    """Up to ``per_doc`` chunks, spread evenly over the whole text."""
-    size = CHUNK + WIDTH - 1
-    room = len(text) - size
-    if room <= 0:
-        return [text.ljust(size, b"\0")]
-    n = min(per_doc, 1 + -(-room // CHUNK))
-    return [text[s : s + size] for s in np.linspace(0, room, n).astype(int).tolist()] if n > 1 else [text[:size]]
+def chunks_of(text: bytes) -> list[bytes]:
+    """All chunks of a text, as :meth:`Network.score` sees them; a shorter text is one, filled up with zeros."""
+    size, n = CHUNK + WIDTH - 1, max(len(text) - WIDTH + 1, 1)
+    return [text[s : s + size].ljust(size, b"\0") for s in (max(0, min(s, n - CHUNK)) for s in range(0, n, CHUNK))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, chunks_per_doc: int = CHUNKS_PER_DOC, id_col: str = "doc_id", text_col: str = "text") -> Network:
-    """Learn ``labels(id, label)`` from about ``train_docs`` labelled documents, chosen by a hash of the id.
+def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, train_bytes: int = TRAIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Network:
+    """Learn ``labels(id, label)`` from about ``train_docs`` labelled documents of ``train_bytes`` together at most.
 
-    The driver gets ``chunks_per_doc`` chunks of each at most, so what it holds is
-    bounded. Labels that are null and ids without a document are left out; without
-    any label the network is the untrained one.
+    A hash of the id puts labelled documents in order; they are taken, each with
+    its whole text, as long as they fit, so what the driver holds is bounded. All
+    chunks of a document weigh as much as those of any other. Labels that are null
+    and ids without a document are left out; without any label the network is the
+    untrained one.
     """
     known = labels.where("id is not null and label is not null").groupBy("id").agg(F.max("label").alias("label"))
     share = min(1.0, train_docs / max(1, known.count()))
-    draw = F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit("train")), F.lit(1 << 30)) / F.lit(1 << 30)
-    sample = known.where(draw < share)
-
-    def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [(i, y, c) for i, y, t in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True) for c in training_chunks(t or b"", chunks_per_doc)]
-            if rows:
-                ids, ys, cs = zip(*rows, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(ys, pa.int32()), pa.array(cs, pa.binary())], names=["id", "label", "chunk"])
-
+    hashed = F.xxhash64(F.col("id").cast("string"), F.lit("train"))
+    sample = known.where(F.pmod(hashed, F.lit(1 << 30)) / F.lit(1 << 30) < share)
     # the sample is bounded by train_docs, so it is broadcast and the documents aren't shuffled
-    found = docs.join(F.broadcast(sample), docs[id_col] == sample["id"]).select(F.col("id").cast("string").alias("id"), F.col("label").cast("int").alias("label"), docs[text_col].cast("binary").alias("text"))
-    rows = sorted(found.mapInArrow(chunk, "id string, label int, chunk binary").toArrow().to_pylist(), key=lambda r: (r["id"], r["chunk"]))
-    chunks = np.frombuffer(b"".join(r["chunk"] for r in rows), dtype=np.uint8).reshape(-1, CHUNK + WIDTH - 1)
-    return train(chunks, np.array([r["label"] for r in rows], dtype="f4"))
+    found = docs.join(F.broadcast(sample), docs[id_col] == sample["id"]).select(F.col("id").cast("string").alias("id"), F.col("label").cast("int").alias("label"), F.coalesce(docs[text_col].cast("binary"), F.lit(b"")).alias("text"))
+    sizes = found.groupBy("id").agg(F.sum(F.octet_length("text") + 1).alias("size"), F.min(F.xxhash64("id")).alias("order")).orderBy("order", "id").limit(2 * train_docs).collect()
+    taken, total = [], 0
+    for r in sizes:
+        if total + r["size"] <= train_bytes:
+            taken.append(r["id"])
+            total += r["size"]
+    rows = sorted(found.where(F.col("id").isin(taken)).collect() if taken else [], key=lambda r: (r["id"], bytes(r["text"])))
+    texts = [chunks_of(bytes(r["text"])) for r in rows]
+    counts = np.array([len(t) for t in texts], dtype=np.int64)
+    chunks = np.frombuffer(b"".join(c for t in texts for c in t), dtype=np.uint8).reshape(-1, CHUNK + WIDTH - 1)
+    weights = np.repeat(counts.sum() / (len(counts) * np.maximum(counts, 1)), counts) if len(counts) else None
+    return train(chunks, np.repeat(np.array([r["label"] for r in rows], dtype="f4"), counts), weights)
 
 
 def score(docs: DataFrame, net: Network, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

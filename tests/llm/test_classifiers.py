@@ -53,12 +53,16 @@ def test_code_lengths_are_exact():
                 assert abs(found[row, k] - plain_bits(t, text, order)) < 1e-3
 
 
-def test_long_texts_go_in_slices(monkeypatch):
-    model, text = model_of([[b"hello world " * 30], [b"bonjour monde " * 30]], 3), b"bonjour world " * 500
+def test_slices_change_nothing(monkeypatch):
+    training, text = [[b"hello world " * 30], [b"bonjour monde " * 30]], b"bonjour world \xc3\xa9t " * 120
+    model = model_of(training, 3)
     whole = score_texts(model, [text, b"x", text])
-    monkeypatch.setattr(langid, "SLICE", 1000)
-    sliced = score_texts(model, [text, b"x", text])
-    assert np.abs(whole - sliced).max() < 0.01 * whole.max() and (whole.argmin(axis=1) == sliced.argmin(axis=1)).all()
+    exact = [plain_bits(t, text, 3) for t in training]
+    for size in (1, 2, 3, 100, 1000):
+        monkeypatch.setattr(langid, "SLICE", size)
+        sliced = score_texts(model, [text, b"x", text])
+        assert np.abs(whole - sliced).max() < 1e-6 * whole.max()
+        assert np.abs(sliced[0] - exact).max() < 1e-4 * max(exact)
 
 
 def test_language_of_held_out_documents(spark):
@@ -91,19 +95,42 @@ def test_quality_of_held_out_documents(spark):
     assert sum(g > b for g in good for b in bad) / (len(good) * len(bad)) > 0.9
 
 
+def plain_score(net, text):
+    """The network by its definition, place by place and chunk by chunk."""
+    data = text.ljust(quality.WIDTH, b"\0")
+    n = len(data) - quality.WIDTH + 1
+    places = [sum(net.filters[k, data[i + k]].astype("f8") for k in range(quality.WIDTH)) for i in range(n)]
+    starts = [max(0, min(s, n - quality.CHUNK)) for s in range(0, n, quality.CHUNK)]
+    logits = [np.maximum(np.max(places[s : s + quality.CHUNK], axis=0) + net.bias, 0) @ net.out + net.out_bias for s in starts]
+    return 1 / (1 + np.exp(-np.mean(logits)))
+
+
 def test_network_sees_the_whole_text():
     net = quality.Network.new(3)
     rng = np.random.default_rng(1)
-    text = rng.integers(0, 256, 40000, dtype=np.uint8)
-    total = net.convolve(text)
-    chunks = [total[s : s + quality.CHUNK] for s in range(0, len(total), quality.CHUNK)]
-    chunks[-1] = total[-quality.CHUNK :]
-    expected = 1 / (1 + np.exp(-np.mean([net.logits(c.max(axis=0)) for c in chunks])))
-    assert abs(net.score(text.tobytes()) - expected) < 1e-5
-    assert [len(c) for c in quality.training_chunks(b"x" * 5000)] == [quality.CHUNK + quality.WIDTH - 1] * 3
+    for size in (0, 1, 6, 516, 517, 518, 1024, 1029, 1030, 16388, 16389, 16390, 16429, 40000):
+        text = rng.integers(0, 256, size, dtype=np.uint8).tobytes()
+        assert abs(net.score(text) - plain_score(net, text)) < 1e-5, size
+        chunks = quality.chunks_of(text)
+        assert {len(c) for c in chunks} == {quality.CHUNK + quality.WIDTH - 1}
+        step = quality.CHUNK
+        assert size < 517 or b"".join([c[:step] for c in chunks[:-1]])[: size - 517] + chunks[-1] == text
     assert net.score(b"") == net.score(b"\0" * quality.WIDTH)
 
 
+def test_training_takes_whole_texts_within_its_bounds(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda chunks, labels, weights=None: seen.append((len(labels), weights)))
+    docs = spark.createDataFrame([(k, "x" * 1000 * (k + 1)) for k in range(6)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id as id", "int(doc_id % 2) as label")
+    quality.fit(docs, labels)
+    sizes = [len(quality.chunks_of(b"x" * 1000 * (k + 1))) for k in range(6)]
+    assert seen[0][0] == sum(sizes)
+    assert sorted(set(np.round(seen[0][1], 6).tolist())) == sorted({round(sum(sizes) / 6 / n, 6) for n in sizes})
+    quality.fit(docs, labels, train_bytes=3500)
+    assert 0 < seen[1][0] <= 8
+
+
 def test_gradients_lower_the_loss():
     rng = np.random.default_rng(0)
     chunks = rng.integers(97, 123, (400, quality.CHUNK + quality.WIDTH - 1), dtype=np.uint8)
