@@ -7,7 +7,7 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spanloom.llm.common import new_path, table, written
@@ -24,6 +24,17 @@ def _cut(data, at, size):
     return F.transform(F.sequence(F.lit(1), n), lambda i: at(F.substring(data, (i - 1) * size + 1, F.lit(size)), i))
 
 
+def _numbered(records: DataFrame, digest: Column) -> DataFrame:
+    """``records`` with ``copy``: 1, or the number among rows that repeat id and digest. Only those are shuffled."""
+    keyed = records.withColumn("_digest", digest)
+    pair = F.struct(F.col("id"), F.col("_digest"))
+    times = written(keyed.groupBy(pair.alias("_pair")).agg(F.count(F.lit(1)).alias("_times")).where("_times > 1"), "repeated")
+    marked = keyed.withColumn("_pair", pair).join(times, "_pair", "left")
+    once = marked.where("_times is null").withColumn("copy", F.lit(1))
+    more = marked.where("_times is not null").withColumn("copy", F.row_number().over(Window.partitionBy("_pair").orderBy("url")))
+    return once.unionByName(more).select(*records.columns, "copy")
+
+
 def write_archives(records: DataFrame, path: str, segment: int = SEGMENT, chunk: int = CHUNK, per_archive: int = PER_ARCHIVE) -> None:
     """Write ``records(id, url, payload, refers_to)`` as gzipped WARC files under ``path``.
 
@@ -32,23 +43,19 @@ def write_archives(records: DataFrame, path: str, segment: int = SEGMENT, chunk:
     ``segment`` bytes; others are revisits of the equal payload of the record they
     name, with headers alone. An archive holds up to ``per_archive`` segments, so
     its size is bounded. Spark's text writer sets them down: the path can be in any
-    store that Spark reaches. Records with a null id are left out; a record's
-    identifier is made of its id and digest, so rows that repeat both are one.
+    store that Spark reaches. Every row is a record: its identifier is made of its
+    id (a null one is written as ``null``), its digest and, where rows repeat both,
+    its number among those.
     """
     body = F.coalesce(F.col("payload"), F.lit(b""))
-    framed = F.concat(
-        F.aggregate(
-            F.filter(_cut(body, lambda part, _: part, chunk), lambda part: F.octet_length(part) > 0),
-            F.lit(b""),
-            lambda out, part: F.concat(out, F.concat(F.lower(F.hex(F.octet_length(part))), F.lit("\r\n")).cast("binary"), part, F.lit(b"\r\n")),
-        ),
-        F.lit(b"0\r\n\r\n"),
-    )
+    # bytes are joined as strings, which keep them as they are, in one pass
+    chunks = F.filter(_cut(body, lambda part, _: part, chunk), lambda part: F.octet_length(part) > 0)
+    framed = F.concat(F.array_join(F.transform(chunks, lambda part: F.concat(F.lower(F.hex(F.octet_length(part))), F.lit("\r\n"), part.cast("string"), F.lit("\r\n"))), "").cast("binary"), F.lit(b"0\r\n\r\n"))
     head = F.lit(b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n")
     digest = F.sha2(body, 256)
-    urn = lambda c: F.concat(F.lit("urn:record:"), F.col(c).cast("string"), F.lit("-"), F.substring(digest, 1, 16))
-    blocks = records.where("id is not null").select(
-        urn("id").alias("rid"),
+    urn = lambda c: F.concat(F.lit("urn:record:"), F.coalesce(F.col(c).cast("string"), F.lit("null")), F.lit("-"), F.substring(digest, 1, 16))
+    blocks = _numbered(records, digest).select(
+        F.concat(urn("id"), F.when(F.col("copy") > 1, F.concat(F.lit("-"), F.col("copy").cast("string"))).otherwise(F.lit(""))).alias("rid"),
         F.regexp_replace(F.coalesce("url", F.lit("about:blank")), r"[\r\n]", " ").alias("url"),
         F.when(F.col("refers_to").isNotNull(), urn("refers_to")).alias("to"),
         digest.alias("digest"),
@@ -182,16 +189,18 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """``pages(id, url, payload)`` with ``refers_to``: the smallest id of an equal payload of ``least`` bytes or more.
 
     Only payloads that occur more than once meet the pages again, in a join of
-    written tables, whose hot digests AQE splits. Rows with a null id stay out.
+    written tables, whose hot digests AQE splits. Rows with a null id refer to none
+    and none refers to them.
     """
     digest = F.sha2(F.coalesce("payload", F.lit(b"")), 256)
     long_ones = pages.where((F.octet_length("payload") >= least) & F.col("id").isNotNull()).select("id", digest.alias("digest"))
     firsts = written(long_ones.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts")
-    keyed = pages.where("id is not null").withColumn("digest", F.when(F.octet_length("payload") >= least, digest))
+    keyed = pages.withColumn("digest", F.when(F.octet_length("payload") >= least, digest))
     return keyed.join(firsts, "digest", "left").select("id", "url", "payload", F.when(F.col("first") != F.col("id"), F.col("first")).alias("refers_to"))
 
 
 def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record per row of ``pages``, written as archives and read back; rows with a null page_id are responses."""
     pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", F.col("html").cast("binary").alias("payload"))
     path = new_path(spark, "warc")
     write_archives(with_revisits(pages), path)
@@ -200,7 +209,7 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         number("record_id").alias("page_id"), F.octet_length("payload").cast("long").alias("own_bytes"), F.regexp_extract("payload_digest", "^sha256:(.*)$", 1).alias("payload_digest"), F.col("warc_type").alias("record_type"), number("refers_to").alias("refers_to")
     )
     whole = written(whole, "whole")
-    referred = whole.where("record_type = 'response'").select(F.col("page_id").alias("_to"), F.col("payload_digest").alias("_digest"), F.col("own_bytes").alias("_bytes"))
+    referred = whole.where("record_type = 'response'").select(F.col("page_id").alias("_to"), F.col("payload_digest").alias("_digest"), F.col("own_bytes").alias("_bytes")).distinct()
     found = whole.join(referred, (whole["refers_to"] == referred["_to"]) & (whole["payload_digest"] == referred["_digest"]), "left")
     return found.select("page_id", F.coalesce("own_bytes", "_bytes").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
 
