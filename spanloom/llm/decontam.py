@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from spanloom.llm.common import table, written
 
 N, LEAST, MATCH, MISMATCH, GAP = 3, 0.5, 2, 1, 1
 INDEX_LIMIT = 1 << 20
+BLOOM_BITS, SHIFTS = 1 << 27, (0, 32)
 WORD = re.compile(r"\w+")
 
 
@@ -80,29 +82,31 @@ def _word_counts(docs: DataFrame, vocabulary: set[str] | None) -> DataFrame:
 
 
 def rare_seeds(items: DataFrame, docs: DataFrame, n: int, vocabulary: set[str] | None) -> DataFrame:
-    """``(item_id, gram)``: the half of each item's n-grams that its words make rarest.
+    """``(item_id, gram)``: the half of each item's n-grams that its words make rarest; a shorter item is one gram.
 
     How often an n-gram would occur by chance follows from the counts of its words
     in all documents. A leaked passage that half the corpus holds is still made of
     rare seeds, where its own count would have made it look common. Ties stay in.
     """
-    grams = items.where(F.size("words") >= n).select("item_id", F.explode(F.transform(F.sequence(F.lit(1), F.size("words") - n + 1), lambda i: F.slice("words", i, n))).alias("gram")).distinct()
+    firsts = F.sequence(F.lit(1), F.greatest(F.size("words") - n + 1, F.lit(1)))
+    grams = items.where(F.size("words") > 0).select("item_id", F.explode(F.transform(firsts, lambda i: F.slice("words", i, n))).alias("gram")).distinct()
     counts = written(_word_counts(docs, vocabulary), "words")
     chance = grams.select("item_id", "gram", F.explode("gram").alias("word")).join(counts, "word", "left").groupBy("item_id", "gram").agg(F.round(F.sum(F.log(F.coalesce("n", F.lit(0)) + 1.0)), 6).alias("chance"))
     rank = F.percent_rank().over(Window.partitionBy("item_id").orderBy("chance"))
     return chance.withColumn("rank", rank).where("rank <= 0.5").select("item_id", F.array_join("gram", " ").alias("gram"))
 
 
-def _passages(positions: list[int], n_words: int, reach: int, n: int) -> list[tuple[int, int, list[int]]]:
-    """Hits at most ``reach`` words apart share a passage that goes ``reach`` words beyond them."""
-    out: list[tuple[int, int, list[int]]] = []
-    for p in positions:
-        start, end = max(0, p - reach), min(n_words, p + n + reach)
-        if out and p <= out[-1][2][-1] + reach:
-            out[-1] = (out[-1][0], end, [*out[-1][2], p])
+def _passages(hits: list[tuple[int, str]], n_words: int, reach: int, n: int) -> list[tuple[int, int, set[str]]]:
+    """Hits ``(place, gram)`` in order; those at most ``reach`` words apart share a passage that goes ``reach`` words beyond them."""
+    out: list[list] = []
+    for p, gram in hits:
+        end = min(n_words, p + n + reach)
+        if out and p <= out[-1][3] + reach:
+            out[-1][1], out[-1][3] = end, p
+            out[-1][2].add(gram)
         else:
-            out.append((start, end, [p]))
-    return out
+            out.append([max(0, p - reach), end, {gram}, p])
+    return [(start, end, grams) for start, end, grams, _ in out]
 
 
 PASSAGE = "start int, passage string, grams array<string>"
@@ -113,27 +117,45 @@ def _emit(ids: pa.Array, rows: list[tuple[int, int, str, list[str]]], names: lis
     return pa.RecordBatch.from_arrays([ids.take(pa.array(at, pa.int64())), pa.array(starts, pa.int32()), pa.array(texts, pa.string()), pa.array(grams, pa.list_(pa.string()))], names=names)
 
 
-def _cut(words: list[str], positions: list[int], reach: int, n: int) -> list[tuple[int, str, list[str]]]:
-    return [(start, " ".join(words[start:end]), sorted({" ".join(words[p : p + n]) for p in hits})) for start, end, hits in _passages(positions, len(words), reach, n)]
+def _cut(words: list[str], hits: list[tuple[int, str]], reach: int, n: int) -> list[tuple[int, str, list[str]]]:
+    return [(start, " ".join(words[start:end]), sorted(grams)) for start, end, grams in _passages(hits, len(words), reach, n)]
+
+
+def _key_of(codes: list, base: int):
+    key = codes[0]
+    for c in codes[1:]:
+        key = key * base + c
+    return key
 
 
 def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
     """Passages around seeds, by one pass over whole texts with a bounded index in every task."""
-    vocabulary = {w: k for k, w in enumerate(sorted({w for g in grams for w in g.split(" ")}))}
+    split = [g.split(" ") for g in sorted(grams)]
+    vocabulary = {w: k for k, w in enumerate(sorted({w for g in split for w in g}))}
     base = len(vocabulary) + 1
-
-    def key_of(codes):
-        key = codes[0]
-        for c in codes[1:]:
-            key = key * base + c
-        return key
-
     if base**n >= 1 << 63:
         raise ValueError("the index is too large for its keys")
-    keys = np.array(sorted(key_of([vocabulary[w] for w in g.split(" ")]) for g in grams), dtype=np.int64)
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, keys))
+    index = []
+    for size in sorted({len(g) for g in split}):
+        keyed = sorted((_key_of([vocabulary[w] for w in g], base), " ".join(g)) for g in split if len(g) == size)
+        index.append((size, np.array([k for k, _ in keyed], dtype=np.int64), [g for _, g in keyed]))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, index))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL(PASSAGE).fields])
 
+    def hits_of(codes: np.ndarray, index: list) -> list[tuple[int, str]]:
+        found = []
+        for size, keys, names in index:
+            if len(codes) < size:
+                continue
+            views = [codes[k : len(codes) - size + 1 + k] for k in range(size)]
+            at = np.flatnonzero(np.minimum.reduce(views) >= 0)
+            if len(at):
+                wanted = _key_of([v[at] for v in views], base)
+                place = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                right = keys[place] == wanted
+                found += [(p, names[k]) for p, k in zip(at[right].tolist(), place[right].tolist(), strict=True)]
+        return sorted(found) if len(index) > 1 else found
+
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, index = shared.value
         code = known.get
@@ -141,41 +163,56 @@ def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
             rows = []
             for row, text in enumerate(batch.column(1).to_pylist()):
                 words = words_of(text)
-                if len(words) < n:
-                    continue
                 codes = np.fromiter((code(w, -1) for w in words), dtype=np.int64, count=len(words))
-                views = [codes[k : len(codes) - n + 1 + k] for k in range(n)]
-                at = np.flatnonzero(np.minimum.reduce(views) >= 0)
-                if len(at) and len(index):
-                    found = key_of([v[at] for v in views])
-                    at = at[index[np.minimum(np.searchsorted(index, found), len(index) - 1)] == found]
-                    if len(at):
-                        rows += [(row, *p) for p in _cut(words, at.tolist(), reach, n)]
+                if hits := hits_of(codes, index):
+                    rows += [(row, *p) for p in _cut(words, hits, reach, n)]
             yield _emit(batch.column(0), rows, schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(find, schema)
 
 
-def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int) -> DataFrame:
-    """The same passages where the seeds are too many for a task: a shuffled join on the n-gram."""
+def bloom(grams: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of ``grams(gram)``, of ``bits`` bits (a power of two) whatever their number: two parts of one hash."""
+    places = F.array(*[F.shiftrightunsigned(F.xxhash64("gram"), shift).bitwiseAND(F.lit(bits - 1)) for shift in SHIFTS])
+    words = grams.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
+    table_ = words.toArrow()  # bits / 64 rows at most
+    out = np.zeros(bits // 64, dtype=np.int64)
+    out[table_.column("word").to_numpy()] = table_.column("bits").to_numpy()
+    return out
+
+
+def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int, sizes: list[int] | None = None) -> DataFrame:
+    """The same passages where the seeds are too many for a task: a shuffled join on the n-gram.
+
+    N-grams that a filter of fixed size knows to be no seeds stay where they are.
+    ``sizes``: the lengths of seeds in words, ``n`` alone if not given.
+    """
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
     hit = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL("version long, pos int, gram string").fields])
     schema = T.StructType([hit.fields[0], *T.StructType.fromDDL(PASSAGE).fields])
+    seeds = grams.select("gram").distinct()
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(seeds))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, bits = shared.value, 64 * len(shared.value)
+
+        def maybe(gram: str) -> bool:
+            digest = xxhash.xxh64_intdigest(gram.encode(), 42)
+            return all(known[(at := digest >> shift & (bits - 1)) >> 6] >> (at & 63) & 1 for shift in SHIFTS)
+
         for batch in batches:
             for row, text in enumerate(batch.column(1).to_pylist()):
                 words = words_of(text)
-                m = max(0, len(words) - n + 1)
-                at = pa.array(np.full(m, row))
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array(np.arange(m, dtype="i4")), pa.array([" ".join(words[k : k + n]) for k in range(m)], pa.string())], names=hit.names)
+                found = [(k, g) for m in sizes or [n] for k in range(len(words) - m + 1) if maybe(g := " ".join(words[k : k + m]))]
+                at = pa.array(np.full(len(found), row))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array([k for k, _ in found], pa.int32()), pa.array([g for _, g in found], pa.string())], names=hit.names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(row, *p) for row, (text, at) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)) for p in _cut(words_of(text), at, reach, n)]
+            rows = [(row, *p) for row, (text, at) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)) for p in _cut(words_of(text), [(x["pos"], x["gram"]) for x in at], reach, n)]
             yield _emit(batch.column(0), rows, schema.names)
 
-    hits = keyed.mapInArrow(split, hit).join(grams.select("gram").distinct(), "gram").groupBy("doc_id", "version").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    hits = keyed.mapInArrow(split, hit).join(seeds, "gram").groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("pos", "gram"))).alias("at"))
     same = hits["doc_id"].eqNullSafe(keyed["doc_id"]) & (hits["version"] == keyed["version"])
     return keyed.join(hits, same).select(keyed["doc_id"], "text", "at").mapInArrow(cut, schema)
 
@@ -188,12 +225,14 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = L
     item) on they are reported, with the words of the document that the alignment
     covers. The best passage is kept for a document and item. Up to ``index_limit``
     n-grams of items are looked up inside the scan; more go through a shuffled
-    join. Null texts hold no words; items of fewer than ``n`` words or a null id
-    can't be matched; documents of a null id are reported with it; repeated rows
-    count once; an empty table on either side gives an empty result.
+    join. Null texts hold no words, nor do some items: those match nothing. An item
+    of fewer than ``n`` words is found where all its words follow each other. Items
+    of a null id are passed over; documents of a null id are reported with it;
+    repeated rows count once; a very long text takes time in proportion to its
+    words and seeds; an empty table on either side gives an empty result.
     """
     items, docs = written(item_words(items), "items"), docs.select("doc_id", "text")
-    size = items.agg(F.sum(F.greatest(F.size("words") - n + 1, F.lit(0))).alias("grams"), F.max(F.size("words")).alias("longest")).first()
+    size = items.agg(F.sum(F.greatest(F.size("words") - n + 1, F.lit(1))).alias("grams"), F.max(F.size("words")).alias("longest"), F.collect_set(F.least(F.size("words"), F.lit(n))).alias("sizes")).first()
     small = (size["grams"] or 0) <= index_limit
     vocabulary = {r["word"] for r in items.select(F.explode("words").alias("word")).distinct().collect()} if small else None
     seeds = written(rare_seeds(items, docs, n, vocabulary), "seeds")
@@ -201,7 +240,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = L
     if small and (len(vocabulary or ()) + 1) ** n < 1 << 63:
         found = scan(docs, [r["gram"] for r in seeds.select("gram").distinct().collect()], reach, n)
     else:
-        found = join_scan(docs, seeds, reach, n)
+        found = join_scan(docs, seeds, reach, n, sorted(k for k in size["sizes"] if k))
     passages = written(found.withColumn("key", F.xxhash64("doc_id", "start", "passage")), "passages")
     pairs = passages.select("key", F.explode("grams").alias("gram")).join(seeds, "gram").select("key", "item_id").distinct()
     both = pairs.join(passages.dropDuplicates(["key"]), "key").join(items, "item_id").select("doc_id", "item_id", "start", "passage", "words")
@@ -223,4 +262,5 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = L
 
 
 def op8_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of ``benchmark`` in all ``documents``, a row for each document and item."""
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

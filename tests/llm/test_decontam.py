@@ -1,8 +1,9 @@
 import random
+import time
 
 import numpy as np
 
-from spanloom.llm.decontam import align, contaminated, op8_decontam, words_of
+from spanloom.llm.decontam import _cut, align, contaminated, op8_decontam, words_of
 
 DOCS, ITEMS = "doc_id long, text string, item_id long, words string, score double", "item_id long, text string, doc_id long, gram string"
 
@@ -48,13 +49,16 @@ def cases():
 def test_finds_copies_and_edits_by_scan_and_by_join(spark):
     docs, items, expected = cases()
     docs += [(None, None, None, None, None), (900, "", 0, "", 0.0), (901, items[3][1], 0, "", 0.0), (901, items[3][1], 0, "", 0.0), (902, "z " * 60000 + items[4][1], 0, "", 0.0)]
-    items += [(None, "w1 w2 w3 w4", None, None), (77, None, None, None), (78, "w1", None, None), (79, "", None, None)]
-    expected = expected | {(901, 3), (902, 4)}
+    items += [(None, "w1 w2 w3 w4", None, None), (77, None, None, None), (78, "w1", None, None), (79, "", None, None), (80, "w5 w6", None, None), (81, "z z z", None, None)]
+    docs.append((903, "about W5, w6", 0, "", 0.0))
+    short = {(k, i) for k, t, *_ in docs if k is not None for i, x in ((78, "w1"), (80, "w5 w6")) if f" {x} " in f" {' '.join(words_of(t))} "}
+    assert {i for _, i in short} == {78, 80}
+    expected = expected | short | {(901, 3), (902, 4), (902, 81)}
     d, i = spark.createDataFrame(docs, DOCS).repartition(4), spark.createDataFrame(items, ITEMS)
     texts, brute = {k: words_of(t) for k, t, *_ in docs if k is not None and k != 902}, set()
     for k, words in texts.items():
         brute |= {(k, item) for item, t, *_ in items if item is not None and len(words_of(t)) > 2 and plain(words_of(t), words) >= 0.5}
-    assert expected - {(902, 4)} == brute
+    assert expected - short - {(902, 4), (902, 81)} == brute
     for limit in (1 << 20, 0):
         rows = contaminated(d, i, index_limit=limit).collect()
         assert {(r["doc_id"], r["item_id"]) for r in rows} == expected
@@ -62,6 +66,16 @@ def test_finds_copies_and_edits_by_scan_and_by_join(spark):
         assert next(r for r in rows if r["doc_id"] == 902)["start"] == 60000
 
 
+def test_many_hits_in_one_text_take_time_in_proportion():
+    def seconds(k):
+        start = time.perf_counter()
+        (passage,) = _cut(["w"] * (k + 3), [(p, "w w w") for p in range(k)], 20, 3)
+        assert passage[0] == 0 and passage[2] == ["w w w"]
+        return time.perf_counter() - start
+
+    assert seconds(400_000) < 8 * seconds(100_000) + 0.5
+
+
 def test_empty_tables(spark):
     docs, items, _ = cases()
     assert contaminated(spark.createDataFrame([], DOCS), spark.createDataFrame(items, ITEMS)).count() == 0
