@@ -5,7 +5,6 @@ from __future__ import annotations
 import functools
 import json
 import zlib
-from bisect import bisect_left, insort
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -40,23 +39,23 @@ def _byte_of() -> dict[str, int]:
 class Encoder:
     """A text's ids as little-endian bytes, the same as those of the ``tokenizers`` file at ``path``.
 
-    Strings of special tokens in a text are ordinary text. A vocabulary whose ids
-    are its merge ranks runs in the engine that keeps ranks, several times faster;
-    ids that differ on the probes, or another kind of file, leave it to the library
-    itself.
+    A vocabulary whose ids are its merge ranks runs in the engine that keeps ranks,
+    several times faster. Texts that hold the string of an added token, whose id the
+    library gives there, go to the library itself, as all do if ids differ on the
+    probes or the file is of another kind.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
-        self.engine = None
+        self.engine, self.added = None, ()
         try:
             import tiktoken
 
             model = json.loads(Path(path).read_text(encoding="utf-8"))
             special = {t["content"] for t in model.get("added_tokens", ())}
+            self.added = tuple(special)
             byte = _byte_of()
             ranks = {bytes(byte[c] for c in token): rank for token, rank in model["model"]["vocab"].items() if token not in special}
             self.engine = tiktoken.Encoding("ranks", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})
@@ -69,7 +68,7 @@ class Encoder:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def ids(self, text: str) -> bytes:
-        if self.engine is not None:
+        if self.engine is not None and not any(t in text for t in self.added):
             try:
                 return self.engine.encode_to_numpy(text, disallowed_special=()).astype("<u4", copy=False).tobytes()
             except ValueError:  # its splitter gives up on very long runs of white space
@@ -87,8 +86,10 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     """``(id, piece, start, length, ids_crc32[, ids])``: every document's ids and ``end_id``, cut at ``capacity``.
 
     Only longer documents are cut; all their pieces are full but the first. A null
-    or empty text is the end id alone. ``tokenizer`` is the path of a byte-level
-    BPE file, the same on all executors.
+    or empty text is the end id alone; repeated rows give repeated pieces; a long
+    text is encoded whole, in memory in proportion to it. ``tokenizer`` is the path
+    of a byte-level BPE file, the same on all executors; ids are those that the
+    library gives with ``add_special_tokens=False``.
     """
     path = tokenizer or default_tokenizer()
     if not Path(path).exists():
@@ -119,90 +120,89 @@ def pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACI
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
 
 
-def _complement(counts: np.ndarray, gap: int) -> tuple[int, ...] | None:
-    """One, two or three available lengths that sum to ``gap``; longest first, fewest before more."""
-    if counts[gap]:
-        return (gap,)
-    have = counts > 0
+class Sums:
+    """Which sums one, two or three available lengths make, for gaps up to ``capacity``.
 
-    def pair(total: int, most: int) -> tuple[int, int] | None:
-        a = np.arange((total + 1) // 2, min(total - 1, most) + 1)
-        a = a[have[a] & have[total - a]]
-        a = a[(2 * a != total) | (counts[a] >= 2)]
-        return (int(a[-1]), total - int(a[-1])) if len(a) else None
+    Pairs of lengths are kept under their sum, so a look-up costs those of one sum;
+    a triple is a length and the sum of a pair. ``one``, ``two`` and ``three`` say
+    which sums can be made at all with the lengths that are left.
+    """
 
-    if two := pair(gap, gap):
-        return two
-    for a in np.flatnonzero(have[: max(1, gap - 1)])[::-1].tolist():
-        if 3 * a < gap:
+    def __init__(self, histogram: dict[int, int], capacity: int) -> None:
+        self.capacity, self.counts = capacity, np.zeros(capacity + 1, dtype=np.int64)
+        for length, n in histogram.items():
+            self.counts[length] += n
+        lengths = np.flatnonzero(self.counts)
+        a, b = (x.ravel() for x in np.meshgrid(lengths, lengths, indexing="ij"))
+        fits = (a >= b) & (a + b <= capacity)
+        a, b = a[fits], b[fits]
+        order = np.lexsort((-a, a + b))
+        self.longer, self.shorter = a[order], b[order]
+        self.start = np.searchsorted(self.longer + self.shorter, np.arange(capacity + 2))
+        self.refresh()
+
+    def refresh(self) -> None:
+        self.one = self.counts > 0
+        self.two = np.convolve(self.one.astype("i4"), self.one.astype("i4"))[: self.capacity + 1] > 0
+        self.three = np.convolve(self.one.astype("i4"), self.two.astype("i4"))[: self.capacity + 1] > 0
+
+    def pair(self, total: int) -> tuple[int, ...] | None:
+        a, b = (x[self.start[total] : self.start[total + 1]] for x in (self.longer, self.shorter))
+        there = np.flatnonzero((self.counts[a] > 0) & (self.counts[b] > 0) & ((a != b) | (self.counts[a] > 1)))
+        return (int(a[there[0]]), int(b[there[0]])) if len(there) else None
+
+    def exact(self, total: int) -> tuple[int, ...] | None:
+        """One, two or three available lengths that sum to ``total``: fewest first, then the longest."""
+        if self.one[total] and self.counts[total]:
+            return (total,)
+        if self.two[total] and (found := self.pair(total)):
+            return found
+        if not self.three[total]:
             return None
-        counts[a] -= 1
-        have[a] = counts[a] > 0
-        two = pair(gap - a, a)
-        counts[a] += 1
-        have[a] = True
-        if two:
-            return (a, *two)
-    return None
+        firsts = np.arange(total - 2, (total + 2) // 3 - 1, -1)
+        for a in firsts[(self.counts[firsts] > 0) & self.two[total - firsts]].tolist():
+            self.counts[a] -= 1
+            found = self.pair(total - a)
+            self.counts[a] += 1
+            if found:
+                return (a, *found)
+        return None
+
+    def nearest(self, gap: int) -> tuple[int, ...] | None:
+        """The lengths that fill a gap exactly, or else leave the least of it."""
+        for total in (np.flatnonzero((self.one | self.two | self.three)[1 : gap + 1]) + 1)[::-1].tolist():
+            if found := self.exact(total):
+                return found
+        return None
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[tuple[int, ...], int]]:
     """Lengths and their counts → ``(lengths in a sequence, number of such sequences)``.
 
     From the longest length down, the gap it leaves is filled exactly by a single
-    length, a pair or a triple, as many times at once as the counts allow. What
-    has no exact complement goes, longest first, into the tightest gap that holds
-    it. The work depends on the capacity, not on the number of documents.
+    length, a pair or a triple, or else by what leaves the least of it, again and
+    again until nothing fits; the sequence is made as many times at once as the
+    counts allow, so a length runs out with each. The work depends on the capacity,
+    not on the number of documents.
     """
-    counts = np.zeros(capacity + 1, dtype=np.int64)
-    for length, n in histogram.items():
-        counts[length] += n
-    done: list[tuple[tuple[int, ...], int]] = [((capacity,), int(counts[capacity]))] if counts[capacity] else []
-    rest: list[tuple[int, int]] = []
-    for length in range(capacity - 1, 0, -1):
+    sums = Sums(histogram, capacity)
+    counts, done = sums.counts, []
+    for length in range(capacity, 0, -1):
         while counts[length]:
+            parts, gap = (length,), capacity - length
             counts[length] -= 1
-            others = _complement(counts, capacity - length)
-            counts[length] += 1
-            if others is None:
-                rest.append((length, int(counts[length])))
-                counts[length] = 0
-                break
-            parts = (length, *others)
+            while gap and (found := sums.nearest(gap)):
+                parts, gap = (*parts, *found), gap - sum(found)
+                for x in found:
+                    counts[x] -= 1
+            for x in parts:
+                counts[x] += 1
             times = min(int(counts[x]) // parts.count(x) for x in set(parts))
             for x in parts:
                 counts[x] -= times
+            sums.refresh()
             done.append((parts, times))
-    open_: dict[int, list[tuple[tuple[int, ...], int]]] = {}
-    gaps: list[int] = []
-
-    def put(parts: tuple[int, ...], n: int) -> None:
-        gap = capacity - sum(parts)
-        if gap not in open_:
-            open_[gap] = []
-            insort(gaps, gap)
-        open_[gap].append((parts, n))
-
-    for length, n in rest:
-        while n:
-            k = bisect_left(gaps, length)
-            if k < len(gaps):
-                parts, many = open_[gaps[k]].pop()
-                if not open_[gaps[k]]:
-                    del open_[gaps[k]], gaps[k]
-                used = min(n, many)
-                if many > used:
-                    put(parts, many - used)
-                put((*parts, length), used)
-                n -= used
-            else:
-                each = capacity // length
-                if n >= each:
-                    put((length,) * each, n // each)
-                if n % each:
-                    put((length,) * (n % each), 1)
-                n = 0
-    return done + [x for gap in gaps for x in open_[gap]]
+    return done
 
 
 def pack(parts: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
@@ -211,8 +211,8 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Data
     Only the counts by length reach the driver. A piece finds its place by its
     rank among the pieces of its length; ranks come from counts by length and salt,
     so that a length which a third of all pieces share is numbered by many tasks.
-    Both tables that are broadcast are bounded by the capacity, not by the input.
-    An empty table gives an empty one; repeated ids are packed as they come.
+    The table of places, which is broadcast, is bounded by the capacity: a plan has
+    at most a few sequences for each length, whatever the number of documents. An empty table gives an empty one; repeated ids are packed as they come.
     """
     spark = parts.sparkSession
     if bad := parts.where((F.col("length") > capacity) | (F.col("length") < 1)).limit(1).count():
@@ -231,7 +231,7 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, salts: int = SALTS) -> Data
     before = Window.partitionBy("length").orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
     firsts = counted.select("length", "_salt", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
     rank = F.row_number().over(Window.partitionBy("length", "_salt").orderBy("id", "piece")) - 1
-    ranked = salted.withColumn("_rank", rank).join(F.broadcast(firsts), ["length", "_salt"]).withColumn("_rank", F.col("_first") + F.col("_rank"))
+    ranked = salted.withColumn("_rank", rank).join(firsts, ["length", "_salt"]).withColumn("_rank", F.col("_first") + F.col("_rank"))
     slots = spark.createDataFrame(places, "length long, _from long, _to long, _sequence long, offset long")
     inside = (ranked["length"] == slots["length"]) & (ranked["_rank"] >= slots["_from"]) & (ranked["_rank"] < slots["_to"])
     return ranked.join(F.broadcast(slots), inside).select(*[ranked[c] for c in parts.columns], (F.col("_sequence") + F.col("_rank") - F.col("_from")).alias("sequence_id"), "offset")
@@ -243,5 +243,6 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, keep_ids: bool
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ``documents``, cut and packed into sequences of up to 1024 ids."""
     packed = pack_documents(table(spark, sf_dir, "documents"))
     return packed.select(F.col("id").alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
