@@ -23,13 +23,16 @@ LEAST_FRAMES = 64
 LEAST_PASSAGE = 128
 EDGES = (-0.25, 0.0, 0.25)
 GRAY = np.array([0, 1, 3, 2], dtype=np.int64)
-#: Seeds as ``(gap, mask, mask of the integer a gap on, tag)``: a key holds the masked bits of both and the tag.
-#: Equal ones only agree where all 64 bits do.
-EQUAL_SEEDS = ((SEED_GAP, (1 << 32) - 1, (1 << 32) - 1, 0),)
-#: The upper bit of a filter's two says which area is louder and flips least. Each of eight seeds leaves out two
-#: filters of either integer, others each time; the tag is in lower bits, which no mask has.
+#: The integer of silence: no filter's areas differ.
+SILENT = 0x55555555
+#: Seeds as ``(gap, further gap, masks of the three integers, tag)``: a key holds the masked bits and the tag.
+#: Equal ones only agree where all 64 bits of two integers do.
+EQUAL_SEEDS = ((SEED_GAP, 0, (1 << 32) - 1, (1 << 32) - 1, 0, 0),)
+#: The upper bit of a filter's two says which area is louder and flips least. Each of 28 seeds takes those of 14
+#: filters of two integers and of six filters of a third one, others each time; the third ones and the tag are put into
+#: lower bits, which the other masks don't have.
 UPPER = 0xAAAAAAAA
-TOLERANT_SEEDS = tuple((SEED_GAP + 3 * k, UPPER & ~(0xF << 4 * k), UPPER & ~(0xF << 4 * ((k + 3) % 8)), sum((k >> b & 1) << 2 * b for b in range(3))) for k in range(8))
+TOLERANT_SEEDS = (*((SEED_GAP + 3 * (k % 8), 36 + 2 * k, UPPER & ~(0xF << 4 * (k % 8)), UPPER & ~(0xF << 4 * ((k + 3 + k // 8) % 8)), sum(2 << 2 * ((5 * k + 3 * i) % 16) for i in range(6)), sum((k >> b & 1) << 32 + 2 * b for b in range(5))) for k in range(28)), *EQUAL_SEEDS)
 
 
 def filters() -> list[tuple[int, int, int, int]]:
@@ -50,8 +53,9 @@ def fingerprint(pcm: bytes | None, rate: int = RATE) -> np.ndarray:
     """Packed 32-bit integers of 16-bit mono samples, one for each span of SPAN frames.
 
     Frames become 12 pitch-class energies of unit length. Each filter compares the
-    sums of two areas of a span, read off an integral image; its log ratio is put
-    into one of four steps, two Gray-coded bits. Null or shorter audio has none.
+    sums of two areas of a span, read off an integral image; its log ratio, to four
+    digits so that what leaks into empty areas doesn't count, is put into one of four
+    steps, two Gray-coded bits. Null or shorter audio has none.
     """
     usable = len(pcm or b"") // 2 * 2
     samples = np.frombuffer((pcm or b"")[:usable], dtype="<i2").astype(np.float64)
@@ -80,7 +84,7 @@ def fingerprint(pcm: bytes | None, rate: int = RATE) -> np.ndarray:
         else:
             a = area(width // 3, y, max(1, width // 3), height)
             b = area(0, y, width, height) - a
-        out |= GRAY[np.searchsorted(EDGES, np.log((0.1 + a) / (0.1 + b)))] << (2 * k)
+        out |= GRAY[np.searchsorted(EDGES, np.round(np.log((0.1 + a) / (0.1 + b)), 4))] << (2 * k)
     return out
 
 
@@ -101,18 +105,35 @@ def fingerprints(recordings: DataFrame, id_col: str = "id", media_col: str = "pc
     return recordings.select(id_col, media_col).mapInArrow(run, schema)
 
 
-def seeds_of(prints: str, kinds: tuple[tuple[int, int, int, int], ...]) -> Column:
-    """An array of ``(key, at)``: every seed of every kind in a list of packed integers."""
+def seeds_of(prints: np.ndarray, kinds: tuple[tuple[int, ...], ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the seeds of every kind in a list of packed integers, and their places.
 
-    def of(gap: int, first: int, second: int, tag: int) -> Column:
-        def key(i: Column) -> Column:
-            later = F.shiftleft(F.element_at(prints, i + gap).bitwiseAND(F.lit(second)), 32)
-            return F.element_at(prints, i).bitwiseAND(F.lit(first)).bitwiseOR(later).bitwiseOR(F.lit(tag))
+    Of a run of places with one key the first counts, and none in silence, so a held
+    note or a pause doesn't vote for every offset.
+    """
+    keys, places = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for gap, further, first, second, third, tag in kinds:
+        n = len(prints) - max(gap, further)
+        if n > 0:
+            key = (prints[:n] & first) | ((prints[gap : gap + n] & second) << 32) | ((prints[further : further + n] & third) >> 1) | tag
+            at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]) & (prints[:n] != SILENT))
+            keys.append(key[at])
+            places.append(at)
+    return np.concatenate(keys), np.concatenate(places)
+
+
+def seeds(classes: DataFrame, kinds: tuple[tuple[int, ...], ...]) -> DataFrame:
+    """``classes(class_id, asks, prints)`` → ``(class_id, asks, key, at)``: a row for every seed."""
+    fields = [classes.schema["class_id"], classes.schema["asks"], *T.StructType.fromDDL("key long, at int").fields]
 
-        at = F.when(F.size(prints) > gap, F.sequence(F.lit(1), F.size(prints) - gap)).otherwise(F.array().cast("array<int>"))
-        return F.transform(at, lambda i: F.struct(key(i).alias("key"), i.alias("at")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [seeds_of(np.array(x.as_py(), dtype=np.int64), kinds) for x in batch.column(2)]
+            row = pa.array(np.repeat(np.arange(len(found)), [len(k) for k, _ in found]))
+            keys, places = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(keys), pa.array(places.astype("i4"))], names=[f.name for f in fields])
 
-    return F.concat(*[of(*k) for k in kinds])
+    return classes.select("class_id", "asks", "prints").mapInArrow(run, T.StructType(fields))
 
 
 def alike(a: np.ndarray, b: np.ndarray, offset: int, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR) -> tuple[int, float] | None:
@@ -137,19 +158,20 @@ def alike(a: np.ndarray, b: np.ndarray, offset: int, least_votes: int = LEAST_VO
     return (end - start, float(wrong[start:end].sum()) / (32 * (end - start))) if end - start >= LEAST_PASSAGE else None
 
 
-def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR, kinds: tuple[tuple[int, int, int, int], ...] = EQUAL_SEEDS) -> DataFrame:
+def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR, kinds: tuple[tuple[int, ...], ...] = EQUAL_SEEDS) -> DataFrame:
     """``recordings(id, prints)`` → ``(id, class_id, match_id, offset, frames, bit_error)``.
 
     Recordings of equal prints are one class, named by its smallest id, so copies
     aren't paired with each other: every recording has a row with its class. One
     that ``is_query`` has a row for each other class that it aligns with (none: one
-    row of nulls there). Two integers a gap apart whose bits under a seed's masks
-    are equal in both recordings vote for the offset between them: all bits with
-    EQUAL_SEEDS; with TOLERANT_SEEDS, which noisy or shifted copies need, the upper
-    bits of 14 of 16 filters. The offset of most votes, ``least_votes`` at least, is
-    verified by the share of differing bits where the two overlap. An overlap of
-    under LEAST_FRAMES that isn't a whole recording needs ``least_votes`` of wholly
-    equal seeds.
+    row of nulls there). Integers some gaps apart whose bits under a seed's masks
+    are equal in both recordings vote for the offset between them: all bits of two
+    with EQUAL_SEEDS; with TOLERANT_SEEDS, which noisy or shifted copies need, upper
+    bits of most filters of three. Offsets that have ``least_votes`` or more, together
+    with the better neighbour, are verified,
+    most votes first, by the share of differing bits where the two overlap. An
+    overlap of under LEAST_FRAMES that isn't a whole recording needs ``least_votes``
+    of wholly equal seeds.
 
     Empty prints and null ids have no class and no match; repeated ids count once;
     an empty table gives an empty result.
@@ -157,11 +179,15 @@ def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTE
     rows = written(recordings.withColumns({"code": F.when(F.size("prints") > 0, F.xxhash64(F.col("prints"))), "asks": F.coalesce(is_query, F.lit(False))}), "prints")
     sized = rows.where("code is not null and id is not null")
     classes = written(sized.groupBy("code").agg(F.min("id").alias("class_id"), F.max("asks").alias("asks"), F.first("prints").alias("prints")), "classes")
-    seeds = classes.select("class_id", "asks", F.explode(seeds_of("prints", kinds)).alias("s")).select("class_id", "asks", "s.*")
-    asking = seeds.where("asks").select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at"))
-    votes = asking.join(seeds.drop("asks"), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count().where(F.col("count") >= least_votes)
-    order = F.struct((-F.col("count")).alias("votes"), F.abs("offset").alias("far"), "offset")
-    best = votes.groupBy("query", "class_id").agg(F.transform(F.array_sort(F.collect_list(order)), lambda o: o["offset"]).alias("offsets"))
+    every = seeds(classes, kinds)
+    asking = seeds(classes.where("asks"), kinds).select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at"))
+    votes = asking.join(every.drop("asks"), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count()
+    # half a hop apart, votes fall on two offsets: those count together
+    pairs = votes.groupBy("query", "class_id").agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct("offset", "count"))).alias("by")).where(F.col("all") >= least_votes)
+    near = lambda o, d: F.coalesce(F.try_element_at("by", o + d), F.lit(0))
+    enough = F.filter(F.map_keys("by"), lambda o: near(o, 0) + F.greatest(near(o, 1), near(o, -1)) >= least_votes)
+    order = F.transform(enough, lambda o: F.struct((-near(o, 0)).alias("votes"), F.abs(o).alias("far"), o.alias("offset")))
+    best = pairs.select("query", "class_id", F.transform(F.array_sort(order), lambda o: o["offset"]).alias("offsets")).where(F.size("offsets") > 0)
     left, right = classes.select(F.col("class_id").alias("query"), F.col("prints").alias("mine")), classes.select("class_id", F.col("prints").alias("other"))
 
     @F.pandas_udf("struct<offset:int,frames:int,bit_error:double>")
@@ -195,5 +221,6 @@ def tune(vector: list[float | None] | None, per_note: int = 256) -> bytes | None
 
 
 def op7_chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector of ``embeddings``, played as a tune: its class, and for ids divisible by 20 what aligns with it."""
     prints = fingerprints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", decode=tune)
     return align(prints, F.col("id") % 20 == 0, kinds=TOLERANT_SEEDS).withColumnRenamed("id", "vec_id")

@@ -26,7 +26,7 @@ def brute_force(a, b):
 
 
 #: Note length, noise and samples left out at the start: half a hop is 64.
-@pytest.mark.parametrize("note, noise, skip, least", [(0.1, 0.05, 64, 12), (0.3, 0.05, 64, 12), (0.3, 0.2, 0, 12), (0.1, 0.4, 0, 12), (0.3, 0.4, 64, 11)])
+@pytest.mark.parametrize("note, noise, skip, least", [(0.1, 0.05, 64, 12), (0.3, 0.05, 64, 12), (0.3, 0.2, 0, 12), (0.1, 0.4, 0, 12), (0.3, 0.4, 64, 12)])
 def test_noisy_and_shifted_copies_are_found(spark, note, noise, skip, least):
     rows = [(20 * k, song(k, note)) for k in range(12)] + [(20 * k + 1, song(k, note, noise, skip)) for k in range(12)]
     prints = {k: fingerprint(pcm) for k, pcm in rows}
