@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from spanloom.llm.common import Scratch, written
 
 
-def _state(links: DataFrame) -> tuple:
-    """A fingerprint of the link set: its size and an order-free sum of hashes."""
-    row = links.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")).first()
-    return row["n"], row["s"]
+def _settled(links: DataFrame) -> bool:
+    """Whether the links are stars: no node has two smaller neighbours, or a smaller and a larger one."""
+    ends = links.select(F.col("a").alias("u"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select(F.col("b").alias("u"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    sums = ends.groupBy("u").agg(F.sum("up").alias("up"), F.sum("down").alias("down"))
+    return sums.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def _large_star(links: DataFrame, keep: Scratch) -> DataFrame:
@@ -35,19 +36,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     are ignored; repeated links count once; an empty table gives an empty one.
     The rounds grow with the logarithm of the longest chain. Each round is a
     group-by with partial aggregation and one join of two written tables, whose
-    hot keys AQE splits; only a count and a sum reach the driver. A round's tables
-    are deleted when the next one's are written.
+    hot keys AQE splits; the driver only learns whether the links are stars by now.
+    A round's tables are deleted when the next one's are written.
     """
     keep = Scratch(links.sparkSession)
     links = keep.put(links.where("a is not null and b is not null and a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    before = _state(links)
-    while before[0]:
+    while not _settled(links):
         links = keep.put(_large_star(links, keep), "large")
         links = keep.put(_small_star(links, keep), "links")
-        after = _state(links)
-        if after == before:
-            break
-        before = after
     found = written(links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()), "components")
     keep.drop("links", "large", "star")
     return found

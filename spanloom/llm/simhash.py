@@ -219,9 +219,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     nodes = keep.put(drawn.groupBy("node", "fp").agg(F.min("id").alias("least")), "nodes")
     heads = keep.put(nodes.groupBy("fp").agg(F.min("node").alias("head")), "heads")
     balls = ball_links(heads.select("fp"), radius).join(heads.toDF("a", "na"), "a").join(heads.toDF("b", "nb"), "b").select(F.col("na").alias("a"), F.col("nb").alias("b"))
-    links = nodes.join(heads, "fp").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).unionByName(balls)
-    roots = keep.put(connected_components(links), "roots")
-    keep.drop("heads")
+    links = keep.put(nodes.join(heads, "fp").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).unionByName(balls), "balls")
+    roots = heads.select(F.col("head").alias("node"), F.col("head").alias("root")).limit(0)
 
     rows = keep.put(drawn.select("node", F.size("grams").alias("n"), F.explode("bands").alias("key")).distinct(), "bands")
     shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
@@ -234,7 +233,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     for others in (False, True):
         led = members.join(_leaders(members).select("key", "r"), "key").where("root != r").drop("r") if others else members
-        roots = keep.put(_merged(roots, _verified(_led(members, _leaders(led), similarity), grams, similarity)), "roots")
+        close = _verified(_led(members, _leaders(led), similarity), grams, similarity)
+        roots = keep.put(_merged(roots, close if others else close.unionByName(links)), "roots")
         members = keep.put(_parted(_rooted(members, roots)), "members")
     pairs = keep.put(_prefix_pairs(members, grams, similarity), "pairs")
     roots = keep.put(_merged(roots, _verified(pairs, grams, similarity)), "roots")
