@@ -84,7 +84,7 @@ def without_false_positives(annotations: DataFrame, hits: DataFrame, keys: tuple
 
 
 #: One letter for what a token can be in a name; the first that holds is taken.
-CODES = "H salutation, D title, R role, B first and last name, F first name, S last name, M other lexicon, C capitalised, U capitals, I initial, p particle, l lower case, n number, N newline, and marks as themselves"
+CODES = "L dear, w nach, H salutation, D title, R role, B first and last name, F first name, S last name, M other lexicon, C capitalised, U capitals, I initial, p particle, l lower case, n number, N newline, and marks as themselves"
 
 
 def name_codes(words: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -97,7 +97,7 @@ def name_codes(words: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ("doc_
     t = words.join(flags, [*keys, "start", "end"], "left")
     s = F.col("string")
     code = (
-        F.when(s.isin("Herr", "Herrn", "Frau", "Hr", "Fr", "Ehepaar", "Familie"), "H").when(s.isin("Dr", "Prof", "PD", "Professor", "med"), "D").when(s.isin("OA", "AA", "UA", "OÄ", "AÄ", "JA"), "R")
+        F.when(s.rlike("^[Ll]iebe[r]?$"), "L").when(s == "nach", "w").when(s.isin("Herr", "Herrn", "Frau", "Hr", "Fr", "Ehepaar", "Familie"), "H").when(s.isin("Dr", "Prof", "PD", "Professor", "med"), "D").when(s.isin("OA", "AA", "UA", "OÄ", "AÄ", "JA"), "R")
         .when((F.col("first") == 1) & (F.col("last") == 1), "B").when(F.col("first") == 1, "F").when(F.col("last") == 1, "S").when(F.col("other") == 1, "M")
         .when(F.col("kind") == "newline", "N").when(F.col("kind") == "number", "n").when(s.isin("de", "von", "da", "dos"), "p")
         .when(F.col("kind") == "punctuation", F.when(s.rlike(r"^[-.,/()&]$"), s).otherwise("_"))

@@ -12,7 +12,7 @@ from spanloom.functions import dates as fd
 from spanloom.functions import names as fn
 from spanloom.functions.paths import path_matches
 from spanloom.functions.text import TOKEN, context, matches, orth, xml_escape
-from spanloom.operators import contexts, diagnosis, evaluate, features, fields, lexicon, resolve, substitute, tokens
+from spanloom.operators import contexts, diagnosis, evaluate, features, fields, lexicon, lookup_rules, resolve, substitute, tokens
 from spanloom.operators.names import name_annotations
 from spanloom.operators.rules import Rule, annotate
 from spanloom.plans.deidentify import deidentify
@@ -357,6 +357,56 @@ def _(spark, sf):
     return read(spark, sf, "supplier").select("s_suppkey", F.array_join(fn.clean_formats(F.array(F.lit("ll"), F.lit("ff ll"), F.lit("ff ll")), value), ",").alias("formats"))
 
 
+
+
+def in_contexts(name: str, cases: list[tuple[str, list]], phases: dict[str, list[Rule]]) -> None:
+    """Templates that are fields of a kind."""
+    @register(name, t.expected_sql("supplier", "s_suppkey", [c[1] for c in cases]))
+    def _(spark, sf):
+        kinds = F.array(*[F.lit(c[0]) for c in cases])
+        docs = t.texts(spark, read(spark, sf, "supplier"), "s_suppkey", [c[1] for c in cases]).withColumn("contexts", F.array(F.get(kinds, (F.col("doc_id") % 100).cast("int"))))
+        return annotate(docs, phases, contexts_col="contexts").select("doc_id", "start", "end", "type", "subtype", "text")
+
+
+templated("q_rule_dates_more", "orders", "o_orderkey", t.MORE_DATES, {"Dates": dates.RULES})
+templated("q_rule_contacts_simple", "orders", "o_orderkey", t.MORE_CONTACTS, {"Contacts": others.SIMPLE_CONTACTS})
+templated("q_rule_locations_more", "customer", "c_custkey", t.MORE_LOCATIONS, {"Locations": others.LOCATIONS})
+templated("q_rule_buildings", "customer", "c_custkey", t.BUILDINGS, {"Buildings": others.BUILDINGS})
+templated("q_rule_names_more", "supplier", "s_suppkey", t.MORE_PERSONS, {"Names": others.NAMES})
+in_contexts("q_rule_fields_more", t.MORE_FIELDS, {"Fields": [*others.FIELDS, *others.IDS, *[r for r in others.OCCUPATIONS if r.context]]})
+
+
+def looked_up(spark, docs):
+    words = tokens.work_tokens(tokens.token_table(docs))
+    return words, lexicon.lookups(words, lexicon.read_lexicon(spark.createDataFrame(t.LOOKUP_LEXICON, "term string, major string, minor string, language string")))
+
+
+@register("q_rule_lookups", t.expected_sql("customer", "c_custkey", [c[1] for c in t.LOOKUPS]))
+def _(spark, sf):
+    docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", [c[1] for c in t.LOOKUPS])
+    words, hits = looked_up(spark, docs)
+    kinds = F.array(*[F.array(*[F.lit(k) for k in c[0]]).cast("array<string>") for c in t.LOOKUPS])
+    where = docs.select("doc_id", F.lit(0).alias("start"), F.length("text").alias("end"), F.explode(F.get(kinds, (F.col("doc_id") % 100).cast("int"))).alias("context"))
+    found = annotate(docs, {"Names": others.NAMES, "Locations": others.LOCATIONS})
+    spans = lookup_rules.lookup_annotations(words, hits, where, found).select("doc_id", "start", "end", "type", "subtype").distinct()
+    return docs.join(spans, "doc_id").select("doc_id", "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+
+
+@register("q_rule_traps", t.expected_sql("customer", "c_custkey", t.TRAPS))
+def _(spark, sf):
+    docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.TRAPS)
+    words, hits = looked_up(spark, docs)
+    spans = lookup_rules.without_traps(lexicon.direct_annotations(hits), words, hits)
+    return spans.select("doc_id", "start", "end", "type", "subtype", F.col("term").alias("text"))
+
+
+@register("q_rule_names_by_lexicon", t.expected_sql("customer", "c_custkey", t.LEXICON_NAMES))
+def _(spark, sf):
+    docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.LEXICON_NAMES)
+    spans = name_annotations(*looked_up(spark, docs)).select("doc_id", "start", "end", "type", "subtype")
+    return docs.join(spans, "doc_id").select("doc_id", "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+
+
 # --- fields -------------------------------------------------------------------
 
 

@@ -22,5 +22,7 @@ RULES = [
     Rule("UniqueDoubleNameNegative2", r"(M-.)", (), 100),
     Rule("SimpleDetectPatient", rf"(H\.?)((?:{INITIAL}{{0,2}}{ANY}(?:-?{PREP}{ANY}){{0,5}})|I\.)", ((2, "Name", "patient"),), 0),
     Rule("DoubleNameLeftTriggered", r"([HD]\.?)([CFSB]-[CFSB]|C[FSB])", ((2, "Name", "patient"),)),
+    Rule("FirstNameInSalutation", r"(L)([FB](?:-?[FB])*)", OTHER, 100),
+    Rule("ConsumeMethodSingleAuthor", r"(w[SB])", (), 1000),
     Rule("ConsumeMethodAuthors", rf"({LAST}&{LAST}(?:,n)?)", (), 1000),
 ]

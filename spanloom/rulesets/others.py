@@ -30,6 +30,11 @@ CONTACTS = [
     Rule("NetworkAddress", rf"()({NB}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{NE})", ((2, "Contact", "website"),)),
 ]
 
+#: A shorter list of numbers, for first steps with rules.
+SIMPLE_CONTACTS = [
+    Rule("SwissNumberSimplified", rf"()({NB}0[1-9][0-9]{{1,2}}{S}-?{S}(?:[0-9]{{3}}{S}-?{S}[0-9]{{2}}{S}-?{S}[0-9]{{2}}|[0-9]{{3}}{S}-?{S}[0-9]{{4}}){NE})", ((2, "Contact", "phone number"),)),
+]
+
 IDS = [
     Rule("PatnrTrigger", rf"({B}PatNr{S}[^\p{{L}}\p{{N}}\s]?{S})([0-9]+)", ((2, "ID", "patient ID"),)),
     Rule("PatientIDVerlauf", rf"(#{S})([0-9]{{5,8}}){NE}", ((2, "ID", "patient ID"),), context="Verlauf"),
@@ -41,6 +46,14 @@ IDS = [
     Rule("CardNumber", rf"()({NB}[0-9]{{16}}{NE})", ((2, "ID", "other"),)),
 ]
 
+# Words that name a practice, a home or a clinic.
+INSTITUTION = (
+    "Hausärzte", "Ärztehaus", "Aerztehaus", "Arzthaus", "Permanence", "Ärztezentrum", "Aerztezentrum", "Homecare", "Sozialzentrum", "Altersheim", "Altenheim", "Altersresidenz", "Alterssiedlung", "Alterswohnheim", "Alterszentrum", "Heim", "Pflegheim", "Pflegeheim",
+    "Pflegewohngruppe", "Pflegzentrum", "Pflegezentrum", "Residenz", "Seniorenheim", "Seniorenzentrum", "Übergangspflegheim", "Übergangspflegeheim", "APH", "PZ", "Praxisgemeinschaft", "Beratungsstelle", "Salem", "Spitex", "Tertianum", "Klinik", "Kliniken", "Klinikum", "Rehabilitationsklinik", "Sanatorium", "RehaZentrum", "Zentrum",
+)
+# Roles of those who address a letter.
+ADDRESSOR = r"(?:Direktor(?:in)?|Koordinator(?:in)?|\p{L}*[Mm]anager(?:in)?|Leit[a-z]+|\p{L}?[Ss]pezialist(?:in)?)(?!\p{L})"
+
 NUMBER = rf"(?:{S}[0-9]+[a-zA-Z]?{E})?"
 LOCATIONS = [
     Rule("LocationLeftTrigger", rf"({B}Haltestelle{S})({CAP}(?:[ -]{CAP})*)", ((2, "Location", "other"),)),
@@ -53,9 +66,9 @@ LOCATIONS = [
     Rule("HospitalPostfix", rf"()({B}\p{{L}}+spitals?(?!\p{{L}}))", ((2, "Location", "organisation"),)),
     Rule("HospitalUnit", rf"()({B}(?:Klinik|Institut|Zentrum|Abteilung)(?:{S}und{S}Poliklinik)?{S}für{S}{CAP}(?:{S}{CAP})?(?:{S}(?:,|und){S}{CAP}(?:{S}{CAP})?)*)", ((2, "Location", "organisational unit"),)),
     Rule("HospitalUnitRightTriggered", rf"()({B}\p{{L}}+ologische{S}Klinik{E})", ((2, "Location", "organisational unit"),)),
-    Rule("HospitalUnitPostfix", rf"()({B}(?:Universitäre[sn]?{S})?\p{{Lu}}\p{{Ll}}+(?:klinik|institut|zentrum|departement)(?!\p{{L}}))", ((2, "Location", "organisational unit"),)),
-    Rule("HealthcareOrSocialInstitutions", rf"()({B}(?:Gemeinschaftspraxis|Praxisgemeinschaft|Praxis|Altersheims?|Seniorenheim|Pflegeheim|Spitex|Klinik|Zentrum){S}(?:(?:am|im){S})?(?:\"{CAP}\"|{CAP})(?:{S}AG{E})?)", ((2, "Location", "organisation"),)),
-    Rule("HealthcareOrSocialInstitutionsRightTriggered", rf"()({B}\p{{Lu}}\p{{Ll}}+(?:praxis|{S}-{S}(?:Praxis|Klinik|Wohnheim))(?!\p{{L}}))", ((2, "Location", "organisation"),)),
+    Rule("HospitalUnitPostfix", rf"()({B}(?:Universitäre[sn]?{S})?\p{{Lu}}\p{{Ll}}+(?:klinik|institut|zentrums?|departement)(?!\p{{L}})(?:{S}{CAP})?)", ((2, "Location", "organisational unit"),)),
+    Rule("HealthcareOrSocialInstitutions", rf"()({B}(?:\p{{L}}*[Pp]raxis|(?:Alters{S}-{S})?(?:{'|'.join(INSTITUTION)})s?){S}(?:[^\p{{L}}\p{{N}}\s.,:]{S})?(?:(?:am|im){S})?(?:{CAP}|&)(?:{S}(?:{CAP}|&))*(?:{S}AG{E})?\"?)", ((2, "Location", "organisation"),)),
+    Rule("HealthcareOrSocialInstitutionsRightTriggered", rf"()({B}\p{{Lu}}\p{{Ll}}+(?:[Pp]raxis|{S}-{S}(?:Praxis|Klinik|Rehaklinik|Wohnheim|Ärztezentrum))(?!\p{{L}}))", ((2, "Location", "organisation"),)),
     Rule("CompanyLeftTriggered", rf"({B}Firma{S})({CAP})", ((2, "Location", "organisation"),)),
     Rule("Foundations", rf"()({B}Stiftung{S}{CAP}(?:{S}{CAP}){{0,2}})", ((2, "Location", "organisation"),)),
     Rule("FoundationsRightTriggered", rf"()({B}{CAP}(?:{S}-?{S}{CAP}){{0,2}}{S}-?{S}Stiftung{E}|{B}\p{{Lu}}\p{{Ll}}+stiftung(?:{S}{CAP})?)", ((2, "Location", "organisation"),)),
@@ -115,6 +128,7 @@ FIELDS = [
     Rule("ProcessDateSmallCapsSignField", rf"()({NB}[0-9]{{1,2}}\.[0-9]{{1,2}}(?:\.[0-9]{{2,4}})?)({S}[,/]?{S})({B}(?:\p{{Ll}}{{4,7}}|\p{{Lu}}{{4,7}}){E})", ((2, "Date", "other"), (4, "Name", "medical staff")), context="DateSmallCapsSignField"),
     Rule("ProcessDateSmallCapsSignFieldInv", rf"()({B}(?:\p{{Ll}}{{4,7}}|\p{{Lu}}{{4,7}}){E})({S}[,/]?{S})({NB}[0-9]{{1,2}}\.[0-9]{{1,2}}(?:\.[0-9]{{2,4}})?)", ((2, "Name", "medical staff"), (4, "Date", "other")), context="DateSmallCapsSignField"),
     Rule("ProcessSignatureSmallCapsEndSentenceField", rf"(\({S})?({B}\p{{Ll}}{{5}}{E})({S}\)?{S}\r?\n)", ((2, "Name", "medical staff"),), context="SignatureSmallCapsEndSentenceField"),
+    Rule("AnnotateNamesInAddressor", rf"((?:^|\n){S})({CAP}(?:{S}{CAP})*)({S}\r?\n(?:[^\n]*[^\p{{L}}\n])?{ADDRESSOR})", ((2, "Name", "other"),), context="Addressor"),
     Rule("PatienteninformationExtraction", rf"()({B}{CAPS}(?:-{CAPS})?{S}{CAP})({S},?{S}geb\.?{S})([0-9]{{1,2}}\.[0-9]{{1,2}}\.[0-9]{{2,4}})({S},?{S}Pat-?Nr\.?{S}:?{S})([0-9]+)({S},{S})(\p{{Lu}}\p{{L}}+{S}[0-9]+[a-z]?)({S},{S}(?:CH-)?)([0-9]{{4,5}})({S})({CAP})", ((2, "Name", "patient"), (4, "Date", "DOB"), (6, "ID", "patient ID"), (8, "Location", "street"), (10, "Location", "zip"), (12, "Location", "city")), context="Patienteninformation"),
 ]
 
@@ -140,8 +154,8 @@ LOCATIONS = needing(
     HospitalUnit=("Klinik", "Institut", "Zentrum", "Abteilung"),
     HospitalUnitRightTriggered=("ologische",),
     HospitalUnitPostfix=("klinik", "institut", "zentrum", "departement"),
-    HealthcareOrSocialInstitutions=("raxis", "heim", "Spitex", "Klinik", "Zentrum"),
-    HealthcareOrSocialInstitutionsRightTriggered=("raxis", "Klinik", "Wohnheim"),
+    HealthcareOrSocialInstitutions=("raxis", "rzte", "haus", "heim", "Heim", "entrum", "esidenz", "iedlung", "gruppe", "linik", "Permanence", "Homecare", "APH", "PZ", "Beratungsstelle", "Salem", "Spitex", "Tertianum", "Sanatorium"),
+    HealthcareOrSocialInstitutionsRightTriggered=("raxis", "klinik", "Klinik", "Wohnheim", "Ärztezentrum"),
     CompanyLeftTriggered=("Firma",),
     Foundations=("Stiftung",),
     FoundationsRightTriggered=("tiftung",),

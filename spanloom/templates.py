@@ -114,6 +114,120 @@ PERSONS: list[list[Piece]] = [
 ]
 
 
+N_OTHER, STAFF = ("Name", "other"), ("Name", "medical staff")
+MORE_DATES: list[list[Piece]] = [
+    [("'am '", None), (f"{DAY} || '.' || {MONTH}", None), ("' mg gegeben'", None)],
+    [("'Verlauf '", None), (f"'0' || cast(month(o_orderdate) % 9 + 1 as string) || '/' || {YY}", D), ("' gut'", None)],
+    [("'Visus '", None), (f"'0' || cast(month(o_orderdate) % 9 + 1 as string) || '/' || {YY}", None), ("' Punkte'", None)],
+    [("'BWK '", None), (f"{MONTH} || '/' || {YY}", None), ("' frei'", None)],
+    [("'Wert '", None), (YEAR, None), ("' mmol'", None)],
+    [("'seit '", None), (YY, D), ("' krank'", None)],
+    [("'seit '", None), (YY, None), ("' Jahren krank'", None)],
+    [("'ca. '", None), (NAMES, D), ("'/'", None), (f"'Mai ' || {YEAR}", D), ("' Reha'", None)],
+    [("'zwischen '", None), (f"{DAY} || '.' || {MONTH} || '-' || {DAY} || '.' || {MONTH}", None), ("' mg'", None)],
+    [("'vom '", None), (f"{DAY} || '.'", D), ("' - '", None), (f"{DAY} || '.' || {MONTH} || '.'", D), ("' hier'", None)],
+    [("'Kur '", None), (f"{MONTH} || '/' || {YEAR}", D), ("' - '", None), (f"{MONTH} || '/' || cast(year(o_orderdate) + 1 as string)", D), ("' dort'", None)],
+    [("'Werte '", None), (f"{YEAR} || '-' || {YEAR}", None), ("' mmol'", None)],
+    [("'Ende '", None), (NAMES, D), ("' Kontrolle'", None)],
+]
+MORE_CONTACTS: list[list[Piece]] = [
+    [("'Nummer '", None), (f"'079-' || {KEY3} || '-45-67'", NUMBER), ("' privat'", None)],
+    [("'Nummer '", None), (f"'079 ' || {KEY3} || ' 4567'", NUMBER), ("' privat'", None)],
+    [("'Nummer '", None), (f"'079 ' || {KEY3}", None), ("' x'", None)],
+]
+MORE_LOCATIONS: list[list[Piece]] = [
+    [("'wohnt '", None), (f"({CUSTOMER}) || '-' || ({CUSTOMER}) || '-Strasse 5'", (LOC, "street")), ("' da'", None)],
+    [("'im '", None), ("'Stadtspital'", (LOC, "organisation")), ("' behandelt'", None)],
+    [("'an '", None), ("'urologische Klinik'", (LOC, "organisational unit")), ("' gemeldet'", None)],
+    [("'in '", None), ("'Augenklinik'", (LOC, "organisational unit")), ("''", None)],
+    [("'bei '", None), (f"({CUSTOMER}) || 'praxis'", (LOC, "organisation")), ("' gemeldet'", None)],
+    [("'bei '", None), (f"({CUSTOMER}) || '-Wohnheim'", (LOC, "organisation")), ("' gemeldet'", None)],
+    [("'von '", None), (f"({CUSTOMER}) || ' Stiftung'", (LOC, "organisation")), ("' bezahlt'", None)],
+    [("'ist '", None), ("'deutschsprachig'", (LOC, "geographical adjective")), ("' seither'", None)],
+    [("'eine '", None), ("'Rehaklinik'", None), ("' gesucht'", None)],
+    [("'ins '", None), (f"'Seniorenheim ' || ({CUSTOMER})", (LOC, "organisation")), ("' gezogen'", None)],
+    [("'durch '", None), (f"'Spitex am ' || ({CUSTOMER})", (LOC, "organisation")), ("' versorgt'", None)],
+    [("'im '", None), (f"'Ärztehaus ' || ({CUSTOMER}) || ' & ' || ({CUSTOMER}) || ' AG'", (LOC, "organisation")), ("' gesehen'", None)],
+]
+BUILDINGS: list[list[Piece]] = [
+    [("'auf '", None), ("'NORD 1'", (LOC, "street")), ("' verlegt'", None)],
+    [("'auf '", None), ("'Station A'", (LOC, "street")), ("' verlegt'", None)],
+    [("'in '", None), ("'Zimmer ' || cast(c_custkey as string)", (LOC, "room")), ("' gelegen'", None)],
+    [("'im '", None), ("'Stockwerk B'", (LOC, "other")), ("' gelegen'", None)],
+    [("'Kanton '", None), ("'ZH'", (LOC, "region")), ("' zahlt'", None)],
+]
+MORE_PERSONS: list[list[Piece]] = [
+    [("'durch '", None), (SUPPLIER, STAFF), ("', Pflegefachfrau'", None)],
+    [("'Anwesend: '", None), (SUPPLIER, STAFF), ("', '", None), (f"({SUPPLIER}) || 'a'", STAFF), ("' und mehr'", None)],
+    [("'nach '", None), (f"({SUPPLIER}) || ' et al'", None), ("' gemacht'", None)],
+    [("'laut '", None), (f"({SUPPLIER}) || ' und ' || ({SUPPLIER})", None), ("', 2001'", None)],
+]
+#: The kinds of the field that a text is, and its pieces.
+MORE_FIELDS: list[tuple[str, list[Piece]]] = [
+    ("VisDat", [(SUPPLIER, STAFF)]),
+    ("Patienteninformation", [("'Sie ist '", None), ("cast(s_suppkey % 90 + 1 as string)", AGE), ("' Jahre'", None)]),
+    ("Verlauf", [("'Fall '", None), ("cast(10000 + s_suppkey as string)", ("ID", "case ID"))]),
+    ("PatInfo", [("'Nr '", None), ("cast(10000 + s_suppkey as string)", ("ID", "patient ID"))]),
+    ("DisplayName", [(f"({SUPPLIER}) || ' ' || ({SUPPLIER})", STAFF)]),
+    ("FieldWithSignature", [("'gez '", None), ("'ABCD'", STAFF), ("' ok'", None)]),
+    ("none", [("'gez <'", None), ("'ABC'", STAFF), ("'>'", None)]),
+    ("FieldWithAddress", [("'Klinik Abo Ceda'", (LOC, "organisational unit")), ("', gross'", None)]),
+    ("DateSmallCapsSignField", [("'03.05.2011'", ("Date", "other")), ("' / '", None), ("'abcde'", STAFF)]),
+    ("DateSmallCapsSignField", [("'abcde'", STAFF), ("' '", None), ("'03.05.2011'", ("Date", "other"))]),
+    ("SignatureSmallCapsEndSentenceField", [("'fertig ('", None), ("'abcde'", STAFF), ("') ' || chr(10)", None)]),
+    ("none", [("'geb. '", None), ("'03.05.1961'", ("Date", "DOB")), ("' dort'", None)]),
+    ("none", [("'Sucher: '", None), ("cast(10000 + s_suppkey as string)", NUMBER), ("' rufen'", None)]),
+    ("Addressor", [(f"({SUPPLIER}) || ' ' || ({SUPPLIER})", N_OTHER), ("chr(10) || 'Leiterin Labor'", None)]),
+    ("AnamnesisField", [("'ehemals '", None), (SUPPLIER, OCC), ("' gewesen'", None)]),
+]
+#: Lexicon of the sentences below: term, major, minor, language.
+LOOKUP_LEXICON = [
+    ("Bäcker", "occupation", "occupation", ""), ("Software Engineer", "occupation", "occupation", ""), ("Stadtwerk", "occupation", "employer", ""), ("Zubingen", "location", "city", ""), ("Zug", "location", "city", ""), ("raw", "location", "city", ""),
+    ("KX", "location", "cantons_abbrevs", ""), ("Lindenhof", "location", "street", ""), ("Mara", "name", "firstname", "frequent"), ("Urs", "name", "firstname", ""), ("Lichten", "name", "surname", ""), ("Zuberli", "name", "surname", ""), ("mit", "stop", "stop", ""), ("in", "stop", "stop", ""), ("Kur", "medical", "medical", ""),
+]
+#: The contexts that a text is in, and its pieces.
+LOOKUPS: list[tuple[tuple[str, ...], list[Piece]]] = [
+    (("AnamnesisField",), [("'Früher gesund. '", None), ("'Bäcker'", OCC), ("' seit langem'", None)]),
+    (("AnamnesisField",), [("'Bäcker'", OCC), ("' gewesen'", None)]),
+    (("AnamnesisField", "OccupationContext"), [("'lernte '", None), ("'Bäcker'", OCC), ("' bei '", None), (CUSTOMER, OCC), ("' dann'", None)]),
+    ((), [("'war '", None), ("'Software Engineer'", OCC), ("' im '", None), (CUSTOMER, OCC), ("' dann'", None)]),
+    ((), [("'seit drei Jahren '", None), ("'Bäcker'", OCC), ("' dort'", None)]),
+    ((), [("'kein '", None), ("'Bäcker'", None), ("' dort'", None)]),
+    (("AnamnesisField",), [("'Beruf ('", None), ("'Bäcker'", OCC), ("')'", None)]),
+    (("AnamnesisField",), [("'dort '", None), ("'Stadtwerk'", OCC), ("' angestellt'", None)]),
+    ((), [("'wohnt in '", None), ("'Zubingen (KX)'", (LOC, "city")), ("' seither'", None)]),
+    ((), [("'wohnt '", None), (f"({CUSTOMER}) || 'strasse 5 KX'", (LOC, "other")), ("' da'", None)]),
+    ((), [("'Adresse '", None), ("'CH'", (LOC, "country")), ("'-'", None), ("cast(1000 + c_custkey % 9000 as string)", (LOC, "zip")), ("' Zubingen'", None)]),
+    ((), [("'Wert '", None), ("cast(1000 + c_custkey % 9000 as string)", None), ("' erreicht'", None)]),
+    ((), [("'wohnt '", None), ("'Lindenhof ' || cast(c_custkey % 99 + 1 as string)", (LOC, "street")), ("', da'", None)]),
+    (("NameContext",), [("'sah '", None), ("'Mara'", N_OTHER), ("' kommen'", None)]),
+    ((), [(f"'Herr ' || ({CUSTOMER}) || ', '", None), ("'KX'", (LOC, "other")), ("' dazu'", None)]),
+]
+#: Places that a lexicon gives, and those that are none.
+TRAPS: list[list[Piece]] = [
+    [("'in '", None), ("'Zug'", (LOC, "city")), ("' daheim'", None)],
+    [("'mit '", None), ("'Zug'", None), ("' gereist'", None)],
+    [("'Ort ___raw_null___ fehlt '", None), ("'Zubingen'", (LOC, "city")), ("''", None)],
+]
+LEXICON_NAMES: list[list[Piece]] = [
+    [("'Liebe '", None), ("'Mara'", N_OTHER), ("', danke'", None)],
+    [("'nach '", None), ("'Lichten'", None), ("' operiert'", None)],
+    [("'war '", None), ("'Mara Lichten'", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'Mara ZUBERLI'", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'Lichten, Mara'", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'ZUBERLI Mara'", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'M. Lichten'", N_OTHER), ("' da'", None)],
+    [("'war '", None), (f"'Mara ' || ({CUSTOMER})", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'Urs'", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'Lichten-Zuberli'", N_OTHER), ("' da'", None)],
+    [("'war '", None), ("'Lichten-Kur'", None), ("' da'", None)],
+    [("'Frau '", None), ("'Lichten'", ("Name", "patient")), ("' kommt'", None)],
+    [("'sahen '", None), ("'Lichten'", STAFF), ("' / '", None), ("'Zuberli'", STAFF), ("' heute'", None)],
+    [("'war '", None), ("'Lichten & Zuberli, 1999'", None), ("' da'", None)],
+    [("'Dr. '", None), ("'Lichten'", ("Name", "doctor")), ("' kommt'", None)],
+]
+
+
 def texts(spark: SparkSession, table: DataFrame, key: str, templates: list[list[Piece]]) -> DataFrame:
     """``(doc_id, text)``: each row of the table in each template."""
     pieces = ", ".join(f"struct({k} as k, {' || '.join(f'({e})' for e, _ in t)} as text)" for k, t in enumerate(templates))
