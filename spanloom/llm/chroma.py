@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.llm.common import table, written
+from spanloom.llm.common import bloom, may_hold, table, written
 
 RATE, FRAME, HOP, LOW_HZ, HIGH_HZ = 4000, 512, 128, 200.0, 1800.0
 BANDS, SPAN, FILTERS = 12, 16, 16
@@ -105,6 +105,14 @@ def fingerprints(recordings: DataFrame, id_col: str = "id", media_col: str = "pc
     return recordings.select(id_col, media_col).mapInArrow(run, schema)
 
 
+def _mixed(keys: np.ndarray) -> np.ndarray:
+    """64-bit keys with their bits mixed, one to one."""
+    x = keys.view(np.uint64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
+
+
 def seeds_of(prints: np.ndarray, kinds: tuple[tuple[int, ...], ...]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of the seeds of every kind in a list of packed integers, and their places.
 
@@ -119,21 +127,25 @@ def seeds_of(prints: np.ndarray, kinds: tuple[tuple[int, ...], ...]) -> tuple[np
             at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]) & (prints[:n] != SILENT))
             keys.append(key[at])
             places.append(at)
-    return np.concatenate(keys), np.concatenate(places)
+    return _mixed(np.concatenate(keys)), np.concatenate(places)
 
 
-def seeds(classes: DataFrame, kinds: tuple[tuple[int, ...], ...]) -> DataFrame:
-    """``classes(class_id, asks, prints)`` → ``(class_id, asks, key, at)``: a row for every seed."""
-    fields = [classes.schema["class_id"], classes.schema["asks"], *T.StructType.fromDDL("key long, at int").fields]
+def seeds(classes: DataFrame, kinds: tuple[tuple[int, ...], ...], wanted: np.ndarray | None = None) -> DataFrame:
+    """``classes(class_id, prints)`` → ``(class_id, key, at)``: a row for every seed that the filter ``wanted`` may hold."""
+    fields = [classes.schema["class_id"], *T.StructType.fromDDL("key long, at int").fields]
+    shared = classes.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [seeds_of(np.array(x.as_py(), dtype=np.int64), kinds) for x in batch.column(2)]
-            row = pa.array(np.repeat(np.arange(len(found)), [len(k) for k, _ in found]))
+            found = [seeds_of(np.array(x.as_py(), dtype=np.int64), kinds) for x in batch.column(1)]
+            rows = np.repeat(np.arange(len(found)), [len(k) for k, _ in found])
             keys, places = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 2
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), pa.array(keys), pa.array(places.astype("i4"))], names=[f.name for f in fields])
+            if shared.value is not None:
+                right = may_hold(shared.value, keys)
+                rows, keys, places = rows[right], keys[right], places[right]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(keys), pa.array(places.astype("i4"))], names=[f.name for f in fields])
 
-    return classes.select("class_id", "asks", "prints").mapInArrow(run, T.StructType(fields))
+    return classes.select("class_id", "prints").mapInArrow(run, T.StructType(fields))
 
 
 def alike(a: np.ndarray, b: np.ndarray, offset: int, least_votes: int = LEAST_VOTES, most_error: float = MOST_ERROR) -> tuple[int, float] | None:
@@ -173,15 +185,15 @@ def align(recordings: DataFrame, is_query: Column, least_votes: int = LEAST_VOTE
     overlap of under LEAST_FRAMES that isn't a whole recording needs ``least_votes``
     of wholly equal seeds.
 
+    Seeds that no query has, by a filter of fixed size, stay where they are made.
     Empty prints and null ids have no class and no match; repeated ids count once;
     an empty table gives an empty result.
     """
     rows = written(recordings.withColumns({"code": F.when(F.size("prints") > 0, F.xxhash64(F.col("prints"))), "asks": F.coalesce(is_query, F.lit(False))}), "prints")
     sized = rows.where("code is not null and id is not null")
     classes = written(sized.groupBy("code").agg(F.min("id").alias("class_id"), F.max("asks").alias("asks"), F.first("prints").alias("prints")), "classes")
-    every = seeds(classes, kinds)
-    asking = seeds(classes.where("asks"), kinds).select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at"))
-    votes = asking.join(every.drop("asks"), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count()
+    asking = written(seeds(classes.where("asks"), kinds).select(F.col("class_id").alias("query"), "key", F.col("at").alias("query_at")), "asking")
+    votes = asking.join(seeds(classes, kinds, bloom(asking, "key")), "key").where("query != class_id").groupBy("query", "class_id", (F.col("at") - F.col("query_at")).alias("offset")).count()
     # half a hop apart, votes fall on two offsets: those count together
     pairs = votes.groupBy("query", "class_id").agg(F.sum("count").alias("all"), F.map_from_entries(F.collect_list(F.struct("offset", "count"))).alias("by")).where(F.col("all") >= least_votes)
     near = lambda o, d: F.coalesce(F.try_element_at("by", o + d), F.lit(0))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,6 +66,28 @@ class Scratch:
             target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+#: Bits of a Bloom filter, whatever the number of keys; a key sets one in either half of its 64 bits.
+BLOOM_BITS, SHIFTS = 1 << 27, (0, 32)
+
+
+def bloom(hashes: DataFrame, column: str) -> np.ndarray:
+    """A Bloom filter of a column of 64-bit hashes, of BLOOM_BITS bits: all that the driver gets."""
+    places = F.array(*[F.shiftrightunsigned(F.col(column), k).bitwiseAND(F.lit(BLOOM_BITS - 1)) for k in SHIFTS])
+    words = hashes.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits")).toArrow()
+    out = np.zeros(BLOOM_BITS // 64, dtype=np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+def may_hold(filter_: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which 64-bit hashes can be in the filter; those that are always are."""
+    right = np.ones(len(hashes), dtype=bool)
+    for k in SHIFTS:
+        at = (hashes.view(np.uint64) >> np.uint64(k)).astype(np.int64) & (BLOOM_BITS - 1)
+        right &= filter_[at >> 6] >> (at & 63) & 1 == 1
+    return right
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

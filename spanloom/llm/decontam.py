@@ -14,11 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.llm.common import table, written
+from spanloom.llm.common import bloom, may_hold, table, written
 
 N, LEAST, MATCH, MISMATCH, GAP = 3, 0.5, 2, 1, 1
 INDEX_LIMIT = 1 << 20
-BLOOM_BITS, SHIFTS = 1 << 27, (0, 32)
 WORD = re.compile(r"\w+")
 
 
@@ -171,16 +170,6 @@ def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(find, schema)
 
 
-def bloom(grams: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
-    """A Bloom filter of ``grams(gram)``, of ``bits`` bits (a power of two) whatever their number: two parts of one hash."""
-    places = F.array(*[F.shiftrightunsigned(F.xxhash64("gram"), shift).bitwiseAND(F.lit(bits - 1)) for shift in SHIFTS])
-    words = grams.select(F.explode(places).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at % 64 as int))")).alias("bits"))
-    table_ = words.toArrow()  # bits / 64 rows at most
-    out = np.zeros(bits // 64, dtype=np.int64)
-    out[table_.column("word").to_numpy()] = table_.column("bits").to_numpy()
-    return out
-
-
 def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int, sizes: list[int] | None = None) -> DataFrame:
     """The same passages where the seeds are too many for a task: a shuffled join on the n-gram.
 
@@ -191,19 +180,15 @@ def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int, sizes: list
     hit = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL("version long, pos int, gram string").fields])
     schema = T.StructType([hit.fields[0], *T.StructType.fromDDL(PASSAGE).fields])
     seeds = grams.select("gram").distinct()
-    shared = docs.sparkSession.sparkContext.broadcast(bloom(seeds))
+    shared = docs.sparkSession.sparkContext.broadcast(bloom(seeds.select(F.xxhash64("gram").alias("hash")), "hash"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, bits = shared.value, 64 * len(shared.value)
-
-        def maybe(gram: str) -> bool:
-            digest = xxhash.xxh64_intdigest(gram.encode(), 42)
-            return all(known[(at := digest >> shift & (bits - 1)) >> 6] >> (at & 63) & 1 for shift in SHIFTS)
-
         for batch in batches:
             for row, text in enumerate(batch.column(1).to_pylist()):
                 words = words_of(text)
-                found = [(k, g) for m in sizes or [n] for k in range(len(words) - m + 1) if maybe(g := " ".join(words[k : k + m]))]
+                every = [(k, " ".join(words[k : k + m])) for m in sizes or [n] for k in range(len(words) - m + 1)]
+                hashes = np.array([xxhash.xxh64_intdigest(g.encode(), 42) for _, g in every], dtype=np.uint64)
+                found = [x for x, right in zip(every, may_hold(shared.value, hashes).tolist(), strict=True) if right]
                 at = pa.array(np.full(len(found), row))
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), pa.array([k for k, _ in found], pa.int32()), pa.array([g for _, g in found], pa.string())], names=hit.names)
 
