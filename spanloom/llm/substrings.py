@@ -43,7 +43,7 @@ def anchors(words: list[bytes], window: int = WINDOW, seed: int = SEED_WORDS) ->
 
 def _scan(docs: DataFrame, window: int) -> DataFrame:
     """``(id, version, n_words, sha, anchor, first, n)``: the runs of each text; a row without a run if it has none."""
-    schema = pa.schema([("id", pa.int64()), ("version", pa.int64()), ("n_words", pa.int64()), ("sha", pa.string()), ("runs", pa.list_(pa.struct([("anchor", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])))])
+    schema = pa.schema([("id", pa.int64()), ("version", pa.binary()), ("n_words", pa.int64()), ("sha", pa.string()), ("runs", pa.list_(pa.struct([("anchor", pa.int64()), ("first", pa.int32()), ("n", pa.int32())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -60,7 +60,7 @@ def _scan(docs: DataFrame, window: int) -> DataFrame:
             runs = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([pa.array(a), pa.array(f.astype("i4")), pa.array(n.astype("i4"))], names=["anchor", "first", "n"]))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), runs], schema=schema)
 
-    return docs.select("id", "version", "text").mapInArrow(run, "id long, version long, n_words long, sha string, runs array<struct<anchor:long,first:int,n:int>>")
+    return docs.select("id", "version", "text").mapInArrow(run, "id long, version binary, n_words long, sha string, runs array<struct<anchor:long,first:int,n:int>>")
 
 
 def _segments(touched: DataFrame, window: int) -> DataFrame:
@@ -69,7 +69,7 @@ def _segments(touched: DataFrame, window: int) -> DataFrame:
     Runs of a hot anchor come as single windows, keyed by their words, so that a
     line which very many texts hold is spread over all shards.
     """
-    schema = "key long, part long, id long, version long, first int, n int, words binary"
+    schema = "key long, part long, id long, version binary, first int, n int, words binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -85,7 +85,7 @@ def _segments(touched: DataFrame, window: int) -> DataFrame:
                         high, low = np.frombuffer(digest, dtype="<i8").tolist()
                         for column, x in zip(out, (high if r["hot"] else r["anchor"], low, id_, version, first, n, part), strict=True):
                             column.append(x)
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary())
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names=["key", "part", "id", "version", "first", "n", "words"])
 
     return touched.select("id", "version", "text", "runs").mapInArrow(cut, schema)
@@ -125,7 +125,7 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, shard_words: int =
     whole text occurs under a smaller id has that as ``first_id``: all its windows
     start earlier. ``sha`` is that of all words, joined by one space.
 
-    Equal texts enter once. Texts that share no anchor with another, and hold none
+    Equal texts, those of one 128-bit hash, enter once. Texts that share no anchor with another, and hold none
     twice, can't hold a repeated window and aren't indexed. The rest is cut into
     passages around repeated anchors; passages of one anchor go to one shard, where
     an FM-index over their distinct contents is built and each is streamed through
@@ -136,10 +136,10 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, shard_words: int =
     document in several versions; repeated rows get equal results; an empty table
     gives an empty one.
     """
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.col(text_col).cast("binary").alias("text")).withColumn("version", F.xxhash64("text"))
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("id"), F.col(text_col).cast("binary").alias("text")).withColumn("version", F.unhex(F.md5(F.coalesce("text", F.lit(b"")))))
     scanned = written(_scan(base, window), "runs")
     runs = scanned.select("id", "version", F.explode("runs").alias("run")).select("id", "version", "run.*")
-    ends = [f(c).alias(f"{f.__name__}_{c}") for c in ("version", "first") for f in (F.min, F.max)]
+    ends = [f(c).alias(f"{f.__name__}_{name}") for name, c in (("version", F.xxhash64("version")), ("first", F.col("first"))) for f in (F.min, F.max)]
     repeated = written(runs.groupBy("anchor").agg(*ends, F.count(F.lit(1)).alias("times")).where("min_version < max_version or min_first < max_first").select("anchor", (F.col("times") >= hot).alias("hot")), "anchors")
     wanted = written(runs.join(repeated, "anchor").groupBy("version").agg(F.min("id").alias("id"), F.collect_set(F.struct("anchor", "first", "n", "hot")).alias("runs")), "wanted")
     touched = written(base.join(wanted, ["version", "id"]).dropDuplicates(["version"]), "touched")
