@@ -9,24 +9,46 @@ from pyspark.sql import functions as F
 
 from spanloom.operators import cases, fields
 from spanloom.operators.substitute import Method, Policy
-from spanloom.plans.deidentify import deidentify, diagnoses, find
+from spanloom.operators.lexicon import read_lexicon
+from spanloom.plans.deidentify import Settings, deidentify_reports, diagnoses, find, find_in_reports
 from spanloom.sources import reports
 
 
-def _input(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    """Reports as ``(doc_id, text)``: the leaves of each, a line each."""
+def _reports(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """``(doc_id, content)``: the reports of a folder or a query, after the filters."""
     if a.jdbc_url:
         raw = reports.read_jdbc(spark, a.jdbc_url, a.query).select(F.col(a.id_column).cast("string").alias("doc_id"), F.col(a.json_column).alias("content"), F.col(a.type_column).alias("doc_type"))
         raw = reports.filter_types(raw, a.doc_type or [])
     else:
         raw = (reports.read_xml_folder if a.xml else reports.read_json_folder)(spark, a.input).withColumnRenamed("name", "doc_id")
+    if a.doc_ids:
+        raw = reports.filter_ids(raw, spark.read.text(a.doc_ids).select(F.trim("value").alias("doc_id")))
     if a.max_docs or a.skip_docs:
         raw = reports.skip_limit(raw, "doc_id", a.skip_docs, a.max_docs)
-    leaves = fields.flatten(raw, xml=a.xml)
-    if a.fields_blacklist:
-        leaves = fields.delete_fields(leaves, [r["value"] for r in spark.read.text(a.fields_blacklist).collect() if r["value"].strip() and not r["value"].startswith("#")])
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("field_id", F.coalesce("value", F.lit("")).alias("value")))), lambda f: f["value"])
-    return leaves.groupBy("doc_id").agg(F.concat(F.array_join(lines, "\n"), F.lit("\n")).alias("text"))
+    return raw
+
+
+def _lines(spark: SparkSession, path: str | None) -> list[str]:
+    """The lines of a settings file without comments and empty ones."""
+    return [r["value"] for r in spark.read.text(path).collect() if r["value"].strip() and not r["value"].lstrip().startswith("#")] if path else []
+
+
+def _settings(spark: SparkSession, a: argparse.Namespace) -> Settings:
+    """What the options name: term tables as ``term;major;minor;language``, the rest a line each."""
+    table = lambda path, schema: spark.read.csv(path, sep=";", schema=schema, comment="#") if path else None
+    lexicon = table(a.lexicon, "term string, major string, minor string, language string")
+    mappings = lambda path: tuple(m for m in map(fields.Mapping.parse, _lines(spark, path)) if m)
+    banned = {path.strip(): [x.strip() for x in types.split(",")] for path, types in (line.split(";", 1) for line in _lines(spark, a.blacklist))}
+    return Settings(
+        read_lexicon(lexicon) if lexicon is not None else None, table(a.suffixes, "term string, major string"), table(a.triggers, "token string, context string, left int, right int"), mappings(a.mappings), mappings(a.structured), banned, tuple(_lines(spark, a.fields_blacklist))
+    )
+
+
+def _input(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Reports as ``(doc_id, text)``: the leaves of each, a line each; reports that can't be read are set aside."""
+    raw = _reports(spark, a)
+    fields.quarantine(raw, xml=a.xml).write.mode("overwrite").parquet(f"{a.output}_quarantine")
+    return fields.report_texts(raw, xml=a.xml)
 
 
 def main(args: list[str] | None = None) -> None:
@@ -45,7 +67,10 @@ def main(args: list[str] | None = None) -> None:
         c.add_argument("--doc-type", action="append")
         c.add_argument("--max-docs", type=int, default=0)
         c.add_argument("--skip-docs", type=int, default=0)
+        c.add_argument("--doc-ids", help="a file of ids, one a line")
         c.add_argument("--fields-blacklist")
+        for flag in ("--lexicon", "--suffixes", "--mappings", "--structured", "--blacklist"):
+            c.add_argument(flag)
         if name == "substitute":
             c.add_argument("--method", choices=[m.value for m in Method], default="Scrubber")
             for flag in ("--keep-dates", "--keep-patient-ids", "--keep-case-ids"):
@@ -54,7 +79,7 @@ def main(args: list[str] | None = None) -> None:
                 c.add_argument(flag, type=int)
         if name == "diagnose":
             c.add_argument("--keywords", required=True, help="lines of code;pattern,pattern")
-            c.add_argument("--triggers", required=True, help="lines of token;context;left;right")
+        c.add_argument("--triggers", required=name == "diagnose", help="lines of token;context;left;right")
     c = commands.add_parser("test")
     c.add_argument("cases")
     a = parser.parse_args(args)
@@ -64,13 +89,19 @@ def main(args: list[str] | None = None) -> None:
         bad = cases.failures(docs, expected, find)
         bad.show(1000, False)
         raise SystemExit(int(not bad.isEmpty()))
-    docs = _input(spark, a)
-    if a.command == "annotate":
-        find(docs).write.mode("overwrite").parquet(a.output)
-    elif a.command == "substitute":
+    if a.command in ("annotate", "substitute"):
+        raw = _reports(spark, a)
+        fields.quarantine(raw, xml=a.xml).write.mode("overwrite").parquet(f"{a.output}_quarantine")
+        if a.command == "annotate":
+            find_in_reports(raw, _settings(spark, a), xml=a.xml)[1].write.mode("overwrite").parquet(a.output)
+            return
+        if a.xml:
+            parser.error("substitute writes JSON reports, so it reads those alone")
         policy = Policy(Method(a.method), a.keep_dates, a.keep_patient_ids, a.keep_case_ids, min_days=a.min_days_shift, max_days=a.max_days_shift, seed=a.rnd_seed)
-        reports.write_json(deidentify(docs, policy), a.output)
-    elif a.command == "diagnose":
+        reports.write_json(deidentify_reports(raw, policy, _settings(spark, a)), a.output)
+        return
+    docs = _input(spark, a)
+    if a.command == "diagnose":
         lines = [r["value"].split(";") for r in spark.read.text(a.keywords).collect() if r["value"].strip()]
         triggers = spark.read.csv(a.triggers, sep=";", schema="token string, context string, left int, right int", comment="#")
         reports.write_diagnosis(diagnoses(docs, {code: patterns.split(",") for code, patterns, *_ in lines}, triggers), a.output)

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Words, numbers, newlines, other white space and single marks: together they cover any text.
@@ -15,9 +19,34 @@ def _column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that it uses more than once and that is worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+#: Folds that append copy what they have so far, so they go by blocks of this many items: then none gets long.
+BLOCK = 64
+
+
+def in_blocks(items: Column) -> Column:
+    """An array as an array of arrays of up to BLOCK items."""
+    firsts = lambda x: F.sequence(F.lit(0), F.greatest(F.ceil(F.size(x) / BLOCK).cast("int") - 1, F.lit(0)))
+    return let(items, lambda x: F.when(F.size(x) <= BLOCK, F.array(x)).otherwise(F.transform(firsts(x), lambda b: F.slice(x, b * BLOCK + 1, F.lit(BLOCK)))))
+
+
+def _sums(lengths: Column, start: Column) -> Column:
+    return F.aggregate(lengths, F.array(start), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+
+
 def running(lengths: Column) -> Column:
-    """The sums of an array of lengths before each place (from 0 on)."""
-    return F.aggregate(lengths, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    """The sums of an array of lengths before each place (from 0 on), and of all at the end."""
+
+    def of(blocks: Column) -> Column:
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda acc, n: acc + n))
+        inner = lambda b, at: F.when(b.isNotNull(), F.slice(_sums(b, at), 1, F.size(b))).otherwise(F.array(at))
+        return F.flatten(F.zip_with(blocks, _sums(totals, F.lit(0)), inner))
+
+    return let(in_blocks(lengths), of)
 
 
 def tokens(text: Column | str) -> Column:
@@ -25,6 +54,25 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(_column(text), F.lit(TOKEN), F.lit(0))
 
 
+def with_tokens(docs: DataFrame, text_col: str, out: str, blanks: bool = True) -> DataFrame:
+    """``docs`` with the tokens of a text as structs ``(start, end, string)``; those of blanks alone only if asked for.
+
+    Three projections of the row: the tokens, the running sums of their lengths
+    (of arrays of any length, so summed in Arrow batches), and both together.
+    """
+
+    @F.pandas_udf("array<int>")
+    def ends(lengths: pd.Series) -> pd.Series:
+        return lengths.map(lambda x: None if x is None else np.cumsum(x, dtype=np.int32))
+
+    found = docs.withColumn("_strings", tokens(text_col))
+    placed = found.withColumn("_ends", ends(F.transform("_strings", F.length)))
+    struct = lambda t, end: F.struct((end - F.length(t)).alias("start"), end.alias("end"), t.alias("string"))
+    both = F.zip_with("_strings", "_ends", struct)
+    kept = both if blanks else F.filter(both, lambda t: ~t["string"].rlike(r"^[ \t\f\r]"))
+    return placed.withColumn(out, kept).drop("_strings", "_ends")
+
+
 def kind(token: Column | str) -> Column:
     """word, number, newline, space or punctuation."""
     t = _column(token)
@@ -70,8 +118,14 @@ def best_per_doc(spans: Column, span_type: str) -> Column:
     def step(acc: Column, k: Column) -> Column:
         return F.when(k["s"] >= acc["at"], F.struct(k["c"]["end"].alias("at"), F.concat(acc["out"], F.array(k["c"])).alias("out"))).otherwise(acc)
 
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span_type}>").alias("out"))
-    return F.aggregate(F.array_sort(F.transform(spans, key)), first, step, lambda acc: acc["out"])
+    none = F.array().cast(f"array<{span_type}>")
+
+    def block(acc: Column, keys: Column) -> Column:
+        part = F.aggregate(keys, F.struct(acc["at"].alias("at"), none.alias("out")), step)
+        return F.struct(part["at"].alias("at"), F.concat(acc["out"], F.array(part["out"])).alias("out"))
+
+    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{span_type}>>").alias("out"))
+    return F.aggregate(in_blocks(F.array_sort(F.transform(spans, key))), first, block, lambda acc: F.flatten(acc["out"]))
 
 
 def context(text: Column | str, start: Column, end: Column, width: int) -> tuple[Column, Column]:

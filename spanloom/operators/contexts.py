@@ -2,28 +2,52 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.text import let, running, with_tokens
 
-def trigger_contexts(words: DataFrame, triggers: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+
+#: Triggers are settings, looked up within each row: more than this many raise.
+MOST_TRIGGERS = 5000
+
+
+def trigger_contexts(docs: DataFrame, triggers: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``(keys, start, end, context)``: from ``left`` + 1 tokens before a trigger to ``right`` + 1 after it.
 
-    ``triggers(token, context, left, right)``; a trigger of several words is matched
-    as a run of tokens. Contexts end at the borders of the document.
+    ``triggers(token, context, left, right)``, tokens without blanks; a trigger of
+    several words is matched as a run of tokens. Contexts end at the borders of the
+    text. Everything happens within the row: a scan of its tokens, no shuffle.
     """
-    parsed = triggers.withColumn("parts", F.split("token", " ")).withColumn("n", F.size("parts"))
-    w = Window.partitionBy(*keys)
-    longest = parsed.agg(F.max("n")).first()[0] or 1
-    order = w.orderBy("tok_idx")
-    ahead = F.array(F.col("string"), *[F.lead("string", k).over(order) for k in range(1, longest)])
-    seen = words.select(*keys, "tok_idx", F.max("tok_idx").over(w).alias("_last"), ahead.alias("_run"))
-    runs = seen.select(*keys, "tok_idx", "_last", F.explode(F.transform(F.sequence(F.lit(1), F.lit(longest)), lambda n: F.struct(n.alias("n"), F.array_join(F.slice("_run", 1, n), " ").alias("token")))).alias("r")).select(*keys, "tok_idx", "_last", "r.*")
-    hits = runs.join(F.broadcast(parsed.select("token", "n", "context", "left", "right")), ["token", "n"])
-    spans = hits.select(*keys, "context", F.greatest(F.col("tok_idx") - 1 - F.col("left"), F.lit(0)).alias("first"), F.least(F.col("tok_idx") + F.col("n") + F.col("right"), F.col("_last")).alias("last"))
-    a = words.select(*keys, F.col("tok_idx").alias("first"), F.col("start").alias("start"))
-    b = words.select(*keys, F.col("tok_idx").alias("last"), F.col("end").alias("end"))
-    return spans.join(a, [*keys, "first"]).join(b, [*keys, "last"]).select(*keys, "start", "end", "context")
+    rows = triggers.select("token", "context", "left", "right").where("token is not null").limit(MOST_TRIGGERS + 1).collect()
+    if len(rows) > MOST_TRIGGERS:
+        raise ValueError(f"more than {MOST_TRIGGERS} triggers")
+    by: dict[str, list] = {}
+    for r in rows:
+        by.setdefault(r["token"], []).append(r)
+    hit = lambda r: F.struct(F.lit(r["context"]).alias("context"), F.lit(r["left"]).alias("left"), F.lit(r["right"]).alias("right"))
+    if not by:
+        return docs.select(*keys, F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("context")).limit(0)
+    known = F.create_map(*[x for token, rs in by.items() for x in (F.lit(token), F.array(*[hit(r) for r in rs]))])
+    firsts = F.array(*[F.lit(t.split(" ")[0]) for t in by])
+    sizes = sorted({len(t.split(" ")) for t in by})
+    words = with_tokens(docs.select(*dict.fromkeys([*keys, text_col])), text_col, "_t", blanks=False)
+    words = words.withColumn("_s", F.transform("_t", lambda t: t["string"]))
+    at = F.filter(F.transform("_s", lambda s, i: F.when(F.array_contains(firsts, s), i)), lambda i: i.isNotNull())
+    words = words.withColumn("_at", at).where(F.size("_at") > 0)
+    none = F.array().cast("array<struct<context:string,left:int,right:int>>")
+
+    def place(i: Column, n: Column, h: Column) -> Column:
+        last = F.size("_s") - 1
+        start, end = F.get("_t", F.greatest(i - 1 - h["left"], F.lit(0)))["start"], F.get("_t", F.least(i + n + h["right"], last))["end"]
+        return F.struct(start.alias("start"), end.alias("end"), h["context"].alias("context"))
+
+    def spans(i: Column) -> Column:
+        runs = F.array(*[F.struct(F.lit(n).alias("n"), F.array_join(F.slice("_s", i + 1, n), " ").alias("token")) for n in sizes])
+        inside = F.filter(runs, lambda r: i + r["n"] <= F.size("_s"))
+        return F.flatten(F.transform(inside, lambda r: F.transform(F.coalesce(F.try_element_at(known, r["token"]), none), lambda h: place(i, r["n"], h))))
+
+    return words.select(*keys, F.explode(F.flatten(F.transform("_at", spans))).alias("c")).select(*keys, "c.*")
 
 
 def metadata_annotations(words: DataFrame, metadata: DataFrame, hits: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -47,10 +71,13 @@ def propagate(docs: DataFrame, annotations: DataFrame, text_col: str = "text", k
     """Every occurrence of a sure annotation's text in its document gets its type.
 
     Sure are structured annotations and those above a confidence of 80, if their
-    text has a space; each text counts once a document.
+    text has a space; each text counts once a document. Places are those where the
+    text is cut by it, so they don't overlap and the work is one pass.
     """
     sure = annotations.where("text like '% %' and (rule like 'FieldMapping%' or coalesce(try_cast(confidence as double), 50) > 80)")
     texts = sure.groupBy(*keys, "text").agg(F.min_by(F.struct("type", "rule"), F.col("start")).alias("a"))
     both = docs.select(*keys, F.col(text_col).alias("_whole")).join(texts, list(keys))
-    places = F.filter(F.sequence(F.lit(1), F.greatest(F.length("_whole") - F.length("text") + 1, F.lit(1))), lambda i: F.col("_whole").substr(i, F.length("text")) == F.col("text"))
+    quoted = F.concat(F.lit(r"\Q"), F.replace("text", F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E"))
+    before = F.transform(F.split("_whole", quoted, -1), lambda part: F.length(part) + F.length("text"))
+    places = F.transform(let(running(before), lambda ends: F.slice(ends, 2, F.size(ends) - 2)), lambda end: end - F.length("text") + 1)
     return both.select(*keys, "text", "a", F.explode(places).alias("at")).select(*keys, (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.length("text")).alias("end"), "a.type", F.concat(F.lit("HighConfidence-"), "a.rule").alias("rule"), "text")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.paths import path_matches
+from spanloom.functions.text import running
 
 LEAVES = "array<struct<path:array<string>,steps:array<string>,value:string,is_null:boolean>>"
 ITEM = "LISTELEMENT"
@@ -84,15 +85,22 @@ def flatten(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...]
     """
     leaves = reports.select(*keys, (xml_leaves if xml else json_leaves)(json_col).alias("leaves"))
     lengths = F.transform("leaves", lambda f: F.length(F.coalesce(f["value"], F.lit(""))) + 1)
-    starts = F.aggregate(lengths, F.array(F.lit(0)), lambda acc, n: F.concat(acc, F.array(F.element_at(acc, -1) + n)))
+    starts = running(lengths)
     rows = leaves.withColumn("starts", starts).select(*keys, "starts", F.posexplode("leaves").alias("field_id", "f"))
     start = F.get("starts", F.col("field_id"))
     return rows.select(*keys, "field_id", "f.path", F.element_at("f.path", -1).alias("name"), "f.value", "f.is_null", start.alias("start"), (start + F.length(F.coalesce("f.value", F.lit("")))).alias("end"), "f.steps")
 
 
-def quarantine(reports: DataFrame, json_col: str = "content") -> DataFrame:
+def report_texts(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",), xml: bool = False) -> DataFrame:
+    """``(keys, text)``: each report's values, a line each, as ``flatten`` counts them; put together within the row."""
+    leaves = reports.select(*keys, (xml_leaves if xml else json_leaves)(json_col).alias("leaves")).where("leaves is not null")
+    lines = F.transform("leaves", lambda f: F.concat(F.coalesce(f["value"], F.lit("")), F.lit("\n")))
+    return leaves.select(*keys, F.array_join(lines, "").alias("text"))
+
+
+def quarantine(reports: DataFrame, json_col: str = "content", xml: bool = False) -> DataFrame:
     """Reports that can't be read: they are kept apart and never pass on unannotated."""
-    return reports.where(json_leaves(json_col).isNull())
+    return reports.where((xml_leaves if xml else json_leaves)(json_col).isNull())
 
 
 def _put(node, rest):
@@ -105,11 +113,17 @@ def _put(node, rest):
 
 
 def with_values(report: Column | str, values: Column | str) -> Column:
-    """The reports with the values of their leaves, in order, put in; null leaves stay null."""
+    """The reports with the values of their leaves, in order, put in; null leaves stay null, and so does what isn't JSON."""
 
     @F.pandas_udf("string")
     def put(reports: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([json.dumps(_put(json.loads(r), iter(v)), ensure_ascii=False) if r is not None and v is not None else None for r, v in zip(reports, lists, strict=True)])
+        return pd.Series([one(r, v) if r is not None and v is not None else None for r, v in zip(reports, lists, strict=True)], dtype=object)
+
+    def one(report: str, values) -> str | None:
+        try:
+            return json.dumps(_put(json.loads(report), iter(values)), ensure_ascii=False)
+        except ValueError:
+            return None
 
     return put(report, values)
 

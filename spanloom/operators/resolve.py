@@ -23,12 +23,14 @@ def trim_spans(spans: DataFrame) -> DataFrame:
 def merge_spans(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One pass over a document's spans of a type, in order: contained ones go, coextensive ones merge.
 
-    ``spans(keys, ann_id, start, end, type, subtype)``. Coextensive spans merge if
-    their subtypes agree, or one is missing or ``other``, which then gives way; the
-    later id's values come first. The group is one document's spans of one type.
+    ``spans(keys, ann_id, start, end, type, subtype)`` and other columns, which go
+    along. Coextensive spans merge if their subtypes agree, or one is missing or
+    ``other``, which then gives way; the later id's values come first. The group is
+    one document's spans of one type.
     """
-    rows = F.collect_list(F.struct("ann_id", "start", "end", "subtype"))
-    grouped = spans.groupBy(*keys, "type").agg(rows.alias("r"))
+    more = [c for c in spans.columns if c not in (*keys, "type", "ann_id", "start", "end", "subtype")]
+    names = ["ann_id", "start", "end", "subtype", *more]
+    grouped = spans.groupBy(*keys, "type").agg(F.collect_list(F.struct(*names)).alias("r"))
     weak = lambda t: t.isNull() | t.isin("", "other")
     none = F.filter("r", lambda _: F.lit(False))
 
@@ -36,13 +38,14 @@ def merge_spans(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFr
         a, last = k["a"], F.try_element_at(acc, F.lit(-1))
         same = (last["start"] == a["start"]) & (last["end"] == a["end"])
         agree = weak(last["subtype"]) | weak(a["subtype"]) | (last["subtype"] == a["subtype"])
-        merged = F.struct(last["ann_id"].alias("ann_id"), last["start"].alias("start"), last["end"].alias("end"), F.when(weak(last["subtype"]), F.coalesce(F.when(~weak(a["subtype"]), a["subtype"]), last["subtype"], a["subtype"])).otherwise(last["subtype"]).alias("subtype"))
+        subtype = F.when(weak(last["subtype"]), F.coalesce(F.when(~weak(a["subtype"]), a["subtype"]), last["subtype"], a["subtype"])).otherwise(last["subtype"])
+        merged = F.struct(*[subtype.alias(c) if c == "subtype" else last[c].alias(c) for c in names])
         inside = (last["start"] <= a["start"]) & (a["end"] <= last["end"])
         rest = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
         return F.when(last.isNull(), F.array(a)).when(same & agree, F.concat(rest, F.array(merged))).when(inside & ~same, acc).otherwise(F.concat(acc, F.array(a)))
 
     folded = F.aggregate(_ordered(F.col("r")), none, step)
-    return grouped.select(*keys, "type", F.explode(folded).alias("a")).select(*keys, "a.ann_id", "a.start", "a.end", "type", "a.subtype")
+    return grouped.select(*keys, "type", F.explode(folded).alias("a")).select(*[c if c in (*keys, "type") else F.col(f"a.{c}").alias(c) for c in spans.columns])
 
 
 def remove_weaker(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.dates import as_date, date_parts, format_date
+from spanloom.functions.text import let
 
 
 class Method(Enum):
@@ -121,23 +122,23 @@ def replacement(policy: Policy) -> Column:
 def rebuild_text(text: Column, spans: Column) -> Column:
     """``text`` with each span's ``new`` in its place; spans don't overlap.
 
-    ``spans`` is an array of ``(start, end, new)``. Gaps and replacements are put
-    together in order, so the work is one pass over the row's own text.
+    ``spans`` is an array of ``(start, end, new)``. Each part is a gap and the
+    replacement behind it; parts are joined once, so nothing is copied again.
     """
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["new"].alias("new"))))
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    step = lambda acc, s: F.struct(s["end"].alias("at"), F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), s["new"]).alias("out"))
-    return F.aggregate(ordered, first, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    part = lambda s, at: F.when(s.isNotNull(), F.concat(F.substring(text, at + 1, s["start"] - at), F.coalesce(s["new"], F.lit("")))).otherwise(F.substring(text, at + 1, F.length(text)))
+    return let(ordered, lambda o: F.array_join(F.zip_with(o, F.concat(F.array(F.lit(0)), F.transform(o, lambda s: s["end"])), part), ""))
 
 
-def substitute(docs: DataFrame, spans: DataFrame, policy: Policy, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def substitute(docs: DataFrame, spans: DataFrame, policy: Policy, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",), owner: tuple[str, ...] | None = None) -> DataFrame:
     """``docs`` with their spans replaced. ``spans(keys, start, end, type, subtype, rule, text)`` must not overlap.
 
     The text is joined with its spans once; a document without a span stays.
+    ``owner``: the keys whose dates are shifted alike, if not ``keys``.
     """
     chosen = spans if policy.whole_address else spans.where("type != 'Address'")
     if policy.method is Method.DATE_SHIFT:
-        chosen = with_shifted(chosen, policy, keys)
+        chosen = with_shifted(chosen, policy, owner or keys)
     new = replacement(policy)
     rows = chosen.select(*keys, F.struct("start", "end", new.alias("new")).alias("s")).groupBy(*keys).agg(F.collect_list("s").alias("_spans"))
     return docs.join(rows, list(keys), "left").withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(rebuild_text(F.col(text_col), F.col("_spans")))).drop("_spans")

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import kind, orth, tokens
+from spanloom.functions.text import kind, orth, with_tokens
 
 
 def token_table(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``(keys, tok_idx, start, end, string, kind, orth, length)``: every token, spaces included.
 
-    The text itself is left behind at once; offsets are running sums over one
-    sort by key, which later windows over the same keys use again.
+    Offsets are worked out within the row, so there is no shuffle, and rows that
+    repeat an id, or have none, each have their own. A null text has no token.
     """
-    words = docs.select(*keys, F.posexplode(tokens(text_col)).alias("tok_idx", "string"))
-    before = Window.partitionBy(*keys).orderBy("tok_idx").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.length("string")).over(before), F.lit(0)).cast("int")
-    return words.withColumn("start", start).select(*keys, "tok_idx", "start", (F.col("start") + F.length("string")).alias("end"), "string", kind("string").alias("kind"), orth("string").alias("orth"), F.length("string").alias("length"))
+    placed = with_tokens(docs.select(*dict.fromkeys([*keys, text_col])), text_col, "_tokens")
+    words = placed.select(*keys, F.posexplode("_tokens").alias("tok_idx", "_t")).select(*keys, "tok_idx", "_t.*")
+    return words.select(*keys, "tok_idx", "start", "end", "string", kind("string").alias("kind"), orth("string").alias("orth"), F.length("string").alias("length"))
 
 
 def work_tokens(table: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

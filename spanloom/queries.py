@@ -15,7 +15,7 @@ from spanloom.functions.text import TOKEN, context, matches, orth, xml_escape
 from spanloom.operators import contexts, diagnosis, evaluate, features, fields, lexicon, lookup_rules, resolve, substitute, tokens
 from spanloom.operators.names import name_annotations
 from spanloom.operators.rules import Rule, annotate
-from spanloom.plans.deidentify import deidentify
+from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, find_in_reports
 from spanloom.rulesets import dates, others
 from spanloom.sources import reports
 
@@ -455,6 +455,20 @@ def _(spark, sf):
     return fields.without_forbidden(spans, f, {"Patient/Name": ["Name", "Location"]}).select("doc_id", "start")
 
 
+REPORT_SETTINGS = {"mappings": (fields.Mapping("Eintrag//", "Entry"),), "structured": (fields.Mapping.parse("Patient/Name; Name; type=patient"),), "blacklist": {"Patient/Gruppe": ["Name", "Location"]}, "deleted": ("Patient/Gruppe",)}
+
+
+@register("q_deidentify_reports", SQL_REPORTS + """ select doc_id, '{"Patient": {"Name": "NAME", "Gruppe": ""}, "Eintrag": [{"Text": "' || o_orderpriority || '"}, {"Text": "' || o_orderstatus || '"}], "Leer": null}' as content from r""")
+def _(spark, sf):
+    """The whole chain from report to report, all stages and rules."""
+    return deidentify_reports(order_reports(spark, sf), substitute.Policy(), Settings(**REPORT_SETTINGS))
+
+
+@register("q_report_spans", SQL_REPORTS + """ select doc_id, 0 as "start", cast(length(c_name) as int) as "end", 'Name' as type, 'patient' as subtype from r""")
+def _(spark, sf):
+    return find_in_reports(order_reports(spark, sf), Settings(**REPORT_SETTINGS))[1].select("doc_id", "start", "end", "type", "subtype")
+
+
 @register("q_field_deletion", SQL_REPORTS + """ select doc_id, '{"Patient": {"Name": "", "Gruppe": "' || c_mktsegment || '"}, "Eintrag": [{"Text": "' || o_orderpriority || '"}, {"Text": "' || o_orderstatus || '"}], "Leer": null}' as content from r""")
 def _(spark, sf):
     docs = order_reports(spark, sf)
@@ -495,7 +509,7 @@ arr as (select doc_id, list(s order by i) as ss, list(e order by i) as ee from w
 select h.doc_id, c as context, count(*) as n, cast(sum(ss[a + 1]) as bigint) as sum_start, cast(sum(ee[b + 1]) as bigint) as sum_end from h join arr on arr.doc_id = h.doc_id group by h.doc_id, c""")
 def _(spark, sf):
     triggers = spark.createDataFrame(TRIGGERS, "token string, context string, left int, right int")
-    found = contexts.trigger_contexts(tokens.work_tokens(doc_tokens(spark, sf)), triggers)
+    found = contexts.trigger_contexts(read(spark, sf, "documents").select("doc_id", "text"), triggers)
     return found.groupBy("doc_id", "context").agg(F.count(F.lit(1)).alias("n"), F.sum("start").alias("sum_start"), F.sum("end").alias("sum_end"))
 
 
@@ -592,7 +606,7 @@ m as (select d.doc_id, d.s, d.e, d.string, d.code, case when bool_or(trigger = '
 def found_diagnoses(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     triggers = spark.createDataFrame([("that", "ExclusionContext", 0, 3), ("or", "SuspectionContext", 0, 3)], "token string, context string, left int, right int")
-    around = contexts.trigger_contexts(tokens.work_tokens(tokens.token_table(docs)), triggers)
+    around = contexts.trigger_contexts(docs, triggers)
     return diagnosis.certainty(diagnosis.keyword_annotations(docs, KEYWORDS), around)
 
 
