@@ -32,14 +32,15 @@ CANDIDATE = re.compile(
     r"|(?P<provider>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}\b|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bsk-[A-Za-z0-9_-]{20,})"
     r"|(?P<web_token>\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"
     r"|(?:pass(?:word|wd|phrase)|pwd|secret|token|key|credentials?|bearer)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<assigned>[^\s\"']{8,})"
-    r"|(?<![A-Za-z0-9+/_=-])(?P<opaque>(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2})(?![A-Za-z0-9+/_=-])",
+    r"|://[^\s:/@]{1,64}:(?P<in_url>[^\s:/@]{4,})@"
+    r"|(?<![A-Za-z0-9+/_-])(?P<opaque>(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2})(?![A-Za-z0-9+/_=-])",
     re.IGNORECASE,
 )
 #: Every candidate holds one of these, so other texts are passed over quickly.
 HINT = re.compile(r"[A-Za-z0-9+/_-]{20}|[:=]|-----BEGIN|(?i:xox)")
-KINDS = ("private_key", "provider", "web_token", "assigned", "opaque")
+KINDS = ("private_key", "provider", "web_token", "assigned", "in_url", "opaque")
 WORD = re.compile(r"[A-Za-z][a-z]+|[A-Z]+(?![a-z])|\d+")
-FEATURES = 22
+FEATURES = 23
 
 
 def _class(c: str) -> int:
@@ -60,7 +61,7 @@ def features(kind: str, value: str, path: str | None, before: str, after: str) -
         sum(v for (a, b), v in moves.items() if a != b) / n, (moves[0, 2] + moves[2, 0]) / n, (moves[0, 1] + moves[1, 0]) / n, (moves[1, 2] + moves[2, 1]) / n,
         sum(value[i] == value[i - 1] for i in range(1, len(value))) / n, max(counts.values(), default=0) / n,
         covered / n, float(set(value.lower()) <= set("0123456789abcdef")), float(bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", value))),
-        float(any(w in NAMING for w in near)), float(any(w in HARMLESS for w in near)), float(any(w in HARMLESS for w in far)),
+        float(any(w in NAMING for w in near)), float(before.rstrip("\"' ")[-1:] in ("=", ":")), float(any(w in HARMLESS for w in near)), float(any(w in HARMLESS for w in far)),
         float(bool(places & (HARMLESS | {"doc", "docs", "spec", "tests", "examples", "fixtures"}))), float(KINDS.index(kind)),
     ]
 
@@ -139,32 +140,46 @@ class Forest:
 def labelled_findings(spark: SparkSession, n: int = 4000, seed: int = 7) -> DataFrame:
     """Made-up labelled findings ``(text, path, label)``, one candidate a text, where no reviewed ones are at hand.
 
-    Half are secrets (random keys beside words that name one); the rest are what
-    scanners mistake for one: commits, checksums, identifiers, placeholders,
-    encoded data and long compound words.
+    Half are secrets of every kind of candidate, with and without a word that names
+    them; the rest are what scanners mistake for one: commits, checksums,
+    identifiers, placeholders, encoded data, long compound words, and values of
+    names that aren't secret.
     """
     rnd = random.Random(seed)
     pick = lambda chars, k: "".join(rnd.choice(chars) for _ in range(k))
     alnum, hexa = string.ascii_letters + string.digits, "0123456789abcdef"
+    coded, upper = alnum + "+/", string.ascii_uppercase + string.digits
     filler = "the of with and in on run value set from use see file at line then new build result is".split()
     say = lambda: " ".join(rnd.choice(filler) for _ in range(rnd.randrange(1, 6)))
     plain = lambda k: "".join(rnd.choice(["data", "service", "module", "report", "config", "index", "table", "query", "cache", "stream"]) + rnd.choice(["", "_", "-"]) for _ in range(k))
-    rows = []
-    for k in range(n):
-        label = k % 2
-        if label:
-            value = rnd.choice([pick(hexa, 40), pick(hexa, 32), pick(hexa, 64), pick(alnum, rnd.randrange(20, 48)), "AKIA" + pick(string.ascii_uppercase + string.digits, 16), "ghp_" + pick(alnum, 36), "sk-" + pick(alnum, 32), pick(alnum + "!@#$%^&*", rnd.randrange(10, 20)) + "7x"])
-            name = rnd.choice(["token", "api_key", "secret", "password", "access_key", "client_secret", "auth_token"])
-            quote = rnd.choice(['"', '"', "'", ""])
-            text, path = f"{say()} {name}{rnd.choice([' = ', '=', ': '])}{quote}{value}{quote} {say()}", rnd.choice(["src0", "src7", "conf/app.env", "deploy/prod.yaml", "", None])
-        else:
-            text = rnd.choice([
-                f"commit {pick(hexa, 40)}", f"sha256 {pick(hexa, 64)}", f"checksum md5 {pick(hexa, 32)}", f"id {pick(hexa, 8)}-{pick(hexa, 4)}-{pick(hexa, 4)}-{pick(hexa, 4)}-{pick(hexa, 12)}",
-                f"password = {rnd.choice(['changeme', 'your_password_here', 'examplepassword', 'xxxxxxxxxxxx', '<password>', 'placeholder1', 'null_value_none'])}", f"token: {rnd.choice(['your-token-here', 'example_token_value', '0000000000000000', 'replace_with_token', 'dummydummydummy'])}",
-                f"image data {pick(alnum, rnd.randrange(60, 200))}", f"see {plain(4)}2", f"key = {plain(2)}", f"version {rnd.randrange(10)}-{plain(3)}{rnd.randrange(100)}", f"number {pick('0123456789', rnd.randrange(20, 30))}", f"integrity sha512 {pick(alnum, 86)}==",
-            ])
-            text, path = f"{say()} {text} {say()}", rnd.choice(["src0", "src7", "tests/fixtures/a.py", "docs/example.md", "lock.json", "", None])
-        rows.append((text, path, label))
+    paths = ["src0", "src7", "conf/app.env", "deploy/prod.yaml", "", None]
+    harmless_paths = ["src0", "src7", "tests/fixtures/a.py", "docs/example.md", "lock.json", "", None]
+
+    def secret() -> str:
+        token = rnd.choice([pick(hexa, 40), pick(hexa, 32), pick(hexa, 64), pick(alnum, rnd.randrange(20, 48))])
+        provider = rnd.choice(["AKIA" + pick(upper, 16), "ghp_" + pick(alnum, 36), "sk-" + pick(alnum, 32), "xoxb-" + pick(string.digits, 11) + "-" + pick(alnum, 24)])
+        name = rnd.choice(["token", "api_key", "secret", "password", "access_key", "client_secret", "auth_token"])
+        quote, to = rnd.choice(['"', '"', "'", ""]), rnd.choice([" = ", "=", ": "])
+        return rnd.choice([
+            f"{name}{to}{quote}{rnd.choice([token, provider, pick(alnum + '!@#$%^&*', rnd.randrange(10, 20)) + '7x'])}{quote}",
+            f"{name}{to}{quote}{token}{quote}",
+            provider,
+            f"-----BEGIN {rnd.choice(['RSA ', 'EC ', ''])}PRIVATE KEY-----\n" + "\n".join(pick(coded, 64) for _ in range(rnd.randrange(3, 12))) + "\n-----END PRIVATE KEY-----",
+            f"eyJ{pick(alnum, 33)}.eyJ{pick(alnum, rnd.randrange(40, 90))}.{pick(alnum + '-_', 43)}",
+            f"{rnd.choice(['auth', '?sig', '&sig', 'AWS_SESSION', 'SESSION_KEY', 'hmac', 'x-signature'])}{rnd.choice(['=', '=', ': '])}{token}",
+            f"{rnd.choice(['https', 'postgres', 'ftp'])}://{rnd.choice(['root', 'admin', 'user7', 'svc'])}:{pick(alnum + '!#$%', rnd.randrange(8, 20))}@{plain(1).strip('_-')}.example/x",
+        ])
+
+    def lookalike() -> str:
+        return rnd.choice([
+            f"commit {pick(hexa, 40)}", f"sha256 {pick(hexa, 64)}", f"checksum md5 {pick(hexa, 32)}", f"id {pick(hexa, 8)}-{pick(hexa, 4)}-{pick(hexa, 4)}-{pick(hexa, 4)}-{pick(hexa, 12)}",
+            f"{rnd.choice(['revision', 'commit', 'etag', 'sha1', 'digest', 'build', 'tree'])}{rnd.choice(['=', ': ', ' = '])}{pick(hexa, 40)}",
+            f"password = {rnd.choice(['changeme', 'your_password_here', 'examplepassword', 'xxxxxxxxxxxx', '<password>', 'placeholder1', 'null_value_none'])}", f"token: {rnd.choice(['your-token-here', 'example_token_value', '0000000000000000', 'replace_with_token', 'dummydummydummy'])}",
+            f"image data {pick(alnum, rnd.randrange(60, 200))}", f"see {plain(4)}2", f"key = {plain(2)}", f"version {rnd.randrange(10)}-{plain(3)}{rnd.randrange(100)}", f"number {pick('0123456789', rnd.randrange(20, 30))}", f"integrity sha512 {pick(alnum, 86)}==",
+            f"http://user:{rnd.choice(['password', 'example', 'changeme', 'secret', 'test'])}@localhost/x", f"path={plain(3)}/{plain(2)}7",
+        ])
+
+    rows = [(f"{say()} {secret() if k % 2 else lookalike()} {say()}", rnd.choice(paths if k % 2 else harmless_paths), k % 2) for k in range(n)]
     return spark.createDataFrame(rows, "text string, path string, label int")
 
 
@@ -216,7 +231,11 @@ def scan(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD, id_col:
 
 
 def redact(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """``docs`` with every secret in ``text_col`` replaced; all rows and columns stay, in one pass."""
+    """``docs`` with every secret in ``text_col`` replaced; all rows and columns stay, in one pass.
+
+    Null and empty texts stay as they are, a null path is an empty one, texts of any
+    length are searched whole, and repeated rows stay repeated.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(forest)
 
     @F.pandas_udf("string")
@@ -236,6 +255,7 @@ def redact(docs: DataFrame, forest: Forest, threshold: float = THRESHOLD, text_c
 
 
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate in all ``documents`` with its score, by a forest of generated labelled findings."""
     found = scan(table(spark, sf_dir, "documents"), train(labelled_findings(spark)))
     return found.select(F.col("id").alias("doc_id"), "start", "end", "kind", F.sha2("secret", 256).alias("secret_sha256"), "score", "is_secret")
 
