@@ -162,6 +162,40 @@ def test_forest_keeps_secrets_and_drops_lookalikes(spark):
     assert total > 500 and right / total > 0.95
 
 
+def test_forest_is_a_plain_walk_of_its_trees(spark):
+    forest = secrets.train(secrets.labelled_findings(spark, 600))
+    x = np.concatenate([secrets.featured(r["text"], r["path"])[1] for r in secrets.labelled_findings(spark, 60, seed=5).collect()])
+
+    def walk(tree, row):
+        feature, threshold, children, share = tree
+        at = 0
+        while feature[at] >= 0:
+            at = children[at][1 if row[feature[at]] > threshold[at] else 0]
+        return share[at]
+
+    expected = [sum(walk(t, row) for t in forest.trees) / len(forest.trees) for row in x]
+    assert np.abs(forest.score(x) - expected).max() < 1e-12
+
+
+def test_recall_by_kind(spark):
+    """Held-out findings of each kind, drawn with another seed."""
+    forest = secrets.train(secrets.labelled_findings(spark))
+    hits = {}
+    for r in secrets.labelled_findings(spark, 3000, seed=123).collect():
+        spans, x = secrets.featured(r["text"], r["path"])
+        for (kind, *_), score in zip(spans, forest.score(x), strict=True):
+            if r["label"]:
+                hits.setdefault(kind, []).append(score >= 0.5)
+    assert set(hits) == set(secrets.KINDS)
+    assert min(sum(v) / len(v) for v in hits.values()) > 0.9, {k: sum(v) / len(v) for k, v in hits.items()}
+
+
+def test_candidates_behind_any_name():
+    key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
+    for text in (f"auth={key}", f"x?sig={key}&b", f"AWS_SESSION={key}", f"https://me:{key[:12]}@host/x"):
+        assert any(text[s:e] in (key, key[:12]) for _, s, e in secrets.candidates(text)), text
+
+
 def test_scan_and_redact(spark):
     forest = secrets.train(secrets.labelled_findings(spark))
     key = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b"
