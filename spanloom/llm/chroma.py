@@ -22,6 +22,8 @@ LEAST_FRAMES = 64
 #: Neither does a shorter passage (four seconds) of an overlap count that is unlike as a whole: strangers have those by chance.
 LEAST_PASSAGE = 128
 EDGES = (-0.25, 0.0, 0.25)
+#: Recordings whose seeds a task holds at a time.
+AT_ONCE = 64
 GRAY = np.array([0, 1, 3, 2], dtype=np.int64)
 #: The integer of silence: no filter's areas differ.
 SILENT = 0x55555555
@@ -136,7 +138,7 @@ def seeds(classes: DataFrame, kinds: tuple[tuple[int, ...], ...], wanted: np.nda
     shared = classes.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, AT_ONCE) for b in batches for at in range(0, b.num_rows, AT_ONCE)):
             found = [seeds_of(np.array(x.as_py(), dtype=np.int64), kinds) for x in batch.column(1)]
             rows = np.repeat(np.arange(len(found)), [len(k) for k, _ in found])
             keys, places = (np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in zip(*found, strict=True)) if found else (np.zeros(0, dtype=np.int64),) * 2
