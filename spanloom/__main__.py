@@ -52,7 +52,7 @@ def _input(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def main(args: list[str] | None = None) -> None:
-    parser = argparse.ArgumentParser(prog="spanloom")
+    parser = argparse.ArgumentParser(prog="spanloom", fromfile_prefix_chars="@", epilog="@file takes options from a file, one a line")
     commands = parser.add_subparsers(dest="command", required=True)
     for name in ("annotate", "substitute", "import", "convert", "diagnose", "check"):
         c = commands.add_parser(name)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 
 def overlaps(a_start: Column, a_end: Column, b_start: Column, b_end: Column) -> Column:
@@ -25,3 +26,9 @@ def coextensive(a_start: Column, a_end: Column, b_start: Column, b_end: Column)
 def one_sided(start: Column, end: Column, low: Column, high: Column) -> Column:
     """The span starts in [low, high) or ends in (low, high]."""
     return ((start >= low) & (start < high)) | ((end > low) & (end <= high))
+
+
+def same(a: Column, b: Column) -> Column:
+    """Two spans, as structs with ``start``, ``end``, ``type`` and a map of ``features``, agree in everything."""
+    entries = lambda m: F.array_sort(F.map_entries(F.coalesce(m, F.create_map().cast("map<string,string>"))))
+    return coextensive(a["start"], a["end"], b["start"], b["end"]) & a["type"].eqNullSafe(b["type"]) & (entries(a["features"]) == entries(b["features"]))

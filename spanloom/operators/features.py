@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.fields import token_fields
+from spanloom.operators.tokens import token_table, with_sentence_nr, work_tokens
+
 
 def _joined(tokens: DataFrame, spans: DataFrame, value: str, name: str, keys: tuple[str, ...], sep: str) -> DataFrame:
     """``(keys, tok_idx, name)``: the values of the spans over each token, longest first."""
@@ -23,6 +26,37 @@ def token_features(tokens: DataFrame, annotations: DataFrame, hits: DataFrame, k
     return tokens.join(labels, [*keys, "tok_idx"], "left").join(tags, [*keys, "tok_idx"], "left").withColumns({"label": F.coalesce("label", F.lit("O")), "lookup_tags": F.coalesce("lookup_tags", F.lit("O"))})
 
 
+def ml_table(docs: DataFrame, annotations: DataFrame, hits: DataFrame | None = None, gold: DataFrame | None = None, leaves: DataFrame | None = None) -> DataFrame:
+    """A row for each token without blanks, with all that a learner of labels needs.
+
+    ``docs(doc_id, text[, doc_type])``, ``annotations`` and ``gold(doc_id, start,
+    end, type, subtype, rule)``, ``hits`` of a lexicon, ``leaves`` of the reports.
+    The columns: doc_id, sentence_nr, token_nr (in its sentence), token_text,
+    pos_tag (empty), token_kind, field_name, field_path, doc_type, label,
+    label_extended (type and subtype), lookup_tags, sentence_beginning,
+    triggered_rule, manual_label, manual_label_extended. Labels are O where there is
+    none.
+    """
+    tokens = work_tokens(with_sentence_nr(token_table(docs))).where("kind != 'newline'")
+    inner = Window.partitionBy("doc_id", "sentence_nr").orderBy("tok_idx")
+    out = tokens.withColumn("token_nr", (F.row_number().over(inner) - 1).cast("int"))
+    extended = lambda spans: spans.withColumn("_x", F.concat_ws("_", "type", F.when(F.col("subtype") != "", F.col("subtype"))))
+    parts = [(annotations, "type", "label"), (extended(annotations), "_x", "label_extended"), (annotations, "rule", "triggered_rule")]
+    parts += [(gold, "type", "manual_label"), (extended(gold), "_x", "manual_label_extended")] if gold is not None else []
+    parts += [(hits.withColumn("_x", F.concat_ws("_", "major", "minor")), "_x", "lookup_tags")] if hits is not None else []
+    for spans, value, name in parts:
+        out = out.join(_joined(tokens, spans, value, name, ("doc_id",), ";" if name == "lookup_tags" else ","), ["doc_id", "tok_idx"], "left")
+    for name in ("label", "label_extended", "triggered_rule", "manual_label", "manual_label_extended", "lookup_tags"):
+        empty = F.lit("" if name == "triggered_rule" else "O")
+        out = out.withColumn(name, F.coalesce(F.col(name), empty) if name in out.columns else empty)
+    out = token_fields(out, leaves) if leaves is not None else out.withColumns({"field_name": F.lit(""), "field_path": F.lit("")})
+    out = out.join(docs.select("doc_id", "doc_type"), "doc_id") if "doc_type" in docs.columns else out.withColumn("doc_type", F.lit(""))
+    return out.select(
+        "doc_id", "sentence_nr", "token_nr", F.col("string").alias("token_text"), F.lit("").alias("pos_tag"), F.col("kind").alias("token_kind"), F.coalesce("field_name", F.lit("")).alias("field_name"), F.coalesce("field_path", F.lit("")).alias("field_path"), "doc_type",
+        "label", "label_extended", "lookup_tags", (F.col("token_nr") == 0).alias("sentence_beginning"), "triggered_rule", "manual_label", "manual_label_extended",
+    )
+
+
 def with_flags(features: DataFrame) -> DataFrame:
     """Boolean columns read off the token, its lookups and its label."""
     tag, label = F.col("lookup_tags"), F.col("label")

@@ -14,6 +14,11 @@ def _ordered(c: Column) -> Column:
     return F.array_sort(F.transform(c, lambda a: F.struct(a["start"].alias("s"), (-a["end"]).alias("e"), (-a["ann_id"]).alias("i"), a.alias("a"))))
 
 
+def of_types(spans: DataFrame, types: list[str]) -> DataFrame:
+    """Spans of these types alone; an empty list lets all through."""
+    return spans.where(F.col("type").isin(*types)) if types else spans
+
+
 def trim_spans(spans: DataFrame) -> DataFrame:
     """Spans without white space, or newlines spelt out, at their end; empty ones go."""
     cut = F.regexp_replace("text", r"(?:\s|\\n|\\r)+$", "")

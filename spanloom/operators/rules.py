@@ -55,6 +55,20 @@ def needing(rules: list[Rule], default: tuple[str, ...] = (), **named: tuple[str
     return [replace(r, needs=named.get(r.name, default)) for r in rules]
 
 
+def rules_of(rows: DataFrame) -> list[Rule]:
+    """Rules kept as a table ``(name, pattern, emits, priority, context, needs)``, in the order of their names.
+
+    So a site's rules are data, as JSON lines or Parquet, outside the code. ``emits``
+    is an array of ``(group, type, subtype)``; more than MOST_RULES raise.
+    """
+    found = rows.orderBy("name").limit(MOST_RULES + 1).collect()
+    if len(found) > MOST_RULES:
+        raise ValueError(f"more than {MOST_RULES} rules")
+    return [Rule(r["name"], r["pattern"], tuple((e["group"], e["type"], e["subtype"]) for e in r["emits"] or ()), -1 if r["priority"] is None else r["priority"], r["context"], tuple(r["needs"] or ())) for r in found]
+
+
+MOST_RULES = 2000
+RULE_ROW = "name string, pattern string, emits array<struct<group:int,type:string,subtype:string>>, priority int, context string, needs array<string>"
 SPAN = f"struct<start:int,end:int,priority:int,rule_no:int,emits:array<{ANNOTATION}>>"
 
 

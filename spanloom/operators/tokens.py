@@ -25,8 +25,12 @@ def work_tokens(table: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFr
     return table.where("kind != 'space'").withColumn("tok_idx", number)
 
 
-def sentences(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ("bzw", "ca", "Dr", "Prof", "St", "Nr", "Tel", "vgl")) -> DataFrame:
-    """``(keys, sentence_nr, start, end, token_count)``: cut after ``.``, ``!``, ``?`` and at newlines.
+#: Words behind which a full stop doesn't end a sentence.
+ABBREVIATIONS = ("bzw", "ca", "Dr", "Prof", "St", "Nr", "Tel", "vgl")
+
+
+def with_sentence_nr(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
+    """``table`` with ``sentence_nr``: cut after ``.``, ``!``, ``?`` and at newlines.
 
     A full stop behind an abbreviation, a single letter or a number doesn't end one.
     """
@@ -34,8 +38,12 @@ def sentences(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviatio
     last = F.lag("string").over(w)
     stops = (F.col("string").isin("!", "?")) | ((F.col("string") == ".") & ~F.coalesce(last.isin(*abbreviations) | last.rlike(r"^(\p{L}|\p{N}+)$"), F.lit(False))) | (F.col("kind") == "newline")
     before = w.rowsBetween(Window.unboundedPreceding, -1)
-    words = table.withColumn("stop", stops).withColumn("sentence_nr", F.coalesce(F.sum(F.col("stop").cast("int")).over(before), F.lit(0)))
-    seen = words.where("kind not in ('space', 'newline')")
+    return table.withColumn("_stop", stops).withColumn("sentence_nr", F.coalesce(F.sum(F.col("_stop").cast("int")).over(before), F.lit(0))).drop("_stop")
+
+
+def sentences(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
+    """``(keys, sentence_nr, start, end, token_count)`` of the sentences that hold more than blanks."""
+    seen = with_sentence_nr(table, keys, abbreviations).where("kind not in ('space', 'newline')")
     return seen.groupBy(*keys, "sentence_nr").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("token_count"))
 
 

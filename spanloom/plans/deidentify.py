@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -41,7 +42,8 @@ class Settings:
     right)`` open contexts, ``mappings`` say which kind a field is of, ``structured``
     which fields are a span as a whole, ``blacklist`` which types no span may have
     in a field, ``deleted`` which fields are emptied, and ``metadata(doc_id, type,
-    value)`` what is known of a document.
+    value)`` what is known of a document. ``rules`` are a phase of their own, and
+    each of ``stages`` is given the documents and gives back spans.
     """
 
     lexicon: DataFrame | None = None
@@ -52,6 +54,8 @@ class Settings:
     blacklist: dict[str, list[str]] = field(default_factory=dict)
     deleted: tuple[str, ...] = ()
     metadata: DataFrame | None = None
+    rules: tuple[Rule, ...] = ()
+    stages: tuple[Callable[[DataFrame], DataFrame], ...] = ()
 
 
 def _staged(spans: DataFrame, stage: int | Column) -> DataFrame:
@@ -98,7 +102,7 @@ def _contexts(docs: DataFrame, leaves: DataFrame | None, mappings: list[Mapping]
 def find(
     docs: DataFrame, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES, leaves: DataFrame | None = None, mappings: list[Mapping] | None = None,
     structured: list[Mapping] | None = None, blacklist: dict[str, list[str]] | None = None, metadata: DataFrame | None = None, field_phases: dict[str, list[Rule]] = FIELD_PHASES,
-    triggers: DataFrame | None = None, suffixes: DataFrame | None = None, clean: bool = False,
+    triggers: DataFrame | None = None, suffixes: DataFrame | None = None, clean: bool = False, stages: tuple[Callable[[DataFrame], DataFrame], ...] = (),
 ) -> DataFrame:
     """``(doc_id, ann_id, start, end, type, subtype, rule, confidence)``: the spans that are left after all conflicts.
 
@@ -109,7 +113,8 @@ def find(
     that context run in it; ``structured`` says which fields are a span as a whole,
     and what they hold is found everywhere in its document; ``blacklist`` says which
     types no span may have in a field. ``metadata(doc_id, type, value)`` is looked
-    up among the tokens. ``clean``: trim spans and merge those of a type. Spans are
+    up among the tokens. ``stages`` are functions of the documents that give back
+    ``(doc_id, start, end, type, subtype, rule)``. ``clean``: trim spans and merge those of a type. Spans are
     numbered by stage, place and rule, so of equals the later stage's stays.
     """
     if leaves is None and (mappings or structured or blacklist):
@@ -137,6 +142,8 @@ def find(
         sure = whole.join(docs.select("doc_id", F.col("text").alias("_whole")), "doc_id").withColumns({"text": F.col("_whole").substr(F.col("start") + 1, F.col("end") - F.col("start")), "confidence": F.lit(None).cast("string")})
         again = propagate(docs, sure).join(sure.groupBy("doc_id", "text").agg(F.min_by("subtype", F.col("start")).alias("subtype")), ["doc_id", "text"])
         found = found.unionByName(_staged(again, PROPAGATED))
+    for k, stage in enumerate(stages):
+        found = found.unionByName(_staged(stage(docs), PROPAGATED + 1 + k))
     if blacklist:
         found = without_forbidden(found, leaves, blacklist)
     order = Window.partitionBy("doc_id").orderBy("stage", "start", "end", "rule", "type", "subtype")
@@ -161,8 +168,9 @@ def deidentify(docs: DataFrame, policy: Policy, lexicon: DataFrame | None = None
 def find_in_reports(reports: DataFrame, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES, xml: bool = False) -> tuple[DataFrame, DataFrame]:
     """The leaves of ``reports(doc_id, content)`` and the spans in their texts, through all stages."""
     leaves = flatten(reports, xml=xml)
+    phases = {**phases, "Site": list(settings.rules)} if settings.rules else phases
     spans = find(
-        report_texts(reports, xml=xml), settings.lexicon, phases, leaves, list(settings.mappings), list(settings.structured), settings.blacklist or None, settings.metadata, triggers=settings.triggers, suffixes=settings.suffixes, clean=True
+        report_texts(reports, xml=xml), settings.lexicon, phases, leaves, list(settings.mappings), list(settings.structured), settings.blacklist or None, settings.metadata, triggers=settings.triggers, suffixes=settings.suffixes, clean=True, stages=settings.stages
     )
     return leaves, spans
 

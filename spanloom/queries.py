@@ -14,10 +14,12 @@ from spanloom.functions.paths import path_matches
 from spanloom.functions.text import TOKEN, context, matches, orth, xml_escape
 from spanloom.operators import contexts, diagnosis, evaluate, features, fields, lexicon, lookup_rules, resolve, substitute, tokens
 from spanloom.operators.names import name_annotations
-from spanloom.operators.rules import Rule, annotate
+from spanloom.functions import spans as spans_fn
+from spanloom.operators.rules import RULE_ROW, Rule, annotate, rules_of
 from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, find_in_reports
 from spanloom.rulesets import dates, others
 from spanloom.sources import reports
+from spanloom.streaming.stream import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -695,6 +697,52 @@ def _(spark, sf):
     return rows.groupBy(F.array_join(F.array_sort(F.split("lookup_tags", ";")), ";").alias("tags")).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_capitalized").alias("n_capitalized"))
 
 
+@register("q_ml_table", "with x as (" + t.expected_sql("supplier", "s_suppkey", t.PERSONS) + """), m as (select doc_id, type as label, type || case when subtype = '' then '' else '_' || subtype end as label_extended, len(regexp_extract_all(text, '\\p{L}+|\\p{N}+|[^\\p{L}\\p{N}\\s]')) as n from x)
+select doc_id, label, label_extended, cast(sum(n) as bigint) as n_tokens from m group by all""")
+def _(spark, sf):
+    docs = t.texts(spark, read(spark, sf, "supplier"), "s_suppkey", t.PERSONS)
+    rows = features.ml_table(docs, annotate(docs, {"Names": others.NAMES}))
+    return rows.where("label != 'O'").groupBy("doc_id", "label", "label_extended").agg(F.count(F.lit(1)).alias("n_tokens"))
+
+
+@register("q_ml_sentence_tokens", """with w as (select doc_id, len(regexp_extract_all(text, '\\p{L}+|\\p{N}+|[^\\p{L}\\p{N}\\s]')) as n from documents) select doc_id, cast(n as bigint) as n_tokens from w where n > 0""")
+def _(spark, sf):
+    none = spark.createDataFrame([], "doc_id long, start int, end int, type string, subtype string, rule string")
+    return features.ml_table(read(spark, sf, "documents").select("doc_id", "text"), none).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
+
+
+@register("q_type_projection", "with x as (" + t.expected_sql("customer", "c_custkey", t.LOCATIONS) + ") select subtype, count(*) as n from x group by subtype")
+def _(spark, sf):
+    docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.LOCATIONS)
+    return resolve.of_types(annotate(docs, {"Locations": others.LOCATIONS, "Internet": others.INTERNET}), ["Location"]).groupBy("subtype").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q_substitution_exploration", f"select cast(o_orderkey as bigint) as doc_id, 'am 31.01.1850 gesehen' as text from orders")
+def _(spark, sf):
+    docs = dotted(spark, sf).select(F.col("o_orderkey").alias("doc_id"), F.concat(F.lit("am "), "text", F.lit(" gesehen")).alias("text"))
+    return substitute.substitute(docs, annotate(docs, {"Dates": dates.RULES}), substitute.Policy(substitute.Method.EXPLORATION)).select("doc_id", "text")
+
+
+@register("q_rules_from_table", r"""select doc_id, cast(count(*) as bigint) as n from (select doc_id, unnest(regexp_extract_all(text, 'ation of|ation')) as m from documents) where m = 'ation' group by doc_id""")
+def _(spark, sf):
+    table = spark.createDataFrame([("b", "()(ation)", [(2, "A", "")], None, None, None), ("a", "(ation of)", [], 5, None, ["ation"])], RULE_ROW)
+    return annotate(read(spark, sf, "documents").select("doc_id", "text"), {"p": rules_of(table)}).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q_span_equality", "select l_linenumber % 2 = 0 as same, count(*) as n from lineitem group by 1")
+def _(spark, sf):
+    span = lambda end, *kv: F.struct(F.lit(0).alias("start"), end.alias("end"), F.lit("Date").alias("type"), F.create_map(*kv).alias("features"))
+    a = span(F.col("l_linenumber"), F.lit("x"), F.lit("1"), F.lit("y"), F.lit("2"))
+    b = span(F.col("l_linenumber"), F.lit("y"), F.lit("2"), F.lit("x"), F.when(F.col("l_linenumber") % 2 == 0, "1").otherwise("3"))
+    return read(spark, sf, "lineitem").select(spans_fn.same(a, b).alias("same")).groupBy("same").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("q_windowed_counts", "select date_trunc('hour', ts) as window_start, event_type, count(*) as n from events group by all")
+def _(spark, sf):
+    """The aggregate of the stream, over the whole table as one batch."""
+    return windowed_counts(read(spark, sf, "events"))
+
+
 @register("q_annotated_json", f"select doc_id, case when len(regexp_extract_all(text, '{SQL_PHONE}')) = 0 then 0 else 1 end as n_types, cast(len(regexp_extract_all(text, '{SQL_PHONE}')) as bigint) as n_spans from documents")
 def _(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")

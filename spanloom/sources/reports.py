@@ -91,3 +91,8 @@ def diagnosis_lines(found: DataFrame) -> DataFrame:
 
 def write_diagnosis(found: DataFrame, path: str) -> None:
     diagnosis_lines(found).write.mode("overwrite").option("sep", ";").option("header", True).csv(path)
+
+
+def write_diagnosis_jdbc(found: DataFrame, url: str, table: str, **options: str) -> None:
+    """Findings as rows of a database table."""
+    write_jdbc(found.select("doc_id", "code", "reliability", "text"), url, table, ["doc_id", "code", "reliability", "text"], **options)
