@@ -103,7 +103,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(named, "fp").select("id", "fp", "component")
 
 
-def sketch(text: bytes | None, shingle: int = 5) -> tuple[bytes, int, list[int], list[int]]:
+def sketch(text: bytes | None, shingle: int = 5) -> tuple[bytes, int, list[int], np.ndarray | list[int]]:
     """The set of a text's shingles as a 128-bit hash, its fingerprint, the keys of its bands
     and the set of its shingles as 32-bit hashes.
 
@@ -121,7 +121,7 @@ def sketch(text: bytes | None, shingle: int = 5) -> tuple[bytes, int, list[int],
         np.minimum(least, block.min(axis=1), out=least)
     bands = [xxhash.xxh64_intdigest(row.tobytes(), k) for k, row in enumerate(least.reshape(BANDS, ROWS))]
     keys = np.array(bands, dtype="<u8").view("<i8").tolist()
-    return xxhash.xxh3_128_digest(distinct.tobytes(), SEED), ones_to_bits(ones, len(hashes)), keys, np.unique(hashes.astype("<u4")).view("<i4").tolist()
+    return xxhash.xxh3_128_digest(distinct.tobytes(), SEED), ones_to_bits(ones, len(hashes)), keys, np.unique(hashes.astype("<u4")).view("<i4")
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5) -> DataFrame:
