@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm.chroma import op7_chroma
+from spanloom.llm.conversations import op12_conversations
 from spanloom.llm.decontam import op8_decontam
 from spanloom.llm.langid import op4_langid
 from spanloom.llm.packing import op9_packing
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontam": op8_decontam,
     "op9_packing": op9_packing,
     "op10_quality": op10_quality,
+    "op12_conversations": op12_conversations,
 }
 
 ORACLES: dict[str, str] = {"op1_warc": ORACLE_OP1}
