@@ -213,9 +213,10 @@ def repair(rows: DataFrame) -> DataFrame:
     flat = flat.select("conv_id", *[F.when(F.col("there"), F.col(c)).alias(c) for c in ("turn", "role", "text")], F.col("there").cast("int").alias("there"))
     grouped = flat.groupBy("conv_id", "turn", "role", "text").agg(F.sum("there").alias("times"))
     said = F.md5(F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.lit("|"), F.length("role").cast("string"), F.lit("|"), "role", F.lit("|"), "text"))
-    once = written(grouped.withColumn("said", F.when(F.col("times") > 0, said)), "turns")
+    unsaid = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit("-")), F.lit("|"))
+    once = written(grouped.withColumn("said", F.when(F.col("times") > 0, said).otherwise(unsaid)), "turns")
     place = F.struct(F.col("turn").isNotNull().alias("t"), "turn")
-    firsts = once.where("said is not null").groupBy("said").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("said", "first")
+    firsts = once.where("times > 0").groupBy("said").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("said", "first")
     blank = ~F.col("text").rlike(f"[^{WHITE}]")
     fault = F.when(F.col("times") == 0, SOUND).when(blank, BLANK).when(F.col("text").rlike(rf"[.!?][{WHITE}]*\z"), SOUND).otherwise(CUT)
     judged = once.join(firsts, "said", "left").select("conv_id", "turn", "role", "text", "times", fault.alias("fault"), F.coalesce(place > F.col("first"), F.lit(False)).alias("again"))
