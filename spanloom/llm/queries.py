@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from spanloom.llm.chroma import op7_chroma
 from spanloom.llm.conversations import op12_conversations
 from spanloom.llm.decontam import op8_decontam
+from spanloom.llm.forest import ORACLE_OP13, op13_minhash
 from spanloom.llm.importance import ORACLE_OP11, op11_importance
 from spanloom.llm.langid import op4_langid
 from spanloom.llm.packing import op9_packing
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality": op10_quality,
     "op11_importance": op11_importance,
     "op12_conversations": op12_conversations,
+    "op13_minhash": op13_minhash,
 }
 
-ORACLES: dict[str, str] = {"op1_warc": ORACLE_OP1, "op11_importance": ORACLE_OP11}
+ORACLES: dict[str, str] = {"op1_warc": ORACLE_OP1, "op11_importance": ORACLE_OP11, "op13_minhash": ORACLE_OP13}
