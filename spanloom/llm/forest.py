@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanloom.llm.common import Scratch, table, written
+from spanloom.llm.common import Scratch, bloom, may_hold, table, written
 from spanloom.llm.components import connected_components
 from spanloom.llm.simhash import _merged, _parted, _rooted, shingle_hashes
 
@@ -27,6 +28,7 @@ _DRAW = np.random.default_rng(SEED)
 FACTORS, SHIFTS = (_DRAW.integers(0, 1 << 63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for _ in range(2))
 MIX = np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 11
+PLACES = 1 << 18
 
 
 def shingle_set(text: bytes | None, shingle: int) -> np.ndarray:
@@ -67,8 +69,9 @@ def _alike(similarity: float, size: int, sizes: np.ndarray, sig: np.ndarray, sig
 def neighbours(similarity: float, best_only: bool):
     """A function over batches of rows sorted by (region, order): pairs of each row and those up to WINDOW before it in its region.
 
-    ``best_only``: only the pair that agrees most, and each row that could have a
-    partner once with itself. Otherwise all pairs whose groups differ.
+    ``best_only``: only the pair that agrees most, with its agreement, and each row
+    that could have a partner with itself (agreement 0). Otherwise all pairs whose
+    groups differ.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -85,31 +88,32 @@ def neighbours(similarity: float, best_only: bool):
                     agree = _alike(similarity, n, sizes[:held], mine, sigs[:held])
                     near = np.flatnonzero(agree)
                     if best_only and len(near):
-                        out.append((node, nodes[int(agree.argmax())]))
+                        k = int(agree.argmax())
+                        out.append((node, nodes[k], int(agree[k])))
                         alone = False
                         for k in near.tolist():
                             if not told[k]:
                                 told[k] = True
-                                out.append((nodes[k], nodes[k]))
-                        out.append((node, node))
+                                out.append((nodes[k], nodes[k], 0))
+                        out.append((node, node, 0))
                     elif len(near):
-                        out += [(node, nodes[k]) for k in near.tolist() if roots[k] != root]
+                        out += [(node, nodes[k], int(agree[k])) for k in near.tolist() if roots[k] != root]
                 at = count % WINDOW
                 sigs[at], sizes[at], nodes[at], roots[at], told[at] = mine, n, node, root, not alone
                 count += 1
-            yield pd.DataFrame(out, columns=["a", "b"], dtype=object)
+            yield pd.DataFrame(out, columns=["a", "b", "agree"])
 
     return run
 
 
 def _candidates(members: DataFrame, similarity: float, best_only: bool) -> DataFrame:
-    """Pairs ``(a, b)`` of neighbours in all orders; small regions whole, crowded ones sorted to full depth over ranges of partitions."""
+    """Pairs ``(a, b, agree)`` of neighbours in all orders; small regions whole, crowded ones sorted to full depth over ranges of partitions."""
     columns = ["region", "node", "n", "sig", "root"]
-    small = members.where(F.col("size") <= WINDOW + 1).select(*columns).repartition("region").sortWithinPartitions("region")
+    small = members.where(F.col("size") <= WINDOW + 1).select(*columns).repartition("region").sortWithinPartitions("region", "node")
     order = F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
     crowded = members.where(F.col("size") > WINDOW + 1).withColumn("order", order).repartitionByRange("region", "order", "node").sortWithinPartitions("region", "order", "node").select(*columns)
-    run, pair = neighbours(similarity, best_only), "a binary, b binary"
-    return small.mapInPandas(run, pair).unionByName(crowded.mapInPandas(run, pair)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    run, pair = neighbours(similarity, best_only), "a binary, b binary, agree long"
+    return small.mapInPandas(run, pair).unionByName(crowded.mapInPandas(run, pair))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -120,29 +124,54 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.where((100 + percent) * both >= percent * (F.size("ga") + F.size("gb"))).select("a", "b")
 
 
+def _frequencies(sets: DataFrame) -> np.ndarray:
+    """How often shingles of each of PLACES remainders occur: what puts all shingles in one order, rare ones first."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(PLACES, dtype=np.int64)
+        for batch in batches:
+            for grams in batch["grams"]:
+                total += np.bincount(grams & (PLACES - 1), minlength=PLACES)
+        held = np.flatnonzero(total)
+        yield pd.DataFrame({"place": held, "n": total[held]})
+
+    sums = sets.select("grams").mapInPandas(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(PLACES, dtype=np.int64)
+    out[sums.column("place").to_numpy()] = sums.column("n").to_numpy()
+    return out
+
+
 def _prefix_pairs(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs of different groups in a region that can reach the similarity, exactly, by prefixes of their rarest shingles.
+    """Pairs of ``members(node, n, root)`` of different groups that can reach the similarity, exactly, by prefixes of their rarest shingles.
 
     With all shingles in one order, rarest first, two sets alike by t share one of
     the first n - ⌈t·n⌉ + 1 of each, and no more can follow it than is left of
-    either. Under each shingle the members of its largest group meet only those of
-    others, so a group of any number of copies makes no pairs within itself.
+    either. Any order is right, so frequencies are those of a table of fixed size.
+    Under each shingle the members of its largest group meet only those of others,
+    so a group of any number of copies makes no pairs within itself.
     """
-    nodes = members.select("node").distinct()
-    tokens = sets.join(nodes, "node", "left_semi").select("node", F.size("grams").alias("n"), F.explode("grams").alias("gram"))
-    common = tokens.groupBy("gram").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
-    listed = tokens.join(common, "gram").groupBy("node").agg(F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "gram"))).alias("ordered"))
-    reach = F.size("ordered") - F.ceil(similarity * F.col("n") - 1e-9) + 1
-    kept = listed.where(reach >= 1).select("node", "n", F.size("ordered").alias("shared"), F.posexplode(F.slice("ordered", F.lit(1), F.least(reach, F.size("ordered")).cast("int"))).alias("k", "token"))
-    placed = kept.select("node", F.col("token.gram").alias("gram"), (F.col("n") - F.col("shared") + F.col("k") + 1).alias("at"))
-    rows = members.select("region", "node", "n", "root").join(placed, "node")
-    groups = rows.groupBy("region", "gram", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("region", "gram").agg(F.max_by("root", "c").alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
-    met = rows.join(groups.drop("roots"), ["region", "gram"])
-    few = met.where("root != main").select("region", "gram", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("at").alias("i"))
-    enough = (1 + F.least(F.col("m") - F.col("i"), F.col("n") - F.col("at"))) * (1 + similarity) >= similarity * (F.col("m") + F.col("n")) - 1e-9
+    rows = sets.join(members.select("node", "n", "root").distinct(), "node")
+    often = _frequencies(rows)
+
+    @F.pandas_udf("array<long>")
+    def prefix(column: pd.Series) -> pd.Series:
+        def one(grams: np.ndarray) -> np.ndarray:
+            return grams[np.lexsort((grams, often[grams & (PLACES - 1)]))][: len(grams) - math.ceil(similarity * len(grams) - 1e-9) + 1]
+
+        return column.map(one)
+
+    placed = rows.select("node", "n", "root", prefix("grams").alias("first")).select("node", "n", "root", F.posexplode("first").alias("at", "gram"))
+    groups = placed.groupBy("gram", "root").agg(F.count(F.lit(1)).alias("c")).groupBy("gram").agg(F.max_by("root", "c").alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
+    met = placed.join(groups.drop("roots"), "gram")
+    few = met.where("root != main").select("gram", F.col("node").alias("a"), F.col("n").alias("m"), F.col("root").alias("r"), F.col("at").alias("i"))
+    enough = F.least(F.col("m") - F.col("i"), F.col("n") - F.col("at")) * (1 + similarity) >= similarity * (F.col("m") + F.col("n")) - 1e-9
     sizes = F.least("m", "n") >= similarity * F.greatest("m", "n") - 1e-9
-    pairs = met.join(few, ["region", "gram"]).where((F.col("r") != F.col("root")) & sizes & enough)
-    return pairs.select(F.greatest("a", "node").alias("a"), F.least("a", "node").alias("b")).distinct()
+    pairs = met.join(few, "gram").where((F.col("r") != F.col("root")) & sizes & enough)
+    return _ordered(pairs.select("a", F.col("node").alias("b")))
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -175,11 +204,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     found = placed.join(shared, "region").join(nodes.select("node", "n", "sig"), "node")
     members = keep.put(found.withColumn("root", F.col("node")), "members")
 
-    best = keep.put(_candidates(members, similarity, best_only=True), "best")
+    best = keep.put(_candidates(members, similarity, best_only=True).groupBy("a").agg(F.max_by("b", F.struct("agree", "b")).alias("b"), F.max("agree").alias("agree")), "best")
     crowded = members.where(F.col("size") > WINDOW + 1)
-    wanted = keep.put(nodes.select("node", "from").join(best.where("a = b").select(F.col("a").alias("node")).unionByName(crowded.select("node")).distinct(), "node"), "wanted")
+    wanted = keep.put(nodes.select("node", "from").join(best.select(F.col("a").alias("node")).unionByName(crowded.select("node")).distinct(), "node"), "wanted")
     sets = keep.put(_sets(docs, wanted, id_col, text_col, shingle), "sets")
-    links = keep.put(_confirmed(best.where("a != b"), sets, percent), "links")
+    links = keep.put(_confirmed(_ordered(best.where("agree > 0")), sets, percent), "links")
     roots = keep.put(connected_components(links), "roots")
 
     for exact in (False, True):
@@ -187,7 +216,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         left = members.where(F.col("size") > WINDOW + 1)
         if (left if exact else members).isEmpty():
             continue
-        pairs = keep.put(_prefix_pairs(left, sets, similarity) if exact else _candidates(members, similarity, best_only=False), "pairs")
+        pairs = keep.put(_prefix_pairs(left, sets, similarity) if exact else _ordered(_candidates(members, similarity, best_only=False)), "pairs")
         more = keep.put(_confirmed(pairs, sets, percent), "links")
         if not more.isEmpty():
             roots = keep.put(_merged(roots, more), "roots")
@@ -200,13 +229,22 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """``(node, grams)``: the whole sets of the nodes that may have a partner, made again from one text each."""
+    """``(node, grams)``: the whole sets of the nodes that may have a partner, made again from one text each.
+
+    Other texts stay where they are read, by a filter of fixed size.
+    """
 
     @F.pandas_udf("array<long>")
     def grams(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(t, shingle).view(np.int64) for t in texts], dtype=object)
 
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("text"))
+    filter_ = docs.sparkSession.sparkContext.broadcast(bloom(wanted.select(F.col("from.key").alias("key")), "key"))
+
+    @F.pandas_udf("boolean")
+    def likely(keys: pd.Series) -> pd.Series:
+        return pd.Series(may_hold(filter_.value, keys.to_numpy(dtype=np.int64)))
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("key", F.xxhash64("text")).where(likely("key"))
     named = wanted.select("node", F.col("from.id").alias("of"), F.col("from.key").alias("key"))
     texts = rows.join(named, "key").where(F.col("id").eqNullSafe(F.col("of"))).select("node", F.col("text").cast("binary").alias("text")).dropDuplicates(["node"])
     return texts.select("node", grams("text").alias("grams"))

@@ -74,7 +74,7 @@ def test_prefix_join_alone_finds_all_links(spark):
     words, n = base(draw, 120), 40
     texts = [edited(draw, words, 0.02) for _ in range(n)]
     grams = [sorted(forest.shingle_set(t.encode(), 5).view(np.int64).tolist()) for t in texts]
-    members = spark.createDataFrame([(1, bytes([k]), len(g), bytes([k % 7])) for k, g in enumerate(grams)], "region long, node binary, n long, root binary")
+    members = spark.createDataFrame([(bytes([k]), len(g), bytes([k % 7])) for k, g in enumerate(grams)], "node binary, n long, root binary")
     made = spark.createDataFrame([(bytes([k]), g) for k, g in enumerate(grams)], "node binary, grams array<long>")
     pairs = {tuple(sorted((r["a"][0], r["b"][0]))) for r in forest._prefix_pairs(members, made, 0.85).collect()}
     want = {(a, b) for b in range(n) for a in range(b) if a % 7 != b % 7 and 100 * len(set(grams[a]) & set(grams[b])) >= 85 * len(set(grams[a]) | set(grams[b]))}
