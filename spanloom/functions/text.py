@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions.arrows import running_sums
+
 #: Words, numbers, newlines, other white space and single marks: together they cover any text.
 TOKEN = r"\p{L}+|\p{N}+|\r?\n|[ \t\f\r]+|[^\p{L}\p{N}\s]|\s"
 
@@ -54,29 +54,24 @@ def tokens(text: Column | str) -> Column:
     return F.regexp_extract_all(_column(text), F.lit(TOKEN), F.lit(0))
 
 
-def with_tokens(docs: DataFrame, text_col: str, out: str, blanks: bool = True) -> DataFrame:
-    """``docs`` with the tokens of a text as structs ``(start, end, string)``; those of blanks alone only if asked for.
+def with_tokens(docs: DataFrame, text_col: str, out: str) -> DataFrame:
+    """``docs`` with the tokens of a text as structs ``(string, end)``: what each is and where it ends.
 
     Three projections of the row: the tokens, the running sums of their lengths
-    (of arrays of any length, so summed in Arrow batches), and both together.
+    (arrays have any length, so all of an Arrow batch at once), and both side by side.
     """
-
-    @F.pandas_udf("array<int>")
-    def ends(lengths: pd.Series) -> pd.Series:
-        return lengths.map(lambda x: None if x is None else np.cumsum(x, dtype=np.int32))
-
+    ends = F.arrow_udf(running_sums, "array<int>")
     found = docs.withColumn("_strings", tokens(text_col))
     placed = found.withColumn("_ends", ends(F.transform("_strings", F.length)))
-    struct = lambda t, end: F.struct((end - F.length(t)).alias("start"), end.alias("end"), t.alias("string"))
-    both = F.zip_with("_strings", "_ends", struct)
-    kept = both if blanks else F.filter(both, lambda t: ~t["string"].rlike(r"^[ \t\f\r]"))
-    return placed.withColumn(out, kept).drop("_strings", "_ends")
+    return placed.withColumn(out, F.arrays_zip(F.col("_strings").alias("string"), F.col("_ends").alias("end"))).drop("_strings", "_ends")
 
 
 def kind(token: Column | str) -> Column:
     """word, number, newline, space or punctuation."""
     t = _column(token)
-    return F.when(t.rlike(r"^\p{L}"), "word").when(t.rlike(r"^\p{N}"), "number").when(t.rlike(r"\n"), "newline").when(t.rlike(r"^\s"), "space").otherwise("punctuation")
+    first = F.substring(t, 1, 1)
+    common = F.when(first.between("a", "z") | first.between("A", "Z"), "word").when(first == " ", "space").when(first.between("0", "9"), "number").when(first.isin(".", ","), "punctuation")
+    return common.when(t.rlike(r"^\p{L}"), "word").when(t.rlike(r"^\p{N}"), "number").when(t.rlike(r"\n"), "newline").when(t.rlike(r"^\s"), "space").otherwise("punctuation")
 
 
 def orth(token: Column | str) -> Column:

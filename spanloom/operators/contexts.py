@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import let, running, with_tokens
-
-
-#: Triggers are settings, looked up within each row: more than this many raise.
-MOST_TRIGGERS = 5000
+from spanloom.functions.arrows import Words
+from spanloom.functions.text import let, running
+from spanloom.operators.intervals import without_overlap
+from spanloom.operators.automaton import MOST_BYTES, Automaton, found_in_rows, phrase_bytes, phrase_tokens
 
 
 def trigger_contexts(docs: DataFrame, triggers: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -17,37 +18,26 @@ def trigger_contexts(docs: DataFrame, triggers: DataFrame, text_col: str = "text
 
     ``triggers(token, context, left, right)``, tokens without blanks; a trigger of
     several words is matched as a run of tokens. Contexts end at the borders of the
-    text. Everything happens within the row: a scan of its tokens, no shuffle.
+    text. All triggers are looked for in one pass within the row, no shuffle; a
+    table of more than ``MOST_BYTES`` raises.
     """
-    rows = triggers.select("token", "context", "left", "right").where("token is not null").limit(MOST_TRIGGERS + 1).collect()
-    if len(rows) > MOST_TRIGGERS:
-        raise ValueError(f"more than {MOST_TRIGGERS} triggers")
-    by: dict[str, list] = {}
-    for r in rows:
-        by.setdefault(r["token"], []).append(r)
-    hit = lambda r: F.struct(F.lit(r["context"]).alias("context"), F.lit(r["left"]).alias("left"), F.lit(r["right"]).alias("right"))
-    if not by:
-        return docs.select(*keys, F.lit(0).alias("start"), F.lit(0).alias("end"), F.lit("").alias("context")).limit(0)
-    known = F.create_map(*[x for token, rs in by.items() for x in (F.lit(token), F.array(*[hit(r) for r in rs]))])
-    firsts = F.array(*[F.lit(t.split(" ")[0]) for t in by])
-    sizes = sorted({len(t.split(" ")) for t in by})
-    words = with_tokens(docs.select(*dict.fromkeys([*keys, text_col])), text_col, "_t", blanks=False)
-    words = words.withColumn("_s", F.transform("_t", lambda t: t["string"]))
-    at = F.filter(F.transform("_s", lambda s, i: F.when(F.array_contains(firsts, s), i)), lambda i: i.isNotNull())
-    words = words.withColumn("_at", at).where(F.size("_at") > 0)
-    none = F.array().cast("array<struct<context:string,left:int,right:int>>")
-
-    def place(i: Column, n: Column, h: Column) -> Column:
-        last = F.size("_s") - 1
-        start, end = F.get("_t", F.greatest(i - 1 - h["left"], F.lit(0)))["start"], F.get("_t", F.least(i + n + h["right"], last))["end"]
-        return F.struct(start.alias("start"), end.alias("end"), h["context"].alias("context"))
+    known = triggers.where("token is not null").select(phrase_tokens("token").alias("words"), "token", "context", "left", "right")
+    if phrase_bytes(known, "token", "context") > MOST_BYTES:
+        raise ValueError(f"more than {MOST_BYTES} bytes of triggers")
+    rows = known.collect()
+    shared = docs.sparkSession.sparkContext.broadcast((Automaton.of(r["words"] for r in rows), [(r["context"], r["left"], r["right"]) for r in rows]))
 
-    def spans(i: Column) -> Column:
-        runs = F.array(*[F.struct(F.lit(n).alias("n"), F.array_join(F.slice("_s", i + 1, n), " ").alias("token")) for n in sizes])
-        inside = F.filter(runs, lambda r: i + r["n"] <= F.size("_s"))
-        return F.flatten(F.transform(inside, lambda r: F.transform(F.coalesce(F.try_element_at(known, r["token"]), none), lambda h: place(i, r["n"], h))))
+    def find(words: Words) -> tuple[np.ndarray, dict[str, pa.Array]]:
+        automaton, around = shared.value
+        hits = [(at, k, *around[entry]) for at, k, entry in automaton.hits(words)]
+        at, behind, names, left, right = zip(*hits, strict=True) if hits else ((),) * 5
+        at = np.array(at, dtype=np.int64)
+        row = words.row[at]
+        first = np.maximum(at - 1 - np.array(left, dtype=np.int64), words.first[row])
+        last = np.minimum(np.array(behind, dtype=np.int64) + np.array(right, dtype=np.int64), words.last[row] - 1)
+        return row, {"start": pa.array(words.start[first], pa.int32()), "end": pa.array(words.end[last], pa.int32()), "context": pa.array(names, pa.string())}
 
-    return words.select(*keys, F.explode(F.flatten(F.transform("_at", spans))).alias("c")).select(*keys, "c.*")
+    return found_in_rows(docs, text_col, keys, find, "start:int,end:int,context:string")
 
 
 def metadata_annotations(words: DataFrame, metadata: DataFrame, hits: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -60,11 +50,7 @@ def metadata_annotations(words: DataFrame, metadata: DataFrame, hits: DataFrame
     found = words.join(forms, [*keys, "string"]).select(*keys, "start", "end", "string", "type")
     if hits is None:
         return found
-    bad = hits.where("major = 'medical' or minor = 'false_positives'").select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("start").alias("b_start"), F.col("end").alias("b_end"))
-    on = (found["start"] < bad["b_end"]) & (bad["b_start"] < found["end"])
-    for k in keys:
-        on = on & (found[k] == bad[f"b_{k}"])
-    return found.join(bad, on, "left_anti")
+    return without_overlap(found, hits.where("major = 'medical' or minor = 'false_positives'").select(*keys, "start", "end"), keys)
 
 
 def propagate(docs: DataFrame, annotations: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import matches
+from spanloom.operators.intervals import join_within, without_overlap
 
 
 def keyword_annotations(docs: DataFrame, keywords: dict[str, list[str]], text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -22,12 +23,9 @@ def keyword_annotations(docs: DataFrame, keywords: dict[str, list[str]], text_co
 
 def certainty(found: DataFrame, contexts: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``found`` with ``reliability``: excluded or suspected by a context around it, else null."""
-    c = contexts.select(*[F.col(k).alias(f"c_{k}") for k in keys], F.col("start").alias("c_start"), F.col("end").alias("c_end"), "context")
-    on = (found["start"] >= c["c_start"]) & (found["end"] <= c["c_end"])
-    for k in keys:
-        on = on & (found[k] == c[f"c_{k}"])
-    which: Column = F.when(F.bool_or(F.col("context") == "ExclusionContext"), "excluded").when(F.bool_or(F.col("context") == "SuspectionContext"), "suspected")
-    return found.join(c, on, "left").groupBy(*found.columns).agg(which.alias("reliability"))
+    around = join_within(found, contexts.select(*keys, "start", "end", "context"), keys, "left", prefix="c_")
+    which: Column = F.when(F.bool_or(F.col("c_context") == "ExclusionContext"), "excluded").when(F.bool_or(F.col("c_context") == "SuspectionContext"), "suspected")
+    return around.groupBy(*found.columns).agg(which.alias("reliability"))
 
 
 def consolidate(found: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -36,11 +34,8 @@ def consolidate(found: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFr
     A finding without certainty that overlaps one with it gives way; what is left
     is confirmed; the first text of each stays.
     """
-    sure = found.where("reliability is not null").select(*[F.col(k).alias(f"s_{k}") for k in keys], F.col("start").alias("s_start"), F.col("end").alias("s_end"))
-    unsure = found.where("reliability is null")
-    on = (unsure["start"] < sure["s_end"]) & (sure["s_start"] < unsure["end"])
-    for k in keys:
-        on = on & (unsure[k] == sure[f"s_{k}"])
-    kept = found.where("reliability is not null").unionByName(unsure.join(sure, on, "left_anti")).withColumn("reliability", F.coalesce("reliability", F.lit("confirmed")))
+    sure = found.where("reliability is not null").select(*keys, "start", "end")
+    unsure = without_overlap(found.where("reliability is null"), sure, keys)
+    kept = found.where("reliability is not null").unionByName(unsure).withColumn("reliability", F.coalesce("reliability", F.lit("confirmed")))
     first = kept.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys, "code", "reliability").orderBy("start", "end", "text")))
     return first.where("_rank = 1").select(*keys, "code", "reliability", "text")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.intervals import join_overlapping
+
 
 def gold_documents(docs: DataFrame, gold: DataFrame, name_col: str = "name") -> DataFrame:
     """``docs`` with the gold document whose name starts with theirs (the text before the last ``_`` of the gold name).
@@ -20,12 +22,10 @@ def matched(system: DataFrame, gold: DataFrame, keys: tuple[str, ...] = ("doc_id
     """Each system and each gold span with ``strict`` (an equal one) and ``lenient`` (an overlapping one)."""
 
     def side(a: DataFrame, b: DataFrame) -> DataFrame:
-        o = b.select(*[F.col(k).alias(f"o_{k}") for k in keys], F.col("type").alias("o_type"), F.col("start").alias("o_start"), F.col("end").alias("o_end")).distinct()
-        on = (a["type"] == o["o_type"]) & (a["start"] < o["o_end"]) & (o["o_start"] < a["end"])
-        for k in keys:
-            on = on & (a[k] == o[f"o_{k}"])
-        equal = (F.col("start") == F.col("o_start")) & (F.col("end") == F.col("o_end"))
-        return a.join(o, on, "left").groupBy(*[a[c] for c in a.columns]).agg(F.coalesce(F.bool_or(equal), F.lit(False)).alias("strict"), F.count("o_type").alias("hits")).withColumn("lenient", F.col("hits") > 0).drop("hits")
+        near = join_overlapping(a, b, keys, F.col("type") == F.col("o_type")).select(*a.columns).distinct().withColumn("lenient", F.lit(True))
+        equal = b.withColumn("strict", F.lit(True))
+        found = a.join(near, a.columns, "left").join(equal, a.columns, "left")
+        return found.select(*a.columns, F.coalesce("strict", F.lit(False)).alias("strict"), (F.coalesce("lenient", F.lit(False)) | F.coalesce("strict", F.lit(False))).alias("lenient"))
 
     cols = [*keys, "type", "start", "end"]
     s, g = system.select(*cols).distinct(), gold.select(*cols).distinct()

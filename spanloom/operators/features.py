@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators.fields import token_fields
+from spanloom.operators.intervals import join_within
 from spanloom.operators.tokens import token_table, with_sentence_nr, work_tokens
 
 
 def _joined(tokens: DataFrame, spans: DataFrame, value: str, name: str, keys: tuple[str, ...], sep: str) -> DataFrame:
     """``(keys, tok_idx, name)``: the values of the spans over each token, longest first."""
-    s = spans.select(*[F.col(k).alias(f"s_{k}") for k in keys], F.col("start").alias("s_start"), F.col("end").alias("s_end"), F.col(value).alias("_v"))
-    on = (tokens["start"] >= s["s_start"]) & (tokens["end"] <= s["s_end"])
-    for k in keys:
-        on = on & (tokens[k] == s[f"s_{k}"])
-    row = F.struct((F.col("s_start") - F.col("s_end")).alias("l"), F.col("_v"))
-    return tokens.join(s, on).groupBy(*keys, "tok_idx").agg(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["_v"])), sep).alias(name))
+    found = join_within(tokens.select(*keys, "tok_idx", "start", "end"), spans.select(*keys, "start", "end", F.col(value).alias("v")), keys, prefix="s_")
+    row = F.struct((F.col("s_start") - F.col("s_end")).alias("l"), F.col("s_v").alias("_v"))
+    return found.groupBy(*keys, "tok_idx").agg(F.array_join(F.array_distinct(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["_v"])), sep).alias(name))
 
 
 def token_features(tokens: DataFrame, annotations: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

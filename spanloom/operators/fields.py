@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.paths import path_matches
 from spanloom.functions.text import running
+from spanloom.operators.intervals import join_within
 
 LEAVES = "array<struct<path:array<string>,steps:array<string>,value:string,is_null:boolean>>"
 ITEM = "LISTELEMENT"
@@ -184,20 +185,14 @@ def without_forbidden(annotations: DataFrame, fields: DataFrame, blacklist: dict
     rules = [F.when(path_matches(F.col("path"), p), F.array(*[F.lit(t) for t in types])) for p, types in blacklist.items()]
     none = F.array().cast("array<string>")
     banned = F.flatten(F.array(*[F.coalesce(r, none) for r in rules])) if rules else none
-    f = fields.select(*[F.col(k).alias(f"f_{k}") for k in keys], F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.explode(banned).alias("f_type"))
-    on = (annotations["type"] == f["f_type"]) & (annotations["start"] >= f["f_start"]) & (annotations["end"] <= f["f_end"])
-    for k in keys:
-        on = on & (annotations[k] == f[f"f_{k}"])
-    return annotations.join(f, on, "left_anti")
+    f = fields.select(*keys, "start", "end", F.explode(banned).alias("type"))
+    return join_within(annotations, f, keys, "left_anti", F.col("type") == F.col("f_type"), prefix="f_")
 
 
 def token_fields(tokens: DataFrame, fields: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Tokens with the name and path of the innermost field over them."""
-    f = fields.select(*[F.col(k).alias(f"f_{k}") for k in keys], F.col("start").alias("f_start"), F.col("end").alias("f_end"), F.struct(F.size("path").alias("depth"), F.col("name"), F.array_join("path", "/").alias("path")).alias("f"))
-    on = (tokens["start"] >= f["f_start"]) & (tokens["end"] <= f["f_end"])
-    for k in keys:
-        on = on & (tokens[k] == f[f"f_{k}"])
-    inner = tokens.join(f, on, "left").groupBy(*tokens.columns).agg(F.max("f").alias("f"))
+    f = fields.select(*keys, "start", "end", F.struct(F.size("path").alias("depth"), F.col("name"), F.array_join("path", "/").alias("path")).alias("field"))
+    inner = join_within(tokens, f, keys, "left", prefix="f_").groupBy(*tokens.columns).agg(F.max("f_field").alias("f"))
     return inner.select(*tokens.columns, F.col("f.name").alias("field_name"), F.col("f.path").alias("field_path"))
 
 

@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions.arrows import Words
+from spanloom.operators.automaton import MOST_BYTES, Automaton, found_in_rows, phrase_bytes, phrase_tokens
+from spanloom.operators.intervals import without_overlap
+from spanloom.operators.tokens import token_table, work_tokens
+
 #: Lexica up to this size are sent to all executors; larger ones meet the tokens in a shuffled join.
 BROADCAST_ROWS = 2_000_000
 
@@ -20,7 +27,52 @@ def read_lexicon(df: DataFrame) -> DataFrame:
     A byte-order mark, comments and empty lines go; entries count once.
     """
     term = F.trim(F.regexp_replace(F.split("term", "\t")[0], "^﻿", ""))
-    return df.select(term.alias("term"), "major", "minor", "language").where("term != '' and not startswith(term, '#')").distinct().withColumn("n_tokens", F.size(F.regexp_extract_all("term", F.lit(r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"), F.lit(0))))
+    return df.select(term.alias("term"), "major", "minor", "language").where("term != '' and not startswith(term, '#')").distinct().withColumn("n_tokens", F.size(phrase_tokens("term")))
+
+
+def read_lists(spark: SparkSession, folder: str, index: str = "lists.def") -> DataFrame:
+    """The lexicon of a folder: its index names a list a line as ``file:major:minor:language``, the last two or the last one may be missing.
+
+    Lists are read together, as one table of lines, and meet the index by their
+    path. The index is short and goes to the driver; a list that isn't there raises.
+    """
+    lines = [r["value"].strip() for r in spark.read.text(f"{folder}/{index}").collect()]
+    named = [([*line.split(":"), "", "", ""])[:4] for line in lines if line and not line.startswith("#")]
+    labels = spark.createDataFrame([(f"/{f.strip().lstrip('/')}", m, n, lang) for f, m, n, lang in named], "file string, major string, minor string, language string")
+    text = spark.read.text([f"{folder}/{f.strip()}" for f in dict.fromkeys(row[0] for row in named)]) if named else spark.createDataFrame([], "value string")
+    path = F.replace(F.input_file_name(), F.lit("%20"), F.lit(" "))
+    lists = text.select(F.col("value").alias("term"), path.alias("path"))
+    return read_lexicon(lists.join(F.broadcast(labels), F.endswith("path", "file")).select("term", "major", "minor", "language"))
+
+
+def text_lookups(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``lookups`` for the texts themselves: all entries in one pass within the row, of any number of words, no shuffle of tokens.
+
+    The lexicon becomes a trie that is built once and broadcast; one of more than
+    ``MOST_BYTES`` of text meets the tokens in a shuffled join instead.
+    """
+    if phrase_bytes(lexicon, "term", "major", "minor", "language") > MOST_BYTES:
+        return lookups(work_tokens(token_table(docs, text_col, keys), keys), lexicon, keys)
+    entries = lexicon.select("term", "major", "minor", "language", phrase_tokens("term").alias("words")).orderBy("term", "language", "major", "minor").toArrow()
+    lists = {pair: k for k, pair in enumerate(dict.fromkeys(zip(entries["major"].to_pylist(), entries["minor"].to_pylist(), strict=True)))}
+    of_list = [lists[pair] for pair in zip(entries["major"].to_pylist(), entries["minor"].to_pylist(), strict=True)]
+    payload = {name: entries[name].combine_chunks() for name in ("term", "major", "minor", "language")}
+    shared = docs.sparkSession.sparkContext.broadcast((Automaton.of(entries["words"].to_pylist()), of_list, payload))
+
+    def find(words: Words) -> tuple[np.ndarray, dict[str, pa.Array]]:
+        automaton, of_list, payload = shared.value
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for at, behind, entry in automaton.hits(words):
+            held = best.get((at, of_list[entry]))
+            if held is None or behind > held[0]:
+                best[at, of_list[entry]] = (behind, entry)
+        at = np.array([a for a, _ in best], dtype=np.int64)
+        last = np.array([behind for behind, _ in best.values()], dtype=np.int64) - 1
+        chosen = pa.array([entry for _, entry in best.values()], pa.int64())
+        places = {"start": pa.array(words.start[at], pa.int32()), "end": pa.array(words.end[last], pa.int32())}
+        return words.row[at], places | {name: column.take(chosen) for name, column in payload.items()}
+
+    return found_in_rows(docs, text_col, keys, find, "start:int,end:int,term:string,major:string,minor:string,language:string")
 
 
 def lookups(words: DataFrame, lexicon: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -31,7 +83,7 @@ def lookups(words: DataFrame, lexicon: DataFrame, keys: tuple[str, ...] = ("doc_
     list at a place stays.
     """
     longest = lexicon.agg(F.max("n_tokens")).first()[0] or 1
-    spaced = lexicon.withColumn("norm", F.array_join(F.regexp_extract_all("term", F.lit(r"\p{L}+|\p{N}+|[^\p{L}\p{N}\s]"), F.lit(0)), " "))
+    spaced = lexicon.withColumn("norm", F.array_join(phrase_tokens("term"), " "))
     w = Window.partitionBy(*keys).orderBy("tok_idx")
     ahead = [F.struct(F.col("string"), F.col("end"))] + [F.lead(F.struct("string", "end"), k).over(w) for k in range(1, longest)]
     runs = words.select(*keys, "tok_idx", "start", F.array(*ahead).alias("run"))
@@ -76,11 +128,8 @@ def direct_annotations(hits: DataFrame) -> DataFrame:
 
 def without_false_positives(annotations: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Annotations that no hit of a false-positive list of their type overlaps, nor, for places, an ambiguous city."""
-    bad = hits.where("minor = 'false_positives' or minor = 'city_ambiguous'").select(*[F.col(k).alias(f"b_{k}") for k in keys], F.col("start").alias("b_start"), F.col("end").alias("b_end"), F.when(F.col("minor") == "city_ambiguous", "location").otherwise(F.lower("major")).alias("b_type"))
-    on = (F.lower(annotations["type"]) == bad["b_type"]) & (annotations["start"] < bad["b_end"]) & (bad["b_start"] < annotations["end"])
-    for k in keys:
-        on = on & (annotations[k] == bad[f"b_{k}"])
-    return annotations.join(bad, on, "left_anti")
+    bad = hits.where("minor = 'false_positives' or minor = 'city_ambiguous'").select(*keys, "start", "end", F.when(F.col("minor") == "city_ambiguous", "location").otherwise(F.lower("major")).alias("type"))
+    return without_overlap(annotations, bad, keys, F.lower("type") == F.col("o_type"), ("start", "end", "type"))
 
 
 #: One letter for what a token can be in a name; the first that holds is taken.

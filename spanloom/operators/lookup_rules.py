@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.intervals import without_overlap
 from spanloom.operators.rules import Rule, with_phase
 from spanloom.rulesets import lookups as r
 
@@ -92,8 +93,5 @@ def without_traps(annotations: DataFrame, words: DataFrame, hits: DataFrame, key
     seen = t.select(*keys, "start", "string", around.alias("run"), F.lag("_stop").over(w).alias("_after"), F.lag("string").over(w).alias("_before"))
     raw = seen.where(F.col("run").startswith(RAW_NULL)).select(*keys, F.col("start").alias("_from"), (F.col("start") + len(RAW_NULL)).alias("_to"), F.array(F.lit("Location"), F.lit("Name")).alias("_types"))
     train = seen.where((F.col("string") == "Zug") & F.col("_after") & ~F.col("_before").isin(*BEFORE_TOWN)).select(*keys, F.col("start").alias("_from"), (F.col("start") + 3).alias("_to"), F.array(F.lit("Location")).alias("_types"))
-    bad = raw.unionByName(train).select(*[F.col(k).alias(f"b_{k}") for k in keys], "_from", "_to", "_types")
-    on = (annotations["start"] < bad["_to"]) & (bad["_from"] < annotations["end"]) & F.array_contains(bad["_types"], annotations["type"])
-    for k in keys:
-        on = on & (annotations[k] == bad[f"b_{k}"])
-    return annotations.join(bad, on, "left_anti")
+    bad = raw.unionByName(train).withColumnsRenamed({"_from": "start", "_to": "end", "_types": "types"})
+    return without_overlap(annotations, bad, keys, F.array_contains("o_types", F.col("type")), ("start", "end", "type"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.intervals import join_overlapping, join_within
+
 #: Which type wins when all else is equal.
 RANK = {"Name": 0, "Age": 1, "Date": 2, "Contact": 3}
 DEFAULT_CONFIDENCE = 50.0
@@ -63,11 +65,9 @@ def remove_weaker(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> Data
     rank = F.coalesce(*[F.when(F.col("type") == t, F.lit(k)) for t, k in RANK.items()], F.lit(99))
     power = F.struct(F.coalesce(F.col("confidence").try_cast("double"), F.lit(DEFAULT_CONFIDENCE)).alias("c"), (F.col("end") - F.col("start")).alias("l"), (-rank).alias("t"), F.col("ann_id").alias("i"))
     ranked = spans.withColumn("_power", power)
-    c = ranked.where("type != 'Address'").select(*[F.col(k).alias(f"c_{k}") for k in keys], F.col("start").alias("c_start"), F.col("end").alias("c_end"), F.col("_power").alias("c_power"), F.col("ann_id").alias("c_id"))
-    on = (ranked["ann_id"] != c["c_id"]) & (ranked["start"] >= c["c_start"]) & (ranked["end"] <= c["c_end"]) & (c["c_power"] > ranked["_power"]) & (ranked["type"] != "Address")
-    for k in keys:
-        on = on & (ranked[k] == c[f"c_{k}"])
-    return ranked.join(c, on, "left_anti").drop("_power")
+    c = ranked.where("type != 'Address'").select(*keys, "start", "end", F.col("_power").alias("power"), F.col("ann_id").alias("id"))
+    beaten = (F.col("ann_id") != F.col("c_id")) & (F.col("c_power") > F.col("_power")) & (F.col("type") != "Address")
+    return join_within(ranked, c, keys, "left_anti", beaten, prefix="c_").drop("_power")
 
 
 def remove_redundant(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -104,11 +104,8 @@ def overlapping(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFr
 
 def split_at_fields(spans: DataFrame, leaves: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Each span's intersections with the leaf fields it overlaps."""
-    f = leaves.select(*[F.col(k).alias(f"f_{k}") for k in keys], F.col("start").alias("f_start"), F.col("end").alias("f_end"))
-    on = (spans["start"] < f["f_end"]) & (f["f_start"] < spans["end"])
-    for k in keys:
-        on = on & (spans[k] == f[f"f_{k}"])
-    return spans.join(f, on).withColumns({"start": F.greatest("start", "f_start"), "end": F.least("end", "f_end")}).select(*spans.columns)
+    pairs = join_overlapping(spans, leaves.select(*keys, "start", "end"), keys, prefix="f_")
+    return pairs.withColumns({"start": F.greatest("start", "f_start"), "end": F.least("end", "f_end")}).select(*spans.columns)
 
 
 def split_overlaps(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -124,12 +121,11 @@ def split_overlaps(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> Dat
 
 def leaf_spans(fields: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Fields that hold no other field; of coextensive ones the highest id."""
-    o = fields.select(*[F.col(k).alias(f"o_{k}") for k in keys], F.col("start").alias("o_start"), F.col("end").alias("o_end"), F.col("ann_id").alias("o_id"))
-    same = (fields["start"] == o["o_start"]) & (fields["end"] == o["o_end"])
-    on = (fields["ann_id"] != o["o_id"]) & (o["o_start"] >= fields["start"]) & (o["o_end"] <= fields["end"]) & (~same | (o["o_id"] > fields["ann_id"]))
-    for k in keys:
-        on = on & (fields[k] == o[f"o_{k}"])
-    return fields.join(o, on, "left_anti")
+    held, holders = fields.select(*keys, "start", "end", "ann_id"), fields.select(*keys, "start", "end", "ann_id")
+    same = (F.col("start") == F.col("o_start")) & (F.col("end") == F.col("o_end"))
+    hold = (F.col("ann_id") != F.col("o_ann_id")) & (~same | (F.col("ann_id") > F.col("o_ann_id")))
+    found = join_within(held, holders, keys, also=hold).select(*[F.col(f"o_{c}").alias(c) for c in (*keys, "ann_id")]).distinct()
+    return fields.join(found, [*keys, "ann_id"], "left_anti")
 
 
 #: The subtypes that each type may have.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import kind, orth, with_tokens
+from spanloom.operators.intervals import join_overlapping
 
 
 def token_table(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -15,8 +16,9 @@ def token_table(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...] =
     repeat an id, or have none, each have their own. A null text has no token.
     """
     placed = with_tokens(docs.select(*dict.fromkeys([*keys, text_col])), text_col, "_tokens")
-    words = placed.select(*keys, F.posexplode("_tokens").alias("tok_idx", "_t")).select(*keys, "tok_idx", "_t.*")
-    return words.select(*keys, "tok_idx", "start", "end", "string", kind("string").alias("kind"), orth("string").alias("orth"), F.length("string").alias("length"))
+    # posexplode alone would make Spark push a test of the array's size, and with it all that makes the array, below the UDF once more
+    words = placed.select(*keys, F.posexplode_outer("_tokens").alias("tok_idx", "_t")).where("tok_idx is not null").select(*keys, "tok_idx", "_t.*")
+    return words.select(*keys, "tok_idx", (F.col("end") - F.length("string")).alias("start"), "end", "string", kind("string").alias("kind"), orth("string").alias("orth"), F.length("string").alias("length"))
 
 
 def work_tokens(table: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -49,12 +51,8 @@ def sentences(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviatio
 
 def adjust_sentences(found: DataFrame, leaves: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Sentences cut at the borders of the leaf fields that they overlap."""
-    s, f = found.alias("s"), leaves.alias("f")
-    same = [F.col(f"s.{k}") == F.col(f"f.{k}") for k in keys]
-    on = (F.col("s.start") < F.col("f.end")) & (F.col("f.start") < F.col("s.end"))
-    for c in same:
-        on = on & c
-    return s.join(f, on).select(*[F.col(f"s.{k}") for k in keys], F.greatest("s.start", "f.start").alias("start"), F.least("s.end", "f.end").alias("end"))
+    pairs = join_overlapping(found.select(*keys, "start", "end"), leaves.select(*keys, "start", "end"), keys, prefix="f_")
+    return pairs.select(*keys, F.greatest("start", "f_start").alias("start"), F.least("end", "f_end").alias("end"))
 
 
 def window_flag(table: DataFrame, flag: str, size: int, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from spanloom.operators.contexts import metadata_annotations, propagate, trigger_contexts
 from spanloom.operators.diagnosis import certainty, consolidate, keyword_annotations
 from spanloom.operators.fields import Mapping, delete_fields, flatten, json_leaves, map_fields, rebuild, report_texts, structured_annotations, without_forbidden
-from spanloom.operators.lexicon import direct_annotations, lookups, suffix_lookups, without_false_positives
+from spanloom.operators.intervals import join_overlapping
+from spanloom.operators.lexicon import direct_annotations, suffix_lookups, text_lookups, without_false_positives
 from spanloom.operators.lookup_rules import lookup_annotations, without_traps
 from spanloom.operators.names import name_annotations
 from spanloom.operators.resolve import enforce_schema, merge_spans, remove_redundant, remove_weaker, split_overlaps
@@ -129,7 +130,7 @@ def find(
     if lexicon is not None or metadata is not None:
         words = work_tokens(token_table(docs))
     if lexicon is not None:
-        hits = lookups(words, lexicon)
+        hits = text_lookups(docs, lexicon)
         if suffixes is not None:
             hits = hits.unionByName(suffix_lookups(words, suffixes).select("doc_id", "start", "end", F.col("string").alias("term"), "major", "minor", F.lit("").alias("language")))
         direct = direct_annotations(hits).withColumn("rule", F.lit("Lexicon"))
@@ -185,10 +186,11 @@ def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings =
     readable = reports.where(json_leaves("content").isNotNull())
     leaves, spans = find_in_reports(readable, settings, phases)
     leaves = delete_fields(leaves, list(settings.deleted)) if settings.deleted else leaves
-    fields = leaves.where("end > start").select("doc_id", "field_id", "value", F.col("start").alias("_from"), F.col("end").alias("_to"))
-    inside = spans.join(fields, "doc_id").where("start < _to and _from < end")
-    cut = inside.withColumns({"start": F.greatest("start", "_from") - F.col("_from"), "end": F.least("end", "_to") - F.col("_from")})
-    texts = cut.withColumn("text", F.coalesce(F.col("value").substr(F.col("start") + 1, F.col("end") - F.col("start")), F.lit(""))).where("value != ''").drop("value", "_from", "_to")
+    fields = leaves.where("end > start").select("doc_id", "field_id", "value", "start", "end")
+    inside = join_overlapping(spans, fields, prefix="f_")
+    cut = inside.withColumns({"start": F.greatest("start", "f_start") - F.col("f_start"), "end": F.least("end", "f_end") - F.col("f_start")})
+    value = F.col("f_value")
+    texts = cut.where(value != "").select(*spans.columns, F.col("f_field_id").alias("field_id"), F.coalesce(value.substr(F.col("start") + 1, F.col("end") - F.col("start")), F.lit("")).alias("text"))
     changed = substitute(leaves.select("doc_id", "field_id", "value"), texts, policy, "value", ("doc_id", "field_id"), ("doc_id",))
     return rebuild(readable, changed)
 

@@ -117,7 +117,7 @@ def lex(spark):
 
 
 def doc_hits(spark, sf):
-    return lexicon.lookups(tokens.work_tokens(doc_tokens(spark, sf)), lex(spark))
+    return lexicon.text_lookups(read(spark, sf, "documents").select("doc_id", "text"), lex(spark))
 
 
 @register("q_lexicon_lookup", SQL_LOOKUPS + ' select doc_id, major, minor, count(*) as n, cast(sum(s) as bigint) as sum_start from hits group by all')
@@ -380,7 +380,7 @@ in_contexts("q_rule_fields_more", t.MORE_FIELDS, {"Fields": [*others.FIELDS, *ot
 
 def looked_up(spark, docs):
     words = tokens.work_tokens(tokens.token_table(docs))
-    return words, lexicon.lookups(words, lexicon.read_lexicon(spark.createDataFrame(t.LOOKUP_LEXICON, "term string, major string, minor string, language string")))
+    return words, lexicon.text_lookups(docs, lexicon.read_lexicon(spark.createDataFrame(t.LOOKUP_LEXICON, "term string, major string, minor string, language string")))
 
 
 @register("q_rule_lookups", t.expected_sql("customer", "c_custkey", [c[1] for c in t.LOOKUPS]))
@@ -692,7 +692,7 @@ def _(spark, sf):
 select tags, count(*) as n, count_if(regexp_matches(string, '^\\p{Lu}')) as n_capitalized from (select string, array_to_string(list_sort(string_split(tags, ';')), ';') as tags from l) group by tags""")
 def _(spark, sf):
     words = tokens.work_tokens(doc_tokens(spark, sf))
-    hits = lexicon.lookups(words, lex(spark))
+    hits = doc_hits(spark, sf)
     rows = features.with_flags(features.token_features(words, lexicon.direct_annotations(hits).select("doc_id", "start", "end", "type"), hits))
     return rows.groupBy(F.array_join(F.array_sort(F.split("lookup_tags", ";")), ";").alias("tags")).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_capitalized").alias("n_capitalized"))
 
