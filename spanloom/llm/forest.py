@@ -69,9 +69,9 @@ def _alike(similarity: float, size: int, sizes: np.ndarray, sig: np.ndarray, sig
 def neighbours(similarity: float, best_only: bool):
     """A function over batches of rows sorted by (region, order): pairs of each row and those up to WINDOW before it in its region.
 
-    ``best_only``: only the pair that agrees most, with its agreement, and each row
-    that could have a partner with itself (agreement 0). Otherwise all pairs whose
-    groups differ.
+    ``best_only``: only the pair that agrees most, with its agreement, and rows that
+    could only have a partner behind them with themselves (agreement 0). Otherwise
+    all pairs whose groups differ.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -95,7 +95,6 @@ def neighbours(similarity: float, best_only: bool):
                             if not told[k]:
                                 told[k] = True
                                 out.append((nodes[k], nodes[k], 0))
-                        out.append((node, node, 0))
                     elif len(near):
                         out += [(node, nodes[k], int(agree[k])) for k in near.tolist() if roots[k] != root]
                 at = count % WINDOW
@@ -107,13 +106,18 @@ def neighbours(similarity: float, best_only: bool):
 
 
 def _candidates(members: DataFrame, similarity: float, best_only: bool) -> DataFrame:
-    """Pairs ``(a, b, agree)`` of neighbours in all orders; small regions whole, crowded ones sorted to full depth over ranges of partitions."""
+    """Pairs ``(a, b, agree)`` of neighbours in all orders.
+
+    Small regions are compared whole; crowded ones are sorted to full depth over
+    ranges of partitions, and only for the best of each: the exact join does the rest of them.
+    """
     columns = ["region", "node", "n", "sig", "root"]
     small = members.where(F.col("size") <= WINDOW + 1).select(*columns).repartition("region").sortWithinPartitions("region", "node")
     order = F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH))
     crowded = members.where(F.col("size") > WINDOW + 1).withColumn("order", order).repartitionByRange("region", "order", "node").sortWithinPartitions("region", "order", "node").select(*columns)
     run, pair = neighbours(similarity, best_only), "a binary, b binary, agree long"
-    return small.mapInPandas(run, pair).unionByName(crowded.mapInPandas(run, pair))
+    found = small.mapInPandas(run, pair)
+    return found.unionByName(crowded.mapInPandas(run, pair)) if best_only else found
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
