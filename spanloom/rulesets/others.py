@@ -13,10 +13,14 @@ AGE = [
 ]
 
 TLD = r"(?:info|com|net|org|ch|de|fr|li|eu)"
-HOST = r"[A-Za-z0-9]+(?:-[A-Za-z0-9]+)*"
+# Loops over groups are possessive or bounded: Java's matcher goes one call deeper at each turn of any other, and a long list would end the JVM.
+# A run of letters and digits can only begin a match at its own start, or a long one would be tried from each of its places.
+HOST = r"[A-Za-z0-9]++(?:-[A-Za-z0-9]++)*+"
+RUN, MAIL_RUN = r"(?<![A-Za-z0-9])(?<![A-Za-z0-9]-)", r"(?<![A-Za-z0-9])(?<![A-Za-z0-9][._])"
+LABELS = 32
 INTERNET = [
-    Rule("emailaddress", rf"()([A-Za-z0-9]+(?:[._][A-Za-z0-9]+)*@(?:{HOST}\.)+{TLD}\b)", ((2, "Contact", "email"),)),
-    Rule("url", rf"()((?:(?:https?|ftp)://)?(?:{HOST}\.){{2,}}{TLD}\b(?:/[A-Za-z0-9_./-]*[A-Za-z0-9_/])?)", ((2, "Contact", "website"),)),
+    Rule("emailaddress", rf"()({MAIL_RUN}[A-Za-z0-9]++(?:[._][A-Za-z0-9]++)*+@(?:{HOST}\.){{1,{LABELS}}}{TLD}\b)", ((2, "Contact", "email"),)),
+    Rule("url", rf"()({RUN}(?:(?:https?|ftp)://)?(?:{HOST}\.){{2,{LABELS}}}{TLD}\b(?:/[A-Za-z0-9_./-]*[A-Za-z0-9_/])?)", ((2, "Contact", "website"),)),
 ]
 
 SEP = r"[ \t]*(?:[-/][ \t]*)?"
@@ -56,18 +60,18 @@ ADDRESSOR = r"(?:Direktor(?:in)?|Koordinator(?:in)?|\p{L}*[Mm]anager(?:in)?|Leit
 
 NUMBER = rf"(?:{S}[0-9]+[a-zA-Z]?{E})?"
 LOCATIONS = [
-    Rule("LocationLeftTrigger", rf"({B}Haltestelle{S})({CAP}(?:[ -]{CAP})*)", ((2, "Location", "other"),)),
+    Rule("LocationLeftTrigger", rf"({B}Haltestelle{S})({CAP}(?:[ -]{CAP})*+)", ((2, "Location", "other"),)),
     Rule("GenericStreetNames", rf"()({B}\p{{Lu}}\p{{L}}*(?:allee|gasse|platz|strasse|weg|str\.?)(?!\p{{L}}){NUMBER})", ((2, "Location", "street"),)),
-    Rule("GenericStreetNamesLeftTrigger", rf"()({B}(?:Rue|Via){S}(?:(?:des|du|la){S})?{CAP}(?:{S}{CAP})*{NUMBER})", ((2, "Location", "street"),)),
-    Rule("StreetsNamedAfterPeople", rf"()({B}{CAP}(?:{S}-{S}{CAP})*{S}-?{S}(?:Strasse|Str\.?)(?!\p{{L}}){NUMBER})", ((2, "Location", "street"),)),
+    Rule("GenericStreetNamesLeftTrigger", rf"()({B}(?:Rue|Via){S}(?:(?:des|du|la){S})?{CAP}(?:{S}{CAP})*+{NUMBER})", ((2, "Location", "street"),)),
+    Rule("StreetsNamedAfterPeople", rf"()({B}{CAP}(?:{S}-{S}(?!(?:Strasse|Str)(?!\p{{L}})){CAP})*+{S}-?{S}(?:Strasse|Str\.?)(?!\p{{L}}){NUMBER})", ((2, "Location", "street"),)),
     Rule("PostalBox", rf"()({B}Postfach(?:{S}[0-9]+)?)", ((2, "Location", "street"),)),
     Rule("ZipCodeAndCityWithCountry", rf"()({B}[A-Z]{{1,2}})({S}-{S})([1-9][0-9]{{3,}})({S})({CAP})?", ((2, "Location", "country"), (4, "Location", "zip"), (6, "Location", "city"))),
     Rule("HospitalLocation", rf"()({B}(?:\p{{L}}*[sS]pital|Reha|Krankenhaus|KS|RS){S}(?:St\.{S})?{CAP})", ((2, "Location", "organisation"),)),
     Rule("HospitalPostfix", rf"()({B}\p{{L}}+spitals?(?!\p{{L}}))", ((2, "Location", "organisation"),)),
-    Rule("HospitalUnit", rf"()({B}(?:Klinik|Institut|Zentrum|Abteilung)(?:{S}und{S}Poliklinik)?{S}für{S}{CAP}(?:{S}{CAP})?(?:{S}(?:,|und){S}{CAP}(?:{S}{CAP})?)*)", ((2, "Location", "organisational unit"),)),
+    Rule("HospitalUnit", rf"()({B}(?:Klinik|Institut|Zentrum|Abteilung)(?:{S}und{S}Poliklinik)?{S}für{S}{CAP}(?:{S}{CAP})?(?:{S}(?:,|und){S}{CAP}(?:{S}{CAP})?)*+)", ((2, "Location", "organisational unit"),)),
     Rule("HospitalUnitRightTriggered", rf"()({B}\p{{L}}+ologische{S}Klinik{E})", ((2, "Location", "organisational unit"),)),
     Rule("HospitalUnitPostfix", rf"()({B}(?:Universitäre[sn]?{S})?\p{{Lu}}\p{{Ll}}+(?:klinik|institut|zentrums?|departement)(?!\p{{L}})(?:{S}{CAP})?)", ((2, "Location", "organisational unit"),)),
-    Rule("HealthcareOrSocialInstitutions", rf"()({B}(?:\p{{L}}*[Pp]raxis|(?:Alters{S}-{S})?(?:{'|'.join(INSTITUTION)})s?){S}(?:[^\p{{L}}\p{{N}}\s.,:]{S})?(?:(?:am|im){S})?(?:{CAP}|&)(?:{S}(?:{CAP}|&))*(?:{S}AG{E})?\"?)", ((2, "Location", "organisation"),)),
+    Rule("HealthcareOrSocialInstitutions", rf"()({B}(?:\p{{L}}*[Pp]raxis|(?:Alters{S}-{S})?(?:{'|'.join(INSTITUTION)})s?){S}(?:[^\p{{L}}\p{{N}}\s.,:]{S})?(?:(?:am|im){S})?(?:{CAP}|&)(?:{S}(?:{CAP}|&))*+(?:{S}AG{E})?\"?)", ((2, "Location", "organisation"),)),
     Rule("HealthcareOrSocialInstitutionsRightTriggered", rf"()({B}\p{{Lu}}\p{{Ll}}+(?:[Pp]raxis|{S}-{S}(?:Praxis|Klinik|Rehaklinik|Wohnheim|Ärztezentrum))(?!\p{{L}}))", ((2, "Location", "organisation"),)),
     Rule("CompanyLeftTriggered", rf"({B}Firma{S})({CAP})", ((2, "Location", "organisation"),)),
     Rule("Foundations", rf"()({B}Stiftung{S}{CAP}(?:{S}{CAP}){{0,2}})", ((2, "Location", "organisation"),)),
@@ -89,16 +93,16 @@ TWO = ((2, "Occupation", ""), (4, "Occupation", ""))
 OCCUPATIONS = [
     Rule("OccupationsLeftTriggered", rf"({B}(?:von{S}Beruf|Beruf{S}:|gelernte[r]?|(?:Lehre|Ausbildung){S}(?:als|:)){S})({CAP})({PLACE}?)({CAP})?", TWO),
     Rule("OccupationsRetiredLeftTriggered", rf"()({B}pensionierte[rn]?{S}{CAP})", ((2, "Occupation", ""),)),
-    Rule("OccupationsWorkTriggered", rf"({B}(?:arbeitet|vormaliger?){S}(?:(?:weiterhin|als|bei|im|in|für|der|die|einer|einem){S})*)((?!Patient)(?:{CAP}|{CAPS})(?:{S}(?:{CAP}|{CAPS}))*)", ((2, "Occupation", ""),)),
+    Rule("OccupationsWorkTriggered", rf"({B}(?:arbeitet|vormaliger?){S}(?:(?:weiterhin|als|bei|im|in|für|der|die|einer|einem){S})*+)((?!Patient)(?:{CAP}|{CAPS})(?:{S}(?:{CAP}|{CAPS}))*+)", ((2, "Occupation", ""),)),
     Rule("OccupationsLeftTriggeredAnamnesis", rf"({B}ehemals{S})({CAP})", ((2, "Occupation", ""),), context="AnamnesisField"),
-    Rule("OccupationsRightTriggered", rf"({B}(?:als|in|im|bei|der|die|einer){S})((?!Patient){CAP}(?:{S}{CAP})*)({S}(?:arbeitstätig|tätig|gearbeitet){E})", ((2, "Occupation", ""),)),
+    Rule("OccupationsRightTriggered", rf"({B}(?:als|in|im|bei|der|die|einer){S})((?!Patient){CAP}(?:{S}{CAP})*+)({S}(?:arbeitstätig|tätig|gearbeitet){E})", ((2, "Occupation", ""),)),
     Rule("OccupationPostfixTriggered", rf"()({B}\p{{Lu}}\p{{Ll}}*(?:ftler|ftlerin|professor|professorin|lehrer|lehrerin|studium|student|studentin|-Student|-Studentin|angestellter?)(?!\p{{L}}))", ((2, "Occupation", ""),)),
 ]
 
 NAME = rf"{CAP}(?:{S}-{S}{CAP})?"
 INITIALS = rf"(?:\p{{Lu}}\p{{Ll}}?\.{S}-?{S}){{1,2}}"
 NAMES = [
-    Rule("DoctorsLeftContext", rf"((?:{B}{CIVIL}{S})?{B}(?:{TITLE}{S}|{ROLE}{S})+)((?:{INITIALS})?{NAME}(?:{S}{NAME}){{0,2}})", ((1, "Salutation", ""), (2, "Name", "doctor")), 100),
+    Rule("DoctorsLeftContext", rf"((?:{B}{CIVIL}{S})?{B}(?:(?:{TITLE}|{ROLE})(?!\p{{Ll}}){S})++)((?:{INITIALS})?{NAME}(?:{S}{NAME}){{0,2}})", ((1, "Salutation", ""), (2, "Name", "doctor")), 100),
     Rule("DoctorsRightContext", rf"((?:{B}{CIVIL}{S})?)({B}(?:{INITIALS})?{NAME}(?:{S}{NAME})?)({S},{S}(?:Oberarzt|Oberärztin|Assistenzarzt|Assistenzärztin|Chefarzt|Chefärztin|OA){E})", ((2, "Name", "doctor"),)),
     Rule("NursingStaffLeftContext", rf"({B}PFF{S})({NAME}(?:{S}{NAME})?)", ((2, "Name", "medical staff"),)),
     Rule("NursingStaffRightContext", rf"()({B}(?:{INITIALS})?{NAME}(?:{S}{NAME})?)({S},?{S}(?:Pflegefachfrau|Pflegefachmann|dipl|PFF|MPA)(?!\p{{L}}))", ((2, "Name", "medical staff"),)),
@@ -120,7 +124,7 @@ FIELDS = [
     Rule("ProcessOrtDat", rf"()({B}{CAP})({S},{S})([0-9.]+)({S}/?{S})(\p{{L}}{{2,5}}{E})({S}/{S})?(\p{{L}}{{2,5}}{E})?", ((2, "Location", "city"), (4, "Date", "other"), (6, "Name", "medical staff"), (8, "Name", "medical staff")), context="OrtDat"),
     Rule("InternalPhoneTrigger", rf"({B}(?:Tel\.?{S}Büro|Sucher){S}[^\p{{L}}\p{{N}}\s]?{S})([0-9]+(?:{S}[0-9]+)?)", ((2, "Contact", "phone number"),)),
     Rule("DOBTrigger", rf"({B}geb{S}\.?{S})({NB}[0-9]{{1,2}}\.[0-9]{{1,2}}\.[0-9]{{2,4}}{NE})", ((2, "Date", "DOB"),)),
-    Rule("NamesInDisplayName", rf"()({B}(?:{INITIALS})?{NAME}(?:{S}{NAME})*)", ((2, "Name", "medical staff"),), context="DisplayName"),
+    Rule("NamesInDisplayName", rf"()({B}(?:{INITIALS})?{NAME}(?:{S}{NAME})*+)", ((2, "Name", "medical staff"),), context="DisplayName"),
     Rule("ExtractNameFromPatName", rf"()({B}(?:{NAME}|{CAPS})(?:{S},?{S}(?:{NAME}|{CAPS})){{0,6}})", ((2, "Name", "patient"),), context="PatName"),
     Rule("DetectSignatures", rf"()({B}\p{{Lu}}{{3,8}}{E})", ((2, "Name", "medical staff"),), context="FieldWithSignature"),
     Rule("DetectSignaturesInTags", r"(<)(\p{Lu}{3})(>)", ((2, "Name", "medical staff"),)),
@@ -128,7 +132,7 @@ FIELDS = [
     Rule("ProcessDateSmallCapsSignField", rf"()({NB}[0-9]{{1,2}}\.[0-9]{{1,2}}(?:\.[0-9]{{2,4}})?)({S}[,/]?{S})({B}(?:\p{{Ll}}{{4,7}}|\p{{Lu}}{{4,7}}){E})", ((2, "Date", "other"), (4, "Name", "medical staff")), context="DateSmallCapsSignField"),
     Rule("ProcessDateSmallCapsSignFieldInv", rf"()({B}(?:\p{{Ll}}{{4,7}}|\p{{Lu}}{{4,7}}){E})({S}[,/]?{S})({NB}[0-9]{{1,2}}\.[0-9]{{1,2}}(?:\.[0-9]{{2,4}})?)", ((2, "Name", "medical staff"), (4, "Date", "other")), context="DateSmallCapsSignField"),
     Rule("ProcessSignatureSmallCapsEndSentenceField", rf"(\({S})?({B}\p{{Ll}}{{5}}{E})({S}\)?{S}\r?\n)", ((2, "Name", "medical staff"),), context="SignatureSmallCapsEndSentenceField"),
-    Rule("AnnotateNamesInAddressor", rf"((?:^|\n){S})({CAP}(?:{S}{CAP})*)({S}\r?\n(?:[^\n]*[^\p{{L}}\n])?{ADDRESSOR})", ((2, "Name", "other"),), context="Addressor"),
+    Rule("AnnotateNamesInAddressor", rf"((?:^|\n){S})({CAP}(?:{S}{CAP})*+)({S}\r?\n(?:[^\n]*[^\p{{L}}\n])?{ADDRESSOR})", ((2, "Name", "other"),), context="Addressor"),
     Rule("PatienteninformationExtraction", rf"()({B}{CAPS}(?:-{CAPS})?{S}{CAP})({S},?{S}geb\.?{S})([0-9]{{1,2}}\.[0-9]{{1,2}}\.[0-9]{{2,4}})({S},?{S}Pat-?Nr\.?{S}:?{S})([0-9]+)({S},{S})(\p{{Lu}}\p{{L}}+{S}[0-9]+[a-z]?)({S},{S}(?:CH-)?)([0-9]{{4,5}})({S})({CAP})", ((2, "Name", "patient"), (4, "Date", "DOB"), (6, "ID", "patient ID"), (8, "Location", "street"), (10, "Location", "zip"), (12, "Location", "city")), context="Patienteninformation"),
 ]
 

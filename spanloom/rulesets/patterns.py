@@ -18,7 +18,7 @@ MONTHS_SHORT = ("Jan", "Feb", "Mär", "Apr", "Mai", "Jun", "Jul", "Aug", "Sept",
 _long = sorted({w for m in MONTHS_DE + MONTHS_EN for w in (m, m.upper(), m.lower())}, key=lambda w: (-len(w), w))
 MONTH_NAME = rf"(?:{'|'.join(_long)}|(?:{'|'.join(MONTHS_SHORT)})\.?)(?!\p{{L}})"
 TRIGGER = rf"{B}(?:am|ab|bis|den|dem|seit|vom|Erstdiagnose|E[DMS]|Aufenthalt){E}"
-UNIT = r"(?:mg|min|mmol|mmHg|mml|mm|cm|Grad|Punkten|Punkte|Pkte|Pkt|%|Glomeruli|Glomerula|IE|Jahren|J|E/ml|s)(?!\p{L})"
+UNIT = r"(?:mg|min|mm|cm|mmol|Grad|Pkt|%|mml|mmHg|s|Punkte|Punkten|Pkt|Pkte|Glomeruli|Glomerula|IE|Jahren|J|E/ml)(?!\p{L})"
 RANGE = r"(?:-|und|bis|\+)"
 
 # Salutations, titles, roles.
