@@ -27,13 +27,14 @@ NAMING = frozenset("access api apikey auth authorization bearer client credentia
 HARMLESS = frozenset("blob build checksum commit digest etag example fixture hash id image integrity md5 revision sample sha sha1 sha256 sha512 test tree uuid version".split())
 DICTIONARY = frozenset("admin changeme default demo development dummy example fake fixme foobar guest hello here insert letmein localhost mock mypassword none null password placeholder production qwerty redacted replace root sample secret server some staging string test token user username value welcome word your".split())
 
+# No part looks beyond its own run, and runs are tried from their start alone, so the time is in proportion to the text.
 CANDIDATE = re.compile(
     r"(?P<private_key>-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]+-----END (?:[A-Z]+ )*PRIVATE KEY-----)"
     r"|(?P<provider>\b(?:AKIA|ASIA)[A-Z0-9]{16}\b|\bgh[pousr]_[A-Za-z0-9]{36,}\b|\bxox[abprs]-[A-Za-z0-9-]{10,}|\bsk-[A-Za-z0-9_-]{20,})"
-    r"|(?P<web_token>\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"
+    r"|(?P<web_token>(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,})"
     r"|(?:pass(?:word|wd|phrase)|pwd|secret|token|key|credentials?|bearer)[\"']?\s{0,3}[:=]\s{0,3}[\"']?(?P<assigned>[^\s\"']{8,})"
     r"|://[^\s:/@]{1,64}:(?P<in_url>[^\s:/@]{4,})@"
-    r"|(?<![A-Za-z0-9+/_-])(?P<opaque>(?=[A-Za-z+/_=-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2})(?![A-Za-z0-9+/_=-])",
+    r"|(?<![A-Za-z0-9+/_-])(?P<opaque>(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}={0,2})(?![A-Za-z0-9+/_=-])",
     re.IGNORECASE,
 )
 #: Every candidate holds one of these, so other texts are passed over quickly.

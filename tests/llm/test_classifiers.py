@@ -220,3 +220,15 @@ def test_query_finds_what_a_plain_pattern_finds(spark):
     for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect():
         plain |= {(r["doc_id"], *m.span(1)) for m in re.finditer(r'token = "([0-9a-f]{40})"', r["text"])}
     assert plain and found == plain
+
+
+def test_candidates_take_time_in_proportion():
+    import time
+
+    from spanloom.llm.secrets import candidates
+
+    for part in ("a=", "-eyJabcdefgh", "a", "a1=", "key ", "://a:", "-----BEGIN ", "ghp_" + "a" * 40 + "_", "eyJ" + "a" * 9 + ".", "=", "sk-"):
+        began = time.perf_counter()
+        found = list(candidates(part * (1_000_000 // len(part))))
+        assert time.perf_counter() - began < 10, part
+        assert len(found) >= 0

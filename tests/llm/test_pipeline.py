@@ -58,3 +58,11 @@ def test_rows_are_judged_by_what_they_hold(spark):
 def test_run_covers_the_table(spark):
     rows = p.run(spark, SF).collect()
     assert rows and {"doc_id", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+def test_columns_may_have_any_name(spark):
+    rows = [(1, "the same words of it", "mine", 7, "r", "k"), (2, "the same words of it", "yours", 8, "s", "l")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _key string, _times int, row string, key string")
+    for stage in (p.language, p.near_duplicates, p.decontaminate):
+        kept = stage(spark, docs, SF).orderBy("doc_id").collect()
+        assert [tuple(r) for r in kept] == (rows[:1] if stage is p.near_duplicates else rows)
