@@ -24,8 +24,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     of ``sf_dir``. Rows are judged by what they hold, so repeated ids are fine.
     """
     model = langid.fit(langid.training_rows(table(spark, sf_dir, "documents")))
-    judged = docs.withColumn("_row", F.struct(*docs.columns))
-    found = langid.predict(judged, model, id_col="_row").where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS))
+    judged = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    found = langid.predict(judged, model, id_col="row").where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("bits_per_byte") <= MOST_BITS))
     return found.select("id.*")
 
 
@@ -34,6 +34,11 @@ def row_key(docs: DataFrame) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("id"), F.xxhash64(*docs.columns).alias("row"))
 
 
+def keyed_rows(docs: DataFrame) -> DataFrame:
+    """``(key, text, row)``: each row whole, so its columns may have any names."""
+    return docs.select(row_key(docs).alias("key"), F.col("text"), F.struct(*docs.columns).alias("row"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, one row stays: that of the smallest id.
 
@@ -43,19 +48,18 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     group. Rows without an id come after all others in their group; of rows that
     are equal in full one stays.
     """
-    keyed = docs.withColumn("_key", row_key(docs))
-    groups = simhash.near_copies(keyed, id_col="_key").where("id = component").groupBy(F.col("id").alias("_key")).agg(F.count(F.lit(1)).alias("_times"))
-    kept = keyed.join(groups, "_key")
-    once = kept.where("_times = 1").unionByName(kept.where("_times > 1").dropDuplicates(["_key"]))
-    return once.select(*docs.columns)
+    keyed = keyed_rows(docs)
+    groups = simhash.near_copies(keyed, id_col="key").where("id = component").groupBy(F.col("id").alias("key")).agg(F.count(F.lit(1)).alias("times"))
+    kept = keyed.join(groups, "key")
+    once = kept.where("times = 1").unionByName(kept.where("times > 1").dropDuplicates(["key"]))
+    return once.select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a passage of a benchmark item, edited or not, go; a row without an id is judged like any other."""
-    keyed = docs.withColumn("_key", row_key(docs))
-    rows = keyed.select(F.col("_key").alias("doc_id"), "text")
-    found = decontam.contaminated(rows, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(found, "_key", "left_anti").select(*docs.columns)
+    keyed = keyed_rows(docs)
+    found = decontam.contaminated(keyed.select(F.col("key").alias("doc_id"), "text"), table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("key")).distinct()
+    return keyed.join(found, "key", "left_anti").select("row.*")
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
