@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from spanloom.functions.text import let
 from spanloom.rulesets.patterns import MONTHS_DE, MONTHS_EN, MONTHS_SHORT
 
 # Formats that a date's text is tried with.
@@ -68,7 +69,7 @@ def date_parts(text: Column) -> Column:
         return F.struct(day.alias("day"), month.alias("month"), y.alias("year"), fmt.alias("format"))
 
     mark = lambda c: F.rtrim(c, F.lit(".")).alias("m")
-    year_only = r"^[0-9]{4}$"
+    year_only, day_only = r"^[0-9]{4}$", r"^([0-9]{1,2})(\.)$"
     return (
         F.when(text.rlike(num), out(strip(g(num, 1)), strip(g(num, 3)), year(g(num, 5)), F.concat(F.lit("dd"), g(num, 2), F.lit("MM"), g(num, 4), year_format(g(num, 5)))))
         .when(text.rlike(iso), out(strip(g(iso, 3)), strip(g(iso, 2)), g(iso, 1), F.lit("yyyy-MM-dd")))
@@ -78,9 +79,30 @@ def date_parts(text: Column) -> Column:
         .when(text.rlike(english), out(strip(g(english, 3)), g(english, 1), g(english, 5), F.concat(month_format(g(english, 1)), g(english, 2), F.lit("dd"), g(english, 4), F.lit("yyyy"))))
         .when(text.rlike(named_my), out(none, mark(g(named_my, 1)), year(g(named_my, 3)), F.rtrim(F.concat(month_format(g(named_my, 1)), F.when(g(named_my, 1).endswith("."), ".").otherwise(""), g(named_my, 2), F.coalesce(year_format(g(named_my, 3)), F.lit(""))))))
         .when(text.rlike(year_only), out(none, none, text, F.lit("yyyy")))
+        .when(text.rlike(day_only), out(strip(g(day_only, 1)), none, none, F.lit("dd.")))
     )
 
 
+def date_features(text: Column, other: Column) -> Column:
+    """``struct<day, month, year, format>`` of a date that may be one end of a range, ``other`` being the far end.
+
+    A number alone is a month beside a month and year, and a year beside a year;
+    a month or year that a date lacks is that of the far end.
+    """
+    bare, plain = text.rlike(r"^[0-9]{1,2}$"), F.regexp_replace(text, r"^0(?=[0-9])", "")
+    none = F.lit(None).cast("string")
+    month = F.struct(none.alias("day"), plain.alias("month"), none.alias("year"), F.lit("MM").alias("format"))
+    year = F.struct(none.alias("day"), none.alias("month"), full_year(text).cast("string").alias("year"), year_format(text).alias("format"))
+    own = F.when(bare & other.rlike(r"^[0-9]{1,2}\s*[./]\s*[0-9]{2,4}$"), month).when(bare & other.rlike("^[0-9]{4}$"), year).otherwise(date_parts(text))
+
+    def joined(both: Column) -> Column:
+        near, far = both["near"], both["far"]
+        filled = lambda name: F.coalesce(near[name], F.when(near["format"].isNotNull(), far[name])).alias(name)
+        return F.struct(near["day"].alias("day"), filled("month"), filled("year"), near["format"].alias("format"))
+
+    return let(F.struct(own.alias("near"), F.when(other.isNotNull(), date_parts(other)).alias("far")), joined)
+
+
 def as_date(parts: Column, default_year: Column) -> Column:
     """A date of the parts; a missing year is the given one, a missing month or day the first."""
     month = F.coalesce(parts["month"].try_cast("int"), month_number(parts["month"]), F.when(parts["month"].isNull(), F.lit(1)))

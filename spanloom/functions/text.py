@@ -100,29 +100,6 @@ def matches(text: Column | str, pattern: str) -> Column:
     return F.transform(match_groups(_column(text), pattern, 0), lambda m: F.struct(m["start"].alias("start"), (m["start"] + F.length(m["g0"])).alias("end"), m["g0"].alias("text")))
 
 
-def best_per_doc(spans: Column, span_type: str) -> Column:
-    """Left-to-right choice among candidate spans: the longest at a place, then the higher priority, then the earlier rule.
-
-    Spans are structs (of the type named) with ``start``, ``end``, ``priority`` and
-    ``rule_no``; a chosen span ends the search inside it, so the result doesn't overlap.
-    """
-
-    def key(c: Column) -> Column:
-        return F.struct(c["start"].alias("s"), (-(c["end"] - c["start"])).alias("l"), (-c["priority"]).alias("p"), c["rule_no"].alias("r"), c.alias("c"))
-
-    def step(acc: Column, k: Column) -> Column:
-        return F.when(k["s"] >= acc["at"], F.struct(k["c"]["end"].alias("at"), F.concat(acc["out"], F.array(k["c"])).alias("out"))).otherwise(acc)
-
-    none = F.array().cast(f"array<{span_type}>")
-
-    def block(acc: Column, keys: Column) -> Column:
-        part = F.aggregate(keys, F.struct(acc["at"].alias("at"), none.alias("out")), step)
-        return F.struct(part["at"].alias("at"), F.concat(acc["out"], F.array(part["out"])).alias("out"))
-
-    first = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{span_type}>>").alias("out"))
-    return F.aggregate(in_blocks(F.array_sort(F.transform(spans, key))), first, block, lambda acc: F.flatten(acc["out"]))
-
-
 def context(text: Column | str, start: Column, end: Column, width: int) -> tuple[Column, Column]:
     """The ``width`` characters before and after a span."""
     t = _column(text)

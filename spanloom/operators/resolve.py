@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators.intervals import join_overlapping, join_within
@@ -12,10 +15,6 @@ RANK = {"Name": 0, "Age": 1, "Date": 2, "Contact": 3}
 DEFAULT_CONFIDENCE = 50.0
 
 
-def _ordered(c: Column) -> Column:
-    return F.array_sort(F.transform(c, lambda a: F.struct(a["start"].alias("s"), (-a["end"]).alias("e"), (-a["ann_id"]).alias("i"), a.alias("a"))))
-
-
 def of_types(spans: DataFrame, types: list[str]) -> DataFrame:
     """Spans of these types alone; an empty list lets all through."""
     return spans.where(F.col("type").isin(*types)) if types else spans
@@ -27,32 +26,74 @@ def trim_spans(spans: DataFrame) -> DataFrame:
     return spans.withColumn("end", F.col("start") + F.length(cut)).withColumn("text", cut).where("end > start")
 
 
-def merge_spans(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def _weak(subtype: str | None) -> bool:
+    return subtype in (None, "", "other")
+
+
+def merged_features(later: dict[str, str], earlier: dict[str, str]) -> dict[str, str]:
+    """Both spans' features; where they differ both values, the later span's first, and of several types ``other`` goes."""
+    out = {}
+    for key in sorted(later.keys() | earlier.keys()):
+        values = list(dict.fromkeys(v for v in (later.get(key), earlier.get(key)) if v))
+        if key == "type":
+            values = list(dict.fromkeys(t for v in values for t in v.split(",")))
+            values = [t for t in values if t != "other"] or values
+        out[key] = ",".join(values)
+    return out
+
+
+def _fold(rows: Iterator[dict], apart: bool) -> Iterator[dict]:
+    """The ordered fold over the spans of each group: one is held, and given out when one comes that neither merges with it nor lies in it."""
+    held: dict | None = None
+    for row in rows:
+        if held is not None and held["_group"] == row["_group"]:
+            agree = _weak(held["subtype"]) or _weak(row["subtype"]) or held["subtype"] == row["subtype"]
+            if agree and (held["start"], held["end"]) == (row["start"], row["end"]):
+                if _weak(held["subtype"]):
+                    held["subtype"] = next((s for s in (row["subtype"], held["subtype"]) if not _weak(s)), held["subtype"] if held["subtype"] is not None else row["subtype"])
+                if "features" in held:
+                    held["features"] = list(merged_features(dict(held["features"] or ()), dict(row["features"] or ())).items())
+                continue
+            if (agree or not apart and (held["start"], held["end"]) != (row["start"], row["end"])) and row["end"] <= held["end"]:
+                continue
+        if held is not None:
+            yield held
+        held = row
+    if held is not None:
+        yield held
+
+
+def merge_spans(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",), apart: bool = False) -> DataFrame:
     """One pass over a document's spans of a type, in order: contained ones go, coextensive ones merge.
 
-    ``spans(keys, ann_id, start, end, type, subtype)`` and other columns, which go
-    along. Coextensive spans merge if their subtypes agree, or one is missing or
-    ``other``, which then gives way; the later id's values come first. The group is
-    one document's spans of one type.
+    ``spans(keys, ann_id, start, end, type, subtype)``, perhaps ``features``, and
+    other columns, which go along. Coextensive spans merge if their subtypes agree:
+    they are equal, or one is missing or ``other``, which then gives way. Their
+    features merge, the later id's values first. ``apart``: a span inside one
+    of another subtype stays. Rows are sorted by document, type and
+    place and read as a stream that holds one span, so a group of any size is
+    neither collected nor copied.
     """
-    more = [c for c in spans.columns if c not in (*keys, "type", "ann_id", "start", "end", "subtype")]
-    names = ["ann_id", "start", "end", "subtype", *more]
-    grouped = spans.groupBy(*keys, "type").agg(F.collect_list(F.struct(*names)).alias("r"))
-    weak = lambda t: t.isNull() | t.isin("", "other")
-    none = F.filter("r", lambda _: F.lit(False))
-
-    def step(acc: Column, k: Column) -> Column:
-        a, last = k["a"], F.try_element_at(acc, F.lit(-1))
-        same = (last["start"] == a["start"]) & (last["end"] == a["end"])
-        agree = weak(last["subtype"]) | weak(a["subtype"]) | (last["subtype"] == a["subtype"])
-        subtype = F.when(weak(last["subtype"]), F.coalesce(F.when(~weak(a["subtype"]), a["subtype"]), last["subtype"], a["subtype"])).otherwise(last["subtype"])
-        merged = F.struct(*[subtype.alias(c) if c == "subtype" else last[c].alias(c) for c in names])
-        inside = (last["start"] <= a["start"]) & (a["end"] <= last["end"])
-        rest = F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
-        return F.when(last.isNull(), F.array(a)).when(same & agree, F.concat(rest, F.array(merged))).when(inside & ~same, acc).otherwise(F.concat(acc, F.array(a)))
-
-    folded = F.aggregate(_ordered(F.col("r")), none, step)
-    return grouped.select(*keys, "type", F.explode(folded).alias("a")).select(*[c if c in (*keys, "type") else F.col(f"a.{c}").alias(c) for c in spans.columns])
+    group = F.to_json(F.struct(*keys, "type"))
+    rows = spans.withColumn("_group", group).repartition("_group").sortWithinPartitions("_group", "start", F.desc("end"), F.desc("ann_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema, held = None, []
+        for row in _fold((r for batch in batches for r in _rows(batch)), apart):
+            schema = row.pop("_schema")
+            held.append(row)
+            if len(held) == 4096:
+                yield pa.RecordBatch.from_pylist(held, schema)
+                held = []
+        if held:
+            yield pa.RecordBatch.from_pylist(held, schema)
+
+    return rows.mapInArrow(run, rows.schema).drop("_group")
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    for row in batch.to_pylist():
+        yield row | {"_schema": batch.schema}
 
 
 def remove_weaker(spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:

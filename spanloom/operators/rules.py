@@ -10,17 +10,16 @@ no shuffle, and a row's work is bounded by its own text.
 
 from __future__ import annotations
 
-import functools
-import operator
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.text import best_per_doc, match_groups
+from spanloom.functions.text import BLOCK
 
 DIGIT = "0-9"
-ANNOTATION = "struct<start:int,end:int,type:string,subtype:string,rule:string,text:string>"
+FIELDS = ("start", "end", "type", "subtype", "rule", "text", "other", "action")
+ANNOTATION = "struct<start:int,end:int,type:string,subtype:string,rule:string,text:string,other:string,action:string>"
 
 
 @dataclass(frozen=True)
@@ -28,7 +27,8 @@ class Rule:
     """``emits``: (group, type, subtype) of each annotation; ``context``: a field kind that the text has to be in.
 
     ``needs``: a text that holds none of these can't match, so its pattern isn't
-    tried there; DIGIT stands for any digit.
+    tried there; DIGIT stands for any digit. ``action`` names what is made of the
+    match (see ``actions``); without one the type says it.
     """
 
     name: str
@@ -37,6 +37,7 @@ class Rule:
     priority: int = -1
     context: str | None = None
     needs: tuple[str, ...] = ()
+    action: str = ""
     groups: int = field(default=0)
 
     def __post_init__(self) -> None:
@@ -59,35 +60,81 @@ def rules_of(rows: DataFrame) -> list[Rule]:
     """Rules kept as a table ``(name, pattern, emits, priority, context, needs)``, in the order of their names.
 
     So a site's rules are data, as JSON lines or Parquet, outside the code. ``emits``
-    is an array of ``(group, type, subtype)``; more than MOST_RULES raise.
+    is an array of ``(group, type, subtype)``, and a column ``action`` may name what
+    is made of the match; more than MOST_RULES raise.
     """
     found = rows.orderBy("name").limit(MOST_RULES + 1).collect()
     if len(found) > MOST_RULES:
         raise ValueError(f"more than {MOST_RULES} rules")
-    return [Rule(r["name"], r["pattern"], tuple((e["group"], e["type"], e["subtype"]) for e in r["emits"] or ()), -1 if r["priority"] is None else r["priority"], r["context"], tuple(r["needs"] or ())) for r in found]
+    return [Rule(r["name"], r["pattern"], tuple((e["group"], e["type"], e["subtype"]) for e in r["emits"] or ()), -1 if r["priority"] is None else r["priority"], r["context"], tuple(r["needs"] or ()), (r["action"] or "") if "action" in rows.columns else "") for r in found]
 
 
 MOST_RULES = 2000
 RULE_ROW = "name string, pattern string, emits array<struct<group:int,type:string,subtype:string>>, priority int, context string, needs array<string>"
+#: A match, with all that it would emit.
 SPAN = f"struct<start:int,end:int,priority:int,rule_no:int,emits:array<{ANNOTATION}>>"
 
 
-def _spans(text: Column, rule: Rule, number: int, whole: Column) -> Column:
-    """The matches of one rule as spans, with what they would emit."""
+def quoted(text: str) -> str:
+    """A string literal of SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def span(m: Column) -> Column:
-        lengths = [F.length(F.coalesce(m[f"g{k}"], F.lit(""))) for k in range(1, rule.groups + 1)]
 
-        def emit(group: int, kind: str, subtype: str) -> Column:
-            start = m["start"]
-            for n in lengths[: group - 1]:
-                start = start + n
-            return F.struct(start.alias("start"), (start + lengths[group - 1]).alias("end"), F.lit(kind).alias("type"), F.lit(subtype).alias("subtype"), F.lit(rule.name).alias("rule"), m[f"g{group}"].alias("text"))
+def _let(value: str, name: str, body: str) -> str:
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-        emitted = F.filter(F.array(*[emit(*e) for e in rule.emits]), lambda a: a["end"] > a["start"]) if rule.emits else F.array()
-        return F.struct(m["start"].alias("start"), (m["start"] + F.length(m["g0"])).alias("end"), F.lit(rule.priority).alias("priority"), F.lit(number).alias("rule_no"), emitted.cast(f"array<{ANNOTATION}>").alias("emits"))
 
-    return F.transform(match_groups(text, rule.pattern, rule.groups, whole), span).cast(f"array<{SPAN}>")
+def _sums(lengths: str, start: str) -> str:
+    return f"aggregate({lengths}, array({start}), (acc, n) -> concat(acc, array(element_at(acc, -1) + n)))"
+
+
+def _blocks(items: str) -> str:
+    """An array as an array of arrays of up to BLOCK items: folds that append copy what they have, so none gets long."""
+    return f"transform(sequence(0, greatest(cast(ceil(size({items}) / {BLOCK}) as int) - 1, 0)), k -> slice({items}, k * {BLOCK} + 1, {BLOCK}))"
+
+
+def _running(lengths: str) -> str:
+    """The sums of an array of lengths before each place, and of all at the end."""
+    totals = "transform(bs, b -> aggregate(b, 0, (acc, n) -> acc + n))"
+    long = f"flatten(zip_with(bs, {_sums(totals, '0')}, (b, at) -> if(b is not null, slice({_sums('b', 'at')}, 1, size(b)), array(at))))"
+    return _let(lengths, "ls", f"if(size(ls) <= {BLOCK}, {_sums('ls', '0')}, {_let(_blocks('ls'), 'bs', long)})")
+
+
+def _spans(text: str, rule: Rule, number: int) -> str:
+    """The matches of one rule, which are in the column ``_m<number>``, as spans with what they would emit.
+
+    A text is what lies between the matches and the matches in turn, so offsets are
+    running sums of lengths; a group's place follows from those before it.
+    """
+    whole, pattern = f"_m{number}", quoted(rule.pattern)
+    between = f"zip_with(slice(split({text}, {pattern}, -1), 1, size({whole})), concat(array(''), {whole}), (b, m) -> length(coalesce(b, '')) + length(coalesce(m, '')))"
+    groups = [f"regexp_extract_all({text}, {pattern}, {k})" for k in range(1, rule.groups + 1)]
+    zipped = f"arrays_zip({', '.join([f'slice({_running(between)}, 2, size({whole}))', whole, *groups])})"
+    start, group = "m.`0`", lambda g: f"m.`{g + 1}`"
+    length = lambda g: f"length(coalesce({group(g)}, ''))"
+
+    def emit(g: int, kind: str, subtype: str) -> str:
+        at = " + ".join([start, *[length(k) for k in range(1, g)]])
+        partner = next((x for x, *_ in rule.emits if x != g), None)
+        made = {"start": at, "end": f"{at} + {length(g)}", "type": quoted(kind), "subtype": quoted(subtype), "rule": quoted(rule.name), "text": group(g), "other": "cast(null as string)" if partner is None else group(partner), "action": quoted(rule.action)}
+        return f"named_struct({', '.join(f"'{name}', {value}" for name, value in made.items())})"
+
+    emits = f"filter(array({', '.join(emit(*e) for e in rule.emits)}), a -> a.end > a.start)" if rule.emits else "array()"
+    span = f"named_struct('start', {start}, 'end', {start} + length(m.{whole}), 'priority', {rule.priority}, 'rule_no', {number}, 'emits', cast({emits} as array<{ANNOTATION}>))"
+    return f"cast(transform(filter({zipped}, m -> m.{whole} is not null and m.`0` is not null), m -> {span}) as array<{SPAN}>)"
+
+
+def _chosen(spans: str) -> str:
+    """Left-to-right choice among candidate spans: the longest at a place, then the higher priority, then the earlier rule.
+
+    A chosen span ends the search inside it, so the result doesn't overlap.
+    """
+    keys = f"array_sort(transform({spans}, c -> named_struct('s', c.start, 'l', c.start - c.end, 'p', -c.priority, 'r', c.rule_no, 'c', c)))"
+    step = "(acc, x) -> if(x.s >= acc.at, named_struct('at', x.c.end, 'out', concat(acc.out, array(x.c))), acc)"
+    block = f"aggregate(ks, named_struct('at', big.at, 'out', cast(array() as array<{SPAN}>)), {step})"
+    first = f"named_struct('at', 0, 'out', cast(array() as array<array<{SPAN}>>))"
+    fold = f"aggregate({_let(keys, 'xs', _blocks('xs'))}, {first}, (big, ks) -> {_let(block, 'part', "named_struct('at', part.at, 'out', concat(big.out, array(part.out)))")}, big -> flatten(big.out))"
+    return f"if(size({spans}) = 1, {spans}, {fold})"
 
 
 def with_phase(rows: DataFrame, rules: list[Rule], out: str, text_col: str = "text", contexts_col: str | None = None) -> DataFrame:
@@ -95,36 +142,30 @@ def with_phase(rows: DataFrame, rules: list[Rule], out: str, text_col: str = "te
 
     First each rule's matches are found, once a text. Offsets and groups follow
     only where there are some, and the choice among them comes last: three
-    projections, so nothing is worked out twice.
+    projections, so nothing is worked out twice. The expressions are written as SQL
+    text: a phase of thirty rules is some thousand calls to the JVM otherwise.
     """
-    text, none = F.coalesce(F.col(text_col), F.lit("")), F.array().cast(f"array<{SPAN}>")
+    text, none = f"coalesce(`{text_col}`, '')", f"cast(array() as array<{SPAN}>)"
 
-    def found(rule: Rule) -> Column:
-        matched, tried = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.lit(True)
-        if rule.needs:
-            tried = functools.reduce(operator.or_, [text.rlike("[0-9]") if x == DIGIT else text.contains(x) for x in rule.needs])
+    def found(rule: Rule) -> str:
+        tried = [" or ".join(f"{text} rlike '[0-9]'" if x == DIGIT else f"contains({text}, {quoted(x)})" for x in rule.needs)] if rule.needs else []
         if rule.context is not None:
-            tried = tried & (F.coalesce(F.array_contains(contexts_col, rule.context), F.lit(False)) if contexts_col else F.lit(False))
-        return matched if not rule.needs and rule.context is None else F.when(tried, matched).otherwise(F.array().cast("array<string>"))
+            tried.append(f"coalesce(array_contains(`{contexts_col}`, {quoted(rule.context)}), false)" if contexts_col else "false")
+        matched = f"regexp_extract_all({text}, {quoted(rule.pattern)}, 0)"
+        return f"if({' and '.join(f'({t})' for t in tried)}, {matched}, cast(array() as array<string>))" if tried else matched
 
-    seen = rows.withColumns({f"_m{k}": found(r) for k, r in enumerate(rules)})
-    spans = seen.withColumn("_spans", F.concat(*[F.when(F.size(f"_m{k}") > 0, _spans(text, r, k, F.col(f"_m{k}"))).otherwise(none) for k, r in enumerate(rules)]))
-    chosen = F.flatten(F.transform(best_per_doc(F.col("_spans"), SPAN), lambda c: c["emits"]))
-    return spans.select(*rows.columns, F.when(F.size("_spans") > 0, chosen).otherwise(F.array().cast(f"array<{ANNOTATION}>")).alias(out))
+    seen = rows.select("*", *[F.expr(found(r)).alias(f"_m{k}") for k, r in enumerate(rules)])
+    each = [f"if(size(_m{k}) > 0, {_spans(text, r, k)}, {none})" for k, r in enumerate(rules)]
+    spans = seen.select(*rows.columns, F.expr(f"concat({', '.join(each)})").alias("_spans"))
+    emitted = f"flatten(transform({_chosen('_spans')}, c -> c.emits))"
+    return spans.select(*rows.columns, F.expr(f"if(size(_spans) > 0, {emitted}, cast(array() as array<{ANNOTATION}>))").alias(out))
 
 
 def annotate(rows: DataFrame, phases: dict[str, list[Rule]], text_col: str = "text", contexts_col: str | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``(keys, phase, start, end, type, subtype, rule, text)`` for every text of ``rows``; null texts have none."""
+    """``(keys, phase, start, end, type, subtype, rule, text, other, action)`` for every text of ``rows``; null texts have none."""
     seen = rows.select(*dict.fromkeys([*keys, text_col, *([contexts_col] if contexts_col else [])]))
     names = {f"_p{k}": name for k, name in enumerate(phases)}
     for column, name in names.items():
         seen = with_phase(seen, phases[name], column, text_col, contexts_col)
-    tagged = F.flatten(F.array(*[F.transform(F.col(column), _tagger(name)) for column, name in names.items()]))
-    return seen.select(*keys, F.explode(tagged).alias("a")).select(*keys, "a.*")
-
-
-def _tagger(name: str):
-    def tag(a: Column) -> Column:
-        return F.struct(F.lit(name).alias("phase"), *[a[c].alias(c) for c in ("start", "end", "type", "subtype", "rule", "text")])
-
-    return tag
+    tagged = [f"transform(`{column}`, a -> named_struct('phase', {quoted(name)}, {', '.join(f"'{c}', a.{c}" for c in FIELDS)}))" for column, name in names.items()]
+    return seen.select(*keys, F.expr(f"explode_outer(concat({', '.join(tagged)}))").alias("a")).where("a is not null").select(*keys, "a.*")

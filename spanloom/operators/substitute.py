@@ -53,6 +53,7 @@ class Policy:
     keep_patient_ids: bool = False
     keep_case_ids: bool = False
     whole_address: bool = True
+    all_features: bool = False
     min_days: int | None = None
     max_days: int | None = None
     seed: int | None = None
@@ -90,17 +91,24 @@ def with_shifted(spans: DataFrame, policy: Policy, keys: tuple[str, ...]) -> Dat
     What can't be read is DATE. A missing year is the latest of the document's.
     Parts, date and text follow in projections of their own, so each is worked out once.
     """
-    parsed = spans.withColumn("_parts", F.when(F.col("type") == "Date", date_parts(F.col("text"))))
+    parts = date_parts(F.col("text"))
+    if "features" in spans.columns:
+        # what its rule read off, so that the near end of a range has the month and year of the far one
+        told = lambda k: F.try_element_at("features", F.lit(k)).alias(k)
+        parts = F.when(told("format").isNotNull(), F.struct(*[told(k) for k in ("day", "month", "year", "format")])).otherwise(parts)
+    parsed = spans.withColumn("_parts", F.when(F.col("type") == "Date", parts))
     years = parsed.where("type = 'Date'").groupBy(*keys).agg(F.max(F.col("_parts.year").try_cast("int")).alias("_year"))
     dated = parsed.join(years, list(keys), "left").withColumn("_day", as_date(F.col("_parts"), F.coalesce("_year", F.lit(0))))
     moved = dated.withColumn("_moved", F.date_sub("_day", shift_days(policy, F.concat_ws("|", *keys)).cast("int")))
     return moved.withColumn("_date", F.coalesce(format_date(F.col("_moved"), F.col("_parts.format")), F.lit("DATE")))
 
 
-def tagged(keys: tuple[str, ...] = ("subtype", "rule")) -> Column:
-    """``[&[type;text;key=value…]&]`` with keys in order; missing ones are empty."""
+def tagged(keys: tuple[str, ...] = ("subtype", "rule"), features: bool = False) -> Column:
+    """``[&[type;text;key=value…]&]`` with keys in order; missing ones are empty. ``features``: those of the span instead of the keys."""
     safe = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit(";"), F.lit("SEMICOL"))
     pairs = [F.concat(F.lit(f"{k}="), safe(F.col(k).cast("string"))) for k in sorted(keys)]
+    if features:
+        pairs = [F.transform(F.array_sort(F.map_entries("features")), lambda e: F.concat(e["key"], F.lit("="), safe(e["value"])))]
     return F.concat(F.lit(OPEN), F.concat_ws(";", F.col("type"), safe(F.col("text")), *pairs), F.lit(CLOSE))
 
 
@@ -117,7 +125,7 @@ def replacement(policy: Policy) -> Column:
     if policy.method is Method.EXPLORATION:
         return F.when(F.col("type") == "Date", SOME_DATE).otherwise(F.col("text"))
     if policy.method is Method.REPLACEMENT_TAGS:
-        return tagged()
+        return tagged(features=policy.all_features)
     if policy.method is Method.DATE_SHIFT:
         return F.when(F.col("type") == "Date", F.col("_date")).otherwise(scrubbed(policy))
     return scrubbed(policy)

@@ -9,10 +9,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.operators.actions import DELETE, acted
 from spanloom.operators.contexts import metadata_annotations, propagate, trigger_contexts
 from spanloom.operators.diagnosis import certainty, consolidate, keyword_annotations
 from spanloom.operators.fields import Mapping, delete_fields, flatten, json_leaves, map_fields, rebuild, report_texts, structured_annotations, without_forbidden
-from spanloom.operators.intervals import join_overlapping
+from spanloom.operators.intervals import join_overlapping, without_overlap
 from spanloom.operators.lexicon import direct_annotations, suffix_lookups, text_lookups, without_false_positives
 from spanloom.operators.lookup_rules import lookup_annotations, without_traps
 from spanloom.operators.names import name_annotations
@@ -25,14 +26,14 @@ from spanloom.rulesets import dates, others
 #: The phases that need nothing but a text, in order.
 TEXT_PHASES: dict[str, list[Rule]] = {
     "Occupations": others.OCCUPATIONS, "Dates": dates.RULES, "Names": others.NAMES, "Age": others.AGE, "Internet": others.INTERNET,
-    "Contacts": others.CONTACTS, "Locations": others.LOCATIONS, "Buildings": others.BUILDINGS, "IDs": others.IDS,
+    "Contacts": others.CONTACTS, "Locations": others.LOCATIONS, "Buildings": others.BUILDINGS, "IDs": others.IDS, "Various": [r for r in others.FIELDS if r.context is None],
 }
 #: What a text that is a field of a known kind gets beside the above: the rules of such kinds.
 FIELD_PHASES: dict[str, list[Rule]] = {"Fields": [r for rules in (others.OCCUPATIONS, others.IDS, others.FIELDS) for r in rules if r.context is not None]}
 
 
 FIRST_FIELD, STRUCTURED, LEXICON, LOOKUP_RULES, METADATA, PROPAGATED = range(100, 700, 100)
-COLUMNS = ("doc_id", "stage", "start", "end", "type", "subtype", "rule", "text")
+COLUMNS = ("doc_id", "stage", "start", "end", "type", "subtype", "rule", "text", "features")
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,9 @@ class Settings:
 
 def _staged(spans: DataFrame, stage: int | Column) -> DataFrame:
     texts = spans if "text" in spans.columns else spans.withColumn("text", F.lit(None).cast("string"))
+    if "features" not in texts.columns:
+        entries = F.array(F.struct(F.lit("rule").alias("key"), F.col("rule").alias("value")), F.struct(F.lit("type").alias("key"), F.col("subtype").alias("value")))
+        texts = texts.withColumn("features", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull() & (e["value"] != ""))))
     return texts.withColumn("stage", F.lit(stage) if isinstance(stage, int) else stage).select(*COLUMNS)
 
 
@@ -79,6 +83,10 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _rules(phases: dict[str, list[Rule]]) -> list[Rule]:
+    return [r for rules in phases.values() for r in rules]
+
+
 def _of_phases(found: DataFrame, phases: dict[str, list[Rule]], first: int = 0) -> DataFrame:
     return _staged(found, F.coalesce(*[F.when(F.col("phase") == name, F.lit(first + k)) for k, name in enumerate(phases)]))
 
@@ -87,7 +95,7 @@ def _in_fields(leaves: DataFrame, mappings: list[Mapping], phases: dict[str, lis
     """What the rules find in each field by itself, where the kinds that the mappings give it are its contexts."""
     kinds = map_fields(leaves.where("not is_null and end > start"), mappings)
     rows = kinds.where(F.size("types") > 0).select("doc_id", F.col("start").alias("_from"), F.col("value").alias("text"), F.transform("types", lambda t: t["type"]).alias("kinds"))
-    found = _of_phases(annotate(rows, phases, contexts_col="kinds", keys=("doc_id", "_from")).withColumn("start", F.col("_from") + F.col("start")).withColumn("end", F.col("_from") + F.col("end")), phases, FIRST_FIELD)
+    found = _of_phases(acted(annotate(rows, phases, contexts_col="kinds", keys=("doc_id", "_from")), ("doc_id", "_from"), _rules(phases)).withColumn("start", F.col("_from") + F.col("start")).withColumn("end", F.col("_from") + F.col("end")), phases, FIRST_FIELD)
     return found
 
 
@@ -105,7 +113,7 @@ def find(
     structured: list[Mapping] | None = None, blacklist: dict[str, list[str]] | None = None, metadata: DataFrame | None = None, field_phases: dict[str, list[Rule]] = FIELD_PHASES,
     triggers: DataFrame | None = None, suffixes: DataFrame | None = None, clean: bool = False, stages: tuple[Callable[[DataFrame], DataFrame], ...] = (),
 ) -> DataFrame:
-    """``(doc_id, ann_id, start, end, type, subtype, rule, confidence)``: the spans that are left after all conflicts.
+    """``(doc_id, ann_id, start, end, type, subtype, rule, confidence, features)``: the spans that are left after all conflicts.
 
     Rules run where the text is; with a lexicon, tokens meet it in one more pass,
     and rules that combine its labels with contexts and earlier spans follow.
@@ -120,7 +128,7 @@ def find(
     """
     if leaves is None and (mappings or structured or blacklist):
         raise ValueError("mappings, structured fields and a blacklist need the leaves")
-    found = _of_phases(annotate(docs, phases), phases)
+    found = _of_phases(acted(annotate(docs, phases), rules=_rules(phases)), phases)
     if mappings:
         found = found.unionByName(_in_fields(leaves, mappings, field_phases))
     whole = structured_annotations(leaves, structured).withColumn("subtype", F.col("features")["type"]) if structured else None
@@ -148,12 +156,12 @@ def find(
     if blacklist:
         found = without_forbidden(found, leaves, blacklist)
     order = Window.partitionBy("doc_id").orderBy("stage", "start", "end", "rule", "type", "subtype")
-    spans = enforce_schema(found.distinct()).withColumn("ann_id", F.row_number().over(order)).withColumn("confidence", F.lit(None).cast("string"))
+    spans = enforce_schema(found.dropDuplicates([c for c in COLUMNS if c != "features"])).withColumn("ann_id", F.row_number().over(order)).withColumn("confidence", F.lit(None).cast("string"))
     if clean:
         cut = F.length(F.regexp_extract("text", r"(?:\s|\\n|\\r)+$", 0))
         spans = settled(spans.withColumn("end", F.col("end") - F.coalesce(cut, F.lit(0))).where("end > start"))
-        spans = merge_spans(spans)
-    return split_overlaps(remove_redundant(remove_weaker(spans.select("doc_id", "ann_id", "start", "end", "type", "subtype", "rule", "confidence"))))
+        spans = merge_spans(spans, apart=True)
+    return split_overlaps(remove_redundant(remove_weaker(spans.select("doc_id", "ann_id", "start", "end", "type", "subtype", "rule", "confidence", "features"))))
 
 
 def deidentify(docs: DataFrame, policy: Policy, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES, **stages) -> DataFrame:
@@ -195,7 +203,18 @@ def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings =
     return rebuild(readable, changed)
 
 
-def diagnoses(docs: DataFrame, keywords: dict[str, list[str]], triggers: DataFrame) -> DataFrame:
-    """``(doc_id, code, reliability, text)``: coded findings with their certainty."""
-    contexts = trigger_contexts(docs, triggers)
-    return consolidate(certainty(keyword_annotations(docs, keywords), contexts))
+def diagnoses(docs: DataFrame, keywords: dict[str, list[str]], triggers: DataFrame, leaves: DataFrame | None = None, blacklist: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, code, reliability, text)``: coded findings with their certainty.
+
+    A finding that a rule calls an enquiry (a clinic's hours, a check-up) goes, one
+    that a rule calls suspected is. ``blacklist``: paths of ``leaves`` in which no
+    keyword counts.
+    """
+    by_rule = annotate(docs, {"Diagnosis": others.DIAGNOSIS})
+    found = without_overlap(keyword_annotations(docs, keywords), by_rule.where(F.col("action") == DELETE).select("doc_id", "start", "end"))
+    if blacklist:
+        if leaves is None:
+            raise ValueError("a blacklist of paths needs the leaves")
+        found = without_forbidden(found.withColumn("type", F.lit("Diagnosis")), leaves, {path: ["Diagnosis"] for path in blacklist}).drop("type")
+    suspected = by_rule.where(F.col("rule") == "SuspectedDiagnosis").select("doc_id", "start", "end", F.lit("SuspectionContext").alias("context"))
+    return consolidate(certainty(found, trigger_contexts(docs, triggers).unionByName(suspected)))

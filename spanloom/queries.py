@@ -13,6 +13,7 @@ from spanloom.functions import names as fn
 from spanloom.functions.paths import path_matches
 from spanloom.functions.text import TOKEN, context, matches, orth, xml_escape
 from spanloom.operators import contexts, diagnosis, evaluate, features, fields, lexicon, lookup_rules, resolve, substitute, tokens
+from spanloom.operators.actions import acted, with_features
 from spanloom.operators.names import name_annotations
 from spanloom.functions import spans as spans_fn
 from spanloom.operators.rules import RULE_ROW, Rule, annotate, rules_of
@@ -306,6 +307,38 @@ def _(spark, sf):
     return dotted(spark, sf).select("o_orderkey", fd.date_parts(F.col("text")).alias("p")).select("o_orderkey", "p.*")
 
 
+@register("q_date_range_features", """with o as (select o_orderkey, cast(o_orderdate as date) as d, cast(o_orderdate as date) + 9 as e, o_orderkey % 4 as k from orders where year(o_orderdate) between 1990 and 2029),
+x as (select o_orderkey, 1 as nr, case when k < 2 then day(d) end as dd, case k when 0 then month(e) when 1 then month(d) when 2 then month(d) end as mm, case when k < 3 then year(e) else year(d) end as yy, case k when 0 then 'dd.' when 1 then 'dd.MM.' when 2 then 'MM' else 'yyyy' end as format from o
+union all select o_orderkey, 2, case when k < 2 then day(e) end, case when k < 3 then month(e) end, year(e), case when k < 2 then 'dd.MM.yyyy' when k = 2 then 'MM/yyyy' else 'yy' end from o)
+select o_orderkey, cast(nr as int) as nr, cast(dd as varchar) as day, cast(mm as varchar) as month, cast(yy as varchar) as year, format from x""")
+def _(spark, sf):
+    """Both ends of ranges found by the date rules; what one end lacks is that of the other."""
+    d, e = F.to_date("o_orderdate"), F.date_add("o_orderdate", 9)
+    put = lambda c, f: F.date_format(c, f)
+    text = F.when(F.col("o_orderkey") % 4 == 0, F.concat(F.dayofmonth(d).cast("string"), F.lit(". bis "), put(e, "dd.MM.yyyy"))).when(F.col("o_orderkey") % 4 == 1, F.concat(put(d, "dd.MM."), F.lit(" - "), put(e, "dd.MM.yyyy")))
+    text = text.when(F.col("o_orderkey") % 4 == 2, F.concat(put(d, "MM"), F.lit(" - "), put(e, "MM/yyyy"))).otherwise(F.concat(put(d, "yyyy"), F.lit("/"), put(e, "yy")))
+    docs = read(spark, sf, "orders").where(F.year("o_orderdate").between(1990, 2029)).select(F.col("o_orderkey").alias("doc_id"), text.alias("text"))
+    spans = with_features(annotate(docs, {"Dates": dates.RULES}))
+    nr = F.row_number().over(Window.partitionBy("doc_id").orderBy("start"))
+    told = [F.try_element_at("features", F.lit(k)).alias(k) for k in ("day", "month", "year", "format")]
+    return spans.select(F.col("doc_id").alias("o_orderkey"), nr.alias("nr"), *told)
+
+
+@register("q_rule_actions", """with c as (select c_custkey as doc_id, lpad(cast(c_custkey % 28 + 1 as varchar), 2, '0') || '.03.2012' as d, c_custkey % 3 as k from customer)
+select doc_id, 'Date' as type, d as text, cast(doc_id % 28 + 1 as varchar) as day, cast(null as varchar) as lastname from c
+union all select doc_id, 'Name', 'Bodo NOPE', null, 'NOPE' from c union all select doc_id, 'Code', 'AB CD EF', null, null from c where k <> 1""")
+def _(spark, sf):
+    """Rules kept as a table whose rows name their actions: dates and names with features, a run of codes as one span, codes in brackets deleted."""
+    table = spark.createDataFrame(
+        [("d", r"()([0-9]{2}\.[0-9]{2}\.[0-9]{4})", [(2, "Date", "other")], None, None, None, "emit_date"), ("n", r"(Herr )(\p{Lu}\p{Ll}+ \p{Lu}+)", [(2, "Name", "patient")], None, None, None, "emit_name"), ("c", r"()(\b[A-Z]{2}\b)", [(2, "Code", "")], None, None, None, "merge_sequence"), ("x", r"(\[[A-Z ]+\])", [(1, "Code", "")], 100, None, None, "delete")],
+        RULE_ROW + ", action string",
+    )
+    codes = F.when(F.col("c_custkey") % 3 == 1, "[AB CD EF]").otherwise("AB CD EF")
+    docs = read(spark, sf, "customer").select(F.col("c_custkey").alias("doc_id"), F.concat(F.lit("am "), F.lpad((F.col("c_custkey") % 28 + 1).cast("string"), 2, "0"), F.lit(".03.2012 Herr Bodo NOPE, "), codes).alias("text"))
+    spans = acted(annotate(docs, {"p": rules_of(table)}))
+    return spans.select("doc_id", "type", "text", F.try_element_at("features", F.lit("day")).alias("day"), F.try_element_at("features", F.lit("lastname")).alias("lastname"))
+
+
 @register("q_date_best_format", "select o_orderkey, case o_orderkey % 3 when 0 then 'dd.MM.yyyy' when 1 then 'yyyy-MM-dd' end as format from orders")
 def _(spark, sf):
     text = F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "dd.MM.yyyy")).when(F.col("o_orderkey") % 3 == 1, F.date_format("o_orderdate", "yyyy-MM-dd")).otherwise("kein Datum")
@@ -585,9 +618,31 @@ def _(spark, sf):
     return resolve.enforce_schema(line_spans(spark, sf)).groupBy("type", "subtype").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("q_cleanup_merge")
+def fold_sql(apart: bool) -> str:
+    """The ordered fold in SQL, span by span; features merge value by value."""
+    both = lambda key: f"case when held.{key} <> n.{key} then held.{key} || ',' || n.{key} else held.{key} end"
+    agree = "(coalesce(held.subtype, 'other') = 'other' or coalesce(n.subtype, 'other') = 'other' or held.subtype = n.subtype)"
+    same, inside = "held.a = n.a and held.b = n.b", "n.b <= held.b"
+    merges, skips = f"{agree} and {same}", f"{inside} and ({agree if apart else f'({agree}) or not ({same})'})"
+    return SPANS_SQL + f""", r as materialized (select *, 'R' || cast(ann_id % 3 as varchar) as rule, row_number() over (partition by doc_id, type order by a, b desc, ann_id desc) as k, count(*) over (partition by doc_id, type) as n from p),
+f as (with recursive held as (select doc_id, type, k, n, ann_id, a, b, subtype, rule, false as moved, k as from_k from r where k = 1 union all
+ select n.doc_id, n.type, n.k, n.n, case when ({merges}) or ({skips}) then held.ann_id else n.ann_id end, case when ({merges}) or ({skips}) then held.a else n.a end, case when ({merges}) or ({skips}) then held.b else n.b end,
+  case when {merges} then case when coalesce(held.subtype, 'other') = 'other' then coalesce(case when n.subtype <> 'other' then n.subtype end, held.subtype, n.subtype) else held.subtype end when {skips} then held.subtype else n.subtype end,
+  case when {merges} then {both('rule')} when {skips} then held.rule else n.rule end, not (({merges}) or ({skips})), 0 from held join r n on n.doc_id = held.doc_id and n.type = held.type and n.k = held.k + 1) select * from held),
+out as (select f.* from f left join f g on g.doc_id = f.doc_id and g.type = f.type and g.k = f.k + 1 where f.k = f.n or g.moved)"""
+
+
+@register("q_cleanup_features", fold_sql(True) + ' select doc_id, type, ann_id, a as "start", b as "end", subtype, rule from out')
+def _(spark, sf):
+    """Coextensive spans merge with their features; spans inside one of another subtype stay."""
+    rule = F.concat(F.lit("R"), (F.col("ann_id") % 3).cast("string"))
+    spans = line_spans(spark, sf).withColumn("features", F.create_map(F.lit("rule"), rule))
+    return resolve.merge_spans(spans, apart=True).select("doc_id", "type", "ann_id", "start", "end", "subtype", F.col("features")["rule"].alias("rule"))
+
+
+@register("q_cleanup_merge", fold_sql(False) + ' select doc_id, type, ann_id, a as "start", b as "end", subtype from out')
 def _(spark, sf):
-    """An ordered fold; tests hold it against a loop."""
+    """The ordered fold over a document's spans of a type."""
     return resolve.merge_spans(line_spans(spark, sf)).select("doc_id", "type", "ann_id", "start", "end", "subtype")
 
 

@@ -138,9 +138,11 @@ FIELDS = [
 
 DIAGNOSIS = [
     Rule("SuspectedDiagnosis", rf"({B}(?:Verdacht{S}auf|Vd{S}\.?{S}a{S}\.?)(?:{S}eine?n?)?{S})(\p{{L}}+)", ((2, "Diagnosis", "suspected"),)),
-    Rule("RemoveFalsePositiveDiagnosis", rf"({B}\p{{L}}+\"?{S}-?{S}(?:Abklärung|Sprechstunde|SS){E})", (), 100),
+    Rule("RemoveFalsePositiveDiagnosis", rf"({B}\p{{L}}+\"?{S}-?{S}(?:Abklärung|Sprechstunde|SS){E})", ((1, "Diagnosis", ""),), 100, action="delete"),
 ]
 
+FIELDS = needing(FIELDS, DOBTrigger=("geb",), InternalPhoneTrigger=("Tel", "Sucher"), DetectSignaturesInTags=("<",))
+DIAGNOSIS = needing(DIAGNOSIS, SuspectedDiagnosis=("Verdacht", "Vd"), RemoveFalsePositiveDiagnosis=("Abkl", "Sprechstunde", "SS"))
 AGE = needing(AGE, (DIGIT,), KidsAge=("Kinder",), AgeYearOfLife=("Lebensjahr",), AgeLeftContextTrigger=("Alter",))
 INTERNET = needing(INTERNET, emailaddress=("@",), url=(".info", ".com", ".net", ".org", ".ch", ".de", ".fr", ".li", ".eu"))
 CONTACTS = needing(CONTACTS, (DIGIT,), PhoneNumberLeftTrigger=("Tel", "Fax", "Sekretariat"))
