@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spanloom.functions import markup
 from spanloom.functions.paths import path_matches
 from spanloom.functions.text import running
 from spanloom.operators.intervals import join_within
@@ -45,29 +46,17 @@ def json_leaves(report: Column | str) -> Column:
     return leaves(report)
 
 
-def _walk_xml(node, path: tuple, steps: tuple):
-    children = list(node)
-    for k, child in enumerate(children):
-        yield from _walk_xml(child, (*path, child.tag), (*steps, str(k)))
-    if not children:
-        yield {"path": list(path), "steps": list(steps), "value": node.text or "", "is_null": False}
-
-
 def xml_leaves(report: Column | str) -> Column:
-    """All leaves of an XML report in order, under the names of their elements; null if it isn't well-formed.
+    """All texts of an XML report in order, under the names of their elements: attributes as ``@name``, and runs beside elements too.
 
-    Text beside elements and attributes is left out. Document type declarations,
-    and so entities of one's own, make a report unreadable.
+    Null if it isn't well-formed. Document type declarations, and so entities of
+    one's own, make a report unreadable.
     """
-    from xml.etree import ElementTree
 
     def one(text: str | None):
-        if text is None or "<!DOCTYPE" in text:
-            return None
-        try:
-            return list(_walk_xml(ElementTree.fromstring(text), (), ()))
-        except ElementTree.ParseError:
+        if text is None or not markup.readable(text):
             return None
+        return [{"path": list(s.path), "steps": list(s.steps), "value": s.value, "is_null": False} for s in markup.slots(text)]
 
     @F.pandas_udf(LEAVES)
     def leaves(reports: pd.Series) -> pd.Series:
@@ -129,10 +118,20 @@ def with_values(report: Column | str, values: Column | str) -> Column:
     return put(report, values)
 
 
-def rebuild(reports: DataFrame, fields: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def with_texts(report: Column | str, values: Column | str) -> Column:
+    """XML reports with other texts in their slots, in order; all else stays byte for byte."""
+
+    @F.pandas_udf("string")
+    def put(reports: pd.Series, lists: pd.Series) -> pd.Series:
+        return pd.Series([markup.with_slots(r, list(v)) if r is not None and v is not None and markup.readable(r) else None for r, v in zip(reports, lists, strict=True)], dtype=object)
+
+    return put(report, values)
+
+
+def rebuild(reports: DataFrame, fields: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",), xml: bool = False) -> DataFrame:
     """Reports with the (changed) values of ``fields`` in the places they came from."""
     values = fields.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("field_id", "value"))), lambda f: f["value"]).alias("_values"))
-    return reports.join(values, list(keys), "left").withColumn(json_col, F.coalesce(with_values(json_col, "_values"), F.col(json_col))).drop("_values")
+    return reports.join(values, list(keys), "left").withColumn(json_col, F.coalesce((with_texts if xml else with_values)(json_col, "_values"), F.col(json_col))).drop("_values")
 
 
 @dataclass(frozen=True)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from spanloom.operators.actions import DELETE, acted
 from spanloom.operators.contexts import metadata_annotations, propagate, trigger_contexts
 from spanloom.operators.diagnosis import certainty, consolidate, keyword_annotations
-from spanloom.operators.fields import Mapping, delete_fields, flatten, json_leaves, map_fields, rebuild, report_texts, structured_annotations, without_forbidden
+from spanloom.operators.fields import Mapping, delete_fields, flatten, json_leaves, map_fields, rebuild, report_texts, structured_annotations, without_forbidden, xml_leaves
 from spanloom.operators.intervals import join_overlapping, without_overlap
 from spanloom.operators.lexicon import direct_annotations, suffix_lookups, text_lookups, without_false_positives
 from spanloom.operators.lookup_rules import lookup_annotations, without_traps
@@ -184,15 +184,15 @@ def find_in_reports(reports: DataFrame, settings: Settings = Settings(), phases:
     return leaves, spans
 
 
-def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES) -> DataFrame:
-    """``reports(doc_id, content, …)`` as JSON again, with what identifies people replaced in their fields.
+def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES, xml: bool = False) -> DataFrame:
+    """``reports(doc_id, content, …)`` as JSON (or XML) again, with what identifies people replaced in their fields.
 
     Spans are cut at the borders of fields and replaced field by field; dates of one
     report move alike. Fields that the settings delete are emptied. Reports that
     can't be read are not in the result: see ``quarantine``.
     """
-    readable = reports.where(json_leaves("content").isNotNull())
-    leaves, spans = find_in_reports(readable, settings, phases)
+    readable = reports.where((xml_leaves if xml else json_leaves)("content").isNotNull())
+    leaves, spans = find_in_reports(readable, settings, phases, xml)
     leaves = delete_fields(leaves, list(settings.deleted)) if settings.deleted else leaves
     fields = leaves.where("end > start").select("doc_id", "field_id", "value", "start", "end")
     inside = join_overlapping(spans, fields, prefix="f_")
@@ -200,7 +200,7 @@ def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings =
     value = F.col("f_value")
     texts = cut.where(value != "").select(*spans.columns, F.col("f_field_id").alias("field_id"), F.coalesce(value.substr(F.col("start") + 1, F.col("end") - F.col("start")), F.lit("")).alias("text"))
     changed = substitute(leaves.select("doc_id", "field_id", "value"), texts, policy, "value", ("doc_id", "field_id"), ("doc_id",))
-    return rebuild(readable, changed)
+    return rebuild(readable, changed, xml=xml)
 
 
 def diagnoses(docs: DataFrame, keywords: dict[str, list[str]], triggers: DataFrame, leaves: DataFrame | None = None, blacklist: tuple[str, ...] = ()) -> DataFrame:
