@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanloom.operators import cases, fields
+from spanloom.operators.diagnosis import keyword_annotations
 from spanloom.operators.substitute import Method, Policy
 from spanloom.operators.lexicon import read_lexicon
-from spanloom.plans.deidentify import Settings, deidentify_reports, diagnoses, find, find_in_reports
+from spanloom.plans.config import load
+from spanloom.plans.deidentify import deidentify_reports, diagnoses, find, find_in_reports
+from spanloom.plans.stages import Settings
+from spanloom.plans.workflow import Concern, Workflow
 from spanloom.sources import reports
+from spanloom.sources.sinks import upsert_jdbc, write_documents
 
 
 def _reports(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -51,6 +56,13 @@ def _input(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return fields.report_texts(raw, xml=a.xml)
 
 
+def _diagnosed(spark: SparkSession, docs: DataFrame, a: argparse.Namespace) -> DataFrame:
+    """The places of coded findings as spans of the type Diagnosis, whose subtype is the code."""
+    keywords = {code: patterns.split(",") for code, patterns in (line.split(";")[:2] for line in _lines(spark, a.keywords))}
+    found = keyword_annotations(docs, keywords)
+    return found.select("doc_id", "start", "end", F.lit("Diagnosis").alias("type"), F.col("code").alias("subtype"), F.lit("Keyword").alias("rule"))
+
+
 def main(args: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="spanloom", fromfile_prefix_chars="@", epilog="@file takes options from a file, one a line")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -71,6 +83,12 @@ def main(args: list[str] | None = None) -> None:
         c.add_argument("--fields-blacklist")
         for flag in ("--lexicon", "--suffixes", "--mappings", "--structured", "--blacklist"):
             c.add_argument(flag)
+        if name in ("annotate", "substitute"):
+            c.add_argument("-c", "--config", help="a file of pipeline keys, in place of the options for tables")
+        if name in ("substitute", "diagnose"):
+            c.add_argument("--output-jdbc", help="a database that gets the results too")
+            c.add_argument("--table")
+            c.add_argument("--driver")
         if name == "substitute":
             c.add_argument("--method", choices=[m.value for m in Method], default="Scrubber")
             for flag in ("--keep-dates", "--keep-patient-ids", "--keep-case-ids"):
@@ -79,32 +97,45 @@ def main(args: list[str] | None = None) -> None:
                 c.add_argument(flag, type=int)
         if name == "diagnose":
             c.add_argument("--keywords", required=True, help="lines of code;pattern,pattern")
+            c.add_argument("--keyword-blacklist", help="paths of fields in which no keyword counts")
         c.add_argument("--triggers", required=name == "diagnose", help="lines of token;context;left;right")
     c = commands.add_parser("test")
     c.add_argument("cases")
+    c.add_argument("--pipeline", choices=["Deidentification", "DiagnosisExtraction"], default="Deidentification")
+    c.add_argument("--keywords", help="for diagnoses: lines of code;pattern,pattern")
     a = parser.parse_args(args)
     spark = SparkSession.builder.appName("spanloom").getOrCreate()
     if a.command == "test":
         docs, expected = cases.read_cases(spark, a.cases)
-        bad = cases.failures(docs, expected, find)
+        bad = cases.failures(docs, expected, (lambda d: _diagnosed(spark, d, a)) if a.pipeline == "DiagnosisExtraction" else find)
         bad.show(1000, False)
         raise SystemExit(int(not bad.isEmpty()))
     if a.command in ("annotate", "substitute"):
         raw = _reports(spark, a)
         fields.quarantine(raw, xml=a.xml).write.mode("overwrite").parquet(f"{a.output}_quarantine")
+        site = load(spark, a.config) if a.config else None
+        settings = site.settings if site else _settings(spark, a)
+        plan = {"plan": site.plan, "types": site.types, "phases": site.phases} if site else {}
         if a.command == "annotate":
-            find_in_reports(raw, _settings(spark, a), xml=a.xml)[1].write.mode("overwrite").parquet(a.output)
+            find_in_reports(raw, settings, xml=a.xml, **plan)[1].write.mode("overwrite").parquet(a.output)
             return
-        if a.xml:
-            parser.error("substitute writes JSON reports, so it reads those alone")
         policy = Policy(Method(a.method), a.keep_dates, a.keep_patient_ids, a.keep_case_ids, min_days=a.min_days_shift, max_days=a.max_days_shift, seed=a.rnd_seed)
-        reports.write_json(deidentify_reports(raw, policy, _settings(spark, a)), a.output)
+        sinks = [Concern("files", merged=lambda df: write_documents(df.withColumn("name", F.col("doc_id")), a.output, "xml" if a.xml else "json"))]
+        if a.output_jdbc:
+            sinks.append(Concern("database", merged=lambda df: upsert_jdbc(df.select(F.col("doc_id").alias(a.id_column), F.col("content").alias(a.json_column)), a.output_jdbc, a.table, a.id_column, a.driver)))
+        Workflow(lambda df: deidentify_reports(df, policy, settings, xml=a.xml, **plan), sinks).run(raw)
         return
     docs = _input(spark, a)
     if a.command == "diagnose":
         lines = [r["value"].split(";") for r in spark.read.text(a.keywords).collect() if r["value"].strip()]
         triggers = spark.read.csv(a.triggers, sep=";", schema="token string, context string, left int, right int", comment="#")
-        reports.write_diagnosis(diagnoses(docs, {code: patterns.split(",") for code, patterns, *_ in lines}, triggers), a.output)
+        leaves = fields.flatten(_reports(spark, a), xml=a.xml) if a.keyword_blacklist else None
+        found = diagnoses(docs, {code: patterns.split(",") for code, patterns, *_ in lines}, triggers, leaves, tuple(_lines(spark, a.keyword_blacklist)))
+        sinks = [Concern("lines", merged=lambda df: reports.write_diagnosis(df, a.output))]
+        if a.output_jdbc:
+            key = F.concat_ws("|", "doc_id", "code", "reliability").alias("finding")
+            sinks.append(Concern("database", merged=lambda df: upsert_jdbc(df.select(key, "doc_id", "code", "reliability", "text"), a.output_jdbc, a.table, "finding", a.driver)))
+        Workflow(lambda _: found, sinks).run(docs)
     elif a.command == "check":
         raw = reports.read_json_folder(spark, a.input).withColumnRenamed("name", "doc_id")
         back = fields.rebuild(raw, fields.flatten(raw)).withColumnRenamed("content", "again")

@@ -45,6 +45,25 @@ def read_lists(spark: SparkSession, folder: str, index: str = "lists.def") -> Da
     return read_lexicon(lists.join(F.broadcast(labels), F.endswith("path", "file")).select("term", "major", "minor", "language"))
 
 
+#: Lists and their share of the words, in 256ths: stand-ins for lists that a site keeps to itself.
+STAND_INS = (
+    ("name", "firstname", "frequent", 12), ("name", "firstname", "", 60), ("name", "surname", "frequent", 20), ("name", "surname", "german", 70), ("location", "city", "", 30), ("location", "city_ambiguous", "", 8), ("location", "street", "", 24),
+    ("location", "country", "german", 4), ("location", "false_positives", "", 6), ("name", "false_positives", "", 6), ("occupation", "occupation", "", 25), ("medical", "medical", "", 80), ("general", "general", "", 140), ("stop", "stop", "german", 5),
+)
+
+
+def stand_ins(words: DataFrame, lists: tuple[tuple[str, str, str, int], ...] = STAND_INS, seed: int = 0) -> DataFrame:
+    """A lexicon out of ``words(term)``: each word is dealt to each list by a hash, so that lists have their shares and overlap.
+
+    The same words and seed give the same lists, on any number of machines. So
+    lookups run at the size of real lists, with words in several of them, ambiguous
+    cities and false positives.
+    """
+    table = words.sparkSession.createDataFrame([(k, *row) for k, row in enumerate(lists)], "nr int, major string, minor string, language string, share int")
+    drawn = F.conv(F.substring(F.md5(F.concat("term", F.lit(f":{seed}:"), F.col("nr").cast("string"))), 1, 2), 16, 10).cast("int")
+    return words.select("term").where("term != ''").distinct().join(F.broadcast(table), drawn < F.col("share")).select("term", "major", "minor", "language", F.size(phrase_tokens("term")).alias("n_tokens"))
+
+
 def text_lookups(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """As ``lookups`` for the texts themselves: all entries in one pass within the row, of any number of words, no shuffle of tokens.
 

@@ -2,110 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
-from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.operators.actions import DELETE, acted
-from spanloom.operators.contexts import metadata_annotations, propagate, trigger_contexts
+from spanloom.operators.actions import DELETE
+from spanloom.operators.contexts import trigger_contexts
 from spanloom.operators.diagnosis import certainty, consolidate, keyword_annotations
-from spanloom.operators.fields import Mapping, delete_fields, flatten, json_leaves, map_fields, rebuild, report_texts, structured_annotations, without_forbidden, xml_leaves
+from spanloom.operators.fields import Mapping, delete_fields, flatten, json_leaves, rebuild, report_texts, without_forbidden, xml_leaves
 from spanloom.operators.intervals import join_overlapping, without_overlap
-from spanloom.operators.lexicon import direct_annotations, suffix_lookups, text_lookups, without_false_positives
-from spanloom.operators.lookup_rules import lookup_annotations, without_traps
-from spanloom.operators.names import name_annotations
-from spanloom.operators.resolve import enforce_schema, merge_spans, remove_redundant, remove_weaker, split_overlaps
 from spanloom.operators.rules import Rule, annotate
 from spanloom.operators.substitute import Policy, substitute
-from spanloom.operators.tokens import token_table, work_tokens
-from spanloom.rulesets import dates, others
-
-#: The phases that need nothing but a text, in order.
-TEXT_PHASES: dict[str, list[Rule]] = {
-    "Occupations": others.OCCUPATIONS, "Dates": dates.RULES, "Names": others.NAMES, "Age": others.AGE, "Internet": others.INTERNET,
-    "Contacts": others.CONTACTS, "Locations": others.LOCATIONS, "Buildings": others.BUILDINGS, "IDs": others.IDS, "Various": [r for r in others.FIELDS if r.context is None],
-}
-#: What a text that is a field of a known kind gets beside the above: the rules of such kinds.
-FIELD_PHASES: dict[str, list[Rule]] = {"Fields": [r for rules in (others.OCCUPATIONS, others.IDS, others.FIELDS) for r in rules if r.context is not None]}
-
-
-FIRST_FIELD, STRUCTURED, LEXICON, LOOKUP_RULES, METADATA, PROPAGATED = range(100, 700, 100)
-COLUMNS = ("doc_id", "stage", "start", "end", "type", "subtype", "rule", "text", "features")
-
-
-@dataclass(frozen=True)
-class Settings:
-    """What a site brings along; every part is optional.
-
-    ``lexicon`` and ``suffixes`` are term tables, ``triggers(token, context, left,
-    right)`` open contexts, ``mappings`` say which kind a field is of, ``structured``
-    which fields are a span as a whole, ``blacklist`` which types no span may have
-    in a field, ``deleted`` which fields are emptied, and ``metadata(doc_id, type,
-    value)`` what is known of a document. ``rules`` are a phase of their own, and
-    each of ``stages`` is given the documents and gives back spans.
-    """
-
-    lexicon: DataFrame | None = None
-    suffixes: DataFrame | None = None
-    triggers: DataFrame | None = None
-    mappings: tuple[Mapping, ...] = ()
-    structured: tuple[Mapping, ...] = ()
-    blacklist: dict[str, list[str]] = field(default_factory=dict)
-    deleted: tuple[str, ...] = ()
-    metadata: DataFrame | None = None
-    rules: tuple[Rule, ...] = ()
-    stages: tuple[Callable[[DataFrame], DataFrame], ...] = ()
-
-
-def _staged(spans: DataFrame, stage: int | Column) -> DataFrame:
-    texts = spans if "text" in spans.columns else spans.withColumn("text", F.lit(None).cast("string"))
-    if "features" not in texts.columns:
-        entries = F.array(F.struct(F.lit("rule").alias("key"), F.col("rule").alias("value")), F.struct(F.lit("type").alias("key"), F.col("subtype").alias("value")))
-        texts = texts.withColumn("features", F.map_from_entries(F.filter(entries, lambda e: e["value"].isNotNull() & (e["value"] != ""))))
-    return texts.withColumn("stage", F.lit(stage) if isinstance(stage, int) else stage).select(*COLUMNS)
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` worked out once and kept in the checkpoint folder, so what follows starts from a table.
-
-    The folder is the session's; one is made here only where none is named and
-    Spark runs on one machine, as in tests.
-    """
-    context = df.sparkSession.sparkContext
-    folder = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder and not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors see")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
-def _rules(phases: dict[str, list[Rule]]) -> list[Rule]:
-    return [r for rules in phases.values() for r in rules]
-
-
-def _of_phases(found: DataFrame, phases: dict[str, list[Rule]], first: int = 0) -> DataFrame:
-    return _staged(found, F.coalesce(*[F.when(F.col("phase") == name, F.lit(first + k)) for k, name in enumerate(phases)]))
-
-
-def _in_fields(leaves: DataFrame, mappings: list[Mapping], phases: dict[str, list[Rule]]) -> DataFrame:
-    """What the rules find in each field by itself, where the kinds that the mappings give it are its contexts."""
-    kinds = map_fields(leaves.where("not is_null and end > start"), mappings)
-    rows = kinds.where(F.size("types") > 0).select("doc_id", F.col("start").alias("_from"), F.col("value").alias("text"), F.transform("types", lambda t: t["type"]).alias("kinds"))
-    found = _of_phases(acted(annotate(rows, phases, contexts_col="kinds", keys=("doc_id", "_from")), ("doc_id", "_from"), _rules(phases)).withColumn("start", F.col("_from") + F.col("start")).withColumn("end", F.col("_from") + F.col("end")), phases, FIRST_FIELD)
-    return found
-
-
-def _contexts(docs: DataFrame, leaves: DataFrame | None, mappings: list[Mapping], triggers: DataFrame | None) -> DataFrame | None:
-    """``(doc_id, start, end, context)``: around triggers, and fields of a kind."""
-    out = trigger_contexts(docs, triggers) if triggers is not None else None
-    if mappings and leaves is not None:
-        kinds = map_fields(leaves.where("not is_null and end > start"), mappings).select("doc_id", "start", "end", F.explode("types.type").alias("context"))
-        out = kinds if out is None else out.unionByName(kinds)
-    return out
+from spanloom.plans.stages import FIELD_PHASES, TEXT_PHASES, Settings, State, planned, run_plan
+from spanloom.rulesets import others
 
 
 def find(
@@ -115,53 +25,19 @@ def find(
 ) -> DataFrame:
     """``(doc_id, ann_id, start, end, type, subtype, rule, confidence, features)``: the spans that are left after all conflicts.
 
-    Rules run where the text is; with a lexicon, tokens meet it in one more pass,
-    and rules that combine its labels with contexts and earlier spans follow.
-    ``leaves`` are the fields of the reports that ``docs`` are the texts of, as
-    ``flatten`` gives them. ``mappings`` say which kind a field is of, and rules with
-    that context run in it; ``structured`` says which fields are a span as a whole,
-    and what they hold is found everywhere in its document; ``blacklist`` says which
-    types no span may have in a field. ``metadata(doc_id, type, value)`` is looked
-    up among the tokens. ``stages`` are functions of the documents that give back
-    ``(doc_id, start, end, type, subtype, rule)``. ``clean``: trim spans and merge those of a type. Spans are
-    numbered by stage, place and rule, so of equals the later stage's stays.
+    What is given asks for the stages of the plan (see ``stages.planned``). ``leaves``
+    are the fields of the reports that ``docs`` are the texts of, as ``flatten`` gives
+    them. ``mappings`` say which kind a field is of, and rules with that context run
+    in it; ``triggers`` make contexts within a text; ``structured`` says which fields
+    are a span as a whole, and what they hold is found everywhere in its document;
+    ``blacklist`` says which types no span may have in a field. ``metadata(doc_id,
+    type, value)`` is looked up among the tokens. ``stages`` are functions of the
+    documents that give back ``(doc_id, start, end, type, subtype, rule)``. ``clean``:
+    trim spans and merge those of a type. Spans are numbered by stage, place and
+    rule, so of equals the later stage's stays.
     """
-    if leaves is None and (mappings or structured or blacklist):
-        raise ValueError("mappings, structured fields and a blacklist need the leaves")
-    found = _of_phases(acted(annotate(docs, phases), rules=_rules(phases)), phases)
-    if mappings:
-        found = found.unionByName(_in_fields(leaves, mappings, field_phases))
-    whole = structured_annotations(leaves, structured).withColumn("subtype", F.col("features")["type"]) if structured else None
-    if whole is not None:
-        found = found.unionByName(_staged(whole, STRUCTURED))
-    hits = None
-    if lexicon is not None or metadata is not None:
-        words = work_tokens(token_table(docs))
-    if lexicon is not None:
-        hits = text_lookups(docs, lexicon)
-        if suffixes is not None:
-            hits = hits.unionByName(suffix_lookups(words, suffixes).select("doc_id", "start", "end", F.col("string").alias("term"), "major", "minor", F.lit("").alias("language")))
-        direct = direct_annotations(hits).withColumn("rule", F.lit("Lexicon"))
-        found = found.unionByName(_staged(direct, LEXICON)).unionByName(_staged(name_annotations(words, hits), LEXICON))
-        found = without_traps(without_false_positives(found, hits), words, hits)
-        found = found.unionByName(_staged(lookup_annotations(words, hits, _contexts(docs, leaves, mappings or [], triggers), found), LOOKUP_RULES))
-    if metadata is not None:
-        found = found.unionByName(_staged(metadata_annotations(words, metadata, hits).withColumns({"subtype": F.lit(None).cast("string"), "rule": F.lit("Metadata")}), METADATA))
-    if whole is not None:
-        sure = whole.join(docs.select("doc_id", F.col("text").alias("_whole")), "doc_id").withColumns({"text": F.col("_whole").substr(F.col("start") + 1, F.col("end") - F.col("start")), "confidence": F.lit(None).cast("string")})
-        again = propagate(docs, sure).join(sure.groupBy("doc_id", "text").agg(F.min_by("subtype", F.col("start")).alias("subtype")), ["doc_id", "text"])
-        found = found.unionByName(_staged(again, PROPAGATED))
-    for k, stage in enumerate(stages):
-        found = found.unionByName(_staged(stage(docs), PROPAGATED + 1 + k))
-    if blacklist:
-        found = without_forbidden(found, leaves, blacklist)
-    order = Window.partitionBy("doc_id").orderBy("stage", "start", "end", "rule", "type", "subtype")
-    spans = enforce_schema(found.dropDuplicates([c for c in COLUMNS if c != "features"])).withColumn("ann_id", F.row_number().over(order)).withColumn("confidence", F.lit(None).cast("string"))
-    if clean:
-        cut = F.length(F.regexp_extract("text", r"(?:\s|\\n|\\r)+$", 0))
-        spans = settled(spans.withColumn("end", F.col("end") - F.coalesce(cut, F.lit(0))).where("end > start"))
-        spans = merge_spans(spans, apart=True)
-    return split_overlaps(remove_redundant(remove_weaker(spans.select("doc_id", "ann_id", "start", "end", "type", "subtype", "rule", "confidence", "features"))))
+    settings = Settings(lexicon, suffixes, triggers, tuple(mappings or ()), tuple(structured or ()), blacklist or {}, (), metadata, (), stages)
+    return run_plan(planned(settings, clean), State(docs, leaves, settings, phases, field_phases))
 
 
 def deidentify(docs: DataFrame, policy: Policy, lexicon: DataFrame | None = None, phases: dict[str, list[Rule]] = TEXT_PHASES, **stages) -> DataFrame:
@@ -174,17 +50,16 @@ def deidentify(docs: DataFrame, policy: Policy, lexicon: DataFrame | None = None
     return substitute(docs, spans, policy)
 
 
-def find_in_reports(reports: DataFrame, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES, xml: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The leaves of ``reports(doc_id, content)`` and the spans in their texts, through all stages."""
+def find_in_reports(reports: DataFrame, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES, xml: bool = False, plan: list[str] | None = None, types: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """The leaves of ``reports(doc_id, content)`` and the spans in their texts, through the stages of the plan (all that the settings ask for, if none is given)."""
     leaves = flatten(reports, xml=xml)
     phases = {**phases, "Site": list(settings.rules)} if settings.rules else phases
-    spans = find(
-        report_texts(reports, xml=xml), settings.lexicon, phases, leaves, list(settings.mappings), list(settings.structured), settings.blacklist or None, settings.metadata, triggers=settings.triggers, suffixes=settings.suffixes, clean=True, stages=settings.stages
-    )
-    return leaves, spans
+    own = [r for r in settings.rules if r.context is not None]
+    state = State(report_texts(reports, xml=xml), leaves, settings, phases, {**FIELD_PHASES, "SiteFields": own} if own else FIELD_PHASES, types)
+    return leaves, run_plan(planned(settings, clean=True) if plan is None else plan, state)
 
 
-def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES, xml: bool = False) -> DataFrame:
+def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings = Settings(), phases: dict[str, list[Rule]] = TEXT_PHASES, xml: bool = False, plan: list[str] | None = None, types: tuple[str, ...] = ()) -> DataFrame:
     """``reports(doc_id, content, …)`` as JSON (or XML) again, with what identifies people replaced in their fields.
 
     Spans are cut at the borders of fields and replaced field by field; dates of one
@@ -192,7 +67,7 @@ def deidentify_reports(reports: DataFrame, policy: Policy, settings: Settings =
     can't be read are not in the result: see ``quarantine``.
     """
     readable = reports.where((xml_leaves if xml else json_leaves)("content").isNotNull())
-    leaves, spans = find_in_reports(readable, settings, phases, xml)
+    leaves, spans = find_in_reports(readable, settings, phases, xml, plan, types)
     leaves = delete_fields(leaves, list(settings.deleted)) if settings.deleted else leaves
     fields = leaves.where("end > start").select("doc_id", "field_id", "value", "start", "end")
     inside = join_overlapping(spans, fields, prefix="f_")

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from spanloom.operators.substitute import Policy, substitute
-from spanloom.plans.deidentify import settled
+from spanloom.plans.stages import settled
 
 
 @dataclass(frozen=True)

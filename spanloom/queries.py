@@ -131,6 +131,19 @@ def _(spark, sf):
     return doc_hits(spark, sf).where(F.col("term").contains(" ")).groupBy("term").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("doc_id").alias("n_docs"))
 
 
+STAND_IN_SQL = "ls(nr, major, minor, language, share) as (values " + ", ".join(f"({k}, '{a}', '{b}', '{c}', '{n:02x}')" for k, (a, b, c, n) in enumerate(lexicon.STAND_INS)) + ")"
+
+
+@register("q_lexicon_stand_ins", SQL_TOKENS + f""", {STAND_IN_SQL}, ws as materialized (select distinct string as term from t where kind = 'word' and length(string) > 2),
+lx as materialized (select term, major, minor, min(language) as language from ws, ls where substring(md5(term || ':0:' || cast(nr as varchar)), 1, 2) < share group by all having true)
+select major, minor, count(*) as n, count(distinct term) as n_terms, cast(sum(s) as bigint) as sum_start from (select distinct doc_id, s, term, major, minor from t join lx on t.string = lx.term) group by major, minor""")
+def _(spark, sf):
+    """Lookups at the size of real lists: all words of the documents, dealt to fourteen lists that overlap."""
+    words = doc_tokens(spark, sf).where("kind = 'word' and length > 2").select(F.col("string").alias("term")).distinct()
+    hits = lexicon.text_lookups(read(spark, sf, "documents").select("doc_id", "text"), lexicon.stand_ins(words))
+    return hits.groupBy("major", "minor").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("term").alias("n_terms"), F.sum("start").alias("sum_start"))
+
+
 SUFFIXES = [("tion", "medical"), ("ing", "name"), ("eux", "name")]
 
 
