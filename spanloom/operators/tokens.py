@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import kind, orth, with_tokens
-from spanloom.operators.intervals import join_overlapping
+from spanloom.operators.intervals import join_overlapping, join_within
 
 
 def token_table(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -55,6 +55,18 @@ def adjust_sentences(found: DataFrame, leaves: DataFrame, keys: tuple[str, ...]
     return pairs.select(*keys, F.greatest("start", "f_start").alias("start"), F.least("end", "f_end").alias("end"))
 
 
+def field_sentences(table: DataFrame, leaves: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``(keys, sentence_nr, field_id, start, end, token_count, work_token_count)``: sentences cut at fields, with their tokens counted, blanks and without.
+
+    ``table`` has a ``sentence_nr``, so newlines cut too. Tokens outside of fields are
+    a sentence of their own, whose ``field_id`` is null; what holds only blanks is none.
+    """
+    placed = join_within(table, leaves.select(*keys, "field_id", "start", "end"), keys, "left", prefix="f_")
+    work = ~F.col("kind").isin("space", "newline")
+    found = placed.groupBy(*keys, "sentence_nr", F.col("f_field_id").alias("field_id")).agg(F.min(F.when(work, F.col("start"))).alias("start"), F.max(F.when(work, F.col("end"))).alias("end"), F.count(F.lit(1)).alias("token_count"), F.count_if(work).alias("work_token_count"))
+    return found.where("work_token_count > 0")
+
+
 def window_flag(table: DataFrame, flag: str, size: int, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``near_<flag>``: whether a token within ``size`` tokens has the flag."""
     return table.withColumn(f"near_{flag}", F.max(F.col(flag)).over(Window.partitionBy(*keys).orderBy("tok_idx").rowsBetween(-size, size)))

@@ -94,6 +94,18 @@ def _(spark, sf):
     return tokens.adjust_sentences(whole, leaves).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.sum(F.col("end") - F.col("start")).alias("n_chars"))
 
 
+@register("q_field_sentences", SQL_SENTENCES + """, y as (select *, case when s + length(string) <= 100 * (s // 100 + 1) then s // 100 end as field from w)
+select doc_id, count(*) as n_sentences, cast(sum(n) as bigint) as n_tokens, cast(sum(m) as bigint) as n_work_tokens, cast(sum(a) as bigint) as sum_start, cast(sum(b) as bigint) as sum_end, count_if(field is null) as n_between
+from (select doc_id, sentence_nr, field, count(*) as n, count_if(kind not in ('space', 'newline')) as m, min(case when kind not in ('space', 'newline') then s end) as a, max(case when kind not in ('space', 'newline') then s + length(string) end) as b from y group by all having count_if(kind not in ('space', 'newline')) > 0) group by doc_id""")
+def _(spark, sf):
+    """Sentences of whole documents cut at fields of a hundred characters, with their tokens counted."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    bins = F.sequence(F.lit(0), F.floor(F.length("text") / 100).cast("int"))
+    leaves = docs.select("doc_id", F.explode(bins).alias("field_id")).select("doc_id", "field_id", (F.col("field_id") * 100).alias("start"), (F.col("field_id") * 100 + 100).alias("end"))
+    found = tokens.field_sentences(tokens.with_sentence_nr(doc_tokens(spark, sf)), leaves)
+    return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.sum("token_count").alias("n_tokens"), F.sum("work_token_count").alias("n_work_tokens"), F.sum("start").alias("sum_start"), F.sum("end").alias("sum_end"), F.count_if(F.col("field_id").isNull()).alias("n_between"))
+
+
 @register("q_token_window", SQL_TOKENS + """, w as (select doc_id, row_number() over (partition by doc_id order by tok_idx) - 1 as i, string = 'the' as hit from t where kind <> 'space'),
 x as (select *, max(hit) over (partition by doc_id order by i rows between 2 preceding and 2 following) as near from w) select doc_id, count_if(near) as n_near from x group by doc_id""")
 def _(spark, sf):
@@ -358,6 +370,15 @@ def _(spark, sf):
     return read(spark, sf, "orders").select("o_orderkey", fd.best_format(text).alias("format"))
 
 
+@register("q_date_formats", """with o as (select o_orderkey, cast(o_orderdate as date) as d, o_orderkey % 16 as k from orders), p as (select *, day(d) >= 10 and month(d) >= 10 as wide, month(d) >= 10 as late, month(d) = 2 and day(d) = 29 as leap from o)
+select o_orderkey, case k when 0 then 'dd.MM.yyyy' when 1 then case when wide then 'dd.MM.yyyy' else 'd.M.yyyy' end when 2 then 'dd.MM.yy' when 3 then case when wide then 'dd.MM.yy' else 'd.M.yy' end when 4 then 'dd/MM/yyyy' when 5 then 'dd/MM/yy' when 6 then 'yyyy-MM-dd' when 7 then 'MM/yyyy'
+ when 8 then case when late then 'MM/yyyy' else 'M/yyyy' end when 9 then 'MM.yyyy' when 10 then 'MM/yy' when 11 then case when late then 'MM/yy' else 'M/yy' end when 12 then case when not leap then 'dd.MM.' end when 13 then case when leap then null when wide then 'dd.MM.' else 'd.M.' end when 14 then case when not leap then 'dd.MM' end else 'yyyy' end as format from p""")
+def _(spark, sf):
+    """Every format, written and found again."""
+    text = F.coalesce(*[F.when(F.col("o_orderkey") % 16 == k, F.date_format("o_orderdate", f)) for k, f in enumerate(fd.FORMATS)])
+    return read(spark, sf, "orders").select("o_orderkey", fd.best_format(text).alias("format"))
+
+
 @register("q_slash_guard", """select l_orderkey, l_linenumber, case when l_partkey % 9 + 1 > l_suppkey % 90 + 10 then true else l_partkey % 2 = 0 end as is_date from lineitem""")
 def _(spark, sf):
     month = F.when(F.col("l_partkey") % 2 == 0, F.concat(F.lit("0"), (F.col("l_partkey") % 9 + 1).cast("string"))).otherwise((F.col("l_partkey") % 9 + 1).cast("string"))
@@ -478,6 +499,41 @@ def _(spark, sf):
 CONSTRAINTS = ["Text", "/Patient", "Patient/Name", "Eintrag//", "//LISTELEMENT/Text", "/Name", "//Na.*"]
 
 
+def order_xml(spark, sf):
+    """Orders as XML with attributes, text beside elements, entities and an empty element."""
+    o = read(spark, sf, "orders").join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    put = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    content = put("<report nr='", F.col("o_orderkey").cast("string"), "'>\n <patient group=\"", F.col("c_mktsegment"), "\">", F.col("c_name"), " &amp; <b>", F.col("o_orderpriority"), "</b> nach</patient><empty/></report>")
+    return o.select(F.col("o_orderkey").alias("doc_id"), content.alias("content"))
+
+
+SQL_XML = """with r as (select o_orderkey as doc_id, cast(o_orderkey as varchar) as nr, c_mktsegment as g, c_name as n, o_orderpriority as p from orders join customer on o_custkey = c_custkey)"""
+
+
+@register("q_xml_leaves", SQL_XML + """ select doc_id, field_id, path, value, "start" from (select doc_id, 0 as field_id, '@nr' as path, nr as value, 0 as "start" from r union all select doc_id, 1, 'patient/@group', g, length(nr) + 1 from r union all select doc_id, 2, 'patient', n || ' & ', length(nr) + length(g) + 2 from r
+union all select doc_id, 3, 'patient/b', p, length(nr) + length(g) + length(n) + 6 from r union all select doc_id, 4, 'patient', ' nach', length(nr) + length(g) + length(n) + length(p) + 7 from r union all select doc_id, 5, 'empty', '', length(nr) + length(g) + length(n) + length(p) + 13 from r)""")
+def _(spark, sf):
+    return fields.flatten(order_xml(spark, sf), xml=True).select("doc_id", "field_id", F.array_join("path", "/").alias("path"), "value", "start")
+
+
+@register("q_xml_substituted", SQL_XML + """ select doc_id, '<report nr=''ID''>' || chr(10) || ' <patient group="' || g || '">NAME &amp; <b>' || p || '</b> nach</patient><empty/></report>' as content from r""")
+def _(spark, sf):
+    """XML reports through the substitution: spans are replaced in attributes and beside elements, all else stays as it was."""
+    docs = order_xml(spark, sf)
+    leaves = fields.flatten(docs, xml=True)
+    new = F.when(F.col("field_id") == 0, "ID").when(F.col("field_id") == 2, "NAME & ").otherwise(F.col("value"))
+    return fields.rebuild(docs, leaves.withColumn("value", new), xml=True).select("doc_id", "content")
+
+
+@register("q_token_fields_all", SQL_REPORTS + """, l as (select doc_id, 'Patient/Name' as field_path, c_name as v from r union all select doc_id, 'Patient/Gruppe', c_mktsegment from r union all select doc_id, 'Eintrag/LISTELEMENT/Text', o_orderpriority from r union all select doc_id, 'Eintrag/LISTELEMENT/Text', o_orderstatus from r)
+select doc_id, field_path, cast(sum(len(regexp_extract_all(v, '\\p{L}+|\\p{N}+|[ \\t]+|[^\\p{L}\\p{N}\\s]'))) as bigint) as n from l group by all""")
+def _(spark, sf):
+    """The innermost field over every token of whole reports."""
+    docs = order_reports(spark, sf)
+    found = fields.token_fields(tokens.token_table(fields.report_texts(docs)), fields.flatten(docs))
+    return found.where("field_path is not null").groupBy("doc_id", "field_path").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("q_path_match", SQL_REPORTS + """ select c as rule, count(*) as n from r, (select unnest(['Text', 'Text', 'Patient/Name', 'Eintrag//', 'Eintrag//', '//LISTELEMENT/Text', '//LISTELEMENT/Text', '//Na.*']) as c) group by c""")
 def _(spark, sf):
     f = fields.flatten(order_reports(spark, sf))
