@@ -285,3 +285,27 @@ def damaged(conversations: DataFrame) -> DataFrame:
 def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The turn structure of damaged conversations, their cheapest repair and its digest."""
     return repair(damaged(table(spark, sf_dir, "conversations")))
+
+
+_STEPS = """[{'s': w.state, 'c': w.cost + 4, 'a': w.audit || 'D', 'p': w.parts}]
+ || case when fault in (1, 2) then [] else [{'s': case w.state when 2 then 3 else 2 end, 'c': w.cost + 3 + fault, 'a': w.audit || 'R', 'p': list_append(w.parts, case w.state when 2 then 'assistant' else 'user' end || ':' || text)}] end
+ || case when fault in (1, 2) or keep is null then [] else [{'s': keep, 'c': w.cost + fault, 'a': w.audit || 'K', 'p': list_append(w.parts, role || ':' || text)}] end"""
+_CLOSED = """[o, {'s': case o.s when 2 then 3 else 2 end, 'c': o.c + 3, 'a': o.a || 'I', 'p': list_append(o.p, case o.s when 2 then 'assistant:' else 'user:' end)},
+ {'s': case o.s when 2 then 2 else 3 end, 'c': o.c + 6, 'a': o.a || 'II', 'p': o.p || case o.s when 2 then ['assistant:', 'user:'] else ['user:', 'assistant:'] end}]"""
+#: The same in DuckDB, row by row: the least (cost, audit) of every state; a fault of 3 is a truncated row, and what it costs to keep.
+ORACLE_OP12 = rf"""with recursive bits as (select i as b, i as c, 0 as k from range(256) r(i) union all select b, case when c % 2 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, k + 1 from bits where k < 8),
+crc as materialized (select list(c order by b) as t from bits where k = 8),
+ids as materialized (select conv_id, turn, hex(encode(coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' '))) as x from conversations group by all),
+kinds as materialized (select conv_id, turn, xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(0, len(x) // 2), lambda i: ('0x' || x[2 * i + 1 : 2 * i + 2])::bigint)), lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) % 20 as kind from ids, crc),
+damaged as (select c.conv_id, c.turn, case when kind = 4 then 'user' else coalesce(role, ' ') end as role, case when kind = 1 then '' when kind = 2 then regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') else coalesce(text, ' ') end as text,
+ unnest(case when kind = 3 then [1, 2] when kind = 0 then [] else [1] end) as copy from conversations c join kinds k on k.conv_id is not distinct from c.conv_id and k.turn is not distinct from c.turn),
+placed as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as k from damaged),
+judged as materialized (select conv_id, turn, role, text, k, case when not regexp_matches(text, '[^\x20\x09-\x0D]') then 1 when row_number() over (partition by conv_id, role, text order by k) > 1 then 2 when regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') then 0 else 3 end as fault,
+ lag(role[1:1]) over (partition by conv_id order by k) || role[1:1] as pair, count(*) over (partition by conv_id) as n from placed),
+ways as (select distinct conv_id, 0::bigint as k, o.s as state, o.c as cost, o.a as audit, o.p as parts from judged, (select unnest({_CLOSED}) as o from (select {{'s': 0, 'c': 0, 'a': '', 'p': []::varchar[]}} as o))
+ union all select conv_id, k, m.s, m.c, m.a, m.p from (select conv_id, k, arg_min(o, {{'c': o.c, 'a': o.a}}) as m from (select conv_id, k, unnest({_CLOSED}) as o from (select conv_id, k, unnest({_STEPS}) as o
+ from (select w.*, r.* exclude (conv_id, k), r.k as k, case when role[1:1] = 's' and w.state = 0 then 1 when role[1:1] = 'u' and w.state <> 2 then 2 when role[1:1] = 'a' and w.state = 2 then 3 end as keep from (select conv_id, k as before, state, cost, audit, parts from ways) w join judged r on r.conv_id is not distinct from w.conv_id and r.k = w.before + 1) w)) group by conv_id, k, o.s)),
+ends as (select conv_id, arg_min({{'c': cost, 'a': audit, 'p': parts}}, {{'c': cost, 'a': audit}}) as m from ways join (select distinct conv_id, n from judged) using (conv_id) where k = n and state in (0, 3) group by conv_id),
+sums as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count_if(fault = 1) as blank, count_if(fault = 2) as duplicate, count_if(fault = 3) as truncated, count_if(pair not in ('su', 'ua', 'au')) as illegal from judged group by conv_id)
+select c.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, coalesce(cast(m.c as bigint), 0) as cost, coalesce(m.a, '') as audit, sha256(coalesce(array_to_string(m.p, chr(10)), '')) as repaired_sha256
+from (select distinct conv_id from conversations) c left join sums s on s.conv_id is not distinct from c.conv_id left join ends e on e.conv_id is not distinct from c.conv_id"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from spanloom.llm.chroma import op7_chroma
-from spanloom.llm.conversations import op12_conversations
+from spanloom.llm.conversations import ORACLE_OP12, op12_conversations
 from spanloom.llm.decontam import op8_decontam
 from spanloom.llm.forest import ORACLE_OP13, op13_minhash
 from spanloom.llm.importance import ORACLE_OP11, op11_importance
@@ -36,4 +36,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_minhash": op13_minhash,
 }
 
-ORACLES: dict[str, str] = {"op1_warc": ORACLE_OP1, "op11_importance": ORACLE_OP11, "op13_minhash": ORACLE_OP13}
+ORACLES: dict[str, str] = {"op1_warc": ORACLE_OP1, "op11_importance": ORACLE_OP11, "op12_conversations": ORACLE_OP12, "op13_minhash": ORACLE_OP13}
