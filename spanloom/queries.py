@@ -294,6 +294,17 @@ def _(spark, sf):
     return first.join(docs, "doc_id").select("doc_id", "text", before.alias("before"), after.alias("after"))
 
 
+@register("q_context_places", f"""with a as (select doc_id, text, string_split_regex(text, '{SQL_PHONE}') as p from documents),
+b as (select doc_id, text, p, unnest(range(1, len(p))) as k from a), c as (select doc_id, text, cast(list_sum(list_transform(p[1:k], lambda x: length(x))) + 14 * (k - 1) as int) as "start" from b)
+select doc_id, "start", substring(text, "start" + 1, 14) as text, substring(text, greatest("start" - 10, 0) + 1, "start" - greatest("start" - 10, 0)) as before, substring(text, "start" + 15, 10) as after from c""")
+def _(spark, sf):
+    """What is around every number, at its own place."""
+    docs = read(spark, sf, "documents").select("doc_id", F.col("text").alias("whole"))
+    spans = contact_spans(spark, sf).where("rule = 'NorthAmericanNumber'")
+    before, after = context("whole", F.col("start"), F.col("end"), 10)
+    return spans.join(docs, "doc_id").select("doc_id", "start", "text", before.alias("before"), after.alias("after"))
+
+
 @register("q_deidentify")
 def _(spark, sf):
     """The whole chain over whole documents: all text phases, conflicts, labels. Its SQL would restate every rule; tests hold it against invariants."""
@@ -631,6 +642,15 @@ def _(spark, sf):
     return contexts.propagate(docs, sure).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("q_propagation_documents", """with b as (select doc_id, text, regexp_extract(text, '^\\S+ \\S+') as m from documents)
+select doc_id, m as text, cast(len(string_split(text, m)) - 1 as bigint) as n from b where m <> ''""")
+def _(spark, sf):
+    """The first two words of every document, everywhere in it."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    sure = docs.select("doc_id", F.lit(0).alias("start"), F.regexp_extract("text", r"^\S+ \S+", 0).alias("text"), F.lit("Name").alias("type"), F.lit("FieldMapping-x").alias("rule"), F.lit(None).cast("string").alias("confidence"))
+    return contexts.propagate(docs, sure).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+
+
 # --- conflicts ------------------------------------------------------------------
 
 SPANS_SQL = """with s as (select l_orderkey as doc_id, l_linenumber * 100000000 + l_partkey * 1000 + l_suppkey % 1000 as ann_id, cast(l_partkey % 40 as int) as a, cast(l_partkey % 40 + l_suppkey % 12 as int) as b,
@@ -835,6 +855,15 @@ def _(spark, sf):
     return features.ml_table(read(spark, sf, "documents").select("doc_id", "text"), none).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_tokens"))
 
 
+@register("q_ml_tokens", SQL_SENTENCES + """, y as (select *, row_number() over (partition by doc_id, sentence_nr order by tok_idx) - 1 as nr from w where kind not in ('space', 'newline'))
+select doc_id, token_kind, count(*) as n, count(distinct token_text) as n_texts, cast(sum(nr) as bigint) as sum_nr, count_if(nr = 0) as n_first, cast(sum(length(token_text)) as bigint) as n_chars from (select doc_id, kind as token_kind, string as token_text, nr from y) group by doc_id, token_kind""")
+def _(spark, sf):
+    """The learner's rows of whole documents: kinds, texts, places in sentences, beginnings."""
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    rows = features.ml_table(docs, contact_spans(spark, sf))
+    return rows.groupBy("doc_id", "token_kind").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("token_text").alias("n_texts"), F.sum("token_nr").alias("sum_nr"), F.count_if("sentence_beginning").alias("n_first"), F.sum(F.length("token_text")).alias("n_chars"))
+
+
 @register("q_type_projection", "with x as (" + t.expected_sql("customer", "c_custkey", t.LOCATIONS) + ") select subtype, count(*) as n from x group by subtype")
 def _(spark, sf):
     docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.LOCATIONS)
