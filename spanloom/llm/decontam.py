@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -120,6 +120,20 @@ def _cut(words: list[str], hits: list[tuple[int, str]], reach: int, n: int) -> l
     return [(start, " ".join(words[start:end]), sorted(grams)) for start, end, grams in _passages(hits, len(words), reach, n)]
 
 
+def _cut_each(words: list[str], hits: list[tuple[int, str]], reach_of: Callable[[str], int], n: int) -> list[tuple[int, str, list[str]]]:
+    """The passages around hits; each n-gram reaches as far as its own items are long, so those of one reach share passages."""
+    by_reach: dict[int, list[tuple[int, str]]] = {}
+    for p, gram in hits:
+        by_reach.setdefault(reach_of(gram), []).append((p, gram))
+    return [passage for reach, some in by_reach.items() for passage in _cut(words, some, reach, n)]
+
+
+def with_reach(seeds: DataFrame, items: DataFrame, n: int) -> DataFrame:
+    """``seeds(item_id, gram)`` with ``reach``: how many words beside its n-gram an item can go on, in steps of doubling."""
+    long = items.select("item_id", F.pow(F.lit(2), F.ceil(F.log2(F.greatest(F.size("words"), F.lit(1)) + F.lit(n)))).cast("int").alias("reach"))
+    return seeds.join(long.groupBy("item_id").agg(F.max("reach").alias("reach")), "item_id")
+
+
 def _key_of(codes: list, base: int):
     key = codes[0]
     for c in codes[1:]:
@@ -127,8 +141,8 @@ def _key_of(codes: list, base: int):
     return key
 
 
-def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
-    """Passages around seeds, by one pass over whole texts with a bounded index in every task."""
+def scan(docs: DataFrame, grams: dict[str, int], n: int) -> DataFrame:
+    """Passages around seeds, by one pass over whole texts with a bounded index in every task; ``grams`` says how far each reaches."""
     split = [g.split(" ") for g in sorted(grams)]
     vocabulary = {w: k for k, w in enumerate(sorted({w for g in split for w in g}))}
     base = len(vocabulary) + 1
@@ -138,7 +152,7 @@ def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
     for size in sorted({len(g) for g in split}):
         keyed = sorted((_key_of([vocabulary[w] for w in g], base), " ".join(g)) for g in split if len(g) == size)
         index.append((size, np.array([k for k, _ in keyed], dtype=np.int64), [g for _, g in keyed]))
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, index))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, index, grams))
     schema = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL(PASSAGE).fields])
 
     def hits_of(codes: np.ndarray, index: list) -> list[tuple[int, str]]:
@@ -156,7 +170,7 @@ def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
         return sorted(found) if len(index) > 1 else found
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, index = shared.value
+        known, index, reaches = shared.value
         code = known.get
         for batch in batches:
             rows = []
@@ -164,13 +178,13 @@ def scan(docs: DataFrame, grams: list[str], reach: int, n: int) -> DataFrame:
                 words = words_of(text)
                 codes = np.fromiter((code(w, -1) for w in words), dtype=np.int64, count=len(words))
                 if hits := hits_of(codes, index):
-                    rows += [(row, *p) for p in _cut(words, hits, reach, n)]
+                    rows += [(row, *p) for p in _cut_each(words, hits, reaches.__getitem__, n)]
             yield _emit(batch.column(0), rows, schema.names)
 
     return docs.select("doc_id", "text").mapInArrow(find, schema)
 
 
-def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int, sizes: list[int] | None = None) -> DataFrame:
+def join_scan(docs: DataFrame, grams: DataFrame, n: int, sizes: list[int] | None = None) -> DataFrame:
     """The same passages where the seeds are too many for a task: a shuffled join on the n-gram.
 
     N-grams that a filter of fixed size knows to be no seeds stay where they are.
@@ -179,7 +193,7 @@ def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int, sizes: list
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
     hit = T.StructType([T.StructField("doc_id", docs.schema["doc_id"].dataType), *T.StructType.fromDDL("version long, pos int, gram string").fields])
     schema = T.StructType([hit.fields[0], *T.StructType.fromDDL(PASSAGE).fields])
-    seeds = grams.select("gram").distinct()
+    seeds = grams.groupBy("gram").agg(F.max("reach").alias("reach"))
     shared = docs.sparkSession.sparkContext.broadcast(bloom(seeds.select(F.xxhash64("gram").alias("hash")), "hash"))
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,10 +208,10 @@ def join_scan(docs: DataFrame, grams: DataFrame, reach: int, n: int, sizes: list
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(row, *p) for row, (text, at) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)) for p in _cut(words_of(text), [(x["pos"], x["gram"]) for x in at], reach, n)]
+            rows = [(row, *p) for row, (text, at) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)) for p in _cut_each(words_of(text), [(x["pos"], x["gram"]) for x in at], {x["gram"]: x["reach"] for x in at}.__getitem__, n)]
             yield _emit(batch.column(0), rows, schema.names)
 
-    hits = keyed.mapInArrow(split, hit).join(seeds, "gram").groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("pos", "gram"))).alias("at"))
+    hits = keyed.mapInArrow(split, hit).join(seeds, "gram").groupBy("doc_id", "version").agg(F.sort_array(F.collect_set(F.struct("pos", "gram", "reach"))).alias("at"))
     same = hits["doc_id"].eqNullSafe(keyed["doc_id"]) & (hits["version"] == keyed["version"])
     return keyed.join(hits, same).select(keyed["doc_id"], "text", "at").mapInArrow(cut, schema)
 
@@ -206,7 +220,7 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = L
     """``(doc_id, item_id, score, start, end)``: passages of ``docs`` that hold a test item, edited or not.
 
     ``docs(doc_id, text)`` and ``items(item_id, text)``. A passage and an item that
-    share a rare n-gram are aligned; from a score of ``least`` (a share of the whole
+    share a rare n-gram are aligned, in as many words around it as that item is long; from a score of ``least`` (a share of the whole
     item) on they are reported, with the words of the document that the alignment
     covers. The best passage is kept for a document and item. Up to ``index_limit``
     n-grams of items are looked up inside the scan; more go through a shuffled
@@ -217,17 +231,16 @@ def contaminated(docs: DataFrame, items: DataFrame, n: int = N, least: float = L
     words and seeds; an empty table on either side gives an empty result.
     """
     items, docs = written(item_words(items), "items"), docs.select("doc_id", "text")
-    size = items.agg(F.sum(F.greatest(F.size("words") - n + 1, F.lit(1))).alias("grams"), F.max(F.size("words")).alias("longest"), F.collect_set(F.least(F.size("words"), F.lit(n))).alias("sizes")).first()
+    size = items.agg(F.sum(F.greatest(F.size("words") - n + 1, F.lit(1))).alias("grams"), F.collect_set(F.least(F.size("words"), F.lit(n))).alias("sizes")).first()
     small = (size["grams"] or 0) <= index_limit
     vocabulary = {r["word"] for r in items.select(F.explode("words").alias("word")).distinct().collect()} if small else None
-    seeds = written(rare_seeds(items, docs, n, vocabulary), "seeds")
-    reach = (size["longest"] or 0) + n
+    seeds = written(with_reach(rare_seeds(items, docs, n, vocabulary), items, n), "seeds")
     if small and (len(vocabulary or ()) + 1) ** n < 1 << 63:
-        found = scan(docs, [r["gram"] for r in seeds.select("gram").distinct().collect()], reach, n)
+        found = scan(docs, {r["gram"]: r["reach"] for r in seeds.groupBy("gram").agg(F.max("reach").alias("reach")).collect()}, n)
     else:
-        found = join_scan(docs, seeds, reach, n, sorted(k for k in size["sizes"] if k))
+        found = join_scan(docs, seeds, n, sorted(k for k in size["sizes"] if k))
     passages = written(found.withColumn("key", F.xxhash64("doc_id", "start", "passage")), "passages")
-    pairs = passages.select("key", F.explode("grams").alias("gram")).join(seeds, "gram").select("key", "item_id").distinct()
+    pairs = passages.select("key", F.explode("grams").alias("gram")).join(seeds.select("gram", "item_id"), "gram").select("key", "item_id").distinct()
     both = pairs.join(passages.dropDuplicates(["key"]), "key").join(items, "item_id").select("doc_id", "item_id", "start", "passage", "words")
     schema = T.StructType([both.schema["doc_id"], both.schema["item_id"], *T.StructType.fromDDL("score double, start int, end int").fields])
 

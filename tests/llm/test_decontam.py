@@ -89,3 +89,12 @@ def test_query_finds_every_whole_item(spark):
     items = {r["item_id"]: " ".join(words_of(r["text"])) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
     assert found >= {(d, i) for d, t in docs.items() for i, x in items.items() if f" {x} " in f" {t} "}
     assert found
+
+
+def test_each_item_reaches_as_far_as_it_is_long():
+    """A long item doesn't make the passages of short ones long."""
+    from spanloom.llm.decontam import _cut_each
+
+    words = [f"w{k}" for k in range(10_000)]
+    found = _cut_each(words, [(5000, "short one here"), (5003, "long one here")], {"short one here": 16, "long one here": 4096}.__getitem__, 3)
+    assert sorted((start, len(text.split(" ")), grams) for start, text, grams in found) == [(907, 8195, ["long one here"]), (4984, 35, ["short one here"])]
