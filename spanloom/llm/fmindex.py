@@ -92,29 +92,27 @@ class FMIndex:
         ``codes`` holds the texts, which end at ``ends``. A text's search is extended
         by the word before it; from ``depth`` words on, the marked interval around it
         lets go of the last word, so a text costs one step a word as long as it goes
-        on matching. The windows of a text whose search breaks off are searched one by
-        one. Returns where windows of ``depth`` words start that the index holds, and
-        the marked interval of each.
+        on matching. Where it breaks off, no window holds the words that it would have
+        matched, so it begins again one word before their end, and is over once
+        fewer than ``depth`` words are left. Returns where windows of ``depth`` words
+        start that the index holds, and the marked interval of each.
         """
-        low, high = np.zeros(len(ends), dtype=np.int64), np.full(len(ends), len(self.order), dtype=np.int64)
-        whole_text, at = np.ones(len(ends), dtype=bool), []
-        for step in range(1, int(lengths.max(initial=0)) + 1):
-            live = np.flatnonzero((lengths >= step) & whole_text)
-            low[live], high[live] = self.extend(codes[ends[live] - step], low[live], high[live])
-            broken = low[live] >= high[live]
-            whole_text[live[broken]] = False
-            live = live[~broken]
-            if step >= self.depth:
-                group = self.marks.rank(low[live] + 1) - 1
-                low[live], high[live] = self.starts[group], self.stops[group]
-                at.append(np.stack([live, ends[live] - step, group]))
-        hits = np.concatenate(at, axis=1) if at else np.zeros((3, 0), dtype=np.int64)
-        hits = hits[1:, whole_text[hits[0]]]
-        rest = np.flatnonzero(~whole_text & (lengths >= self.depth))
-        starts = np.concatenate([np.zeros(0, dtype=np.int64), *[np.arange(ends[t] - lengths[t], ends[t] - self.depth + 1) for t in rest]])
-        low, high = np.zeros(len(starts), dtype=np.int64), np.full(len(starts), len(self.order), dtype=np.int64)
-        for step in range(self.depth - 1, -1, -1):
-            low, high = self.extend(codes[starts + step], low, high)
-            starts, low, high = starts[low < high], low[low < high], high[low < high]
-        hits = np.concatenate([hits, np.stack([starts, self.marks.rank(low + 1) - 1])], axis=1)
-        return hits[0], hits[1]
+        live = np.flatnonzero(lengths >= self.depth)
+        begin, stop = (ends - lengths)[live], ends[live].copy()
+        place, low, high = stop.copy(), np.zeros(len(live), dtype=np.int64), np.full(len(live), len(self.order), dtype=np.int64)
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(place):
+            low, high = self.extend(codes[place - 1], low, high)
+            broken = low >= high
+            place = place - ~broken
+            full = np.flatnonzero(~broken & (stop - place >= self.depth))
+            if len(full):
+                group = self.marks.rank(low[full] + 1) - 1
+                low[full], high[full] = self.starts[group], self.stops[group]
+                found.append((place[full], group))
+            stop = np.where(broken, np.minimum(stop, place + self.depth) - 1, stop)
+            place, low, high = np.where(broken, stop, place), np.where(broken, 0, low), np.where(broken, len(self.order), high)
+            left = (place > begin) & (stop - begin >= self.depth)
+            begin, stop, place, low, high = (x[left] for x in (begin, stop, place, low, high))
+        none = np.zeros(0, dtype=np.int64)
+        return np.concatenate([none, *(a for a, _ in found)]), np.concatenate([none, *(g for _, g in found)])

@@ -91,30 +91,66 @@ def _segments(touched: DataFrame, window: int) -> DataFrame:
     return touched.select("id", "version", "text", "runs").mapInArrow(cut, schema)
 
 
+def _turns(parts: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Which parts are indexed, and which are streamed through that index, so that each part meets all earlier ones of its key.
+
+    Parts of a key are numbered by ``(id, first)``. Of two, the earlier one has a 0 where their numbers first differ in
+    binary, so a turn for each bit does, and no part is streamed through an index that holds it. Parts of one id need not
+    be in the order of their windows (an id may have several versions), so those also meet the other way round.
+    """
+    order = np.lexsort((parts["first"], parts["id"], parts["key"]))
+    key, id_ = parts["key"].to_numpy()[order], parts["id"].to_numpy()[order]
+    new = np.concatenate([[True], key[1:] != key[:-1]])
+    starts = np.flatnonzero(new)
+    sizes = np.diff(np.append(starts, len(parts)))
+    number, most = np.zeros(len(parts), dtype=np.int64), np.zeros(len(parts), dtype=np.int64)
+    number[order] = np.arange(len(parts)) - np.repeat(starts, sizes)
+    most[order] = np.repeat(sizes - 1, sizes)
+    again = ~new & np.concatenate([[False], id_[1:] == id_[:-1]])
+    shared = np.zeros(len(parts), dtype=bool)
+    shared[order] = again | np.append(again[1:], False)
+    for bit in range(int(most.max(initial=0)).bit_length()):
+        late = number >> bit & 1 == 1
+        early = ~late & ((number >> bit | 1) << bit <= most)
+        yield np.flatnonzero(early), np.flatnonzero(late)
+        if (late & shared).any() and (early & shared).any():
+            yield np.flatnonzero(late & shared), np.flatnonzero(early & shared)
+
+
+def _laid(codes: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts of ``chosen`` one after another, each ended by a 0; where each ends; their lengths."""
+    lengths = np.array([len(codes[k]) for k in chosen], dtype=np.int64)
+    ends = np.cumsum(lengths + 1) - 1
+    flat = np.zeros(int(lengths.sum()) + len(chosen), dtype=np.int64)
+    for k, e, n in zip(chosen.tolist(), ends.tolist(), lengths.tolist(), strict=True):
+        flat[e - n : e] = codes[k]
+    return flat, ends, lengths
+
+
 def earliest(parts: pd.DataFrame, window: int) -> pd.DataFrame:
-    """Index a shard's passages, stream them through it, and report windows that also start earlier.
+    """Stream a shard's passages through indexes of others, and tell where each of their windows starts first.
 
     ``parts(key, part, id, first, n, words)``; the result has, for each part, the
-    smallest ``(id, place)`` at which each of its windows starts in any part.
+    smallest ``(id, place)`` at which each of its windows starts in any part: its own
+    unless the search finds the window in another. See ``_turns`` for which parts an
+    index holds.
     """
-    texts = [w.split() for w in parts["words"]]
-    lengths = np.array([len(t) for t in texts], dtype=np.int64)
     code: dict[bytes, int] = {}
-    flat = np.zeros(int(lengths.sum()) + len(texts), dtype=np.int64)
-    ends = np.cumsum(lengths + 1) - 1
-    for t, e, n in zip(texts, ends.tolist(), lengths.tolist(), strict=True):
-        flat[e - n : e] = [code.setdefault(w, len(code) + 1) for w in t]
-    index = FMIndex(flat, window)
+    codes = [np.array([code.setdefault(w, len(code) + 1) for w in text.split()], dtype=np.int64) for text in parts["words"]]
     ids, ranked = np.unique(parts["id"].to_numpy(), return_inverse=True)
-    owner = np.repeat(np.arange(len(texts)), lengths + 1)
-    offset = np.arange(len(flat)) - (ends - lengths)[owner]
-    when = (ranked[owner] << 32) + parts["first"].to_numpy().astype(np.int64)[owner] + offset
-    at, group = index.stream(flat, ends, lengths)
-    best = index.groups(when)[group]
-    order = np.argsort(at)
-    at, best = at[order], best[order]
-    cuts = np.searchsorted(owner[at], np.arange(1, len(texts)))
-    return pd.DataFrame({"key": parts["key"], "part": parts["part"], "ids": np.split(ids[best >> 32], cuts), "places": np.split((best & 0xFFFFFFFF).astype(np.int32), cuts)})
+    own = (ranked.astype(np.int64) << 32) + parts["first"].to_numpy().astype(np.int64)
+    cuts = np.concatenate([[0], np.cumsum([len(c) - window + 1 for c in codes])]).astype(np.int64)
+    best = np.repeat(own - cuts[:-1], np.diff(cuts)) + np.arange(cuts[-1])
+    for held, asking in _turns(parts):
+        flat, ends, lengths = _laid(codes, held)
+        index = FMIndex(flat, window)
+        least = index.groups(np.repeat(own[held] - (ends - lengths), lengths + 1) + np.arange(len(flat)))
+        flat, ends, lengths = _laid(codes, asking)
+        at, group = index.stream(flat, ends, lengths)
+        text = np.searchsorted(ends, at)
+        window_at = cuts[asking[text]] + at - (ends - lengths)[text]
+        best[window_at] = np.minimum(best[window_at], least[group])
+    return pd.DataFrame({"key": parts["key"], "part": parts["part"], "ids": np.split(ids[best >> 32], cuts[1:-1]), "places": np.split((best & 0xFFFFFFFF).astype(np.int32), cuts[1:-1])})
 
 
 def repeated_passages(docs: DataFrame, window: int = WINDOW, shard_words: int = SHARD_WORDS, hot: int = HOT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -127,9 +163,9 @@ def repeated_passages(docs: DataFrame, window: int = WINDOW, shard_words: int =
 
     Equal texts, those of one 128-bit hash, enter once. Texts that share no anchor with another, and hold none
     twice, can't hold a repeated window and aren't indexed. The rest is cut into
-    passages around repeated anchors; passages of one anchor go to one shard, where
-    an FM-index over their distinct contents is built and each is streamed through
-    it. A shard holds about ``shard_words`` words; passages around anchors that
+    passages around repeated anchors; passages of one anchor go to one shard. There
+    each distinct content is streamed through FM-indexes of the earlier ones of its
+    anchor, which tell the windows that start earlier. A shard holds about ``shard_words`` words; passages around anchors that
     occur ``hot`` times or more are spread by their content instead.
 
     Null texts have no words; null ids come last; rows that share an id are one

@@ -2,9 +2,10 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 
 from spanloom.llm.fmindex import FMIndex, WaveletMatrix
-from spanloom.llm.substrings import anchors, kept_words, op5_substrings, repeated_passages
+from spanloom.llm.substrings import _turns, anchors, earliest, kept_words, op5_substrings, repeated_passages
 
 SCHEMA = "doc_id long, text string, version string, runs long, shard int"
 
@@ -95,6 +96,67 @@ def test_equal_windows_have_equal_anchors():
     assert [of(a)[40 + k] for k in range(11)] == [of(b)[k] for k in range(11)]
 
 
+def passages():
+    """Passages of several keys: those of one key share what is around their anchor, further or less far."""
+    rnd = random.Random(5)
+    rows = []
+    for key in range(12):
+        middle = [f"m{key}_{k}" for k in range(30)]
+        for part in range(rnd.choice([1, 2, 3, 9, 40])):
+            a, b = rnd.randrange(12), rnd.randrange(18, 31)
+            words = [f"x{rnd.randrange(5)}" for _ in range(rnd.randrange(4))] + middle[a:b] + [f"y{rnd.randrange(5)}" for _ in range(rnd.randrange(4))]
+            if len(words) >= 20:
+                rows.append((key, part, rnd.randrange(60), rnd.randrange(200), len(words) - 19, " ".join(words).encode()))
+    return pd.DataFrame(rows, columns=["key", "part", "id", "first", "n", "words"])
+
+
+def own_places(parts):
+    return [[(i, f + k) for k in range(n)] for i, f, n in zip(parts["id"], parts["first"], parts["n"], strict=True)]
+
+
+def test_search_finds_the_earliest_start_of_every_window():
+    parts = passages()
+    windows = [[tuple(w.split()[k : k + 20]) for k in range(n)] for w, n in zip(parts["words"], parts["n"], strict=True)]
+    least = {}
+    for mine, places in zip(windows, own_places(parts), strict=True):
+        for w, at in zip(mine, places, strict=True):
+            least[w] = min(at, least.get(w, at))
+    found = earliest(parts, 20)
+    # a window that starts earlier names a place before its own, if not always the very first
+    for mine, places, ids, at in zip(windows, own_places(parts), found["ids"], found["places"], strict=True):
+        for w, own, got in zip(mine, places, zip(ids.tolist(), at.tolist(), strict=True), strict=True):
+            assert (got < own) == (least[w] < own) and least[w] <= got <= own
+    assert any(g != o for g, o in zip([list(zip(i.tolist(), p.tolist(), strict=True)) for i, p in zip(found["ids"], found["places"], strict=True)], own_places(parts), strict=True))
+
+
+def test_without_the_search_no_window_is_found(monkeypatch):
+    parts = passages()
+    monkeypatch.setattr(FMIndex, "stream", lambda *_: (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)))
+    found = earliest(parts, 20)
+    assert [list(zip(i.tolist(), p.tolist(), strict=True)) for i, p in zip(found["ids"], found["places"], strict=True)] == own_places(parts)
+
+
+def test_no_passage_is_streamed_through_an_index_that_holds_it():
+    parts = passages()
+    met = set()
+    for held, asking in _turns(parts):
+        assert not set(held.tolist()) & set(asking.tolist())
+        met |= {(int(h), int(a)) for h in held for a in asking}
+    rows = list(zip(parts["key"], parts["id"], parts["first"], strict=True))
+    for a, x in enumerate(rows):
+        for b, y in enumerate(rows):
+            if a != b and x[0] == y[0]:
+                assert x >= y or (a, b) in met
+                assert x[1] != y[1] or (a, b) in met
+
+
+def test_versions_of_one_id_are_searched_both_ways(spark):
+    shared = " ".join(f"s{k}" for k in range(20))
+    rows = [(5, " ".join(f"a{k}" for k in range(4)) + " " + shared, "x", 1, 2), (5, "b0 " + shared, "x", 1, 2), (5, shared + " c0", "x", 1, 2)]
+    counts = sorted((r["n_words"], r["n_removed"]) for r in kept_words(repeated_passages(spark.createDataFrame(rows, SCHEMA))).collect())
+    assert counts == [(21, 0), (21, 20), (24, 20)]
+
+
 def test_odd_tables(spark):
     assert kept_words(repeated_passages(spark.createDataFrame([], SCHEMA))).count() == 0
     text = " ".join(f"w{k}" for k in range(30))
