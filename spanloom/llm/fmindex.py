@@ -30,41 +30,49 @@ class WaveletMatrix:
             ones = (codes >> shift) & 1 == 1
             self.levels.append((shift, Bits(ones), int(len(codes) - ones.sum())))
             codes = np.concatenate([codes[~ones], codes[ones]])
+        every = np.arange(1 << len(self.levels), dtype=np.int64)
+        self.bottom = self._down(every, np.zeros_like(every))
+
+    def _down(self, code: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Where places of the sequence come to lie on the lowest level, if each ``code`` leads the way."""
+        for shift, bits, zeros in self.levels:
+            ranked = bits.rank(at)
+            at = np.where((code >> shift) & 1 == 1, zeros + ranked, at - ranked)
+        return at
 
     def narrow(self, code: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Where each ``code`` starts on the lowest level, and how many of it come before ``low`` and ``high``."""
-        first = np.zeros_like(low)
-        for shift, bits, zeros in self.levels:
-            one = (code >> shift) & 1 == 1
-            first, low, high = (np.where(one, zeros + ranked, x - ranked) for x, ranked in ((first, bits.rank(first)), (low, bits.rank(low)), (high, bits.rank(high))))
-        return first, low - first, high - first
+        first, ends = self.bottom[code], self._down(np.concatenate([code, code]), np.concatenate([low, high]))
+        return first, ends[: len(low)] - first, ends[len(low) :] - first
 
 
 class FMIndex:
     """Index of texts of word codes (1 and up; 0 ends a text), for searches of ``depth`` words.
 
-    Suffixes are sorted by their first words up to a power of two above ``depth``,
-    which is as far as any search looks. Intervals of suffixes that share their
+    Suffixes are sorted by their first ``depth`` words, which is as far as any search
+    looks. Intervals of suffixes that share their
     first ``depth`` words are marked, so a search can let go of its last word.
     """
 
     def __init__(self, codes: np.ndarray, depth: int) -> None:
         self.depth, n = depth, len(codes)
-        ranks, length = {1: np.unique(codes, return_inverse=True)[1].astype(np.int64)}, 1
-        while length <= depth:
+        ranks, length = {1: codes}, 1
+        while 2 * length <= depth:
             ranks[2 * length] = self._joined(ranks[length], ranks[length], length)
             length *= 2
-        self.order = np.argsort(ranks[length], kind="stable")
-        self.matrix = WaveletMatrix(codes[self.order - 1])
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=int(codes.max(initial=0)) + 1))])
-        same, covered = np.zeros(n, dtype=np.int64), 0
+        same, covered = ranks[length], length
         for part in sorted(ranks, reverse=True):
             if part <= depth - covered:
                 same = self._joined(same, ranks[part], covered)
                 covered += part
+        self.order = np.argsort(same, kind="stable")
+        self.matrix = WaveletMatrix(codes[self.order - 1])
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(codes, minlength=int(codes.max(initial=0)) + 1))])
         shared = same[self.order]
         self.starts = np.flatnonzero(np.concatenate([[True], shared[1:] != shared[:-1]]))
-        self.marks = Bits(np.isin(np.arange(n), self.starts))
+        marked = np.zeros(n, dtype=bool)
+        marked[self.starts] = True
+        self.marks = Bits(marked)
         self.stops = np.append(self.starts[1:], n)
 
     @staticmethod

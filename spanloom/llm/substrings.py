@@ -117,14 +117,32 @@ def _turns(parts: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             yield np.flatnonzero(late & shared), np.flatnonzero(early & shared)
 
 
-def _laid(codes: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts of ``chosen`` one after another, each ended by a 0; where each ends; their lengths."""
+def _batches(turns: Iterator[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, most: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Turns that are searched at once: as many as hold ``most`` words together, and one at least."""
+    batch, words = [], 0
+    for turn in turns:
+        more = int(sizes[turn[0]].sum() + sizes[turn[1]].sum())
+        if batch and words + more > most:
+            yield batch
+            batch, words = [], 0
+        batch.append(turn)
+        words += more
+    if batch:
+        yield batch
+
+
+def _laid(codes: list[np.ndarray], turns: list[np.ndarray], n_codes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The chosen texts of every turn one after another, each ended by a 0; where each ends; their lengths.
+
+    Every turn has codes of its own, so one index serves them all and no search sees another turn's texts.
+    """
+    chosen, turn = np.concatenate(turns), np.repeat(np.arange(len(turns)), [len(t) for t in turns])
     lengths = np.array([len(codes[k]) for k in chosen], dtype=np.int64)
     ends = np.cumsum(lengths + 1) - 1
     flat = np.zeros(int(lengths.sum()) + len(chosen), dtype=np.int64)
-    for k, e, n in zip(chosen.tolist(), ends.tolist(), lengths.tolist(), strict=True):
-        flat[e - n : e] = codes[k]
-    return flat, ends, lengths
+    for k, e, n, t in zip(chosen.tolist(), ends.tolist(), lengths.tolist(), turn.tolist(), strict=True):
+        flat[e - n : e] = codes[k] + t * n_codes
+    return chosen, flat, ends, lengths
 
 
 def earliest(parts: pd.DataFrame, window: int) -> pd.DataFrame:
@@ -141,15 +159,15 @@ def earliest(parts: pd.DataFrame, window: int) -> pd.DataFrame:
     own = (ranked.astype(np.int64) << 32) + parts["first"].to_numpy().astype(np.int64)
     cuts = np.concatenate([[0], np.cumsum([len(c) - window + 1 for c in codes])]).astype(np.int64)
     best = np.repeat(own - cuts[:-1], np.diff(cuts)) + np.arange(cuts[-1])
-    for held, asking in _turns(parts):
-        flat, ends, lengths = _laid(codes, held)
+    sizes, most = np.diff(cuts) + window, 2 * int((np.diff(cuts) + window).sum())
+    for turns in _batches(_turns(parts), sizes, most):
+        held, flat, ends, lengths = _laid(codes, [h for h, _ in turns], len(code))
         index = FMIndex(flat, window)
         least = index.groups(np.repeat(own[held] - (ends - lengths), lengths + 1) + np.arange(len(flat)))
-        flat, ends, lengths = _laid(codes, asking)
+        asking, flat, ends, lengths = _laid(codes, [a for _, a in turns], len(code))
         at, group = index.stream(flat, ends, lengths)
         text = np.searchsorted(ends, at)
-        window_at = cuts[asking[text]] + at - (ends - lengths)[text]
-        best[window_at] = np.minimum(best[window_at], least[group])
+        np.minimum.at(best, cuts[asking[text]] + at - (ends - lengths)[text], least[group])
     return pd.DataFrame({"key": parts["key"], "part": parts["part"], "ids": np.split(ids[best >> 32], cuts[1:-1]), "places": np.split((best & 0xFFFFFFFF).astype(np.int32), cuts[1:-1])})
 
 
