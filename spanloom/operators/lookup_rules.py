@@ -14,34 +14,42 @@ ANNOUNCE = r"^(?:[Aa]ls|[Zz]uvor|[Vv]orher|[Ww]ar|[Ee]hemalige[rn]?|[Ff]rühere[
 LEADS, ARTICLES = ("bei", "im", "für", "in"), ("der", "einer", "einem", "eine")
 
 
-def over(words: DataFrame, spans: DataFrame, labels: dict[str, Column], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``words`` with a boolean column for each label: whether a span for which it holds is over the token.
+def over_all(words: DataFrame, tables: list[tuple[DataFrame, dict[str, Column]]], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``words`` with a boolean column for each label of each table of spans: whether a span for which it holds is over the token.
 
     Spans are put out by the numbers of the tokens that they begin and end at, so
     tokens meet them by equality, not by comparing all with all: each span adds one
     where it begins and takes one away behind its end, and running sums say how
-    many are open at a token.
+    many are open at a token. All tables go through one shuffle and one sort.
     """
-    marked = spans.select(*keys, "start", "end", *[F.coalesce(c, F.lit(False)).cast("int").alias(n) for n, c in labels.items()])
-    opens = marked.select(*keys, F.col("start").alias("at"), *labels)
-    closes = marked.select(*keys, F.col("end").alias("at"), *[(-F.col(n)).alias(n) for n in labels])
-    none = [F.lit(0).alias(n) for n in labels]
-    events = words.select(*keys, F.col("start").alias("at"), F.lit(1).alias("_tok"), *none, F.struct(*[c for c in words.columns if c not in keys]).alias("_w"))
-    moved = opens.unionByName(closes).withColumn("_tok", F.lit(0)).withColumn("_w", F.lit(None).cast(events.schema["_w"].dataType))
+    names = [n for _, labels in tables for n in labels]
+    events = words.select(*keys, F.col("start").alias("at"), F.lit(1).alias("_tok"), *[F.lit(0).alias(n) for n in names], F.struct(*[c for c in words.columns if c not in keys]).alias("_w"))
+    none = F.lit(None).cast(events.schema["_w"].dataType).alias("_w")
+    for spans, labels in tables:
+        marks = {n: F.coalesce(c, F.lit(False)).cast("int") for n, c in labels.items()}
+        for at, sign in (("start", 1), ("end", -1)):
+            events = events.unionByName(spans.select(*keys, F.col(at).alias("at"), F.lit(0).alias("_tok"), *[(marks[n] * sign if n in marks else F.lit(0)).alias(n) for n in names], none))
     before = Window.partitionBy(*keys).orderBy("at", "_tok").rowsBetween(Window.unboundedPreceding, 0)
-    summed = events.unionByName(moved).select(*keys, "_tok", "_w", *[(F.sum(n).over(before) > 0).alias(n) for n in labels])
-    return summed.where("_tok = 1").select(*keys, "_w.*", *labels)
+    summed = events.select(*keys, "_tok", "_w", *[(F.sum(n).over(before) > 0).alias(n) for n in names])
+    return summed.where("_tok = 1").select(*keys, "_w.*", *names)
+
 
+def over(words: DataFrame, spans: DataFrame, labels: dict[str, Column], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``over_all`` with one table of spans."""
+    return over_all(words, [(spans, labels)], keys)
 
-def coded(words: DataFrame, code: Column, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``(keys, codes, starts, ends)``: the tokens of a text as a string of class letters."""
-    rows = F.array_sort(F.collect_list(F.struct("tok_idx", code.alias("code"), "start", "end")))
-    return words.groupBy(*keys).agg(rows.alias("r")).select(*keys, F.array_join("r.code", "").alias("codes"), F.col("r.start").alias("starts"), F.col("r.end").alias("ends"))
 
+def in_characters(words: DataFrame, codes: dict[str, Column], phases: list[tuple[str, list[Rule]]], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``(keys, start, end, type, subtype, rule)`` of phases over the tokens of a text as strings of class letters.
 
-def in_characters(texts: DataFrame, rules: list[Rule], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``(keys, start, end, type, subtype, rule)`` of a phase over coded texts."""
-    found = with_phase(texts, rules, "found", "codes").select(*keys, "starts", "ends", F.explode("found").alias("a"))
+    ``phases`` say which of the strings each runs over. A text's tokens are put
+    together once, and all phases run within its row.
+    """
+    row = F.array_sort(F.collect_list(F.struct("tok_idx", "start", "end", *[c.alias(n) for n, c in codes.items()])))
+    texts = words.groupBy(*keys).agg(row.alias("r")).select(*keys, *[F.array_join(f"r.{n}", "").alias(n) for n in codes], F.col("r.start").alias("starts"), F.col("r.end").alias("ends"))
+    for k, (name, rules) in enumerate(phases):
+        texts = with_phase(texts, rules, f"_found{k}", name)
+    found = texts.select(*keys, "starts", "ends", F.explode_outer(F.concat(*[F.col(f"_found{k}") for k in range(len(phases))])).alias("a")).where("a is not null")
     return found.select(*keys, F.get("starts", F.col("a.start")).alias("start"), F.get("ends", F.col("a.end") - 1).alias("end"), "a.type", "a.subtype", "a.rule")
 
 
@@ -51,11 +59,11 @@ def _flagged(words: DataFrame, hits: DataFrame, contexts: DataFrame | None, foun
         "_occ": (major == "occupation") & (minor != "employer"), "_emp": (major == "occupation") & (minor == "employer"), "_city": (major == "location") & (minor == "city"), "_street": (major == "location") & (minor == "street"),
         "_canton": (major == "location") & (minor == "cantons_abbrevs"), "_first": minor.contains("firstname"), "_often": minor.contains("firstname") & (F.col("language") == "frequent"), "_stop": major == "stop", "_general": major == "general",
     }
-    out = over(words, hits, labels, keys)
-    kinds = {"_anamnesis": "AnamnesisField", "_occupation": "OccupationContext", "_named": "NameContext"}
-    out = over(out, contexts, {n: F.col("context") == k for n, k in kinds.items()}, keys) if contexts is not None else out.withColumns(dict.fromkeys(kinds, F.lit(False)))
-    types = {"_place": "Location", "_name": "Name"}
-    return over(out, found, {n: F.col("type") == k for n, k in types.items()}, keys) if found is not None else out.withColumns(dict.fromkeys(types, F.lit(False)))
+    kinds = {n: F.col("context") == k for n, k in {"_anamnesis": "AnamnesisField", "_occupation": "OccupationContext", "_named": "NameContext"}.items()}
+    types = {n: F.col("type") == k for n, k in {"_place": "Location", "_name": "Name"}.items()}
+    given = [(spans, marks) for spans, marks in ((hits, labels), (contexts, kinds), (found, types)) if spans is not None]
+    missing = [n for spans, marks in ((contexts, kinds), (found, types)) if spans is None for n in marks]
+    return over_all(words, given, keys).withColumns(dict.fromkeys(missing, F.lit(False)))
 
 
 def lookup_annotations(words: DataFrame, hits: DataFrame, contexts: DataFrame | None = None, found: DataFrame | None = None, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -71,13 +79,8 @@ def lookup_annotations(words: DataFrame, hits: DataFrame, contexts: DataFrame |
     work = F.coalesce(anamnesis, F.when(F.col("_occ") | F.col("_emp"), "o").when(s.rlike(ANNOUNCE), "a").when(s.rlike("^[Ss]eit$"), "s").when(s.isin(*LEADS), "b").when(s.isin(*ARTICLES), "e"), mark, F.when(F.col("orth") == "upperInitial", "C").otherwise("l"))
     place = F.coalesce(F.when(F.col("_canton"), "K").when(F.col("_city") & (s != "Gross"), "Y").when(F.col("_street"), "T").when(s.rlike("^[1-9][0-9]{3}$"), "Z").when(s.rlike("^[1-9][0-9]{0,2}$"), "n").when(s == "CH", "c").when(F.col("_place"), "P").when(F.col("_name"), "M").when(s.rlike("^[A-Za-z]$"), "i"), mark, F.lit("l"))
     name = F.when(F.col("_named") & F.col("_first") & ~F.col("_stop") & (F.col("_often") | ~F.col("_general")) & (s != "Enkel"), "X").otherwise("l")
-    out = None
-    for code, phases in ((work, (r.OCCUPATIONS, r.OCCUPATION_STARTS)), (place, (r.CITIES, r.ZIPS, r.STREETS, r.CANTONS)), (name, (r.NAMES_IN_CONTEXT,))):
-        texts = coded(t, code, keys)
-        for rules in phases:
-            more = in_characters(texts, rules, keys)
-            out = more if out is None else out.unionByName(more)
-    return out
+    phases = {"work": (r.OCCUPATIONS, r.OCCUPATION_STARTS), "place": (r.CITIES, r.ZIPS, r.STREETS, r.CANTONS), "name": (r.NAMES_IN_CONTEXT,)}
+    return in_characters(t, {"work": work, "place": place, "name": name}, [(code, rules) for code, of_code in phases.items() for rules in of_code], keys)
 
 
 #: What a pseudonymised field can hold in place of a value, and words before Zug that don't make it a train.

@@ -461,6 +461,15 @@ def looked_up(spark, docs):
     return words, lexicon.text_lookups(docs, lexicon.read_lexicon(spark.createDataFrame(t.LOOKUP_LEXICON, "term string, major string, minor string, language string")))
 
 
+def with_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """``spans`` with their texts.
+
+    The join is shuffled: texts are exploded from templates, which Spark's
+    estimate from the file's size leaves out, so it would broadcast them all.
+    """
+    return docs.hint("merge").join(spans, "doc_id").select("doc_id", "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+
+
 @register("q_rule_lookups", t.expected_sql("customer", "c_custkey", [c[1] for c in t.LOOKUPS]))
 def _(spark, sf):
     docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", [c[1] for c in t.LOOKUPS])
@@ -468,8 +477,7 @@ def _(spark, sf):
     kinds = F.array(*[F.array(*[F.lit(k) for k in c[0]]).cast("array<string>") for c in t.LOOKUPS])
     where = docs.select("doc_id", F.lit(0).alias("start"), F.length("text").alias("end"), F.explode(F.get(kinds, (F.col("doc_id") % 100).cast("int"))).alias("context"))
     found = annotate(docs, {"Names": others.NAMES, "Locations": others.LOCATIONS})
-    spans = lookup_rules.lookup_annotations(words, hits, where, found).select("doc_id", "start", "end", "type", "subtype").distinct()
-    return docs.join(spans, "doc_id").select("doc_id", "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+    return with_texts(docs, lookup_rules.lookup_annotations(words, hits, where, found).select("doc_id", "start", "end", "type", "subtype").distinct())
 
 
 @register("q_rule_traps", t.expected_sql("customer", "c_custkey", t.TRAPS))
