@@ -491,8 +491,7 @@ def _(spark, sf):
 @register("q_rule_names_by_lexicon", t.expected_sql("customer", "c_custkey", t.LEXICON_NAMES))
 def _(spark, sf):
     docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.LEXICON_NAMES)
-    spans = name_annotations(*looked_up(spark, docs)).select("doc_id", "start", "end", "type", "subtype")
-    return docs.join(spans, "doc_id").select("doc_id", "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+    return with_texts(docs, name_annotations(*looked_up(spark, docs)).select("doc_id", "start", "end", "type", "subtype"))
 
 
 # --- fields -------------------------------------------------------------------

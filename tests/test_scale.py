@@ -13,3 +13,7 @@ def test_lookups_send_no_texts_and_code_tokens_once(spark):
     found = plan(QUERIES["q_rule_lookups"](spark, SF))
     assert "BuildLeft" not in found
     assert found.count("ArrowEvalPython") <= 2
+
+
+def test_names_by_lexicon_send_no_texts(spark):
+    assert "BuildLeft" not in plan(QUERIES["q_rule_names_by_lexicon"](spark, SF))
