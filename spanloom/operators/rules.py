@@ -100,28 +100,37 @@ def _running(lengths: str) -> str:
     return _let(lengths, "ls", f"if(size(ls) <= {BLOCK}, {_sums('ls', '0')}, {_let(_blocks('ls'), 'bs', long)})")
 
 
+#: Marks around a match and between its groups: noncharacters, which no text for interchange holds. A text that does holds OTHER in their place while it is searched.
+EDGE, BORDER, OTHER = "\ufdd0", "\ufdd1", "\ufdd2"
+
+
+def _marked(text: str, rule: Rule) -> str:
+    """The text with its matches marked, each as the whole and its groups: one pass gives places and groups."""
+    return f"regexp_replace({text}, {quoted(rule.pattern)}, {quoted(EDGE + BORDER.join(f'${k}' for k in range(rule.groups + 1)) + EDGE)})"
+
+
 def _spans(text: str, rule: Rule, number: int) -> str:
-    """The matches of one rule, which are in the column ``_m<number>``, as spans with what they would emit.
+    """The matches of one rule, which are marked in the column ``_m<number>``, as spans with what they would emit.
 
     A text is what lies between the matches and the matches in turn, so offsets are
     running sums of lengths; a group's place follows from those before it.
     """
-    whole, pattern = f"_m{number}", quoted(rule.pattern)
-    between = f"zip_with(slice(split({text}, {pattern}, -1), 1, size({whole})), concat(array(''), {whole}), (b, m) -> length(coalesce(b, '')) + length(coalesce(m, '')))"
-    groups = [f"regexp_extract_all({text}, {pattern}, {k})" for k in range(1, rule.groups + 1)]
-    zipped = f"arrays_zip({', '.join([f'slice({_running(between)}, 2, size({whole}))', whole, *groups])})"
-    start, group = "m.`0`", lambda g: f"m.`{g + 1}`"
-    length = lambda g: f"length(coalesce({group(g)}, ''))"
+    starts = f"if(size(ms) = 1, array(length(ps[0])), slice({_running('transform(ms, (m, i) -> length(ps[2 * i]) + if(i = 0, 0, length(ms[i - 1][0])))')}, 2, size(ms)))"
+    group, length = lambda g: f"m[{g}]", lambda g: f"length(m[{g}])"
 
     def emit(g: int, kind: str, subtype: str) -> str:
-        at = " + ".join([start, *[length(k) for k in range(1, g)]])
+        at = " + ".join(["at", *[length(k) for k in range(1, g)]])
+        whole = lambda g, at: f"if(_own, substring(`{text}`, {at} + 1, {length(g)}), {group(g)})"
         partner = next((x for x, *_ in rule.emits if x != g), None)
-        made = {"start": at, "end": f"{at} + {length(g)}", "type": quoted(kind), "subtype": quoted(subtype), "rule": quoted(rule.name), "text": group(g), "other": "cast(null as string)" if partner is None else group(partner), "action": quoted(rule.action)}
+        of_partner = "cast(null as string)" if partner is None else whole(partner, " + ".join(["at", *[length(k) for k in range(1, partner)]]))
+        made = {"start": at, "end": f"{at} + {length(g)}", "type": quoted(kind), "subtype": quoted(subtype), "rule": quoted(rule.name), "text": whole(g, at), "other": of_partner, "action": quoted(rule.action)}
         return f"named_struct({', '.join(f"'{name}', {value}" for name, value in made.items())})"
 
     emits = f"filter(array({', '.join(emit(*e) for e in rule.emits)}), a -> a.end > a.start)" if rule.emits else "array()"
-    span = f"named_struct('start', {start}, 'end', {start} + length(m.{whole}), 'priority', {rule.priority}, 'rule_no', {number}, 'emits', cast({emits} as array<{ANNOTATION}>))"
-    return f"cast(transform(filter({zipped}, m -> m.{whole} is not null and m.`0` is not null), m -> {span}) as array<{SPAN}>)"
+    span = f"named_struct('start', at, 'end', at + length(m[0]), 'priority', {rule.priority}, 'rule_no', {number}, 'emits', cast({emits} as array<{ANNOTATION}>))"
+    cut = f"transform(filter(ps, (p, i) -> i % 2 = 1), p -> split(p, '{BORDER}', -1))"
+    found = _let(f"split(_m{number}, '{EDGE}', -1)", "ps", _let(cut, "ms", f"zip_with(ms, {starts}, (m, at) -> {span})"))
+    return f"cast({found} as array<{SPAN}>)"
 
 
 def _chosen(spans: str) -> str:
@@ -140,22 +149,24 @@ def _chosen(spans: str) -> str:
 def with_phase(rows: DataFrame, rules: list[Rule], out: str, text_col: str = "text", contexts_col: str | None = None) -> DataFrame:
     """``rows`` with the annotations of a phase, in order of their place, in the array column ``out``.
 
-    First each rule's matches are found, once a text. Offsets and groups follow
-    only where there are some, and the choice among them comes last: three
-    projections, so nothing is worked out twice. The expressions are written as SQL
+    First each rule's matches are found and marked, in one pass over the text.
+    Offsets and groups follow only where there are some, and the choice among them
+    comes last: projections of their own, so nothing is worked out twice. The expressions are written as SQL
     text: a phase of thirty rules is some thousand calls to the JVM otherwise.
     """
-    text, none = f"coalesce(`{text_col}`, '')", f"cast(array() as array<{SPAN}>)"
+    plain, none = f"coalesce(`{text_col}`, '')", f"cast(array() as array<{SPAN}>)"
+    own = f"(contains({plain}, '{EDGE}') or contains({plain}, '{BORDER}'))"
+    text = "_text"
 
     def found(rule: Rule) -> str:
         tried = [" or ".join(f"{text} rlike '[0-9]'" if x == DIGIT else f"contains({text}, {quoted(x)})" for x in rule.needs)] if rule.needs else []
         if rule.context is not None:
             tried.append(f"coalesce(array_contains(`{contexts_col}`, {quoted(rule.context)}), false)" if contexts_col else "false")
-        matched = f"regexp_extract_all({text}, {quoted(rule.pattern)}, 0)"
-        return f"if({' and '.join(f'({t})' for t in tried)}, {matched}, cast(array() as array<string>))" if tried else matched
+        return f"if({' and '.join(f'({t})' for t in [*tried, f'{text} rlike {quoted(rule.pattern)}'])}, {_marked(text, rule)}, null)"
 
-    seen = rows.select("*", *[F.expr(found(r)).alias(f"_m{k}") for k, r in enumerate(rules)])
-    each = [f"if(size(_m{k}) > 0, {_spans(text, r, k)}, {none})" for k, r in enumerate(rules)]
+    held = rows.select("*", F.expr(own).alias("_own"), F.expr(f"if({own}, translate({plain}, '{EDGE}{BORDER}', '{OTHER}{OTHER}'), {plain})").alias("_text"))
+    seen = held.select(*rows.columns, "_own", *[F.expr(found(r)).alias(f"_m{k}") for k, r in enumerate(rules)])
+    each = [f"if(_m{k} is not null, {_spans(text_col, r, k)}, {none})" for k, r in enumerate(rules)]
     spans = seen.select(*rows.columns, F.expr(f"concat({', '.join(each)})").alias("_spans"))
     emitted = f"flatten(transform({_chosen('_spans')}, c -> c.emits))"
     return spans.select(*rows.columns, F.expr(f"if(size(_spans) > 0, {emitted}, cast(array() as array<{ANNOTATION}>))").alias(out))
@@ -169,3 +180,24 @@ def annotate(rows: DataFrame, phases: dict[str, list[Rule]], text_col: str = "te
         seen = with_phase(seen, phases[name], column, text_col, contexts_col)
     tagged = [f"transform(`{column}`, a -> named_struct('phase', {quoted(name)}, {', '.join(f"'{c}', a.{c}" for c in FIELDS)}))" for column, name in names.items()]
     return seen.select(*keys, F.expr(f"explode_outer(concat({', '.join(tagged)}))").alias("a")).where("a is not null").select(*keys, "a.*")
+
+
+#: At most so many texts are annotated once for all rows that hold them; longer texts than this are not looked up.
+RECURRING, SHORT = 100_000, 256
+
+
+def annotate_recurring(rows: DataFrame, phases: dict[str, list[Rule]], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``annotate``, for many short texts of which many are equal, such as fields: a text that recurs is annotated once.
+
+    Texts are counted; those that make up 1 in RECURRING of all rows, so RECURRING
+    of them at most, are annotated and broadcast with their spans. Rows with any
+    other text are annotated by themselves.
+    """
+    seen = rows.select(*dict.fromkeys([*keys, "text"]))
+    least = max(2, -(-seen.count() // RECURRING))
+    often = seen.where(F.length("text") <= SHORT).groupBy("text").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("text")
+    spans = annotate(often.select("text", F.col("text").alias("_text_key")), phases, keys=("_text_key",))
+    known = often.join(spans.groupBy("_text_key").agg(F.collect_list(F.struct("phase", *FIELDS)).alias("_a")), often["text"] == F.col("_text_key"), "left").select(F.col("text").alias("_text_key"), "_a")
+    looked_up = seen.join(F.broadcast(known), F.col("text") == F.col("_text_key")).select(*keys, F.explode_outer("_a").alias("a")).where("a is not null").select(*keys, "a.*")
+    rest = seen.join(F.broadcast(known.select("_text_key")), F.col("text") == F.col("_text_key"), "left_anti")
+    return looked_up.unionByName(annotate(rest, phases, keys=keys))

@@ -16,10 +16,11 @@ from spanloom.operators import contexts, diagnosis, evaluate, features, fields,
 from spanloom.operators.actions import acted, with_features
 from spanloom.operators.names import name_annotations
 from spanloom.functions import spans as spans_fn
-from spanloom.operators.rules import RULE_ROW, Rule, annotate, rules_of
+from spanloom.operators.rules import RULE_ROW, Rule, annotate, annotate_recurring, rules_of
 from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, find_in_reports
 from spanloom.rulesets import dates, others
 from spanloom.sources import reports
+from spanloom.sources.spread import spread
 from spanloom.streaming.stream import windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -197,7 +198,7 @@ def _(spark, sf):
 def templated(name: str, table: str, key: str, templates: list, phases: dict[str, list[Rule]]) -> None:
     @register(name, t.expected_sql(table, key, templates))
     def _(spark, sf):
-        found = annotate(t.texts(spark, read(spark, sf, table), key, templates), phases)
+        found = annotate_recurring(t.texts(spark, read(spark, sf, table), key, templates), phases)
         return found.select("doc_id", "start", "end", "type", "subtype", "text")
 
 
@@ -476,7 +477,7 @@ def _(spark, sf):
     words, hits = looked_up(spark, docs)
     kinds = F.array(*[F.array(*[F.lit(k) for k in c[0]]).cast("array<string>") for c in t.LOOKUPS])
     where = docs.select("doc_id", F.lit(0).alias("start"), F.length("text").alias("end"), F.explode(F.get(kinds, (F.col("doc_id") % 100).cast("int"))).alias("context"))
-    found = annotate(docs, {"Names": others.NAMES, "Locations": others.LOCATIONS})
+    found = annotate_recurring(docs, {"Names": others.NAMES, "Locations": others.LOCATIONS})
     return with_texts(docs, lookup_rules.lookup_annotations(words, hits, where, found).select("doc_id", "start", "end", "type", "subtype").distinct())
 
 
@@ -497,8 +498,13 @@ def _(spark, sf):
 # --- fields -------------------------------------------------------------------
 
 
+def orders_with_customers(spark, sf):
+    orders = read(spark, sf, "orders")
+    return spread(orders.join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")), "o_orderkey", counted=orders)
+
+
 def order_reports(spark, sf):
-    o = read(spark, sf, "orders").join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = orders_with_customers(spark, sf)
     n = F.lit(None).cast("string").alias("Leer")
     content = F.to_json(F.struct(F.struct(F.col("c_name").alias("Name"), F.col("c_mktsegment").alias("Gruppe")).alias("Patient"), F.array(F.struct(F.col("o_orderpriority").alias("Text")), F.struct(F.col("o_orderstatus").alias("Text"))).alias("Eintrag"), n), {"ignoreNullFields": "false"})
     return o.select(F.col("o_orderkey").alias("doc_id"), content.alias("content"))
@@ -519,7 +525,7 @@ CONSTRAINTS = ["Text", "/Patient", "Patient/Name", "Eintrag//", "//LISTELEMENT/T
 
 def order_xml(spark, sf):
     """Orders as XML with attributes, text beside elements, entities and an empty element."""
-    o = read(spark, sf, "orders").join(read(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = orders_with_customers(spark, sf)
     put = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
     content = put("<report nr='", F.col("o_orderkey").cast("string"), "'>\n <patient group=\"", F.col("c_mktsegment"), "\">", F.col("c_name"), " &amp; <b>", F.col("o_orderpriority"), "</b> nach</patient><empty/></report>")
     return o.select(F.col("o_orderkey").alias("doc_id"), content.alias("content"))
@@ -874,7 +880,7 @@ def _(spark, sf):
 @register("q_type_projection", "with x as (" + t.expected_sql("customer", "c_custkey", t.LOCATIONS) + ") select subtype, count(*) as n from x group by subtype")
 def _(spark, sf):
     docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.LOCATIONS)
-    return resolve.of_types(annotate(docs, {"Locations": others.LOCATIONS, "Internet": others.INTERNET}), ["Location"]).groupBy("subtype").agg(F.count(F.lit(1)).alias("n"))
+    return resolve.of_types(annotate_recurring(docs, {"Locations": others.LOCATIONS, "Internet": others.INTERNET}), ["Location"]).groupBy("subtype").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("q_substitution_exploration", f"select cast(o_orderkey as bigint) as doc_id, 'am 31.01.1850 gesehen' as text from orders")

@@ -12,8 +12,48 @@ def plan(df):
 def test_lookups_send_no_texts_and_code_tokens_once(spark):
     found = plan(QUERIES["q_rule_lookups"](spark, SF))
     assert "BuildLeft" not in found
-    assert found.count("ArrowEvalPython") <= 2
+    assert found.count("ArrowEvalPython") <= 3
 
 
 def test_names_by_lexicon_send_no_texts(spark):
     assert "BuildLeft" not in plan(QUERIES["q_rule_names_by_lexicon"](spark, SF))
+
+
+def test_texts_are_spread_over_tasks(spark):
+    """A file of one row group is one task when it is read; its texts are many."""
+    from spanloom import templates as t
+
+    orders = spark.read.parquet(f"{SF}/orders.parquet").coalesce(1)
+    assert t.texts(spark, orders, "o_orderkey", t.MORE_DATES).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_reports_are_spread_over_tasks(spark):
+    from spanloom.queries import order_reports
+
+    assert "REPARTITION_BY_NUM" in plan(order_reports(spark, SF))
+
+
+def test_marks_in_a_text_are_text(spark):
+    """Characters that mark matches while a text is searched, in texts, between matches and in them."""
+    from spanloom.operators.rules import Rule, annotate
+
+    edge, border = "﷐", "﷑"
+    rows = [(1, f"a1b a2{edge}b"), (2, f"{border}a{edge}{border}b{edge}"), (3, "a1b"), (4, None), (5, edge)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["start"], r["end"], r["text"], r["other"]) for r in annotate(docs, {"p": [Rule("x", "()(a)([^a]*?)(b)", ((2, "A", ""), (3, "C", "")))]}).collect()}
+    want = set()
+    for doc, a, b in ((1, 0, 2), (1, 4, 7), (2, 1, 4), (3, 0, 2)):
+        text = dict(rows)[doc]
+        want |= {(doc, a, a + 1, "a", text[a + 1 : b]), (doc, a + 1, b, text[a + 1 : b], "a")}
+    assert got == want
+
+
+def test_recurring_texts_are_annotated_once_and_alike(spark):
+    from spanloom.operators.rules import annotate, annotate_recurring
+    from spanloom.rulesets import dates
+
+    texts = ["am 03.05.2011 und 04.06.2012", "nichts", "seit 2012", "", None, "am 01.02.2003 " + "x" * 300]
+    docs = spark.createDataFrame([(k, texts[k % 6] if k % 7 else f"am 03.05.2011 in {k}") for k in range(200)], "doc_id long, text string")
+    whole, once = annotate(docs, {"Dates": dates.RULES}), annotate_recurring(docs, {"Dates": dates.RULES})
+    assert sorted(map(repr, once.select(whole.columns).collect())) == sorted(map(repr, whole.collect()))
+    assert "BroadcastHashJoin" in plan(once)
