@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from dataclasses import dataclass
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,7 @@ from spanloom.functions.text import running
 from spanloom.operators.intervals import join_within
 
 LEAVES = "array<struct<path:array<string>,steps:array<string>,value:string,is_null:boolean>>"
+LEAVES_TYPE = pa.list_(pa.struct([("path", pa.list_(pa.string())), ("steps", pa.list_(pa.string())), ("value", pa.string()), ("is_null", pa.bool_())]))
 ITEM = "LISTELEMENT"
 
 
@@ -27,23 +30,36 @@ def _walk(node, path: tuple, steps: tuple):
             yield from _walk(child, (*path, ITEM), (*steps, str(k)))
     else:
         text = node if isinstance(node, str) else None if node is None else json.dumps(node, ensure_ascii=False)
-        yield {"path": list(path), "steps": list(steps), "value": text, "is_null": node is None}
+        yield path, steps, text, node is None
+
+
+#: Reports that are read and put into columns at once.
+READ = 500
+
+
+def _leaves(reports: pa.Array, read: Callable[[str], list[tuple] | None]) -> pa.Array:
+    """The leaves of a batch of reports, column by column; null where ``read`` gives None. Few reports are held as Python values at a time."""
+    parts = []
+    for first in range(0, len(reports), READ):
+        rows = [None if text is None else read(text) for text in reports.slice(first, READ).to_pylist()]
+        flat = [leaf for row in rows if row for leaf in row]
+        columns = [pa.array([leaf[k] for leaf in flat], kind) for k, kind in enumerate((pa.list_(pa.string()), pa.list_(pa.string()), pa.string(), pa.bool_()))]
+        leaves = pa.StructArray.from_arrays(columns, ["path", "steps", "value", "is_null"])
+        offsets = np.concatenate([[0], np.cumsum([len(row or ()) for row in rows])]).astype(np.int32)
+        parts.append(pa.ListArray.from_arrays(pa.array(offsets), leaves, mask=pa.array([row is None for row in rows])))
+    return pa.concat_arrays(parts) if parts else pa.array([], LEAVES_TYPE)
 
 
 def json_leaves(report: Column | str) -> Column:
     """All leaves of a JSON report in order; null if it isn't valid JSON."""
 
-    def one(text: str | None):
+    def one(text: str) -> list[tuple] | None:
         try:
-            return list(_walk(json.loads(text), (), ())) if text is not None else None
+            return list(_walk(json.loads(text), (), ()))
         except ValueError:
             return None
 
-    @F.pandas_udf(LEAVES)
-    def leaves(reports: pd.Series) -> pd.Series:
-        return reports.map(one)
-
-    return leaves(report)
+    return F.arrow_udf(lambda reports: _leaves(reports, one), LEAVES)(report)
 
 
 def xml_leaves(report: Column | str) -> Column:
@@ -53,16 +69,10 @@ def xml_leaves(report: Column | str) -> Column:
     one's own, make a report unreadable.
     """
 
-    def one(text: str | None):
-        if text is None or not markup.readable(text):
-            return None
-        return [{"path": list(s.path), "steps": list(s.steps), "value": s.value, "is_null": False} for s in markup.slots(text)]
-
-    @F.pandas_udf(LEAVES)
-    def leaves(reports: pd.Series) -> pd.Series:
-        return reports.map(one)
+    def one(text: str) -> list[tuple] | None:
+        return [(s.path, s.steps, s.value, False) for s in markup.slots(text)] if markup.readable(text) else None
 
-    return leaves(report)
+    return F.arrow_udf(lambda reports: _leaves(reports, one), LEAVES)(report)
 
 
 def flatten(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",), xml: bool = False) -> DataFrame:
@@ -76,7 +86,8 @@ def flatten(reports: DataFrame, json_col: str = "content", keys: tuple[str, ...]
     leaves = reports.select(*keys, (xml_leaves if xml else json_leaves)(json_col).alias("leaves"))
     lengths = F.transform("leaves", lambda f: F.length(F.coalesce(f["value"], F.lit(""))) + 1)
     starts = running(lengths)
-    rows = leaves.withColumn("starts", starts).select(*keys, "starts", F.posexplode("leaves").alias("field_id", "f"))
+    # posexplode alone would make Spark push a test of the array's size, and so the reading of every report, below the UDF once more
+    rows = leaves.withColumn("starts", starts).select(*keys, "starts", F.posexplode_outer("leaves").alias("field_id", "f")).where("field_id is not null")
     start = F.get("starts", F.col("field_id"))
     return rows.select(*keys, "field_id", "f.path", F.element_at("f.path", -1).alias("name"), "f.value", "f.is_null", start.alias("start"), (start + F.length(F.coalesce("f.value", F.lit("")))).alias("end"), "f.steps")
 
@@ -102,30 +113,32 @@ def _put(node, rest):
     return new if isinstance(node, str) else node
 
 
+def _put_in(one: Callable[[str, list], str | None]):
+    """A UDF of reports and lists of values; null where either is. Few of them are held as Python values at a time."""
+
+    def put(reports: pa.Array, lists: pa.Array) -> pa.Array:
+        parts = [pa.array([one(r, v) if r is not None and v is not None else None for r, v in zip(reports.slice(k, READ).to_pylist(), lists.slice(k, READ).to_pylist(), strict=True)], pa.string()) for k in range(0, len(reports), READ)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    return F.arrow_udf(put, "string")
+
+
 def with_values(report: Column | str, values: Column | str) -> Column:
     """The reports with the values of their leaves, in order, put in; null leaves stay null, and so does what isn't JSON."""
 
-    @F.pandas_udf("string")
-    def put(reports: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([one(r, v) if r is not None and v is not None else None for r, v in zip(reports, lists, strict=True)], dtype=object)
-
     def one(report: str, values) -> str | None:
         try:
             return json.dumps(_put(json.loads(report), iter(values)), ensure_ascii=False)
         except ValueError:
             return None
 
-    return put(report, values)
+    return _put_in(one)(report, values)
 
 
 def with_texts(report: Column | str, values: Column | str) -> Column:
     """XML reports with other texts in their slots, in order; all else stays byte for byte."""
 
-    @F.pandas_udf("string")
-    def put(reports: pd.Series, lists: pd.Series) -> pd.Series:
-        return pd.Series([markup.with_slots(r, list(v)) if r is not None and v is not None and markup.readable(r) else None for r, v in zip(reports, lists, strict=True)], dtype=object)
-
-    return put(report, values)
+    return _put_in(lambda r, v: markup.with_slots(r, v) if markup.readable(r) else None)(report, values)
 
 
 def rebuild(reports: DataFrame, fields: DataFrame, json_col: str = "content", keys: tuple[str, ...] = ("doc_id",), xml: bool = False) -> DataFrame:

@@ -57,3 +57,36 @@ def test_recurring_texts_are_annotated_once_and_alike(spark):
     whole, once = annotate(docs, {"Dates": dates.RULES}), annotate_recurring(docs, {"Dates": dates.RULES})
     assert sorted(map(repr, once.select(whole.columns).collect())) == sorted(map(repr, whole.collect()))
     assert "BroadcastHashJoin" in plan(once)
+
+
+def test_reports_are_read_in_parts_and_once(spark):
+    """More reports than are read at once, with unreadable, missing and empty ones between; each is read once."""
+    import pyarrow as pa
+
+    from spanloom.operators import fields
+
+    texts = [['{"a": "x", "b": [1, null]}', "no", None, "{}", "[]"][k % 5] for k in range(3 * fields.READ + 7)]
+    got = fields._leaves(pa.array(texts), lambda x: None if x == "no" else [(("a",), ("a",), x, False)] * (x != "[]")).to_pylist()
+    assert [None if g is None else len(g) for g in got] == [None if x in (None, "no") else int(x != "[]") for x in texts]
+    assert fields._leaves(pa.array([], pa.string()), lambda x: []).to_pylist() == []
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, content string").coalesce(1)
+    flat = fields.flatten(docs)
+    assert plan(flat).count("ArrowEvalPython") == 1
+    assert flat.count() == sum({0: 3, 3: 1, 4: 1}.get(k % 5, 0) for k in range(len(texts)))
+
+
+def test_phrases_are_found_in_parts_of_a_batch(spark):
+    from pyspark.sql import functions as F
+
+    from spanloom.operators import automaton
+
+    def find(words):
+        import numpy as np
+        import pyarrow as pa
+
+        assert len(words.row) < 2 * automaton.MOST_TOKENS
+        return words.row, {"start": pa.array(words.start.astype(np.int32))}
+
+    docs = spark.range(4000).coalesce(1).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 9 != 0, F.expr("repeat('a b ', 50)")).alias("text"))
+    found = automaton.found_in_rows(docs, "text", ("doc_id",), find, "start:int")
+    assert found.count() == 100 * sum(k % 9 != 0 for k in range(4000))
