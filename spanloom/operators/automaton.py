@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.arrows import Words, list_of
+from spanloom.functions.arrows import Words, list_of, row_ends
 from spanloom.functions.text import tokens
 
 #: A phrase's tokens; blanks separate them and don't count.
@@ -68,6 +68,8 @@ class Automaton:
                     yield at, k, entry
 
 
+#: Tokens that are worked on at once.
+MOST_TOKENS = 1 << 17
 #: Tables of phrases are broadcast up to so many bytes of text.
 MOST_BYTES = 64 << 20
 
@@ -88,11 +90,17 @@ def found_in_rows(docs: DataFrame, text_col: str, keys: tuple[str, ...], find, s
     array, and make it, twice.
     """
 
-    def run(strings: pa.Array) -> pa.Array:
+    def few(strings: pa.Array) -> pa.Array:
         words = Words.of(strings)
         rows, columns = find(words)
         return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(rows, minlength=len(strings)))
 
+    def run(strings: pa.Array) -> pa.Array:
+        """By stretches of rows of some MOST_TOKENS tokens, so what Python holds doesn't grow with the batch."""
+        ends = row_ends(strings)[1]
+        cuts = [0, *np.flatnonzero(np.diff(ends // MOST_TOKENS)) + 1, len(strings)]
+        return pa.concat_arrays([few(strings.slice(a, b - a)) for a, b in zip(cuts, cuts[1:], strict=False) if b > a or not len(strings)])
+
     udf = F.arrow_udf(run, f"array<struct<{schema}>>")
     rows = docs.select(*dict.fromkeys([*keys, text_col])).select(*keys, udf(tokens(text_col)).alias("_found"))
     return rows.select(*keys, F.explode_outer("_found").alias("_f")).where("_f is not null").select(*keys, "_f.*")
