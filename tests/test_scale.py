@@ -90,3 +90,53 @@ def test_phrases_are_found_in_parts_of_a_batch(spark):
     docs = spark.range(4000).coalesce(1).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 9 != 0, F.expr("repeat('a b ', 50)")).alias("text"))
     found = automaton.found_in_rows(docs, "text", ("doc_id",), find, "start:int")
     assert found.count() == 100 * sum(k % 9 != 0 for k in range(4000))
+
+
+def test_equal_reports_are_annotated_together_and_alike(spark, monkeypatch):
+    """Equal texts meet, in several groups where very many rows hold one; missing texts, long ones and kinds of fields between."""
+    from pyspark.sql import functions as F
+
+    from spanloom.operators.rules import Rule, annotate
+    from spanloom.plans import stages
+
+    monkeypatch.setattr(stages, "GROUP", 40)
+    phases = {"p": [Rule("plain", "()(a[0-9])", ((2, "A", ""),)), Rule("own", "()(b)", ((2, "B", ""),), context="K")]}
+    texts = ["a1 b", "nichts", None, "", "a2 " + "x" * 300 + " b"]
+    rows = [(k, texts[k % 5] if k % 7 else f"a3 in {k}", ["K"] if k % 2 else ["L"]) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kinds array<string>")
+    want, got = annotate(docs, phases, contexts_col="kinds"), stages.annotated_alike(docs, phases, "kinds")
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert plan(got).count("ArrowEvalPython") == 0 and "Exchange" not in plan(got)
+    assert stages.annotated_alike(docs.where(F.lit(False)), phases, "kinds").isEmpty()
+
+
+def test_reports_are_parsed_once_for_all_stages(spark):
+    """What stages read of reports is a written table: none of their plans parses a report again, nor runs a rule."""
+    import json
+
+    from spanloom.operators.fields import Mapping
+    from spanloom.plans.deidentify import Settings, find_in_reports
+    from spanloom.rulesets import others
+
+    reports = spark.createDataFrame([(1, json.dumps({"a": "Tel 044 255 11 11", "b": "xora tulip"})), (2, "no")], "doc_id long, content string")
+    settings = Settings(mappings=(Mapping("a", "K"),), structured=(Mapping.parse("b; Name; type=patient"),), blacklist={"a": ["Name"]})
+    leaves, spans = find_in_reports(reports, settings, {"Contacts": others.CONTACTS}, plan=["rules", "structured", "propagate", "blacklist", "schema", "conflicts"])
+    assert "ArrowEvalPython" not in plan(leaves) + plan(spans)
+    assert {(r["doc_id"], r["start"], r["type"]) for r in spans.collect()} == {(1, 4, "Contact"), (1, 18, "Name")}
+
+
+def test_date_rules_are_tried_only_where_their_marks_are(spark):
+    """A number alone is no reason to try the rules for dates; every text that a rule matches holds what the rule needs."""
+    from pyspark.sql import functions as F
+
+    from spanloom import templates as t
+    from spanloom.operators.rules import DIGIT
+    from spanloom.rulesets import dates
+
+    tried = [r for r in dates.RULES if not r.needs or DIGIT in r.needs]
+    assert not tried
+    orders = spark.read.parquet(f"{SF}/orders.parquet")
+    docs = t.texts(spark, orders, "o_orderkey", t.DATES + t.MORE_DATES)
+    held = lambda r: F.greatest(*[F.col("text").contains(x) for x in r.needs], F.lit(False))
+    missed = docs.agg(*[F.count_if(F.col("text").rlike(r.pattern) & ~held(r)).alias(r.name) for r in dates.RULES]).first()
+    assert not any(missed)
