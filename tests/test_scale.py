@@ -140,3 +140,10 @@ def test_date_rules_are_tried_only_where_their_marks_are(spark):
     held = lambda r: F.greatest(*[F.col("text").contains(x) for x in r.needs], F.lit(False))
     missed = docs.agg(*[F.count_if(F.col("text").rlike(r.pattern) & ~held(r)).alias(r.name) for r in dates.RULES]).first()
     assert not any(missed)
+
+
+def test_a_report_that_is_one_text_has_no_name(spark):
+    """All columns are written down, so a leaf without a path must not raise."""
+    from spanloom.operators.fields import flatten
+
+    assert [(r["name"], r["value"]) for r in flatten(spark.createDataFrame([(1, '"xora"')], "doc_id long, content string")).collect()] == [(None, "xora")]
