@@ -48,16 +48,20 @@ class Automaton:
         known = pc.index_in(values, value_set=pa.array(self.vocabulary, pa.string()))
         return pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
 
-    def hits(self, words: Words) -> Iterator[tuple[int, int, int]]:
+    def hits(self, words: Words, numbers: np.ndarray | None = None, begins: np.ndarray | None = None) -> Iterator[tuple[int, int, int]]:
         """``(first token, token behind the last, entry)`` for every phrase found, by first token and length.
 
-        All tokens are numbered in one vectorised lookup; the trie is walked only
-        from those that some phrase begins with, and no walk leaves its row.
+        All tokens are numbered in one vectorised lookup (or ``numbers`` are theirs);
+        the trie is walked only from those that some phrase begins with (``begins``:
+        from these alone), and no walk leaves its row.
         """
-        numbers = self.numbered(words.values)
-        begins = np.zeros(len(self.vocabulary) + 1, dtype=bool)
-        begins[[token for node, token in self.edges if node == 0]] = True
+        numbers = self.numbered(words.values) if numbers is None else numbers
+        if begins is None:
+            begins = np.zeros(len(self.vocabulary) + 1, dtype=bool)
+            begins[[token for node, token in self.edges if node == 0]] = True
         places = np.flatnonzero(begins[numbers])
+        if not len(places):
+            return
         edges, ends, limits = self.edges, self.ends, words.last[words.row[places]].tolist()
         numbers = numbers.tolist()
         for at, limit in zip(places.tolist(), limits, strict=True):
@@ -82,6 +86,15 @@ def phrase_tokens(phrase: Column | str) -> Column:
     return F.regexp_extract_all(phrase, F.lit(PHRASE), F.lit(0))
 
 
+def in_stretches(strings: pa.Array) -> Iterator[tuple[int, pa.Array]]:
+    """``(first row, rows)``: rows of tokens by stretches of some MOST_TOKENS, so what Python holds doesn't grow with the batch."""
+    ends = row_ends(strings)[1]
+    cuts = [0, *np.flatnonzero(np.diff(ends // MOST_TOKENS)) + 1, len(strings)]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a or not len(strings):
+            yield a, strings.slice(a, b - a)
+
+
 def found_in_rows(docs: DataFrame, text_col: str, keys: tuple[str, ...], find, schema: str) -> DataFrame:
     """``(keys, the columns of schema)``: what ``find(words)`` reports of each batch of texts, no shuffle.
 
@@ -96,10 +109,7 @@ def found_in_rows(docs: DataFrame, text_col: str, keys: tuple[str, ...], find, s
         return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(rows, minlength=len(strings)))
 
     def run(strings: pa.Array) -> pa.Array:
-        """By stretches of rows of some MOST_TOKENS tokens, so what Python holds doesn't grow with the batch."""
-        ends = row_ends(strings)[1]
-        cuts = [0, *np.flatnonzero(np.diff(ends // MOST_TOKENS)) + 1, len(strings)]
-        return pa.concat_arrays([few(strings.slice(a, b - a)) for a, b in zip(cuts, cuts[1:], strict=False) if b > a or not len(strings)])
+        return pa.concat_arrays([few(part) for _, part in in_stretches(strings)])
 
     udf = F.arrow_udf(run, f"array<struct<{schema}>>")
     rows = docs.select(*dict.fromkeys([*keys, text_col])).select(*keys, udf(tokens(text_col)).alias("_found"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from spanloom.functions.arrows import Words
-from spanloom.operators.automaton import MOST_BYTES, Automaton, found_in_rows, phrase_bytes, phrase_tokens
+from spanloom.functions.text import tokens as tokens_of
+from spanloom.operators.automaton import MOST_BYTES, Automaton, found_in_rows, in_stretches, phrase_bytes, phrase_tokens
 from spanloom.operators.intervals import without_overlap
-from spanloom.operators.tokens import token_table, work_tokens
 
 #: Lexica up to this size are sent to all executors; larger ones meet the tokens in a shuffled join.
 BROADCAST_ROWS = 2_000_000
@@ -64,34 +68,112 @@ def stand_ins(words: DataFrame, lists: tuple[tuple[str, str, str, int], ...] = S
     return words.select("term").where("term != ''").distinct().join(F.broadcast(table), drawn < F.col("share")).select("term", "major", "minor", "language", F.size(phrase_tokens("term")).alias("n_tokens"))
 
 
+class Lists:
+    """Entries with their lists, ready to be looked for in tokens; of a list's entries at a place the longest counts."""
+
+    COLUMNS = ("term", "major", "minor", "language")
+
+    def __init__(self, entries: pa.Table) -> None:
+        """``entries(term, major, minor, language, words)``, in any order."""
+        order = pc.sort_indices(entries, sort_keys=[(name, "ascending") for name in ("term", "language", "major", "minor")], null_placement="at_start")
+        entries = entries.take(order)
+        pairs = list(zip(entries["major"].to_pylist(), entries["minor"].to_pylist(), strict=True))
+        lists = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
+        self.of_list = [lists[pair] for pair in pairs]
+        self.payload = {name: entries[name].combine_chunks() for name in self.COLUMNS}
+        self.automaton = Automaton.of(entries["words"].to_pylist())
+        edges, on = self.automaton.edges, {node for node, _ in self.automaton.edges}
+        # tokens that are an entry and begin no longer one: what they give is known beforehand
+        self.sizes, flat = np.zeros(len(self.automaton.vocabulary) + 1, dtype=np.int64), []
+        self.walked = np.zeros(len(self.sizes), dtype=bool)
+        for number in range(len(self.automaton.vocabulary)):
+            node = edges.get((0, number))
+            if node in on:
+                self.walked[number] = True
+            elif node is not None:
+                held: dict[int, int] = {}
+                for entry in self.automaton.ends[node]:
+                    held.setdefault(self.of_list[entry], entry)
+                self.sizes[number] = len(held)
+                flat.extend(held.values())
+        self.flat, self.firsts = np.array(flat, dtype=np.int64), np.cumsum(self.sizes) - self.sizes
+
+    def find(self, words: Words) -> tuple[np.ndarray, dict[str, pa.Array]]:
+        """The row of each hit, in order, and its place and entry."""
+        numbers = self.automaton.numbered(words.values)
+        best: dict[tuple[int, int], tuple[int, int]] = {}
+        for at, behind, entry in self.automaton.hits(words, numbers, self.walked):
+            held = best.get((at, self.of_list[entry]))
+            if held is None or behind > held[0]:
+                best[at, self.of_list[entry]] = (behind, entry)
+        sizes = self.sizes[numbers]
+        alone = np.repeat(np.arange(len(numbers)), sizes)
+        nth = np.arange(len(alone)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        at = np.concatenate([alone, np.array([a for a, _ in best], dtype=np.int64)])
+        last = np.concatenate([alone, np.array([behind for behind, _ in best.values()], dtype=np.int64) - 1])
+        entry = np.concatenate([self.flat[self.firsts[numbers[alone]] + nth], np.array([e for _, e in best.values()], dtype=np.int64)])
+        order = np.argsort(at, kind="stable")
+        at, last, chosen = at[order], last[order], pa.array(entry[order])
+        places = {"start": pa.array(words.start[at], pa.int32()), "end": pa.array(words.end[last], pa.int32())}
+        return words.row[at], places | {name: column.take(chosen) for name, column in self.payload.items()}
+
+
+#: Bytes of text that share a part of a large lexicon.
+TOGETHER = 32 << 20
+
+
 def text_lookups(docs: DataFrame, lexicon: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """As ``lookups`` for the texts themselves: all entries in one pass within the row, of any number of words, no shuffle of tokens.
 
-    The lexicon becomes a trie that is built once and broadcast; one of more than
-    ``MOST_BYTES`` of text meets the tokens in a shuffled join instead.
+    The lexicon becomes a trie that is built once and broadcast. One of more than
+    ``MOST_BYTES`` of text goes in parts, to the groups of texts that need them.
     """
     if phrase_bytes(lexicon, "term", "major", "minor", "language") > MOST_BYTES:
-        return lookups(work_tokens(token_table(docs, text_col, keys), keys), lexicon, keys)
-    entries = lexicon.select("term", "major", "minor", "language", phrase_tokens("term").alias("words")).orderBy("term", "language", "major", "minor").toArrow()
-    lists = {pair: k for k, pair in enumerate(dict.fromkeys(zip(entries["major"].to_pylist(), entries["minor"].to_pylist(), strict=True)))}
-    of_list = [lists[pair] for pair in zip(entries["major"].to_pylist(), entries["minor"].to_pylist(), strict=True)]
-    payload = {name: entries[name].combine_chunks() for name in ("term", "major", "minor", "language")}
-    shared = docs.sparkSession.sparkContext.broadcast((Automaton.of(entries["words"].to_pylist()), of_list, payload))
-
-    def find(words: Words) -> tuple[np.ndarray, dict[str, pa.Array]]:
-        automaton, of_list, payload = shared.value
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for at, behind, entry in automaton.hits(words):
-            held = best.get((at, of_list[entry]))
-            if held is None or behind > held[0]:
-                best[at, of_list[entry]] = (behind, entry)
-        at = np.array([a for a, _ in best], dtype=np.int64)
-        last = np.array([behind for behind, _ in best.values()], dtype=np.int64) - 1
-        chosen = pa.array([entry for _, entry in best.values()], pa.int64())
-        places = {"start": pa.array(words.start[at], pa.int32()), "end": pa.array(words.end[last], pa.int32())}
-        return words.row[at], places | {name: column.take(chosen) for name, column in payload.items()}
+        return _lookups_in_groups(docs, lexicon, text_col, keys)
+    entries = lexicon.select(*Lists.COLUMNS, phrase_tokens("term").alias("words")).toArrow()
+    shared = docs.sparkSession.sparkContext.broadcast(Lists(entries))
+    return found_in_rows(docs, text_col, keys, lambda words: shared.value.find(words), "start:int,end:int,term:string,major:string,minor:string,language:string")
 
-    return found_in_rows(docs, text_col, keys, find, "start:int,end:int,term:string,major:string,minor:string,language:string")
+
+def _lookups_in_groups(docs: DataFrame, lexicon: DataFrame, text_col: str, keys: tuple[str, ...]) -> DataFrame:
+    """Texts are dealt to groups of some TOGETHER bytes, and a group gets the entries that begin with a word of it.
+
+    So texts are shuffled once, instead of their tokens, and entries as often as
+    groups need them. A group comes as a stream: its entries, then its texts, one
+    batch at a time.
+    """
+    rows = docs.select(*dict.fromkeys([*keys, text_col]))
+    groups = max(1, -(-phrase_bytes(rows, text_col) // TOGETHER))
+    dealt = rows.where(F.col(text_col).isNotNull()).select(F.pmod(F.xxhash64(*rows.columns), F.lit(groups)).cast("int").alias("_group"), *[F.col(k).alias(f"_k{n}") for n, k in enumerate(keys)], F.col(text_col).alias("_text"))
+    words = dealt.select("_group", F.explode(F.array_distinct(tokens_of("_text"))).alias("_word")).distinct()
+    first = F.get(phrase_tokens("term"), F.lit(0))
+    needed = lexicon.select(*Lists.COLUMNS, first.alias("_word")).where("_word is not null").join(words, "_word").select("_group", *Lists.COLUMNS)
+    both = dealt.withColumn("_kind", F.lit(1)).unionByName(needed.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    stream = both.repartition(groups, "_group").sortWithinPartitions("_group", "_kind")
+    names = [f"_k{n}" for n in range(len(keys))]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, lists = None, [], None
+        for batch in batches:
+            both = np.stack([batch["_group"].to_numpy(), batch["_kind"].to_numpy()])
+            cuts = [0, *np.flatnonzero((both[:, 1:] != both[:, :-1]).any(axis=0)) + 1, batch.num_rows]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                if a == b:
+                    continue
+                part = batch.slice(a, b - a)
+                if part["_group"][0].as_py() != group:
+                    group, held, lists = part["_group"][0].as_py(), [], None
+                if part["_kind"][0].as_py() == 0:
+                    held.append(part.select([*Lists.COLUMNS, "words"]))
+                    continue
+                if held:
+                    lists, held = Lists(pa.Table.from_batches(held)), []
+                for at, strings in in_stretches(part["_strings"]) if lists else ():
+                    found, columns = lists.find(Words.of(strings))
+                    yield pa.RecordBatch.from_arrays([part[k].take(pa.array(found + at)) for k in names] + list(columns.values()), names=[*keys, *columns])
+
+    schema = T.StructType([*[T.StructField(k, docs.schema[k].dataType) for k in keys], *T.StructType.fromDDL("start int, end int, term string, major string, minor string, language string").fields])
+    return stream.select("_group", "_kind", *names, tokens_of("_text").alias("_strings"), *Lists.COLUMNS, phrase_tokens("term").alias("words")).mapInArrow(run, schema)
 
 
 def lookups(words: DataFrame, lexicon: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
