@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanloom.functions.arrows import Words, list_of, row_ends
+from spanloom.functions.arrows import Words, in_stretches, list_of
 from spanloom.functions.text import tokens
 
 #: A phrase's tokens; blanks separate them and don't count.
@@ -86,15 +86,6 @@ def phrase_tokens(phrase: Column | str) -> Column:
     return F.regexp_extract_all(phrase, F.lit(PHRASE), F.lit(0))
 
 
-def in_stretches(strings: pa.Array) -> Iterator[tuple[int, pa.Array]]:
-    """``(first row, rows)``: rows of tokens by stretches of some MOST_TOKENS, so what Python holds doesn't grow with the batch."""
-    ends = row_ends(strings)[1]
-    cuts = [0, *np.flatnonzero(np.diff(ends // MOST_TOKENS)) + 1, len(strings)]
-    for a, b in zip(cuts, cuts[1:], strict=False):
-        if b > a or not len(strings):
-            yield a, strings.slice(a, b - a)
-
-
 def found_in_rows(docs: DataFrame, text_col: str, keys: tuple[str, ...], find, schema: str) -> DataFrame:
     """``(keys, the columns of schema)``: what ``find(words)`` reports of each batch of texts, no shuffle.
 
@@ -109,7 +100,7 @@ def found_in_rows(docs: DataFrame, text_col: str, keys: tuple[str, ...], find, s
         return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(rows, minlength=len(strings)))
 
     def run(strings: pa.Array) -> pa.Array:
-        return pa.concat_arrays([few(part) for _, part in in_stretches(strings)])
+        return pa.concat_arrays([few(part) for _, part in in_stretches(strings, MOST_TOKENS)])
 
     udf = F.arrow_udf(run, f"array<struct<{schema}>>")
     rows = docs.select(*dict.fromkeys([*keys, text_col])).select(*keys, udf(tokens(text_col)).alias("_found"))

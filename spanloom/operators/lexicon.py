@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.functions.arrows import Words
+from spanloom.functions.arrows import Words, in_stretches
 from spanloom.functions.text import tokens as tokens_of
-from spanloom.operators.automaton import MOST_BYTES, Automaton, found_in_rows, in_stretches, phrase_bytes, phrase_tokens
+from spanloom.operators.automaton import MOST_BYTES, MOST_TOKENS, Automaton, found_in_rows, phrase_bytes, phrase_tokens
 from spanloom.operators.intervals import without_overlap
 
 #: Lexica up to this size are sent to all executors; larger ones meet the tokens in a shuffled join.
@@ -168,7 +168,7 @@ def _lookups_in_groups(docs: DataFrame, lexicon: DataFrame, text_col: str, keys:
                     continue
                 if held:
                     lists, held = Lists(pa.Table.from_batches(held)), []
-                for at, strings in in_stretches(part["_strings"]) if lists else ():
+                for at, strings in in_stretches(part["_strings"], MOST_TOKENS) if lists else ():
                     found, columns = lists.find(Words.of(strings))
                     yield pa.RecordBatch.from_arrays([part[k].take(pa.array(found + at)) for k in names] + list(columns.values()), names=[*keys, *columns])
 

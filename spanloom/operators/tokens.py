@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions.arrows import Words, expanded, in_stretches, list_of
 from spanloom.functions.text import kind, orth, with_tokens
+from spanloom.functions.text import tokens as tokens_of
 from spanloom.operators.intervals import join_overlapping, join_within
 
 
@@ -31,14 +36,18 @@ def work_tokens(table: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFr
 ABBREVIATIONS = ("bzw", "ca", "Dr", "Prof", "St", "Nr", "Tel", "vgl")
 
 
+def ends_sentence(token: Column, last: Column, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> Column:
+    """Whether a sentence ends with ``token``, of which ``last`` is the one before (null: none)."""
+    return token.isin("!", "?") | ((token == ".") & ~F.coalesce(last.isin(*abbreviations) | last.rlike(r"^(\p{L}|\p{N}+)$"), F.lit(False))) | token.contains("\n")
+
+
 def with_sentence_nr(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
     """``table`` with ``sentence_nr``: cut after ``.``, ``!``, ``?`` and at newlines.
 
     A full stop behind an abbreviation, a single letter or a number doesn't end one.
     """
     w = Window.partitionBy(*keys).orderBy("tok_idx")
-    last = F.lag("string").over(w)
-    stops = (F.col("string").isin("!", "?")) | ((F.col("string") == ".") & ~F.coalesce(last.isin(*abbreviations) | last.rlike(r"^(\p{L}|\p{N}+)$"), F.lit(False))) | (F.col("kind") == "newline")
+    stops = ends_sentence(F.col("string"), F.lag("string").over(w), abbreviations)
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     return table.withColumn("_stop", stops).withColumn("sentence_nr", F.coalesce(F.sum(F.col("_stop").cast("int")).over(before), F.lit(0))).drop("_stop")
 
@@ -67,6 +76,71 @@ def field_sentences(table: DataFrame, leaves: DataFrame, keys: tuple[str, ...] =
     return found.where("work_token_count > 0")
 
 
+#: Bytes of text that a task works on at a time.
+TEXT_BYTES = 32 << 20
+
+
+def dealt(docs: DataFrame, text_col: str, keys: tuple[str, ...]) -> DataFrame:
+    """Texts dealt by their keys to tasks of some TEXT_BYTES: a shuffle's own size says little of the work that its texts make."""
+    rows = docs.select(*dict.fromkeys([*keys, text_col]))
+    total = rows.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    return rows.repartition(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-total // TEXT_BYTES)), *keys)
+
+
+def with_spans(docs: DataFrame, spans: DataFrame, columns: tuple[str, ...], out: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``docs`` with the spans of each as an array of ``(start, end, columns)`` in ``out``: a document meets its spans once."""
+    rows = spans.groupBy(*keys).agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), *columns)).alias(out))
+    return docs.join(rows, list(keys), "left")
+
+
+#: Tokens that are placed in fields at once.
+MOST_PLACED = 1 << 17
+
+
+def text_field_sentences(docs: DataFrame, leaves: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
+    """As ``field_sentences`` for the texts themselves: texts meet their fields once, and tokens stay in the row.
+
+    Rows that repeat an id each have their own sentences; those of one number and
+    field count together.
+    """
+    field = leaves.schema["field_id"].dataType.simpleString()
+    placed = with_spans(dealt(docs, text_col, keys), leaves, ("field_id",), "_leaves", keys).withColumn("_strings", tokens_of(text_col))
+
+    def few(strings: pa.Array, stops: pa.Array, fields: pa.Array) -> pa.Array:
+        words = Words.of(strings, blanks=True)
+        stop = stops.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(stop)])
+        number = before[:-1] - before[words.first[words.row]]
+        work = ~pc.ascii_is_space(words.values).to_numpy(zero_copy_only=False).astype(bool)
+        first, behind = words.within(fields)
+        token, of = expanded(first, behind)
+        lone = np.ones(len(work), dtype=bool)
+        lone[token] = False
+        token, of = np.concatenate([token, np.flatnonzero(lone)]), np.concatenate([of, np.full(lone.sum(), -1)])
+        marks = np.stack([words.row[token], of, number[token]])
+        cuts = np.flatnonzero(np.concatenate([np.ones(min(len(token), 1), dtype=bool), (marks[:, 1:] != marks[:, :-1]).any(axis=0)]))
+        if not len(cuts):
+            return list_of(pa.array([], pa.struct([("sentence_nr", pa.int64()), ("field_id", fields.type.value_type.field(2).type), *((k, pa.int32()) for k in ("start", "end", "n", "m"))])), np.zeros(len(strings), np.int64))
+        most = np.int64(1) << 40
+        start = np.minimum.reduceat(np.where(work, words.start, most)[token], cuts)
+        end = np.maximum.reduceat(np.where(work, words.end, -1)[token], cuts)
+        n, m = np.diff(np.concatenate([cuts, [len(token)]])), np.add.reduceat(work[token].astype(np.int64), cuts)
+        order = np.argsort(marks[0, cuts], kind="stable")
+        leaf, none = of[cuts][order], m[order] == 0
+        columns = {"sentence_nr": pa.array(number[token][cuts][order]), "field_id": fields.flatten().field(2).take(pa.array(leaf, pa.int64(), mask=leaf < 0))}
+        columns |= {"start": pa.array(start[order], mask=none).cast("int32"), "end": pa.array(end[order], mask=none).cast("int32"), "n": pa.array(n[order].astype("i4")), "m": pa.array(m[order].astype("i4"))}
+        return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(marks[0, cuts], minlength=len(strings)))
+
+    def run(strings: pa.Array, stops: pa.Array, fields: pa.Array) -> pa.Array:
+        return pa.concat_arrays([few(part, stops.slice(at, len(part)), fields.slice(at, len(part))) for at, part in in_stretches(strings, MOST_PLACED)])
+
+    stops = F.transform("_strings", lambda s, k: F.coalesce(ends_sentence(s, F.when(k > 0, F.get("_strings", k - 1)), abbreviations), F.lit(False)))
+    runs = F.arrow_udf(run, f"array<struct<sentence_nr:bigint,field_id:{field},start:int,end:int,n:int,m:int>>")
+    found = placed.select(*keys, runs("_strings", stops, "_leaves").alias("_runs")).select(*keys, F.explode_outer("_runs").alias("r")).where("r is not null").select(*keys, "r.*")
+    whole = found.groupBy(*keys, "sentence_nr", "field_id").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("token_count"), F.sum("m").alias("work_token_count"))
+    return whole.where("work_token_count > 0")
+
+
 def window_flag(table: DataFrame, flag: str, size: int, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``near_<flag>``: whether a token within ``size`` tokens has the flag."""
     return table.withColumn(f"near_{flag}", F.max(F.col(flag)).over(Window.partitionBy(*keys).orderBy("tok_idx").rowsBetween(-size, size)))

@@ -103,7 +103,7 @@ def _(spark, sf):
     docs = read(spark, sf, "documents").select("doc_id", "text")
     bins = F.sequence(F.lit(0), F.floor(F.length("text") / 100).cast("int"))
     leaves = docs.select("doc_id", F.explode(bins).alias("field_id")).select("doc_id", "field_id", (F.col("field_id") * 100).alias("start"), (F.col("field_id") * 100 + 100).alias("end"))
-    found = tokens.field_sentences(tokens.with_sentence_nr(doc_tokens(spark, sf)), leaves)
+    found = tokens.text_field_sentences(docs, leaves)
     return found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.sum("token_count").alias("n_tokens"), F.sum("work_token_count").alias("n_work_tokens"), F.sum("start").alias("sum_start"), F.sum("end").alias("sum_end"), F.count_if(F.col("field_id").isNull()).alias("n_between"))
 
 

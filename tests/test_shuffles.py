@@ -4,7 +4,8 @@ import io
 import random
 from contextlib import redirect_stdout
 
-from spanloom.operators import lexicon
+from spanloom.operators import lexicon, tokens
+from spanloom.queries import QUERIES
 
 
 def plan_of(df) -> str:
@@ -29,3 +30,25 @@ def test_a_large_lexicon_goes_to_the_texts(spark, monkeypatch):
         assert found() == small
     # tokens were windowed and shuffled, one row each, with every list's hits after them
     assert "Window" not in plan_of(lexicon.text_lookups(docs, table))
+
+
+def test_sentences_of_fields_are_cut_within_the_text(spark):
+    draw = random.Random(7)
+    bits = ["a", "Haus", " ", "  ", ".", "!", "\n", "\r\n", "Dr", "12", "\t", ",", " "]
+    docs = spark.createDataFrame([(k if k % 5 else None, None if k == 8 else "".join(draw.choices(bits, k=draw.choice([0, 1, 60])))) for k in range(40)], "doc_id long, text string").where("doc_id is not null or text is null")
+    leaves = spark.createDataFrame([(k, f, a, a + draw.choice([0, 7, 30, 500])) for k in range(0, 40, 2) for f in range(4) for a in [draw.randrange(0, 60)]], "doc_id long, field_id int, start int, end int")
+    names = ["doc_id", "sentence_nr", "field_id", "start", "end", "token_count", "work_token_count"]
+    rows = lambda df: sorted(map(str, df.select(names).collect()))
+    want = rows(tokens.field_sentences(tokens.with_sentence_nr(tokens.token_table(docs)), leaves))
+    assert len(want) > 50
+    found = tokens.text_field_sentences(docs, leaves)
+    assert rows(found) == want
+    assert "Window" not in plan_of(found)
+
+
+def test_the_query_shuffles_texts_and_no_tokens(spark, tmp_path):
+    spark.createDataFrame([(1, "Ein Satz. Noch einer! " * 20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["q_field_sentences"](spark, str(tmp_path))
+    # the tokens' window and their join by bins were exchanges of token rows
+    assert "Window" not in plan_of(found) and "_bin" not in plan_of(found)
+    assert found.count() == 1
