@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanloom.functions.arrows import Words, expanded, in_stretches, list_of
+from spanloom.functions.text import kind, orth
+from spanloom.functions.text import tokens as tokens_of
+from spanloom.operators.automaton import MOST_TOKENS
 from spanloom.operators.fields import token_fields
 from spanloom.operators.intervals import join_within
-from spanloom.operators.tokens import token_table, with_sentence_nr, work_tokens
+from spanloom.operators.tokens import dealt, token_table, with_sentence_nr, with_spans, work_tokens
 
 
 def _joined(tokens: DataFrame, spans: DataFrame, value: str, name: str, keys: tuple[str, ...], sep: str) -> DataFrame:
@@ -24,6 +31,50 @@ def token_features(tokens: DataFrame, annotations: DataFrame, hits: DataFrame, k
     return tokens.join(labels, [*keys, "tok_idx"], "left").join(tags, [*keys, "tok_idx"], "left").withColumns({"label": F.coalesce("label", F.lit("O")), "lookup_tags": F.coalesce("lookup_tags", F.lit("O"))})
 
 
+def _values(words: Words, spans: pa.Array, sep: str) -> pa.Array:
+    """For each token the values of the spans over it, longest first, each once; O if there are none. ``spans``: lists of ``(start, end, value)``."""
+    first, behind = words.within(spans)
+    token, of = expanded(first, behind)
+    flat = spans.flatten()
+    known = sorted(v for v in pc.unique(flat.field(2)).to_pylist() if v is not None)
+    code = pc.fill_null(pc.index_in(flat.field(2), value_set=pa.array(known, pa.string())), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    length = (pc.subtract(flat.field(1), flat.field(0))).to_numpy(zero_copy_only=False).astype(np.int64)
+    order = np.lexsort((code[of], -length[of], token))
+    token, code = token[order], code[of[order]]
+    # texts by number: none, no value, one value, and what several make
+    texts, number = ["O", "", *known], np.zeros(len(words.row), dtype=np.int64)
+    cuts = np.flatnonzero(np.concatenate([np.ones(min(len(token), 1), dtype=bool), token[1:] != token[:-1]]))
+    sizes = np.diff(np.concatenate([cuts, [len(token)]]))
+    number[token[cuts]] = code[cuts] + 2
+    made: dict[tuple[int, ...], int] = {}
+    codes = code.tolist()
+    for at, size in zip(cuts[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+        several = tuple(dict.fromkeys(codes[at : at + size]))
+        if several not in made:
+            made[several] = len(texts)
+            texts.append(sep.join(known[c] for c in several if c >= 0))
+        number[token[at]] = made[several]
+    return pa.array(texts, pa.string()).take(pa.array(number))
+
+
+def text_features(docs: DataFrame, annotations: DataFrame, hits: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``token_features`` of the texts' tokens without blanks: texts meet their spans once, and tokens stay in the row."""
+    labelled = with_spans(dealt(docs, text_col, keys), annotations, ("type",), "_labels", keys)
+    placed = with_spans(labelled, hits.withColumn("_tag", F.concat_ws("_", "major", "minor")), ("_tag",), "_tags", keys)
+
+    def few(strings: pa.Array, labels: pa.Array, tags: pa.Array) -> pa.Array:
+        words = Words.of(strings)
+        columns = {"tok_idx": pa.array(np.arange(len(words.row)) - words.first[words.row], pa.int32()), "start": pa.array(words.start, pa.int32()), "end": pa.array(words.end, pa.int32()), "string": words.values, "label": _values(words, labels, ","), "lookup_tags": _values(words, tags, ";")}
+        return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), words.last - words.first)
+
+    def run(strings: pa.Array, labels: pa.Array, tags: pa.Array) -> pa.Array:
+        return pa.concat_arrays([few(part, labels.slice(at, len(part)), tags.slice(at, len(part))) for at, part in in_stretches(strings, MOST_TOKENS)])
+
+    rows = F.arrow_udf(run, "array<struct<tok_idx:int,start:int,end:int,string:string,label:string,lookup_tags:string>>")
+    found = placed.select(*keys, rows(tokens_of(text_col), "_labels", "_tags").alias("_rows")).select(*keys, F.explode_outer("_rows").alias("r")).where("r is not null")
+    return found.select(*keys, "r.tok_idx", "r.start", "r.end", "r.string", kind("r.string").alias("kind"), orth("r.string").alias("orth"), F.length("r.string").alias("length"), "r.label", "r.lookup_tags")
+
+
 def ml_table(docs: DataFrame, annotations: DataFrame, hits: DataFrame | None = None, gold: DataFrame | None = None, leaves: DataFrame | None = None) -> DataFrame:
     """A row for each token without blanks, with all that a learner of labels needs.
 

@@ -18,6 +18,7 @@ from spanloom.operators.names import name_annotations
 from spanloom.functions import spans as spans_fn
 from spanloom.operators.rules import RULE_ROW, Rule, annotate, annotate_recurring, rules_of
 from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, find_in_reports
+from spanloom.plans.stages import written
 from spanloom.rulesets import dates, others
 from spanloom.sources import reports
 from spanloom.sources.spread import spread
@@ -848,9 +849,9 @@ def _(spark, sf):
 @register("q_ml_features", SQL_LOOKUPS + """, l as (select w.doc_id, w.tok_idx, w.string, coalesce(string_agg(distinct h.major || '_' || h.minor, ';' order by h.major || '_' || h.minor), 'O') as tags from w left join hits h on h.doc_id = w.doc_id and w.s >= h.s and w.e <= h.e where w.doc_id in (select doc_id from documents) group by all)
 select tags, count(*) as n, count_if(regexp_matches(string, '^\\p{Lu}')) as n_capitalized from (select string, array_to_string(list_sort(string_split(tags, ';')), ';') as tags from l) group by tags""")
 def _(spark, sf):
-    words = tokens.work_tokens(doc_tokens(spark, sf))
-    hits = doc_hits(spark, sf)
-    rows = features.with_flags(features.token_features(words, lexicon.direct_annotations(hits).select("doc_id", "start", "end", "type"), hits))
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    hits = written(doc_hits(spark, sf).select("doc_id", "start", "end", "major", "minor"))
+    rows = features.with_flags(features.text_features(docs, lexicon.direct_annotations(hits).select("doc_id", "start", "end", "type"), hits))
     return rows.groupBy(F.array_join(F.array_sort(F.split("lookup_tags", ";")), ";").alias("tags")).agg(F.count(F.lit(1)).alias("n"), F.count_if("is_capitalized").alias("n_capitalized"))
 
 

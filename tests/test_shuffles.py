@@ -4,7 +4,9 @@ import io
 import random
 from contextlib import redirect_stdout
 
-from spanloom.operators import lexicon, tokens
+from pyspark.sql import functions as F
+
+from spanloom.operators import features, lexicon, tokens
 from spanloom.queries import QUERIES
 
 
@@ -52,3 +54,25 @@ def test_the_query_shuffles_texts_and_no_tokens(spark, tmp_path):
     # the tokens' window and their join by bins were exchanges of token rows
     assert "Window" not in plan_of(found) and "_bin" not in plan_of(found)
     assert found.count() == 1
+
+
+def test_token_features_are_worked_out_within_the_text(spark):
+    draw = random.Random(9)
+    docs = spark.createDataFrame([(k if k else None, None if k == 8 else "".join(draw.choices(["a", "Haus", " ", ".", "\n", "12", "\t"], k=draw.choice([0, 1, 60])))) for k in range(30)], "doc_id long, text string")
+    spans = lambda n: [(k if k else None, a, a + draw.choice([0, 3, 9, 500]), draw.choice(["A", "Bä", "", None, "C"])) for k in range(0, 30, 2) for a in [draw.randrange(-1, 50) for _ in range(n)]]
+    labels = spark.createDataFrame(spans(6), "doc_id long, start int, end int, type string")
+    hits = spark.createDataFrame(spans(9), "doc_id long, start int, end int, major string").withColumn("minor", F.lit("m"))
+    want = features.token_features(tokens.work_tokens(tokens.token_table(docs)), labels, hits)
+    found = features.text_features(docs, labels, hits)
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+    assert len({r["label"] for r in found.collect()}) >= 4
+    assert "Window" not in plan_of(found)
+
+
+def test_the_query_of_features_shuffles_no_tokens(spark, tmp_path):
+    spark.createDataFrame([(1, "of the la and the die In " * 20)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["q_ml_features"](spark, str(tmp_path))
+    # tokens were numbered in a window, and met spans, labels and tags in four joins
+    assert "Window" not in plan_of(found) and plan_of(found).count("Join") == 2
+    assert found.count() > 2
