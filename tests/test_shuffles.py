@@ -2,10 +2,14 @@
 
 import io
 import random
+import tracemalloc
 from contextlib import redirect_stdout
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
+from spanloom.functions.arrows import running_sums
 from spanloom.operators import features, lexicon, tokens
 from spanloom.queries import QUERIES
 
@@ -76,3 +80,17 @@ def test_the_query_of_features_shuffles_no_tokens(spark, tmp_path):
     # tokens were numbered in a window, and met spans, labels and tags in four joins
     assert "Window" not in plan_of(found) and plan_of(found).count("Join") == 2
     assert found.count() > 2
+
+
+def test_running_sums_hold_little_more_than_the_batch():
+    for rows, each in ((0, 0), (1, 3_000_000), (4000, 1000)):
+        lengths = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * each), pa.array(np.full(rows * each, 2, dtype=np.int32)))
+        tracemalloc.start()
+        sums = running_sums(lengths)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert np.array_equal(sums.flatten().to_numpy(), np.tile(np.arange(1, each + 1) * 2, rows))
+        # a batch of many texts was copied five times in 64 bits, 32 bytes and more a token
+        assert rows < 2 or peak < 20 * rows * each
+    some = pa.array([[1, 2], None, [], [3]], pa.list_(pa.int32()))
+    assert running_sums(some).to_pylist() == [[1, 3], None, [], [3]] and running_sums(some.slice(1, 3)).to_pylist() == [None, [], [3]]
