@@ -18,7 +18,7 @@ from spanloom.operators.lookup_rules import lookup_annotations, without_traps
 from spanloom.operators.names import name_annotations
 from spanloom.operators.resolve import enforce_schema, merge_spans, of_types, remove_redundant, remove_weaker, split_overlaps
 from spanloom.operators.rules import Rule, annotate
-from spanloom.operators.tokens import token_table, work_tokens
+from spanloom.operators.tokens import dealt, token_table, work_tokens
 from spanloom.rulesets import dates, others
 
 #: The phases that need nothing but a text, in order.
@@ -196,10 +196,11 @@ def stage(name: str, needs: tuple[str, ...] = (), after: tuple[str, ...] = ()):
 def _(s: State) -> State:
     """The rules that need nothing but a text.
 
-    Reports are many, short and often alike, and their spans are read by many
-    stages: those are worked out once, before features, in a plan of its own.
+    Spans are read by many stages (conflicts read them twice), so they are worked
+    out once, before features, in a plan of its own. Reports are many, short and
+    often alike; other texts are dealt to tasks by their bytes.
     """
-    found = annotate(s.docs, s.phases) if s.leaves is None else annotated_alike(s.docs, s.phases)
+    found = written(annotate(dealt(s.docs, "text", ("doc_id", "text")), s.phases)) if s.leaves is None else annotated_alike(s.docs, s.phases)
     return s.plus(_of_phases(acted(found, rules=_rules(s.phases)), s.phases))
 
 

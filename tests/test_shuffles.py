@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from spanloom.functions.arrows import running_sums
 from spanloom.operators import features, lexicon, tokens
+from spanloom.plans.deidentify import find
 from spanloom.queries import QUERIES
 
 
@@ -94,3 +95,11 @@ def test_running_sums_hold_little_more_than_the_batch():
         assert rows < 2 or peak < 20 * rows * each
     some = pa.array([[1, 2], None, [], [3]], pa.list_(pa.int32()))
     assert running_sums(some).to_pylist() == [[1, 3], None, [], [3]] and running_sums(some.slice(1, 3)).to_pylist() == [None, [], [3]]
+
+
+def test_rules_are_worked_out_once_for_conflicts(spark):
+    docs = spark.createDataFrame([(1, "am 01.02.2012 Tel 031 111 22 33"), (2, None)], "doc_id long, text string")
+    found = find(docs)
+    # both sides of the join of conflicts held the rules
+    assert "_m0" not in plan_of(found) and "RLIKE" not in plan_of(found)
+    assert found.count() >= 1
