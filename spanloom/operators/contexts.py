@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.arrows import Words
-from spanloom.functions.text import let, running
+from spanloom.functions.text import kind, let, running
+from spanloom.functions.text import tokens as tokens_of
 from spanloom.operators.intervals import without_overlap
 from spanloom.operators.automaton import MOST_BYTES, Automaton, found_in_rows, phrase_bytes, phrase_tokens
+from spanloom.operators.tokens import dealt
 
 
 def trigger_contexts(docs: DataFrame, triggers: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -46,13 +48,43 @@ def metadata_annotations(words: DataFrame, metadata: DataFrame, hits: DataFrame
     ``metadata(keys, type, value)``. Dashes, and tokens that a medical or
     false-positive hit overlaps, are passed over.
     """
-    forms = metadata.select(*keys, "type", F.explode(F.array_distinct(F.array(F.upper("value"), F.initcap("value")))).alias("string")).where("string != '-'").distinct()
-    found = words.join(forms, [*keys, "string"]).select(*keys, "start", "end", "string", "type")
+    found = words.join(metadata_forms(metadata, keys), [*keys, "string"]).select(*keys, "start", "end", "string", "type")
+    return not_passed_over(found, hits, keys)
+
+
+def metadata_forms(metadata: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``(keys, type, string)``: what tokens may equal."""
+    return metadata.select(*keys, "type", F.explode(F.array_distinct(F.array(F.upper("value"), F.initcap("value")))).alias("string")).where("string != '-'").distinct()
+
+
+def not_passed_over(found: DataFrame, hits: DataFrame | None, keys: tuple[str, ...]) -> DataFrame:
     if hits is None:
         return found
     return without_overlap(found, hits.where("major = 'medical' or minor = 'false_positives'").select(*keys, "start", "end"), keys)
 
 
+def text_metadata_annotations(docs: DataFrame, metadata: DataFrame, hits: DataFrame | None = None, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """As ``metadata_annotations`` for the texts themselves: a text meets its values once, and its tokens stay in the row.
+
+    Only a text that holds a value somewhere is cut into tokens, and offsets are added
+    up only where a token equals one.
+    """
+    forms = metadata_forms(metadata, keys).where(kind("string") != "space")
+    known = forms.groupBy(*keys).agg(F.collect_list(F.struct("string", "type")).alias("_forms"), F.collect_set("string").alias("_values"))
+    placed = dealt(docs, text_col, keys).join(known, list(keys))
+
+    def found(strings: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(strings) - 1), lambda k: F.array_contains("_values", F.get(strings, k)))
+        span = lambda sums, k, form: F.struct(F.get(sums, k).alias("start"), F.get(sums, k + 1).alias("end"), form["string"].alias("string"), form["type"].alias("type"))
+        spans = lambda sums: F.flatten(F.transform(at, lambda k: F.transform(F.filter("_forms", lambda form: form["string"] == F.get(strings, k)), lambda form: span(sums, k, form))))
+        return F.when(F.exists("_values", lambda value: F.array_contains(strings, value)), let(running(F.transform(strings, F.length)), spans))
+
+    # explode alone would make Spark push a test of the array's size, and with it all that makes the array, below once more
+    held = F.exists("_values", lambda value: F.contains(text_col, value))
+    spans = placed.select(*keys, F.explode_outer(F.when(held, let(tokens_of(text_col), found))).alias("_t")).where("_t is not null")
+    return not_passed_over(spans.select(*keys, "_t.*"), hits, keys)
+
+
 def propagate(docs: DataFrame, annotations: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Every occurrence of a sure annotation's text in its document gets its type.
 

@@ -645,7 +645,7 @@ def _(spark, sf):
 @register("q_metadata_annotator", SQL_TOKENS + " select doc_id, string, count(*) as n from t join documents using (doc_id) where kind <> 'space' and string in (upper(lang), upper(substring(lang, 1, 1)) || substring(lang, 2)) group by all")
 def _(spark, sf):
     meta = read(spark, sf, "documents").select("doc_id", F.lit("Name").alias("type"), F.col("lang").alias("value"))
-    return contexts.metadata_annotations(tokens.work_tokens(doc_tokens(spark, sf)), meta).groupBy("doc_id", "string").agg(F.count(F.lit(1)).alias("n"))
+    return contexts.text_metadata_annotations(read(spark, sf, "documents").select("doc_id", "text"), meta).groupBy("doc_id", "string").agg(F.count(F.lit(1)).alias("n"))
 
 
 @register("q_high_confidence_propagation", """with b as (select item_id, text, regexp_extract(text, '^\\S+ \\S+') as m from benchmark)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from spanloom.functions.arrows import running_sums
-from spanloom.operators import features, lexicon, tokens
+from spanloom.operators import contexts, features, lexicon, tokens
 from spanloom.operators.rules import Rule
 from spanloom.plans.deidentify import find
 from spanloom.queries import QUERIES
@@ -104,3 +104,21 @@ def test_rules_are_worked_out_once_for_conflicts(spark):
     # both sides of the join of conflicts held the rules
     assert "_m0" not in plan_of(found)
     assert [tuple(r)[2:5] for r in found.collect()] == [(9, 13, "Date")]
+
+
+def test_metadata_values_are_found_within_the_row(spark, tmp_path):
+    draw = random.Random(7)
+    words = ["EN", "En", "ENX", "en", "-", "\n", "ä", "Ä", "1"]
+    docs = spark.createDataFrame([(k % 37 if k % 11 else None, None if k == 3 else draw.choice(["", " ", "  "]).join(draw.choices(words, k=draw.choice([0, 1, 20, 150])))) for k in range(60)], "doc_id long, text string")
+    values = spark.createDataFrame([(draw.choice([None, *range(40)]), draw.choice(["Name", "Date"]), draw.choice(["en", "EN", "-", "ä", "", " ", "1", "\n", None])) for _ in range(120)], "doc_id long, type string, value string")
+    hits = spark.createDataFrame([(k, 2 * k, 2 * k + 5, draw.choice(["medical", "x"]), None) for k in range(37)], "doc_id long, start int, end int, major string, minor string")
+    work = tokens.work_tokens(tokens.token_table(docs))
+    for passed in (None, hits):
+        found = [sorted(tuple(r) for r in x.collect()) for x in (contexts.text_metadata_annotations(docs, values, passed), contexts.metadata_annotations(work, values, passed))]
+        assert found[0] == found[1] and len(found[0]) > 100
+    assert contexts.text_metadata_annotations(docs, values.where("false")).count() == contexts.text_metadata_annotations(docs.where("false"), values).count() == 0
+    spark.createDataFrame([(1, "EN en En ENX", "en"), (2, "de", "de"), (3, None, "fr")], "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["q_metadata_annotator"](spark, str(tmp_path))
+    # batches of offsets went through Python, and all tokens through a shuffle
+    assert "EvalPython" not in plan_of(found)
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "EN", 1), (1, "En", 1)]
