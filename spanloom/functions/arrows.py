@@ -23,20 +23,21 @@ def list_of(values: pa.Array, sizes: np.ndarray) -> pa.ListArray:
 
 
 def running_sums(lengths: pa.Array) -> pa.Array:
-    """For each row of lengths, their running sums; null rows stay null. By stretches, so that no copy is as large as the batch."""
-    return pa.concat_arrays([_running_sums(part) for _, part in in_stretches(lengths, MOST_SUMS)])
-
-
-def _running_sums(lengths: pa.Array) -> pa.Array:
-    first, last = row_ends(lengths)
-    sums = np.concatenate([[0], np.cumsum(lengths.flatten().to_numpy(zero_copy_only=False).astype(np.int64))])
-    values = pa.array((sums[1:] - np.repeat(sums[first], last - first)).astype(np.int32))
-    offsets = pa.array(np.concatenate([first, last[-1:]]).astype(np.int32)) if len(first) else pa.array([0], pa.int32())
-    return pa.ListArray.from_arrays(offsets, values, mask=pc.is_null(lengths) if lengths.null_count else None)
+    """For each row of lengths, their running sums; null rows stay null. By stretches into one array, so that nothing else is as large as the batch."""
+    values = lengths.flatten().to_numpy(zero_copy_only=False)
+    sums, at = np.empty(len(values), dtype=np.int32), 0
+    for _, part in in_stretches(lengths, MOST_SUMS):
+        first, last = row_ends(part)
+        behind = at + int(last[-1]) if len(last) else at
+        total = np.concatenate([[0], np.cumsum(values[at:behind], dtype=np.int64)])
+        sums[at:behind] = total[1:] - np.repeat(total[first], last - first)
+        at = behind
+    offsets = np.concatenate([[0], row_ends(lengths)[1]]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(sums), mask=pc.is_null(lengths) if lengths.null_count else None)
 
 
 #: Lengths that are added up at once.
-MOST_SUMS = 1 << 20
+MOST_SUMS = 1 << 17
 
 
 def in_stretches(lists: pa.Array, most: int) -> Iterator[tuple[int, pa.Array]]:

@@ -98,6 +98,19 @@ def test_running_sums_hold_little_more_than_the_batch():
     assert running_sums(some).to_pylist() == [[1, 3], None, [], [3]] and running_sums(some.slice(1, 3)).to_pylist() == [None, [], [3]]
 
 
+def test_running_sums_are_set_down_once():
+    lengths = pa.array([[1, 2], None, *[[3] * 1000] * 4000, []], pa.list_(pa.int32())).slice(1)
+    before = pa.total_allocated_bytes()
+    tracemalloc.start()
+    sums = running_sums(lengths)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    # sums of stretches were put together in a second array, and a stretch took 40 MB
+    assert held + pa.total_allocated_bytes() - before < 5 * 4_000_000 and peak < 6 * 4_000_000
+    assert sums.type == lengths.type and sums.slice(0, 1).to_pylist() == [None] and sums.slice(4001).to_pylist() == [[]]
+    assert sums[1].as_py() == sums[4000].as_py() == list(range(3, 3001, 3))
+
+
 def test_rules_are_worked_out_once_for_conflicts(spark):
     docs = spark.createDataFrame([(1, "am 01.02.2012 Tel 031 111 22 33"), (2, None)], "doc_id long, text string")
     found = find(docs, phases={"p": [Rule("Year", "()([0-9]{4})", ((2, "Date", "other"),))]})
