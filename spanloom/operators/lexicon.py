@@ -241,10 +241,11 @@ def name_codes(words: DataFrame, hits: DataFrame, keys: tuple[str, ...] = ("doc_
     """``(keys, codes, starts, ends)``: a text's tokens as a string of class letters, a letter a token.
 
     Rules over names become patterns over that string, and a match's place in it
-    is its place among the tokens.
+    is its place among the tokens. The join of tokens and hits is shuffled: what is
+    exploded from texts is larger than Spark's estimate, by which it would be broadcast.
     """
     flags = hits.groupBy(*keys, "start", "end").agg(F.max((F.col("minor") == "firstname").cast("int")).alias("first"), F.max((F.col("minor") == "surname").cast("int")).alias("last"), F.max(F.col("major").isin("general", "stop", "medical", "location", "occupation").cast("int")).alias("other"))
-    t = words.join(flags, [*keys, "start", "end"], "left")
+    t = words.join(flags.hint("merge"), [*keys, "start", "end"], "left")
     s = F.col("string")
     code = (
         F.when(s.rlike("^[Ll]iebe[r]?$"), "L").when(s == "nach", "w").when(s.isin("Herr", "Herrn", "Frau", "Hr", "Fr", "Ehepaar", "Familie"), "H").when(s.isin("Dr", "Prof", "PD", "Professor", "med"), "D").when(s.isin("OA", "AA", "UA", "OÄ", "AÄ", "JA"), "R")

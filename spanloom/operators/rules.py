@@ -10,12 +10,14 @@ no shuffle, and a row's work is bounded by its own text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanloom.functions.text import BLOCK
+from spanloom.sources.kept import written
 
 DIGIT = "0-9"
 FIELDS = ("start", "end", "type", "subtype", "rule", "text", "other", "action")
@@ -187,17 +189,26 @@ RECURRING, SHORT = 100_000, 256
 
 
 def annotate_recurring(rows: DataFrame, phases: dict[str, list[Rule]], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """As ``annotate``, for many short texts of which many are equal, such as fields: a text that recurs is annotated once.
+    """As ``annotate``, for many short texts of which many are equal, such as fields: a text that recurs is annotated once."""
+    return of_recurring(rows, lambda texts, by: annotate(texts, phases, keys=by), keys)
+
+
+def of_recurring(rows: DataFrame, find: Callable[[DataFrame, tuple[str, ...]], DataFrame], keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``find(rows, keys)``, the spans in texts by keys, for many short texts of which many are equal: what recurs is looked at once.
 
     Texts are counted; those that make up 1 in RECURRING of all rows, so RECURRING
-    of them at most, are annotated and broadcast with their spans. Rows with any
-    other text are annotated by themselves.
+    of them at most, go through ``find`` and are broadcast with their spans. Rows
+    with any other text go through it by themselves, if there are any.
     """
     seen = rows.select(*dict.fromkeys([*keys, "text"]))
-    least = max(2, -(-seen.count() // RECURRING))
-    often = seen.where(F.length("text") <= SHORT).groupBy("text").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least).select("text")
-    spans = annotate(often.select("text", F.col("text").alias("_text_key")), phases, keys=("_text_key",))
-    known = often.join(spans.groupBy("_text_key").agg(F.collect_list(F.struct("phase", *FIELDS)).alias("_a")), often["text"] == F.col("_text_key"), "left").select(F.col("text").alias("_text_key"), "_a")
+    total = seen.count()
+    least = max(2, -(-total // RECURRING))
+    often = written(seen.where(F.length("text") <= SHORT).groupBy("text").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= least))
+    spans = find(often.select("text", F.col("text").alias("_text_key")), ("_text_key",))
+    columns = [c for c in spans.columns if c != "_text_key"]
+    known = written(often.join(spans.groupBy("_text_key").agg(F.collect_list(F.struct(*columns)).alias("_a")), often["text"] == F.col("_text_key"), "left").select(F.col("text").alias("_text_key"), "_a"))
     looked_up = seen.join(F.broadcast(known), F.col("text") == F.col("_text_key")).select(*keys, F.explode_outer("_a").alias("a")).where("a is not null").select(*keys, "a.*")
+    if (often.agg(F.sum("_n")).first()[0] or 0) == total:
+        return looked_up
     rest = seen.join(F.broadcast(known.select("_text_key")), F.col("text") == F.col("_text_key"), "left_anti")
-    return looked_up.unionByName(annotate(rest, phases, keys=keys))
+    return looked_up.unionByName(find(rest, keys))

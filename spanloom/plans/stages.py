@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanloom.operators.actions import acted
@@ -20,6 +18,7 @@ from spanloom.operators.resolve import enforce_schema, merge_spans, of_types, re
 from spanloom.operators.rules import Rule, annotate
 from spanloom.operators.tokens import dealt, token_table, work_tokens
 from spanloom.rulesets import dates, others
+from spanloom.sources.kept import settled, written
 
 #: The phases that need nothing but a text, in order.
 TEXT_PHASES: dict[str, list[Rule]] = {
@@ -66,30 +65,6 @@ def _staged(spans: DataFrame, stage: int | Column) -> DataFrame:
     return texts.withColumn("stage", F.lit(stage) if isinstance(stage, int) else stage).select(*COLUMNS)
 
 
-def _folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; one is made here only where none is named and Spark runs on one machine, as in tests."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not folder and not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors see")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="spark-"))
-    return context.getCheckpointDir()
-
-
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` worked out once and kept in the checkpoint folder, so what follows starts from a table."""
-    _folder(df.sparkSession)
-    return df.checkpoint()
-
-
-def written(df: DataFrame) -> DataFrame:
-    """As ``settled``, as a Parquet table there: for what is as large as the input, and read by few of its columns."""
-    path = f"{_folder(df.sparkSession)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 #: Equal texts are annotated together in groups of about so many rows.
 GROUP = 200_000
 #: Rows whose texts one task annotates.

@@ -16,7 +16,7 @@ from spanloom.operators import contexts, diagnosis, evaluate, features, fields,
 from spanloom.operators.actions import acted, with_features
 from spanloom.operators.names import name_annotations
 from spanloom.functions import spans as spans_fn
-from spanloom.operators.rules import RULE_ROW, Rule, annotate, annotate_recurring, rules_of
+from spanloom.operators.rules import RULE_ROW, Rule, annotate, annotate_recurring, of_recurring, rules_of
 from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, find_in_reports
 from spanloom.plans.stages import written
 from spanloom.rulesets import dates, others
@@ -458,18 +458,18 @@ templated("q_rule_names_more", "supplier", "s_suppkey", t.MORE_PERSONS, {"Names"
 in_contexts("q_rule_fields_more", t.MORE_FIELDS, {"Fields": [*others.FIELDS, *others.IDS, *[r for r in others.OCCUPATIONS if r.context]]})
 
 
-def looked_up(spark, docs):
-    words = tokens.work_tokens(tokens.token_table(docs))
-    return words, lexicon.text_lookups(docs, lexicon.read_lexicon(spark.createDataFrame(t.LOOKUP_LEXICON, "term string, major string, minor string, language string")))
+def looked_up(spark, docs, keys=("doc_id",)):
+    words = tokens.work_tokens(tokens.token_table(docs, keys=keys), keys)
+    return words, lexicon.text_lookups(docs, lexicon.read_lexicon(spark.createDataFrame(t.LOOKUP_LEXICON, "term string, major string, minor string, language string")), keys=keys)
 
 
-def with_texts(docs: DataFrame, spans: DataFrame) -> DataFrame:
+def with_texts(docs: DataFrame, spans: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``spans`` with their texts.
 
     The join is shuffled: texts are exploded from templates, which Spark's
     estimate from the file's size leaves out, so it would broadcast them all.
     """
-    return docs.hint("merge").join(spans, "doc_id").select("doc_id", "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
+    return docs.hint("merge").join(spans, list(keys)).select(*keys, "start", "end", "type", "subtype", F.substring("text", F.col("start") + 1, F.col("end") - F.col("start")).alias("text"))
 
 
 @register("q_rule_lookups", t.expected_sql("customer", "c_custkey", [c[1] for c in t.LOOKUPS]))
@@ -493,7 +493,7 @@ def _(spark, sf):
 @register("q_rule_names_by_lexicon", t.expected_sql("customer", "c_custkey", t.LEXICON_NAMES))
 def _(spark, sf):
     docs = t.texts(spark, read(spark, sf, "customer"), "c_custkey", t.LEXICON_NAMES)
-    return with_texts(docs, name_annotations(*looked_up(spark, docs)).select("doc_id", "start", "end", "type", "subtype"))
+    return of_recurring(docs, lambda texts, keys: with_texts(texts, name_annotations(*looked_up(spark, texts, keys), keys=keys).select(*keys, "start", "end", "type", "subtype"), keys))
 
 
 # --- fields -------------------------------------------------------------------
