@@ -58,6 +58,35 @@ def sentences(table: DataFrame, keys: tuple[str, ...] = ("doc_id",), abbreviatio
     return seen.groupBy(*keys, "sentence_nr").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.count(F.lit(1)).alias("token_count"))
 
 
+def sentence_numbers(words: Words, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> np.ndarray:
+    """As ``with_sentence_nr`` for the tokens of a batch, blanks included: the number of each one's sentence in its text."""
+    values, alone = words.values, np.zeros(len(words.row), dtype=bool)
+    dots = np.flatnonzero(pc.equal(values, ".").to_numpy(zero_copy_only=False))
+    dots = dots[dots > words.first[words.row[dots]]]
+    last = values.take(pa.array(dots - 1))
+    alone[dots] = pc.or_(pc.is_in(last, value_set=pa.array(abbreviations, pa.string())), pc.match_substring_regex(last, r"^(\p{L}|\p{N}+)$")).to_numpy(zero_copy_only=False)
+    ends = pc.or_(pc.is_in(values, value_set=pa.array(["!", "?", "."])), pc.match_substring(values, "\n")).to_numpy(zero_copy_only=False) & ~alone
+    before = np.concatenate([[0], np.cumsum(ends)])
+    return before[:-1] - before[words.first[words.row]]
+
+
+def text_sentences(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
+    """As ``sentences`` for the texts themselves: tokens stay in the row, so there is no shuffle, and rows that repeat an id each have their own."""
+
+    def few(strings: pa.Array) -> pa.Array:
+        words = Words.of(strings, blanks=True)
+        kept = np.flatnonzero(~pc.ascii_is_space(words.values).to_numpy(zero_copy_only=False).astype(bool))
+        row, number = words.row[kept], sentence_numbers(words, abbreviations)[kept]
+        cuts = np.flatnonzero(np.concatenate([np.ones(min(len(kept), 1), dtype=bool), (row[1:] != row[:-1]) | (number[1:] != number[:-1])]))
+        behind = np.concatenate([cuts[1:], [len(kept)]])[: len(cuts)]
+        columns = {"sentence_nr": pa.array(number[cuts], pa.int64()), "start": pa.array(words.start[kept[cuts]], pa.int32()), "end": pa.array(words.end[kept[behind - 1]], pa.int32()), "token_count": pa.array(behind - cuts, pa.int64())}
+        return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(row[cuts], minlength=len(strings)))
+
+    runs = F.arrow_udf(lambda strings: pa.concat_arrays([few(part) for _, part in in_stretches(strings, MOST_PLACED)]), "array<struct<sentence_nr:bigint,start:int,end:int,token_count:bigint>>")
+    found = docs.select(*dict.fromkeys([*keys, text_col])).select(*keys, runs(tokens_of(text_col)).alias("_runs"))
+    return found.select(*keys, F.explode_outer("_runs").alias("r")).where("r is not null").select(*keys, "r.*")
+
+
 def adjust_sentences(found: DataFrame, leaves: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Sentences cut at the borders of the leaf fields that they overlap."""
     pairs = join_overlapping(found.select(*keys, "start", "end"), leaves.select(*keys, "start", "end"), keys, prefix="f_")

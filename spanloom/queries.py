@@ -84,7 +84,7 @@ x as (select doc_id, sentence_nr, min(s) as a, max(s + length(string)) as b, cou
 
 @register("q_sentences", SQL_SENTENCES + " select doc_id, count(*) as n_sentences, cast(sum(a) as bigint) as sum_start, cast(sum(b) as bigint) as sum_end, max(n) as longest from x group by doc_id")
 def _(spark, sf):
-    return tokens.sentences(doc_tokens(spark, sf)).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.sum("start").alias("sum_start"), F.sum("end").alias("sum_end"), F.max("token_count").alias("longest"))
+    return tokens.text_sentences(read(spark, sf, "documents").select("doc_id", "text")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_sentences"), F.sum("start").alias("sum_start"), F.sum("end").alias("sum_end"), F.max("token_count").alias("longest"))
 
 
 @register("q_sentence_adjust", """with l as (select conv_id * 1000 + turn as doc_id, unnest(string_split(text, chr(10))) as line from conversations)
