@@ -69,13 +69,17 @@ class Words:
         sums = np.concatenate([[0], np.cumsum(lengths)])
         row = np.repeat(np.arange(len(first)), last - first)
         base = sums[first][row] if len(row) else np.empty(0, np.int64)
+        everything = cls(values, row, sums[:-1] - base, sums[1:] - base, first, last)
         if blanks:
-            return cls(values, row, sums[:-1] - base, sums[1:] - base, first, last)
+            return everything
         blank = pc.and_not(pc.ascii_is_space(values), pc.match_substring(values, "\n")).to_numpy(zero_copy_only=False).astype(bool)
-        kept = np.flatnonzero(~blank)
-        sizes = np.bincount(row[kept], minlength=len(first)) if len(kept) else np.zeros(len(first), np.int64)
+        return everything.at(np.flatnonzero(~blank))
+
+    def at(self, kept: np.ndarray) -> Words:
+        """Those of the tokens that are at these places, in order."""
+        sizes = np.bincount(self.row[kept], minlength=len(self.first)) if len(kept) else np.zeros(len(self.first), np.int64)
         ends = np.cumsum(sizes)
-        return cls(values.take(pa.array(kept)), row[kept], (sums[:-1] - base)[kept], (sums[1:] - base)[kept], ends - sizes, ends)
+        return Words(self.values.take(pa.array(kept)), self.row[kept], self.start[kept], self.end[kept], ends - sizes, ends)
 
     def within(self, spans: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """For each span, of lists ``(start, end, …)`` side by side with the texts, the first token that lies in it and the one behind the last.

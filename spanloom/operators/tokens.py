@@ -70,17 +70,23 @@ def sentence_numbers(words: Words, abbreviations: tuple[str, ...] = ABBREVIATION
     return before[:-1] - before[words.first[words.row]]
 
 
+def in_sentences(words: Words, abbreviations: tuple[str, ...] = ABBREVIATIONS) -> tuple[Words, np.ndarray, np.ndarray]:
+    """The tokens that are neither blank nor newline, the number of each one's sentence, and the places where sentences begin among them."""
+    kept = np.flatnonzero(~pc.ascii_is_space(words.values).to_numpy(zero_copy_only=False).astype(bool))
+    work, number = words.at(kept), sentence_numbers(words, abbreviations)[kept]
+    begins = (work.row[1:] != work.row[:-1]) | (number[1:] != number[:-1])
+    return work, number, np.flatnonzero(np.concatenate([np.ones(min(len(kept), 1), dtype=bool), begins]))
+
+
 def text_sentences(docs: DataFrame, text_col: str = "text", keys: tuple[str, ...] = ("doc_id",), abbreviations: tuple[str, ...] = ABBREVIATIONS) -> DataFrame:
     """As ``sentences`` for the texts themselves: tokens stay in the row, so there is no shuffle, and rows that repeat an id each have their own."""
 
     def few(strings: pa.Array) -> pa.Array:
         words = Words.of(strings, blanks=True)
-        kept = np.flatnonzero(~pc.ascii_is_space(words.values).to_numpy(zero_copy_only=False).astype(bool))
-        row, number = words.row[kept], sentence_numbers(words, abbreviations)[kept]
-        cuts = np.flatnonzero(np.concatenate([np.ones(min(len(kept), 1), dtype=bool), (row[1:] != row[:-1]) | (number[1:] != number[:-1])]))
-        behind = np.concatenate([cuts[1:], [len(kept)]])[: len(cuts)]
-        columns = {"sentence_nr": pa.array(number[cuts], pa.int64()), "start": pa.array(words.start[kept[cuts]], pa.int32()), "end": pa.array(words.end[kept[behind - 1]], pa.int32()), "token_count": pa.array(behind - cuts, pa.int64())}
-        return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(row[cuts], minlength=len(strings)))
+        work, number, cuts = in_sentences(words, abbreviations)
+        behind = np.concatenate([cuts[1:], [len(work.row)]])[: len(cuts)]
+        columns = {"sentence_nr": pa.array(number[cuts], pa.int64()), "start": pa.array(work.start[cuts], pa.int32()), "end": pa.array(work.end[behind - 1], pa.int32()), "token_count": pa.array(behind - cuts, pa.int64())}
+        return list_of(pa.StructArray.from_arrays(list(columns.values()), list(columns)), np.bincount(work.row[cuts], minlength=len(strings)))
 
     runs = F.arrow_udf(lambda strings: pa.concat_arrays([few(part) for _, part in in_stretches(strings, MOST_PLACED)]), "array<struct<sentence_nr:bigint,start:int,end:int,token_count:bigint>>")
     found = docs.select(*dict.fromkeys([*keys, text_col])).select(*keys, runs(tokens_of(text_col)).alias("_runs"))
@@ -109,15 +115,25 @@ def field_sentences(table: DataFrame, leaves: DataFrame, keys: tuple[str, ...] =
 TEXT_BYTES = 32 << 20
 
 
+def tasks_of(docs: DataFrame, text_col: str) -> int:
+    """How many tasks texts are dealt to, of some TEXT_BYTES each."""
+    total = docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+    return max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-total // TEXT_BYTES))
+
+
 def dealt(docs: DataFrame, text_col: str, keys: tuple[str, ...]) -> DataFrame:
     """Texts dealt by their keys to tasks of some TEXT_BYTES: a shuffle's own size says little of the work that its texts make."""
     rows = docs.select(*dict.fromkeys([*keys, text_col]))
-    total = rows.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
-    return rows.repartition(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-total // TEXT_BYTES)), *keys)
+    return rows.repartition(tasks_of(rows, text_col), *keys)
+
 
+def with_spans(docs: DataFrame, spans: DataFrame, columns: tuple[str, ...], out: str, keys: tuple[str, ...] = ("doc_id",), tasks: int | None = None) -> DataFrame:
+    """``docs`` with the spans of each as an array of ``(start, end, columns)`` in ``out``: a document meets its spans once.
 
-def with_spans(docs: DataFrame, spans: DataFrame, columns: tuple[str, ...], out: str, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``docs`` with the spans of each as an array of ``(start, end, columns)`` in ``out``: a document meets its spans once."""
+    ``tasks``: what ``docs`` are dealt to by their keys; spans go to as many, or the
+    join would deal both to the session's number.
+    """
+    spans = spans if tasks is None else spans.repartition(tasks, *keys)
     rows = spans.groupBy(*keys).agg(F.collect_list(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"), *columns)).alias(out))
     return docs.join(rows, list(keys), "left")
 
