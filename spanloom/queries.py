@@ -199,7 +199,7 @@ def _(spark, sf):
 def templated(name: str, table: str, key: str, templates: list, phases: dict[str, list[Rule]]) -> None:
     @register(name, t.expected_sql(table, key, templates))
     def _(spark, sf):
-        found = annotate_recurring(t.texts(spark, read(spark, sf, table), key, templates), phases)
+        found = t.annotated(spark, read(spark, sf, table), key, templates, phases)
         return found.select("doc_id", "start", "end", "type", "subtype", "text")
 
 

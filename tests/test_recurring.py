@@ -38,3 +38,19 @@ def test_only_texts_that_do_not_recur_are_looked_at_by_themselves(spark):
         got = rules.of_recurring(docs, find)
         assert len(seen) == passes
         assert sorted(map(str, got.collect())) == sorted(map(str, find(docs, ("doc_id",)).collect()))
+
+
+def test_rows_made_of_few_values_get_their_spans_with_these(spark, monkeypatch):
+    pieces = [[("'am '", None), (t.YEAR, t.D), ("' da'", None)], [("'Unfall '", None), (f"{t.YEAR} || '-' || {t.MONTH} || '-' || o_mark", t.D), ("''", None)], [("'nichts'", None)]]
+    phases = {"p": [rules.Rule("Year", "()([0-9]{4})(-[0-9]+)?", ((2, "Date", "other"), (3, "Date", "x")))]}
+    days = ["2012-03-04", None, "1999-12-31", "2012-03-05"]
+    table = spark.createDataFrame([(k if k % 9 else None, days[k % 4], ["x", None, "y"][k % 3], k) for k in range(200)], "o_orderkey long, day string, o_mark string, o_custkey long").withColumn("o_orderdate", F.to_date("day"))
+    assert t.sources(table, pieces) == ["o_mark", "o_orderdate"] and t.sources(table, t.IDS) == ["o_custkey"]
+    want = sorted(map(str, rules.annotate(t.texts(spark, table, "o_orderkey", pieces), phases).collect()))
+    found = t.annotated(spark, table, "o_orderkey", pieces, phases)
+    assert sorted(map(str, found.collect())) == want and len(want) > 300
+    # every row was put into every template, three times over
+    assert "inline" not in plan_of(found)
+    monkeypatch.setattr(t, "RECURRING", 20)
+    assert "inline" in plan_of(again := t.annotated(spark, table, "o_orderkey", pieces, phases))
+    assert sorted(map(str, again.collect())) == want
