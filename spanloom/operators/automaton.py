@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -43,10 +44,18 @@ class Automaton:
         out.vocabulary = list(numbers)
         return out
 
+    @cached_property
+    def numbers(self) -> dict[str, int]:
+        return {token: k for k, token in enumerate(self.vocabulary)}
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "numbers"}
+
     def numbered(self, values: pa.Array) -> np.ndarray:
-        """Each token's number in the vocabulary, or -1."""
-        known = pc.index_in(values, value_set=pa.array(self.vocabulary, pa.string()))
-        return pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        """Each token's number in the vocabulary, or -1: looked up once for each different one, so the vocabulary isn't hashed with every batch."""
+        encoded = pc.dictionary_encode(values)
+        known = np.array([self.numbers.get(token, -1) for token in encoded.dictionary.to_pylist()] or [-1], dtype=np.int64)
+        return known[encoded.indices.to_numpy(zero_copy_only=False)]
 
     def hits(self, words: Words, numbers: np.ndarray | None = None, begins: np.ndarray | None = None) -> Iterator[tuple[int, int, int]]:
         """``(first token, token behind the last, entry)`` for every phrase found, by first token and length.

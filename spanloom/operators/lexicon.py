@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from spanloom.functions.arrows import Words, in_stretches
+from spanloom.functions.arrows import Words, in_stretches, row_ends
 from spanloom.functions.text import tokens as tokens_of
 from spanloom.operators.automaton import MOST_BYTES, MOST_TOKENS, Automaton, found_in_rows, phrase_bytes, phrase_tokens
 from spanloom.operators.intervals import without_overlap
@@ -76,33 +77,40 @@ class Lists:
     def __init__(self, entries: pa.Table) -> None:
         """``entries(term, major, minor, language, words)``, in any order."""
         order = pc.sort_indices(entries, sort_keys=[(name, "ascending") for name in ("term", "language", "major", "minor")], null_placement="at_start")
-        entries = entries.take(order)
-        pairs = list(zip(entries["major"].to_pylist(), entries["minor"].to_pylist(), strict=True))
-        lists = {pair: k for k, pair in enumerate(dict.fromkeys(pairs))}
-        self.of_list = [lists[pair] for pair in pairs]
+        entries = entries.take(order).combine_chunks()
         self.payload = {name: entries[name].combine_chunks() for name in self.COLUMNS}
-        self.automaton = Automaton.of(entries["words"].to_pylist())
-        edges, on = self.automaton.edges, {node for node, _ in self.automaton.edges}
-        # tokens that are an entry and begin no longer one: what they give is known beforehand
-        self.sizes, flat = np.zeros(len(self.automaton.vocabulary) + 1, dtype=np.int64), []
+        codes = [pc.dictionary_encode(entries[name].combine_chunks(), null_encoding="encode") for name in ("major", "minor")]
+        major, minor = (c.indices.to_numpy(zero_copy_only=False).astype(np.int64) for c in codes)
+        self.of_list = major * max(len(codes[1].dictionary), 1) + minor
+        # entries of several tokens, and those that they begin with, go by the trie; what all other tokens give is known beforehand
+        phrases = entries["words"].combine_chunks()
+        begin, behind = row_ends(phrases)
+        tokens, length = phrases.flatten(), behind - begin
+        first = tokens.take(pa.array(np.where(length > 0, begin, 0), mask=length == 0))
+        begins = pc.is_in(first, value_set=pc.unique(first.filter(pa.array(length > 1)))).to_numpy(zero_copy_only=False)
+        self.by_trie = np.flatnonzero((length > 0) & begins)
+        self.automaton = Automaton.of(phrases.take(pa.array(self.by_trie)).to_pylist())
+        alone = np.flatnonzero((length == 1) & ~begins)
+        encoded = pc.dictionary_encode(first.take(pa.array(alone)))
+        known, made = self.automaton.numbers, encoded.dictionary.to_pylist()
+        new = [token for token in made if token not in known]
+        self.automaton = replace(self.automaton, vocabulary=self.automaton.vocabulary + new)
+        number = np.array([self.automaton.numbers[token] for token in made], dtype=np.int64)[encoded.indices.to_numpy(zero_copy_only=False)] if len(alone) else np.empty(0, np.int64)
+        # a list's first entry of a token counts; np.unique gives the first place of each pair
+        once = np.sort(np.unique(np.stack([number, self.of_list[alone]]), axis=1, return_index=True)[1]) if len(alone) else np.empty(0, np.int64)
+        once = once[np.argsort(number[once], kind="stable")]
+        self.flat = alone[once]
+        self.sizes = np.bincount(number[once], minlength=len(self.automaton.vocabulary) + 1)
+        self.firsts = np.cumsum(self.sizes) - self.sizes
         self.walked = np.zeros(len(self.sizes), dtype=bool)
-        for number in range(len(self.automaton.vocabulary)):
-            node = edges.get((0, number))
-            if node in on:
-                self.walked[number] = True
-            elif node is not None:
-                held: dict[int, int] = {}
-                for entry in self.automaton.ends[node]:
-                    held.setdefault(self.of_list[entry], entry)
-                self.sizes[number] = len(held)
-                flat.extend(held.values())
-        self.flat, self.firsts = np.array(flat, dtype=np.int64), np.cumsum(self.sizes) - self.sizes
+        self.walked[[token for node, token in self.automaton.edges if node == 0]] = True
 
     def find(self, words: Words) -> tuple[np.ndarray, dict[str, pa.Array]]:
         """The row of each hit, in order, and its place and entry."""
         numbers = self.automaton.numbered(words.values)
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        for at, behind, entry in self.automaton.hits(words, numbers, self.walked):
+        for at, behind, nth in self.automaton.hits(words, numbers, self.walked):
+            entry = self.by_trie[nth]
             held = best.get((at, self.of_list[entry]))
             if held is None or behind > held[0]:
                 best[at, self.of_list[entry]] = (behind, entry)

@@ -11,7 +11,8 @@ from spanloom import templates as t
 from spanloom.functions import dates as fd
 from spanloom.functions import names as fn
 from spanloom.functions.paths import path_matches
-from spanloom.functions.text import TOKEN, context, matches, orth, xml_escape
+from spanloom.functions.text import TOKEN, context, kind, matches, orth, xml_escape
+from spanloom.functions.text import tokens as tokens_of
 from spanloom.operators import contexts, diagnosis, evaluate, features, fields, lexicon, lookup_rules, resolve, substitute, tokens
 from spanloom.operators.actions import acted, with_features
 from spanloom.operators.names import name_annotations
@@ -153,8 +154,9 @@ lx as materialized (select term, major, minor, min(language) as language from ws
 select major, minor, count(*) as n, count(distinct term) as n_terms, cast(sum(s) as bigint) as sum_start from (select distinct doc_id, s, term, major, minor from t join lx on t.string = lx.term) group by major, minor""")
 def _(spark, sf):
     """Lookups at the size of real lists: all words of the documents, dealt to fourteen lists that overlap."""
-    words = doc_tokens(spark, sf).where("kind = 'word' and length > 2").select(F.col("string").alias("term")).distinct()
-    hits = lexicon.text_lookups(read(spark, sf, "documents").select("doc_id", "text"), lexicon.stand_ins(words))
+    docs = read(spark, sf, "documents").select("doc_id", "text")
+    words = docs.select(F.explode(F.array_distinct(tokens_of("text"))).alias("term")).distinct().where((kind("term") == "word") & (F.length("term") > 2))
+    hits = lexicon.text_lookups(docs, written(lexicon.stand_ins(words)))
     return hits.groupBy("major", "minor").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("term").alias("n_terms"), F.sum("start").alias("sum_start"))
 
 
