@@ -18,7 +18,7 @@ from spanloom.operators.actions import acted, with_features
 from spanloom.operators.names import name_annotations
 from spanloom.functions import spans as spans_fn
 from spanloom.operators.rules import RULE_ROW, Rule, annotate, annotate_recurring, of_recurring, rules_of
-from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, find_in_reports
+from spanloom.plans.deidentify import Settings, deidentify, deidentify_reports, report_spans
 from spanloom.plans.stages import written
 from spanloom.rulesets import dates, others
 from spanloom.sources import reports
@@ -597,7 +597,7 @@ def _(spark, sf):
 
 @register("q_report_spans", SQL_REPORTS + """ select doc_id, 0 as "start", cast(length(c_name) as int) as "end", 'Name' as type, 'patient' as subtype from r""")
 def _(spark, sf):
-    return find_in_reports(order_reports(spark, sf), Settings(**REPORT_SETTINGS))[1].select("doc_id", "start", "end", "type", "subtype")
+    return report_spans(order_reports(spark, sf), Settings(**REPORT_SETTINGS)).select("doc_id", "start", "end", "type", "subtype")
 
 
 @register("q_field_deletion", SQL_REPORTS + """ select doc_id, '{"Patient": {"Name": "", "Gruppe": "' || c_mktsegment || '"}, "Eintrag": [{"Text": "' || o_orderpriority || '"}, {"Text": "' || o_orderstatus || '"}], "Leer": null}' as content from r""")
